@@ -34,12 +34,33 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived responses as envelopes (built in the plan, not landed)."""
     events, nation = _tables(spark, sf_dir, "events", "nation")
     return raw.envelope(fixtures.responses(events, nation))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_root(spark: SparkSession, sf_dir: str) -> str:
+    """The raw stage: land the derived envelopes once per session and
+    source folder (Parquet, one folder per day, under the shared folder).
+    Silver-side queries read this, as the silver job reads landed raw."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = _LANDED.get(key)
+    if root is None or not tables.exists(spark, root):
+        root = tables.scratch_path(spark, "landed")
+        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",))
+        _LANDED[key] = root
+    return root
+
+
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw.read_raw(spark, landed_root(spark, sf_dir), fmt="parquet")
+
+
 def parsed(spark: SparkSession, sf_dir: str, spec: specs.FeedSpec) -> DataFrame:
-    return parse.parse_feed(parse.route_feed(envelope(spark, sf_dir), spec), spec)
+    return parse.parse_feed(parse.route_feed(landed(spark, sf_dir), spec), spec)
 
 
 def place_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +106,7 @@ def raw_envelope(spark, sf_dir):
 
 def raw_partition_roundtrip(spark, sf_dir):
     root = tables.scratch_path(spark, "raw")
-    raw.land(envelope(spark, sf_dir), root)
+    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root)
     return raw.read_raw(spark, root).select(
         "request_id", "feed", "place_name", "http_status", "ok", "fetched_at_utc", "dt", "hour")
 
@@ -101,7 +122,7 @@ def request_manifest(spark, sf_dir):
 
 
 def route_by_feed(spark, sf_dir):
-    env = envelope(spark, sf_dir)
+    env = landed(spark, sf_dir)
     routed = [parse.route_feed(env, f).select("request_id", "feed", F.lit(f.name).alias("routed_feed"))
               for f in (A, B)]
     return routed[0].unionByName(routed[1])
@@ -184,18 +205,16 @@ def incremental_4key(spark, sf_dir):
 
 
 def incremental_stream(spark, sf_dir):
-    root = tables.scratch_path(spark, "raw")
-    raw.land(envelope(spark, sf_dir), root)
     target = tables.scratch_path(spark, "stream-fact")
-    stream_inc.run_available(spark, root, place_dimension(spark, sf_dir),
+    stream_inc.run_available(spark, landed_root(spark, sf_dir), place_dimension(spark, sf_dir),
                              specs.AIR_QUALITY_CURRENT, target,
-                             tables.scratch_path(spark, "stream-ckpt"))
+                             tables.scratch_path(spark, "stream-ckpt"), fmt="parquet")
     return spark.read.parquet(target).drop("fetched_date")
 
 
 # ---------------------------------------------------------------- metrics
 def run_metrics(spark, sf_dir):
-    env = envelope(spark, sf_dir)
+    env = landed(spark, sf_dir)
     dim = place_dimension(spark, sf_dir)
     out = [metrics.feed_metrics(parse.route_feed(env, f), f, dim) for f in (A, B)]
     return out[0].unionByName(out[1])
@@ -209,11 +228,10 @@ def failure_alert(spark, sf_dir):
 def silver_hour(spark, sf_dir):
     """The whole silver job over every landed hour: dimension upsert, three
     facts, incremental appends; returns rows inserted per fact."""
-    root = tables.scratch_path(spark, "raw")
-    raw.land(envelope(spark, sf_dir), root)
     base = tables.scratch_path(spark, "silver")
     stored_dimension(spark, sf_dir).write.parquet(f"{base}/dimension/v0")
-    silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base)
+    silver.run(spark, landed_root(spark, sf_dir), f"{base}/dimension/v0", f"{base}/dimension/v1",
+               base, fmt="parquet")
     return silver.inserted_counts(spark, base)
 
 

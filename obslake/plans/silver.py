@@ -22,9 +22,9 @@ FORECAST_SPECS = (specs.AIR_QUALITY_FORECAST,)
 
 def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: str,
         facts_root: str, dt: str | None = None, hour: str | None = None,
-        fill_null: bool = False) -> dict[str, int]:
+        fill_null: bool = False, fmt: str = "json") -> dict[str, int]:
     """Returns rows inserted per target (dimension and facts)."""
-    env = raw.read_raw(spark, raw_root, dt, hour)
+    env = raw.read_raw(spark, raw_root, dt, hour, fmt=fmt)
     feeds = {f.name: f for f in (specs.AIR_QUALITY, specs.WEATHER)}
     parsed = {name: parse.parse_feed(parse.route_feed(env, f), f)
               .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}

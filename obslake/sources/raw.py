@@ -50,18 +50,22 @@ def with_partition_keys(env: DataFrame, zone: str = "UTC") -> DataFrame:
     return env.withColumns({"dt": dt, "hour": hour})
 
 
-def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json") -> None:
-    """Write envelopes partitioned by (dt, hour), replacing only the
-    partitions present in ``env`` (dynamic overwrite set as a write option,
-    so it does not depend on session conf).  An empty frame replaces nothing.
+def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json",
+         partition_by: tuple[str, ...] = ("dt", "hour")) -> None:
+    """Write envelopes partitioned by ``partition_by`` (default dt, hour),
+    replacing only the partitions present in ``env`` (dynamic overwrite set
+    as a write option, so it does not depend on session conf).  An empty
+    frame replaces nothing.
 
-    Rows are clustered by (dt, hour) first, so each task writes few files.
+    Rows are clustered by the partition columns first, so each task writes
+    few files.  Keys not used as folders (e.g. ``hour`` when partitioning by
+    day only) stay data columns and are still pushed down on read.
     """
     keyed = with_partition_keys(env, zone)
-    (keyed.repartition("dt", "hour")
+    (keyed.repartition(*partition_by)
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt", "hour")
+     .partitionBy(*partition_by)
      .format(fmt)
      .save(root))
 
