@@ -63,11 +63,15 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
     batch = batch.persist()
     bound = lower_bound(batch, bound_col) if bound_col else None
     if tables.exists(spark, target):
-        stored = spark.read.parquet(target)
+        # explicit schema: a run that appended nothing leaves no data file
+        stored = spark.read.schema(with_fetched_date(batch).schema).parquet(target)
         new = unseen(batch, stored, keys, bound_col, bound)
     else:
         new = batch
     new = new.persist()
-    with_fetched_date(new).write.mode("append").partitionBy("fetched_date").parquet(target)
+    # Guarded write: an empty partitioned append would leave a stray
+    # unpartitioned file in the target.
+    if not new.isEmpty():
+        with_fetched_date(new).write.mode("append").partitionBy("fetched_date").parquet(target)
     batch.unpersist()
     return new

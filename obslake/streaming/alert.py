@@ -1,8 +1,9 @@
 """The failure alert on a stream of finished-task events.
 
-Same single aggregation as the batch form (:mod:`obslake.operators.alert`),
-with a watermark on the window start so state is dropped once a window can
-no longer change; append mode emits each raised window once.
+Same single aggregation as the batch form (:mod:`obslake.operators.alert`).
+The window start is turned into an event-time ``timestamp`` and carries the
+watermark, so the aggregation can run in append mode: each raised window is
+emitted once, when the watermark passes its end, and its state is dropped.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ from obslake.operators import alert
 
 def failure_alert_stream(events: DataFrame, ts: str, failed: Column,
                          delay: str = "10 minutes") -> DataFrame:
-    w = alert.failure_windows(events, ts, failed)
-    w = w.withColumn("w", tf.utc_to_instant(F.col("w"))).withWatermark("w", delay)
-    out = alert.alert_from_windows(w.withColumn("w", tf.instant_to_utc(F.col("w"))))
-    return out
+    w = (alert.failure_windows(events, ts, failed)
+         .withColumn("w", tf.utc_to_instant(F.col("w")))
+         .withWatermark("w", delay))
+    out = alert.alert_from_windows(w)
+    return out.withColumns({
+        "window_start": tf.instant_to_utc(F.col("window_start")),
+        "window_end": tf.instant_to_utc(F.col("window_end")),
+    })
