@@ -50,7 +50,7 @@ def landed_root(spark: SparkSession, sf_dir: str) -> str:
     root = _LANDED.get(key)
     if root is None or not tables.exists(spark, root):
         root = tables.scratch_path(spark, "landed")
-        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",))
+        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",), cluster=True)
         _LANDED[key] = root
     return root
 
@@ -106,7 +106,7 @@ def raw_envelope(spark, sf_dir):
 
 def raw_partition_roundtrip(spark, sf_dir):
     root = tables.scratch_path(spark, "raw")
-    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root)
+    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root, cluster=True)
     return raw.read_raw(spark, root).select(
         "request_id", "feed", "place_name", "http_status", "ok", "fetched_at_utc", "dt", "hour")
 

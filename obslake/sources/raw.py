@@ -51,20 +51,28 @@ def with_partition_keys(env: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json",
-         partition_by: tuple[str, ...] = ("dt", "hour")) -> None:
+         partition_by: tuple[str, ...] = ("dt", "hour"), cluster: bool = False,
+         max_records_per_file: int = 5_000_000) -> None:
     """Write envelopes partitioned by ``partition_by`` (default dt, hour),
     replacing only the partitions present in ``env`` (dynamic overwrite set
     as a write option, so it does not depend on session conf).  An empty
     frame replaces nothing.
 
-    Rows are clustered by the partition columns first, so each task writes
-    few files.  Keys not used as folders (e.g. ``hour`` when partitioning by
-    day only) stay data columns and are still pushed down on read.
+    Default: no shuffle (each task sorts its rows by partition and writes one
+    file per partition it holds), so re-landing a fetch never re-runs it and
+    a hot hour is spread over the tasks that fetched it.  ``cluster=True``
+    (backfills of recomputable input) range-partitions on the partition
+    columns plus ``request_id`` first: fewer files, and a hot hour is still
+    split across several tasks instead of landing in one.
     """
     keyed = with_partition_keys(env, zone)
-    (keyed.repartition(*partition_by)
-     .write.mode("overwrite")
+    if cluster:
+        keyed = keyed.repartitionByRange(*partition_by, "request_id")
+    else:
+        keyed = keyed.sortWithinPartitions(*partition_by)
+    (keyed.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by)
      .format(fmt)
      .save(root))
