@@ -54,24 +54,30 @@ def with_fetched_date(df: DataFrame) -> DataFrame:
 
 
 def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequence[str],
-                  bound_col: str | None = "fetched_at") -> DataFrame:
-    """Anti-join ``batch`` against the file target and append what is new.
+                  bound_col: str | None = "fetched_at") -> int:
+    """Anti-join ``batch`` against the file target, append what is new and
+    return the number of rows appended.
 
-    The target is Parquet partitioned by ``fetched_date``.  Returns the rows
-    that were appended (a persisted frame; the caller may count it).
+    The target is Parquet partitioned by ``fetched_date``.  Actions: the
+    bound (one scalar, only when the target exists), one count that also
+    fills the cache, and the write, which reads the cache.
     """
-    batch = batch.persist()
-    bound = lower_bound(batch, bound_col) if bound_col else None
     if tables.exists(spark, target):
+        batch = batch.persist()
+        bound = lower_bound(batch, bound_col) if bound_col else None
         # explicit schema: a run that appended nothing leaves no data file
         stored = spark.read.schema(with_fetched_date(batch).schema).parquet(target)
-        new = unseen(batch, stored, keys, bound_col, bound)
+        new = unseen(batch, stored, keys, bound_col, bound).persist()
     else:
-        new = batch
-    new = new.persist()
-    # Guarded write: an empty partitioned append would leave a stray
-    # unpartitioned file in the target.
-    if not new.isEmpty():
-        with_fetched_date(new).write.mode("append").partitionBy("fetched_date").parquet(target)
-    batch.unpersist()
-    return new
+        batch, new = None, batch.persist()
+    try:
+        n = new.count()
+        # Guarded write: an empty partitioned append would leave a stray
+        # unpartitioned file in the target.
+        if n:
+            with_fetched_date(new).write.mode("append").partitionBy("fetched_date").parquet(target)
+        return n
+    finally:
+        new.unpersist()
+        if batch is not None:
+            batch.unpersist()

@@ -50,7 +50,13 @@ def landed_root(spark: SparkSession, sf_dir: str) -> str:
     root = _LANDED.get(key)
     if root is None or not tables.exists(spark, root):
         root = tables.scratch_path(spark, "landed")
-        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",), cluster=True)
+        events, nation = _tables(spark, sf_dir, "events", "nation")
+        # Range-partition the (cheap) events by time before deriving: the
+        # bounds are sampled from one column, the responses are built in
+        # parallel, and each task lands a contiguous run of days.
+        events = events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts")
+        raw.land(raw.envelope(fixtures.responses(events, nation)), root, fmt="parquet",
+                 partition_by=("dt",))
         _LANDED[key] = root
     return root
 

@@ -50,10 +50,7 @@ def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: st
 
 
 def _load(spark: SparkSession, batch: DataFrame, target: str, keys) -> int:
-    new = incremental.append_unseen(spark, batch, target, keys)
-    n = new.count()  # served from the persisted frame the write produced
-    new.unpersist()
-    return n
+    return incremental.append_unseen(spark, batch, target, keys)
 
 
 def inserted_counts(spark: SparkSession, facts_root: str) -> DataFrame:

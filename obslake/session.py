@@ -12,6 +12,10 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   zone: str = "UTC") -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="obslake-run-")
+    # Local Python workers inherit the environment, not sys.path.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(
+        p for p in (root, os.environ.get("PYTHONPATH", "")) if p)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("obslake")

@@ -28,7 +28,7 @@ def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         parsed = parse.parse_feed(parse.route_feed(batch, spec.feed), spec.feed)
         fact = facts.current_fact(parsed, dimension, spec)
-        incremental.append_unseen(spark, fact, target, spec.keys).unpersist()
+        incremental.append_unseen(spark, fact, target, spec.keys)
 
     q = (raw_stream(spark, raw_root, fmt).writeStream
          .foreachBatch(per_batch)

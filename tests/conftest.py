@@ -6,7 +6,12 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TESTS = os.path.dirname(os.path.abspath(__file__))
+ROOT = os.path.dirname(TESTS)
+sys.path.insert(0, ROOT)
+# Python workers inherit the environment, not sys.path.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    p for p in (ROOT, TESTS, os.environ.get("PYTHONPATH", "")) if p)
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
