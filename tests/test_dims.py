@@ -71,7 +71,6 @@ def test_lookup_keeps_countries_apart(spark):
 
 def test_broadcast_only_when_small(spark):
     small = spark.range(10)
-    assert "broadcast" in lookup.broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString().lower() \
-        or lookup.broadcast_if_small(small, 100) is not small
+    assert lookup.broadcast_if_small(small, 100) is not small      # hinted copy
     big = spark.range(1000)
-    assert lookup.broadcast_if_small(big, 100) is big
+    assert lookup.broadcast_if_small(big, 100) is big             # left to the planner

@@ -62,3 +62,20 @@ def test_alert_on_stream(spark, scratch):
     # append mode holds back the windows the watermark has not passed yet
     assert 0 < streamed.count() <= batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_watermark_dedupe_on_stream(spark, scratch):
+    from obslake.plans import catalog as cat
+    from obslake.operators import parse as p
+    from obslake import specs as sp
+    root = cat.landed_root(spark, SF_SMALL)
+    stream = stream_inc.raw_stream(spark, root, fmt="parquet")
+    parsed = p.parse_feed(p.route_feed(stream, sp.AIR_QUALITY), sp.AIR_QUALITY) \
+        .select("place_key", "fetched_at", "request_id")
+    out = stream_inc.watermark_dedupe(parsed, ["place_key", "fetched_at"], "1 hour")
+    q = (out.writeStream.format("memory").queryName("wm_dedupe")
+         .option("checkpointLocation", scratch("wm-ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("wm_dedupe")
+    assert got.count() == got.select("place_key", "fetched_at").distinct().count() > 0
