@@ -1,4 +1,17 @@
-"""Envelope -> parsed, validated, time-stamped feed rows (narrow: no shuffle)."""
+"""Envelope -> parsed, validated, time-stamped feed rows (narrow: no shuffle).
+
+Two steps, so a job can persist the parsed payloads in between:
+
+* :func:`parse_payload` keeps successful responses and parses the body
+  (projection only);
+* :func:`validate` applies the feed's validity predicate, the name check and
+  the event-time rule.
+
+Composed lazily (:func:`parse_feed`), Catalyst pushes the validity filter
+below the projection and evaluates a pruned ``from_json`` (status only) there
+as well.  The silver job persists the output of :func:`parse_payload`
+instead, so every payload is tokenized exactly once per job.
+"""
 
 from __future__ import annotations
 
@@ -22,42 +35,42 @@ def rank_of(request_id: Column, payload: Column) -> Column:
     return F.struct(request_id.alias("request_id"), F.xxhash64(payload).alias("payload_hash"))
 
 
-def parse_feed(envelope: DataFrame, spec: FeedSpec, country: str | None = None) -> DataFrame:
-    """Keep successful responses of ``spec``'s feed and parse their payloads.
-
-    * ``ok`` must be true (null is dropped);
-    * payload parsed PERMISSIVE with the feed's explicit schema: a bad field
-      becomes null, its siblings survive; a non-JSON body is an all-null
-      struct that the validity predicate drops;
-    * display name ``initcap(trim(place))`` must be non-null;
-    * ``fetched_at`` from the envelope's ISO stamp, ``measured_at`` from the
-      spec's event-time rule; both UTC wall clocks.
+def parse_payload(envelope: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Successful responses (``ok`` true; null is dropped) with the payload
+    parsed PERMISSIVE against the feed's explicit schema: a bad field becomes
+    null and its siblings survive; a non-JSON body is an all-null struct.
+    The raw text is replaced by its hash, so a persisted result stays small.
     """
-    p = F.col(PAYLOAD)
-    fetched_at = tf.parse_instant(F.col("fetched_at_utc"))
-    rows = (
-        envelope
-        .where(F.col("ok"))
-        .select(
-            "request_id", "payload",
-            names.display_name(F.col("place_name")).alias("place_name"),
-            fetched_at.alias("fetched_at"),
-            F.from_json(F.col("payload"), spec.payload_schema).alias(PAYLOAD),
-        )
-        .where(spec.valid(p) & F.col("place_name").isNotNull())
+    return envelope.where(F.col("ok")).select(
+        "request_id",
+        names.display_name(F.col("place_name")).alias("place_name"),
+        tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
+        rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
+        F.from_json(F.col("payload"), spec.payload_schema).alias(PAYLOAD),
     )
-    return rows.select(
+
+
+def validate(parsed: DataFrame, spec: FeedSpec, country: str | None = None) -> DataFrame:
+    """Valid payloads with a display name; adds the lookup key, the feed's
+    country and ``measured_at`` (UTC wall clock, spec's event-time rule)."""
+    p = F.col(PAYLOAD)
+    return parsed.where(spec.valid(p) & F.col("place_name").isNotNull()).select(
         "request_id",
         "place_name",
         names.lookup_key(F.col("place_name")).alias("place_key"),
         F.lit(country or spec.country).alias("country"),
         "fetched_at",
         spec.event_time(p, F.col("fetched_at")).alias("measured_at"),
-        rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
+        "rank",
         PAYLOAD,
     )
 
 
+def parse_feed(envelope: DataFrame, spec: FeedSpec, country: str | None = None) -> DataFrame:
+    """:func:`parse_payload` then :func:`validate`, lazily."""
+    return validate(parse_payload(envelope, spec), spec, country)
+
+
 def route_feed(envelope: DataFrame, spec: FeedSpec) -> DataFrame:
     """Rows of one feed out of a mixed envelope, by the URL host marker."""
     return envelope.where(F.col("url").contains(spec.url_marker))

@@ -26,8 +26,10 @@ def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: st
     """Returns rows inserted per target (dimension and facts)."""
     env = raw.read_raw(spark, raw_root, dt, hour, fmt=fmt)
     feeds = {f.name: f for f in (specs.AIR_QUALITY, specs.WEATHER)}
-    parsed = {name: parse.parse_feed(parse.route_feed(env, f), f)
+    # Parse each feed once: persist the parsed payloads, validate on top.
+    cached = {name: parse.parse_payload(parse.route_feed(env, f), f)
               .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}
+    parsed = {name: parse.validate(cached[name], f) for name, f in feeds.items()}
     try:
         cands = dims.place_candidates([(parsed[n], f) for n, f in feeds.items()])
         stored = spark.read.parquet(dimension_in)
@@ -45,7 +47,7 @@ def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: st
             inserted[spec.name] = _load(spark, batch, f"{facts_root}/{spec.name}", spec.keys)
         return inserted
     finally:
-        for df in parsed.values():
+        for df in cached.values():
             df.unpersist()
 
 

@@ -42,3 +42,19 @@ def test_candidates_pre_aggregate_before_shuffle(spark):
     # only shuffle; the full outer join then moves one row per place
     assert plan.count("partial_min_by") == 2
     assert "FullOuter" in plan
+
+
+def test_silver_parses_each_payload_once(spark):
+    from pyspark import StorageLevel
+    from obslake import specs
+    from obslake.operators import parse
+    env = catalog.landed(spark, SF_SMALL)
+    cached = parse.parse_payload(parse.route_feed(env, specs.AIR_QUALITY), specs.AIR_QUALITY) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        valid = parse.validate(cached, specs.AIR_QUALITY)
+        valid.count()
+        plan = _plan(valid)
+        assert "InMemoryTableScan" in plan and plan.count("from_json") == 1
+    finally:
+        cached.unpersist()
