@@ -8,6 +8,8 @@ step is idempotent: a rerun over the same hours appends nothing.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +22,31 @@ FACT_SPECS = (specs.AIR_QUALITY_CURRENT, specs.WEATHER_CURRENT)
 FORECAST_SPECS = (specs.AIR_QUALITY_FORECAST,)
 
 
-def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: str,
-        facts_root: str, dt: str | None = None, hour: str | None = None,
-        fill_null: bool = False, fmt: str = "json") -> dict[str, int]:
-    """Returns rows inserted per target (dimension and facts)."""
-    env = raw.read_raw(spark, raw_root, dt, hour, fmt=fmt)
-    feeds = {f.name: f for f in (specs.AIR_QUALITY, specs.WEATHER)}
+def feed_envelopes(spark: SparkSession, raw_root: str | Mapping[str, str], feeds,
+                   dt: str | None = None, hour: str | None = None, fmt: str = "json",
+                   legacy: bool = False) -> dict[str, DataFrame]:
+    """Envelope rows per feed, from one root or one root per feed, in our
+    layout or the older one (``legacy``)."""
+    def read(root: str) -> DataFrame:
+        if legacy:
+            return raw.read_legacy(spark, root, feeds, dt, hour, fmt=fmt)
+        return raw.read_raw(spark, root, dt, hour, fmt=fmt)
+    if isinstance(raw_root, str):
+        env = read(raw_root)
+        return {f.name: parse.route_feed(env, f) for f in feeds}
+    return {f.name: parse.route_feed(read(raw_root[f.name]), f) for f in feeds}
+
+
+def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: str,
+        dimension_out: str, facts_root: str, dt: str | None = None, hour: str | None = None,
+        fill_null: bool = False, fmt: str = "json", legacy: bool = False) -> dict[str, int]:
+    """Returns rows inserted per target (dimension and facts) and raw rows
+    read per feed (``raw_rows.<feed>``)."""
+    feed_list = (specs.AIR_QUALITY, specs.WEATHER)
+    feeds = {f.name: f for f in feed_list}
+    envs = feed_envelopes(spark, raw_root, feed_list, dt, hour, fmt, legacy)
     # Parse each feed once: persist the parsed payloads, validate on top.
-    cached = {name: parse.parse_payload(parse.route_feed(env, f), f)
+    cached = {name: parse.parse_payload(envs[name], f)
               .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}
     parsed = {name: parse.validate(cached[name], f) for name, f in feeds.items()}
     try:
@@ -38,6 +57,8 @@ def run(spark: SparkSession, raw_root: str, dimension_in: str, dimension_out: st
         merge(stored, cands).write.mode("errorifexists").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
         inserted = {"dimension": dimension.count() - stored.count()}
+        for name, env in envs.items():  # cheap: no payload is read
+            inserted[f"raw_rows.{name}"] = env.select("ok").count()
 
         for spec in FACT_SPECS:
             batch = facts.current_fact(parsed[spec.feed.name], dimension, spec)

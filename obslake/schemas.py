@@ -22,6 +22,18 @@ payload STRING
 """
 PARTITION_DDL = "dt DATE, hour STRING"
 
+# The older landed-response layout (one root per feed, place
+# column ``city_name``, no ids).  ``http_status`` is read as BIGINT, the
+# type a JSON round trip gives it; the fetch stamp is ISO with an offset.
+LEGACY_ENVELOPE_DDL = """
+city_name STRING,
+url STRING,
+http_status BIGINT,
+ok BOOLEAN,
+fetched_at_utc STRING,
+payload STRING
+"""
+
 # Payload contract of the air-quality feed (feed A).
 AIR_QUALITY_DDL = """
 status STRING,
@@ -79,6 +91,7 @@ def ddl(text: str) -> str:
 
 ENVELOPE = ddl(ENVELOPE_DDL)
 RAW_TABLE = ddl(ENVELOPE_DDL + "," + PARTITION_DDL)
+LEGACY_RAW_TABLE = ddl(LEGACY_ENVELOPE_DDL + "," + PARTITION_DDL)
 AIR_QUALITY = ddl(AIR_QUALITY_DDL)
 WEATHER = ddl(WEATHER_DDL)
 DIMENSION = ddl(DIMENSION_DDL)

@@ -89,3 +89,42 @@ def read_raw(spark: SparkSession, root: str, dt: str | None = None, hour: str |
     if hour is not None:
         df = df.where(F.col("hour") == F.lit(hour))
     return df
+
+
+def from_legacy(df: DataFrame, feeds) -> DataFrame:
+    """Older-layout rows -> envelope rows (same columns as :func:`envelope`).
+
+    No request ids exist there, so the dedupe order falls back to the payload
+    hash (still deterministic); the feed comes from the URL host.
+    """
+    feed = F.lit(None).cast("string")
+    for f in feeds:
+        feed = F.when(F.col("url").contains(f.url_marker), F.lit(f.name)).otherwise(feed)
+    status = F.col("http_status").cast("int")
+    ok = F.coalesce(F.col("ok"), F.lit(False))
+    extra = [c for c in ("dt", "hour") if c in df.columns]
+    return df.select(
+        F.lit(None).cast("long").alias("request_id"),
+        feed.alias("feed"),
+        F.col("city_name").alias("place_name"),
+        redact_secrets(F.col("url")).alias("url"),
+        status.alias("http_status"),
+        ok.alias("ok"),
+        F.when(ok, F.lit(None).cast("string"))
+         .when(status == 0, F.col("payload"))
+         .otherwise(F.concat(F.lit("HTTP_"), status.cast("string"))).alias("error"),
+        "fetched_at_utc",
+        "payload",
+        *extra,
+    )
+
+
+def read_legacy(spark: SparkSession, root: str, feeds, dt: str | None = None,
+                hour: str | None = None, fmt: str = "json") -> DataFrame:
+    """Read raw landed in the older layout (explicit schema, pruned)."""
+    df = spark.read.schema(schemas.LEGACY_RAW_TABLE).format(fmt).load(root)
+    if dt is not None:
+        df = df.where(F.col("dt") == F.lit(dt).cast("date"))
+    if hour is not None:
+        df = df.where(F.col("hour") == F.lit(hour))
+    return from_legacy(df, feeds)

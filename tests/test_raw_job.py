@@ -49,7 +49,7 @@ def test_raw_then_silver(spark, scratch):
     out = silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base,
                      dt="2024-06-01", hour="09")
     assert out == {"dimension": 2, "air_quality_current": 2, "weather_current": 2,
-                   "air_quality_forecast": 2}
+                   "air_quality_forecast": 2, "raw_rows.air_quality": 4, "raw_rows.weather": 4}
     dim = {r.name: r for r in spark.read.parquet(f"{base}/dimension/v1").collect()}
     assert set(dim) == {"Le Havre", "Lyon"}
     assert dim["Lyon"].air_name == "Lyon station" and dim["Lyon"].latitude == 45.0
@@ -61,7 +61,7 @@ def test_raw_then_silver(spark, scratch):
     assert raw.read_raw(spark, root).count() == 8
     again = silver.run(spark, root, f"{base}/dimension/v1", f"{base}/dimension/v2", base,
                        dt="2024-06-01", hour="09")
-    assert set(again.values()) == {0}
+    assert {v for k, v in again.items() if not k.startswith("raw_rows")} == {0}
 
 
 def test_jdbc_options():
@@ -75,3 +75,53 @@ def test_jdbc_options():
     import pytest
     with pytest.raises(ValueError):
         jdbc.reader_options("u", "t", {}, partition_column="id")
+
+
+def test_per_feed_roots_and_legacy_layout(spark, scratch):
+    from obslake import specs
+    from obslake.plans import silver as silver_job
+    places = spark.createDataFrame([("Lyon",), ("Le Havre",)], "place_name string")
+    roots = {"air_quality": scratch("raw-aq"), "weather": scratch("raw-wx")}
+    raw_hour.run(spark, places, {"air_quality": "T", "weather": "T"}, roots,
+                 fake_fetch, "2024-06-01T09:00:00.000Z")
+    assert {r.feed for r in raw.read_raw(spark, roots["weather"]).collect()} == {"weather"}
+    envs = silver_job.feed_envelopes(spark, roots, (specs.AIR_QUALITY, specs.WEATHER))
+    assert envs["air_quality"].count() == 2 and envs["weather"].count() == 2
+
+    # the older layout: city_name, bigint status, offset stamps, no ids
+    legacy_root = scratch("legacy")
+    lines = [json.dumps({"city_name": "Lyon", "url": "https://api.waqi.info/feed/Lyon/?token=abc",
+                         "http_status": 200, "ok": True,
+                         "fetched_at_utc": "2024-06-01T11:00:00.000+02:00",
+                         "payload": fake_fetch("https://api.waqi.info/feed/Lyon/?token=abc")[1]}),
+             json.dumps({"city_name": "Lyon", "url": "https://api.openweathermap.org/x?q=Lyon%2Cfr&appid=k",
+                         "http_status": 500, "ok": False,
+                         "fetched_at_utc": "2024-06-01T11:00:00.000+02:00", "payload": ""})]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+        .write.text(f"{legacy_root}/dt=2024-06-01/hour=11")
+    envs = silver_job.feed_envelopes(spark, legacy_root, (specs.AIR_QUALITY, specs.WEATHER),
+                                     dt="2024-06-01", hour="11", legacy=True)
+    (a,) = envs["air_quality"].collect()
+    assert a.place_name == "Lyon" and "abc" not in a.url and a.ok
+    (w,) = envs["weather"].collect()
+    assert w.error == "HTTP_500"
+    from obslake.operators import parse
+    (p,) = parse.parse_feed(envs["air_quality"], specs.AIR_QUALITY).collect()
+    assert str(p.fetched_at) == "2024-06-01 09:00:00"
+
+
+def test_run_log_feeds_the_alert(spark, scratch):
+    from obslake.plans import runlog
+    import datetime as dt
+    import pytest
+    path = scratch("runlog")
+    runlog.logged(spark, path, "silver", lambda: 1)
+    with pytest.raises(ZeroDivisionError):
+        runlog.logged(spark, path, "silver", lambda: 1 / 0)
+    t = dt.datetime(2024, 1, 1, 10, 0)
+    runlog.record(spark, path, "raw", "failed", t, t + dt.timedelta(seconds=30))
+    runlog.record(spark, path, "raw", "failed", t, t + dt.timedelta(minutes=2))
+    events = runlog.read(spark, path)
+    assert events.groupBy("status").count().collect() and events.count() == 4
+    fired = runlog.task_failure_alert(spark, path, "raw").where("firing").collect()
+    assert fired and all(r.window_start >= dt.datetime(2024, 1, 1, 9, 56) for r in fired)
