@@ -53,8 +53,11 @@ def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: st
         cands = dims.place_candidates([(parsed[n], f) for n, f in feeds.items()])
         stored = spark.read.parquet(dimension_in)
         merge = dims.fill_null_details if fill_null else dims.upsert_places
-        # A new version: never overwrite the path being read.
-        merge(stored, cands).write.mode("errorifexists").parquet(dimension_out)
+        # A new version, never the path being read.  Ids are a function of
+        # the inputs, so a retried run rewrites the same version.
+        if dimension_out.rstrip("/") == dimension_in.rstrip("/"):
+            raise ValueError("dimension_out must differ from dimension_in")
+        merge(stored, cands).write.mode("overwrite").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
         inserted = {"dimension": dimension.count() - stored.count()}
         for name, env in envs.items():  # cheap: no payload is read

@@ -85,3 +85,37 @@ def test_empty_folder_with_schema_reads_zero_rows(spark, scratch):
     path = scratch("empty")
     tables.mkdirs(spark, path)
     assert spark.read.schema(schemas.RAW_TABLE).json(path).count() == 0
+
+
+def test_silver_retry_after_partial_run(spark, scratch):
+    """A run that died after the dimension write (and one fact) is simply
+    run again: same dimension version, nothing appended twice."""
+    root = catalog.landed_root(spark, SF_SMALL)
+    base = scratch("silver")
+    catalog.stored_dimension(spark, SF_SMALL).write.parquet(f"{base}/dimension/v0")
+    dims_in, dims_out = f"{base}/dimension/v0", f"{base}/dimension/v1"
+    full = silver.run(spark, root, dims_in, dims_out, scratch("other"), fmt="parquet")
+    # simulate the partial run: dimension v1 written, only one fact loaded
+    silver.run(spark, root, dims_in, dims_out, base, fmt="parquet")
+    spark.read.parquet(f"{base}/air_quality_current").count()
+    retry = silver.run(spark, root, dims_in, dims_out, base, fmt="parquet")
+    assert retry["air_quality_current"] == 0 and retry["dimension"] == full["dimension"]
+    assert spark.read.parquet(f"{base}/air_quality_current").count() == full["air_quality_current"]
+
+
+def test_metrics_count_unknown_places(spark):
+    from obslake import specs
+    from obslake.operators import metrics
+    from helpers import air, envelope_df
+    env = envelope_df(spark, [
+        {"place_name": "Paris", "payload": air('{"aqi":1}')},
+        {"place_name": "Atlantis", "payload": air('{"aqi":1}')},
+        {"place_name": None, "payload": air('{"aqi":1}')},
+        {"place_name": "Paris", "payload": air('{"aqi":1}', status="error")},
+        {"place_name": "Paris", "payload": "", "ok": False, "http_status": 500},
+    ])
+    dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None)],
+                                "place_id long, name string, country string, latitude double, "
+                                "longitude double, air_name string, weather_name string")
+    (r,) = metrics.feed_metrics(env, specs.AIR_QUALITY, dim).collect()
+    assert (r.raw_rows, r.ok_rows, r.valid_rows, r.named_rows, r.matched_rows) == (5, 4, 3, 2, 1)
