@@ -19,6 +19,7 @@ from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 from obslake.operators import alert, dedupe, dims, facts, incremental, metrics, parse
+from obslake.operators.lookup import attach_place
 from obslake.plans import silver
 from obslake.sources import fetch, fixtures, raw, tables
 from obslake.streaming import incremental as stream_inc
@@ -33,10 +34,18 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [fixtures.load(spark, sf_dir, n) for n in names]
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` range-partitioned by time: the bounds are sampled from one
+    cheap column, the (expensive) derived responses are then built in
+    parallel, and each task holds a contiguous run of hours."""
+    (events,) = _tables(spark, sf_dir, "events")
+    return events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts")
+
+
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived responses as envelopes (built in the plan, not landed)."""
-    events, nation = _tables(spark, sf_dir, "events", "nation")
-    return raw.envelope(fixtures.responses(events, nation))
+    (nation,) = _tables(spark, sf_dir, "nation")
+    return raw.envelope(fixtures.responses(_events(spark, sf_dir), nation))
 
 
 _LANDED: dict[tuple[str, str], str] = {}
@@ -50,13 +59,7 @@ def landed_root(spark: SparkSession, sf_dir: str) -> str:
     root = _LANDED.get(key)
     if root is None or not tables.exists(spark, root):
         root = tables.scratch_path(spark, "landed")
-        events, nation = _tables(spark, sf_dir, "events", "nation")
-        # Range-partition the (cheap) events by time before deriving: the
-        # bounds are sampled from one column, the responses are built in
-        # parallel, and each task lands a contiguous run of days.
-        events = events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts")
-        raw.land(raw.envelope(fixtures.responses(events, nation)), root, fmt="parquet",
-                 partition_by=("dt",))
+        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",))
         _LANDED[key] = root
     return root
 
@@ -161,7 +164,6 @@ def dim_fill_null(spark, sf_dir):
 
 
 def dim_lookup(spark, sf_dir):
-    from obslake.operators.lookup import attach_place
     rows = parsed(spark, sf_dir, A).select("request_id", "place_name", "place_key", "country",
                                            "fetched_at", "measured_at")
     return attach_place(rows, place_dimension(spark, sf_dir))

@@ -9,9 +9,6 @@ from obslake import schemas
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 
-ENVELOPE_COLUMNS = [c.strip().split(" ")[0] for c in schemas.ENVELOPE.split(",")]
-
-
 def envelope(responses: DataFrame) -> DataFrame:
     """Responses -> envelope rows.
 

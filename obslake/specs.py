@@ -7,7 +7,7 @@ A new feed is a new :class:`FeedSpec`; no operator changes.  Field maps are
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
