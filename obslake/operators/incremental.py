@@ -81,3 +81,22 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
         new.unpersist()
         if batch is not None:
             batch.unpersist()
+
+
+def compact_day(spark: SparkSession, target: str, day: _dt.date, files: int = 1) -> int:
+    """Rewrite one ``fetched_date`` partition of a fact target as ``files``
+    files; returns its row count.
+
+    The day is checkpointed first (reliable, in the shared folder): that
+    materializes it once and cuts the plan's link to the target path, so
+    the dynamic overwrite of that single partition never reads what it is
+    replacing.  Other days are untouched.
+    """
+    tables.shared_dir(spark)
+    part = spark.read.parquet(target).where(F.col("fetched_date") == F.lit(day))
+    data = part.repartition(files).checkpoint(eager=True)
+    n = data.count()
+    if n:
+        (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("fetched_date").parquet(target))
+    return n

@@ -119,3 +119,20 @@ def test_metrics_count_unknown_places(spark):
                                 "longitude double, air_name string, weather_name string")
     (r,) = metrics.feed_metrics(env, specs.AIR_QUALITY, dim).collect()
     assert (r.raw_rows, r.ok_rows, r.valid_rows, r.named_rows, r.matched_rows) == (5, 4, 3, 2, 1)
+
+
+def test_compact_day_keeps_rows(spark, scratch):
+    import glob
+    target = scratch("fact")
+    for h in range(4):  # four hourly appends of the same day
+        batch = spark.createDataFrame([(i, dt.datetime(2024, 1, 2, h)) for i in range(5)],
+                                      "place_id long, fetched_at timestamp_ntz").repartition(3)
+        incremental.append_unseen(spark, batch, target, ["place_id", "fetched_at"])
+    other = spark.createDataFrame([(1, dt.datetime(2024, 1, 3, 0))], "place_id long, fetched_at timestamp_ntz")
+    incremental.append_unseen(spark, other, target, ["place_id", "fetched_at"])
+    day_dir = target.replace("file:", "") + "/fetched_date=2024-01-02"
+    assert len(glob.glob(day_dir + "/*.parquet")) > 1
+    assert incremental.compact_day(spark, target, dt.date(2024, 1, 2)) == 20
+    assert len(glob.glob(day_dir + "/*.parquet")) == 1
+    stored = spark.read.parquet(target)
+    assert stored.count() == 21 and stored.distinct().count() == 21
