@@ -53,6 +53,18 @@ def with_fetched_date(df: DataFrame) -> DataFrame:
     return df.withColumn("fetched_date", F.to_date("fetched_at"))
 
 
+def write_facts(df: DataFrame, target: str) -> None:
+    """Append fact rows to ``target``, partitioned by ``fetched_date``.
+
+    A rebalance on the date first: rows of one day meet in the same tasks,
+    so a day is written as a few files of about the advisory size instead of
+    one small file per shuffle partition, and AQE splits a day that holds a
+    large share of the rows over several tasks.
+    """
+    (with_fetched_date(df).hint("rebalance", "fetched_date")
+     .write.mode("append").partitionBy("fetched_date").parquet(target))
+
+
 def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequence[str],
                   bound_col: str | None = "fetched_at") -> int:
     """Anti-join ``batch`` against the file target, append what is new and
@@ -75,7 +87,7 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
         # Guarded write: an empty partitioned append would leave a stray
         # unpartitioned file in the target.
         if n:
-            with_fetched_date(new).write.mode("append").partitionBy("fetched_date").parquet(target)
+            write_facts(new, target)
         return n
     finally:
         new.unpersist()

@@ -198,8 +198,7 @@ def _stored_then_unseen(spark, batch: DataFrame, keys) -> DataFrame:
     incremental load of the whole batch would insert."""
     target = tables.scratch_path(spark, "fact")
     until = F.lit(STORED_UNTIL).cast("timestamp_ntz")
-    incremental.with_fetched_date(batch.where(F.col("fetched_at") < until)) \
-        .write.mode("append").partitionBy("fetched_date").parquet(target)
+    incremental.write_facts(batch.where(F.col("fetched_at") < until), target)
     stored = spark.read.parquet(target)
     return incremental.unseen(batch, stored, keys)
 

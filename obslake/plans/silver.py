@@ -57,7 +57,8 @@ def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: st
         # the inputs, so a retried run rewrites the same version.
         if dimension_out.rstrip("/") == dimension_in.rstrip("/"):
             raise ValueError("dimension_out must differ from dimension_in")
-        merge(stored, cands).write.mode("overwrite").parquet(dimension_out)
+        # rebalance: AQE packs the (small) dimension into a few files
+        merge(stored, cands).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
         inserted = {"dimension": dimension.count() - stored.count()}
         for name, env in envs.items():  # cheap: no payload is read

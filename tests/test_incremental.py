@@ -37,6 +37,22 @@ def test_bounded_key_read_is_pushed_down(spark, scratch):
     assert keys.count() == 2
 
 
+def test_fact_append_writes_few_files_per_day(spark, scratch):
+    """The append rebalances on the day: rows of a day spread over many
+    input partitions land as one file, not one file per partition."""
+    import glob
+
+    target = scratch("facts")
+    df = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1 + i % 4, i % 24)) for i in range(400)],
+        "place_id long, fetched_at timestamp_ntz").repartition(8)
+    incremental.write_facts(df, target)
+    local = target.removeprefix("file:")
+    per_day = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{local}/fetched_date=*")]
+    assert len(per_day) == 4 and max(per_day) == 1, per_day
+    assert spark.read.parquet(target).count() == 400
+
+
 def test_silver_job_is_idempotent(spark, scratch):
     root = catalog.landed_root(spark, SF_SMALL)
     base = scratch("silver")
