@@ -20,7 +20,7 @@ from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 from obslake.operators import alert, dedupe, dims, facts, incremental, metrics, parse
 from obslake.operators.lookup import attach_place
-from obslake.plans import silver
+from obslake.plans import raw_hour, silver
 from obslake.sources import fetch, fixtures, raw, tables
 from obslake.streaming import incremental as stream_inc
 
@@ -120,16 +120,39 @@ def raw_partition_roundtrip(spark, sf_dir):
         "request_id", "feed", "place_name", "http_status", "ok", "fetched_at_utc", "dt", "hour")
 
 
-def request_manifest(spark, sf_dir):
+def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places to fetch: every customer, with its nation as the country."""
     customer, nation = _tables(spark, sf_dir, "customer", "nation")
-    places = customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
-                           customer.c_nationkey == nation.n_nationkey) \
-                     .select(F.col("c_name").alias("place_name"), F.col("n_name").alias("country"))
-    m = fetch.manifest(places, [A, B], {A.name: fixtures.FAKE_TOKEN, B.name: fixtures.FAKE_TOKEN},
-                       country_col="country")
+    return customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
+                         customer.c_nationkey == nation.n_nationkey) \
+                   .select(F.col("c_name").alias("place_name"), F.col("n_name").alias("country"))
+
+
+TOKENS = {A.name: fixtures.FAKE_TOKEN, B.name: fixtures.FAKE_TOKEN}
+# Fixed value: the fetch stamp of the registered raw-ingest run, as the
+# scheduler renders it (ISO with an offset); it lands in the UTC hour
+# dt=2024-01-31 / hour=09.
+RUN_STAMP = "2024-01-31T10:00:12.345+01:00"
+
+
+def request_manifest(spark, sf_dir):
+    m = fetch.manifest(_customer_places(spark, sf_dir), [A, B], TOKENS, country_col="country")
     return m.select("place_name", "feed", redact_secrets(F.col("url")).alias("url"))
 
 
+def raw_ingest_hour(spark, sf_dir):
+    """The raw job for one run: manifest -> fetch on the executors (the
+    injected stand-in client) -> envelope -> JSON hour partition, read back
+    partition-pruned."""
+    root = tables.scratch_path(spark, "raw-hour")
+    raw_hour.run(spark, _customer_places(spark, sf_dir), TOKENS, root, fixtures.stand_in_fetch,
+                 RUN_STAMP, parallelism=spark.sparkContext.defaultParallelism,
+                 country_col="country")
+    return raw.read_raw(spark, root, dt="2024-01-31", hour="09").select(
+        "feed", "place_name", "url", "http_status", "ok", "error", "fetched_at_utc", "payload",
+        "dt", "hour")
+
+
 def route_by_feed(spark, sf_dir):
     env = landed(spark, sf_dir)
     routed = [parse.route_feed(env, f).select("request_id", "feed", F.lit(f.name).alias("routed_feed"))
@@ -248,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_envelope": raw_envelope,
     "raw_partition_roundtrip": raw_partition_roundtrip,
     "request_manifest": request_manifest,
+    "raw_ingest_hour": raw_ingest_hour,
     "route_by_feed": route_by_feed,
     "dim_candidates": dim_candidates,
     "dim_new_rows": dim_new_rows,

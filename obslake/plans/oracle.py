@@ -193,6 +193,33 @@ SELECT c.c_name AS place_name, f.feed,
             || '&appid=***&units=metric&lang=fr' END AS url
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
      (VALUES ('air_quality'), ('weather')) f(feed)""",
+    "raw_ingest_hour": """
+WITH m AS (
+  SELECT c.c_name AS place_name, f.feed, CAST(substr(c.c_name, 10) AS INTEGER) AS n,
+    CASE WHEN f.feed = 'air_quality'
+         THEN 'https://api.waqi.info/feed/' || replace(url_encode(c.c_name), '%2F', '/')
+              || '/?token=***'
+         ELSE 'https://api.openweathermap.org/data/2.5/weather?q='
+              || replace(url_encode(c.c_name || ',' || lower(n.n_name)), '%2F', '/')
+              || '&appid=***&units=metric&lang=fr' END AS url
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
+       (VALUES ('air_quality'), ('weather')) f(feed)
+),
+s AS (
+  SELECT *, CASE WHEN n % 17 = 0 THEN 0 WHEN n % 11 = 0 THEN 500
+                 WHEN feed = 'weather' AND n % 5 = 0 THEN 404 ELSE 200 END AS http_status
+  FROM m
+)
+SELECT feed, place_name, url, http_status, http_status = 200 AS ok,
+  CASE WHEN http_status = 200 THEN NULL WHEN http_status = 0 THEN 'ERROR: timeout'
+       ELSE 'HTTP_' || http_status END AS error,
+  '2024-01-31T09:00:12.345Z' AS fetched_at_utc,
+  CASE WHEN http_status = 0 THEN 'ERROR: timeout' WHEN http_status = 500 THEN ''
+       WHEN http_status = 404 THEN '{"cod":"404","message":"city not found"}'
+       WHEN feed = 'air_quality' THEN '{"status":"ok","data":{"aqi":' || (n % 300) || '}}'
+       ELSE '{"cod":200,"id":' || n || '}' END AS payload,
+  DATE '2024-01-31' AS dt, '09' AS hour
+FROM s""",
     "route_by_feed": BASE + "SELECT event_id AS request_id, feed, feed AS routed_feed FROM r",
     "partition_keys": """
 SELECT event_id AS request_id, CAST(ts AS DATE) AS dt_utc, strftime(ts, '%H') AS hour_utc,

@@ -37,6 +37,8 @@ read as UTC:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,29 @@ from obslake.operators.lookup import broadcast_if_small
 
 FAKE_TOKEN = "s3cr3t"
 
+# Answers of the stand-in HTTP client, a function of the
+# customer number n in the requested URL (``Customer%23<n>``):
+# network error ``timeout`` when n % 17 = 0; status 500 with an empty body
+# when n % 11 = 0; weather answers 404 with CITY_NOT_FOUND when n % 5 = 0;
+# otherwise 200 with AIR_OK (aqi = n % 300) or WEATHER_OK (id = n).
+CITY_NOT_FOUND = '{"cod":"404","message":"city not found"}'
+AIR_OK = '{{"status":"ok","data":{{"aqi":{aqi}}}}}'
+WEATHER_OK = '{{"cod":200,"id":{id}}}'
+_CUSTOMER_IN_URL = re.compile(r"Customer%23(\d+)")
+
+
+def stand_in_fetch(url: str) -> tuple[int, str]:
+    """Stand-in for the HTTP client of the raw job (see the fixed values
+    above); raises like a client whose request timed out."""
+    n = int(_CUSTOMER_IN_URL.search(url).group(1))
+    if n % 17 == 0:
+        raise TimeoutError("timeout")
+    if n % 11 == 0:
+        return 500, ""
+    if specs.WEATHER.url_marker in url:
+        return (404, CITY_NOT_FOUND) if n % 5 == 0 else (200, WEATHER_OK.format(id=n))
+    return 200, AIR_OK.format(aqi=n % 300)
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
