@@ -19,8 +19,10 @@ from obslake.specs import FeedSpec
 def feed_metrics(envelope: DataFrame, spec: FeedSpec, dimension: DataFrame) -> DataFrame:
     p = F.from_json(F.col("payload"), spec.payload_schema)
     name = names.display_name(F.col("place_name"))
-    lk = broadcast_if_small(lookup_table(dimension).select("place_key", "country",
-                                                           F.lit(True).alias("_known")))
+    # distinct: two names with one lookup key (``Straße`` / ``Strasse``) must
+    # not duplicate the rows being counted
+    lk = broadcast_if_small(lookup_table(dimension).select("place_key", "country").distinct()
+                            .withColumn("_known", F.lit(True)))
     rows = envelope.select(
         F.coalesce(F.col("ok"), F.lit(False)).alias("ok"),
         F.coalesce(spec.valid(p), F.lit(False)).alias("valid"),

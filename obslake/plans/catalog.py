@@ -35,11 +35,12 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` range-partitioned by time: the bounds are sampled from one
-    cheap column, the (expensive) derived responses are then built in
-    parallel, and each task holds a contiguous run of hours."""
+    """``events`` range-partitioned by time: the bounds are sampled from
+    cheap columns, the (expensive) derived responses are then built in
+    parallel, and each task holds a contiguous run of hours.  ``event_id``
+    breaks ties, so a single hot instant is still split across tasks."""
     (events,) = _tables(spark, sf_dir, "events")
-    return events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts")
+    return events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts", "event_id")
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:

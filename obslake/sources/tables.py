@@ -20,7 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
     if d is None:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if d is None:
-            # Only reached when nobody configured a shared folder (tests).
+            # A machine-local folder is only valid when driver and executors
+            # share the machine (local mode: tests, bench).
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             d = tempfile.mkdtemp(prefix="obslake-")
             spark.conf.set("spark.checkpoint.dir", d)
         sc.setCheckpointDir(d)

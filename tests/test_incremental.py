@@ -130,7 +130,9 @@ def test_metrics_count_unknown_places(spark):
         {"place_name": "Paris", "payload": air('{"aqi":1}', status="error")},
         {"place_name": "Paris", "payload": "", "ok": False, "http_status": 500},
     ])
-    dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None)],
+    # two dimension names with one lookup key must not double the counts
+    dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None),
+                                 (2, "paris ", "FR", None, None, None, None)],
                                 "place_id long, name string, country string, latitude double, "
                                 "longitude double, air_name string, weather_name string")
     (r,) = metrics.feed_metrics(env, specs.AIR_QUALITY, dim).collect()
