@@ -12,11 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from obslake import schemas
 from obslake.functions.paths import at
 from obslake.operators.dedupe import dedupe
+from obslake.sources import tables
 from obslake.specs import PAYLOAD, FeedSpec
 
 KEY = list(schemas.DIMENSION_KEY)
@@ -24,7 +24,7 @@ DETAILS = list(schemas.DIMENSION_DETAILS)
 COLUMNS = ["place_id", *KEY, *DETAILS]
 
 # New-row deltas up to this size get ids from one ordered window (one task);
-# larger deltas use a distributed sort + zipWithIndex.  Same ids either way.
+# larger deltas use a checkpointed distributed sort.  Same ids either way.
 SINGLE_TASK_ID_ROWS = 1_000_000
 
 
@@ -72,23 +72,39 @@ def new_places(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def assign_ids(rows: DataFrame, order: Sequence[str], start: Column,
-               single_task_rows: int = SINGLE_TASK_ID_ROWS) -> DataFrame:
+               single_task_rows: int = SINGLE_TASK_ID_ROWS,
+               partitions: int | None = None) -> DataFrame:
     """``place_id = start + dense position of the row in ``order``.
 
-    Ids are a pure function of the input (never
-    ``monotonically_increasing_id``), so a recomputed task gives the same ids.
+    Ids are a pure function of the input (never recomputed from
+    ``monotonically_increasing_id``), so a recomputed task gives the same
+    ids.  ``order`` must be unique per row (the natural key is).
+
+    Large deltas: a distributed sort (range partitions, sorted inside),
+    checkpointed once to the shared folder so its layout is fixed.  A row's
+    position is the rows of all earlier partitions plus its index inside its
+    own partition; the per-partition offsets are one row per partition.
     """
     n = rows.limit(single_task_rows + 1).count()
     if n <= single_task_rows:
         pos = F.row_number().over(Window.orderBy(*order))
         return rows.withColumn("place_id", (start + pos).cast("long"))
     spark = rows.sparkSession
-    ordered = rows.orderBy(*order)
-    schema = T.StructType(ordered.schema.fields + [T.StructField("_pos", T.LongType())])
-    indexed = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    return (spark.createDataFrame(indexed, schema)
-            .withColumn("place_id", (start + F.col("_pos") + 1).cast("long"))
-            .drop("_pos"))
+    tables.shared_dir(spark)
+    parts = partitions or spark.sparkContext.defaultParallelism
+    laid = (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+            .withColumns({"_part": F.spark_partition_id(),
+                          # index inside the partition, stored by the checkpoint
+                          "_index": F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)})
+            .checkpoint(eager=True))
+    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: a single-task window over it is bounded
+    offsets = sizes.select(
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return (laid.join(F.broadcast(offsets), "_part")
+            .withColumn("place_id", (start + F.col("_before") + F.col("_index") + 1).cast("long"))
+            .drop("_part", "_index", "_before"))
 
 
 def max_id(existing: DataFrame) -> Column:

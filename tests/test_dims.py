@@ -55,9 +55,11 @@ def test_upsert_insert_only_with_ids(spark):
 def test_id_paths_agree(spark):
     rows = spark.createDataFrame([(f"n{i:03d}", "FR") for i in range(50)], "name string, country string")
     a = dims.assign_ids(rows, ["name", "country"], F.lit(100)).orderBy("name").collect()
-    b = dims.assign_ids(rows, ["name", "country"], F.lit(100), single_task_rows=0).orderBy("name").collect()
+    b = dims.assign_ids(rows.repartition(5), ["name", "country"], F.lit(100), single_task_rows=0,
+                        partitions=4).orderBy("name").collect()
     assert [(r.name, r.place_id) for r in a] == [(r.name, r.place_id) for r in b]
     assert [r.place_id for r in a] == list(range(101, 151))
+    assert b[0].asDict().keys() == {"name", "country", "place_id"}
 
 
 def test_lookup_keeps_countries_apart(spark):
