@@ -116,7 +116,10 @@ def raw_envelope(spark, sf_dir):
 
 def raw_partition_roundtrip(spark, sf_dir):
     root = tables.scratch_path(spark, "raw")
-    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root, cluster=True)
+    # a backfill of every hour: one range partition per core, so the hour
+    # folders are created in parallel whatever the data size
+    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root, cluster=True,
+             tasks=spark.sparkContext.defaultParallelism)
     return raw.read_raw(spark, root).select(
         "request_id", "feed", "place_name", "http_status", "ok", "fetched_at_utc", "dt", "hour")
 

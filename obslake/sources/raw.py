@@ -49,7 +49,7 @@ def with_partition_keys(env: DataFrame, zone: str = "UTC") -> DataFrame:
 
 def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json",
          partition_by: tuple[str, ...] = ("dt", "hour"), cluster: bool = False,
-         max_records_per_file: int = 5_000_000) -> None:
+         max_records_per_file: int = 5_000_000, tasks: int | None = None) -> None:
     """Write envelopes partitioned by ``partition_by`` (default dt, hour),
     replacing only the partitions present in ``env`` (dynamic overwrite set
     as a write option, so it does not depend on session conf).  An empty
@@ -60,11 +60,16 @@ def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json",
     a hot hour is spread over the tasks that fetched it.  ``cluster=True``
     (backfills of recomputable input) range-partitions on the partition
     columns plus ``request_id`` first: fewer files, and a hot hour is still
-    split across several tasks instead of landing in one.
+    split across several tasks instead of landing in one.  The number of
+    range partitions is sized by AQE from the data unless ``tasks`` is given:
+    AQE sizes by bytes, so a small backfill spanning many hours would create
+    all its hour folders from one task; ``tasks`` keeps them parallel.
     """
     keyed = with_partition_keys(env, zone)
     if cluster:
-        keyed = keyed.repartitionByRange(*partition_by, "request_id")
+        cols = (*partition_by, "request_id")
+        keyed = (keyed.repartitionByRange(tasks, *cols) if tasks
+                 else keyed.repartitionByRange(*cols))
     else:
         keyed = keyed.sortWithinPartitions(*partition_by)
     (keyed.write.mode("overwrite")
