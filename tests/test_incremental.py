@@ -53,6 +53,27 @@ def test_fact_append_writes_few_files_per_day(spark, scratch):
     assert spark.read.parquet(target).count() == 400
 
 
+def test_fact_append_splits_a_hot_day(spark, scratch):
+    """A day holding most rows is split over several tasks (files) once it
+    exceeds the advisory size; nothing is dropped."""
+    import glob
+
+    target = scratch("facts")
+    rows = [(i, dt.datetime(2024, 1, 1 if i % 10 else 2, i % 24)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "place_id long, fetched_at timestamp_ntz").repartition(8)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        incremental.write_facts(df, target)
+    finally:
+        spark.conf.set(key, old)
+    local = target.removeprefix("file:")
+    hot = len(glob.glob(f"{local}/fetched_date=2024-01-01/*.parquet"))
+    assert hot > 1, hot
+    assert spark.read.parquet(target).count() == 20000
+
+
 def test_silver_job_is_idempotent(spark, scratch):
     root = catalog.landed_root(spark, SF_SMALL)
     base = scratch("silver")
