@@ -22,6 +22,7 @@ from obslake.operators import alert, dedupe, dims, facts, incremental, metrics,
 from obslake.operators.lookup import attach_place
 from obslake.plans import raw_hour, silver
 from obslake.sources import fetch, fixtures, raw, tables
+from obslake.streaming import alert as stream_alert
 from obslake.streaming import incremental as stream_inc
 
 A, B = specs.AIR_QUALITY, specs.WEATHER
@@ -259,6 +260,20 @@ def failure_alert(spark, sf_dir):
     return alert.failure_alert(events, "ts", F.col("event_type") == F.lit("error"))
 
 
+def failure_alert_stream(spark, sf_dir):
+    """The alert as a stream: the file source reads ``events`` (availableNow),
+    raised windows are appended to a Parquet table once the watermark passed
+    them (windows of the last minutes stay open), then read back."""
+    (events,) = _tables(spark, sf_dir, "events")
+    # the file source reads folders or globs; this glob is the one file
+    source = spark.readStream.schema(events.schema).parquet(
+        f"{sf_dir.rstrip('/')}/events.parque[t]")
+    target = tables.scratch_path(spark, "alert-stream")
+    stream_alert.run_available(source, "ts", F.col("event_type") == F.lit("error"), target,
+                               tables.scratch_path(spark, "alert-stream-ckpt"))
+    return spark.read.parquet(target)
+
+
 def silver_hour(spark, sf_dir):
     """The whole silver job over every landed hour: dimension upsert, three
     facts, incremental appends; returns rows inserted per fact."""
@@ -290,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_deterministic": dedupe_deterministic,
     "run_metrics": run_metrics,
     "failure_alert": failure_alert,
+    "failure_alert_stream": failure_alert_stream,
     "incremental_stream": incremental_stream,
     "partition_keys": partition_keys,
     "silver_hour": silver_hour,

@@ -270,6 +270,19 @@ win AS (
 SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, n AS n_failed,
        EXISTS (SELECT 1 FROM win p WHERE p.s = win.s - INTERVAL 1 MINUTE) AS firing
 FROM win""",
+    # the stream emits a window once the watermark (10 minutes behind the
+    # latest window base, one minute before the latest window start) passed it
+    "failure_alert_stream": """
+WITH f AS (
+  SELECT date_trunc('minute', ts) AS m FROM events WHERE event_type = 'error'
+),
+win AS (
+  SELECT m - INTERVAL (o) MINUTE AS s, count(*) AS n FROM f, range(5) t(o) GROUP BY 1
+)
+SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, n AS n_failed,
+       EXISTS (SELECT 1 FROM win p WHERE p.s = win.s - INTERVAL 1 MINUTE) AS firing
+FROM win
+WHERE s <= (SELECT max(m) FROM f) - INTERVAL 9 MINUTE""",
     "silver_hour": BASE + f"""
 SELECT 'air_quality_current' AS fact, count(*) AS rows FROM ({FACT_A})
 UNION ALL SELECT 'weather_current', count(*) FROM ({FACT_B})

@@ -25,3 +25,16 @@ def failure_alert_stream(events: DataFrame, ts: str, failed: Column,
         "window_start": tf.instant_to_utc(F.col("window_start")),
         "window_end": tf.instant_to_utc(F.col("window_end")),
     })
+
+
+def run_available(events: DataFrame, ts: str, failed: Column, target: str, checkpoint: str,
+                  delay: str = "10 minutes") -> None:
+    """Alert over every event available now, then stop.  Raised windows are
+    appended to the Parquet table ``target`` once the watermark (``delay``
+    behind the latest window) has passed them; the checkpoint and the
+    sink's log make a rerun append nothing twice."""
+    q = (failure_alert_stream(events, ts, failed, delay).writeStream
+         .format("parquet").option("path", target)
+         .option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()

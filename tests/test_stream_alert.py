@@ -79,3 +79,19 @@ def test_watermark_dedupe_on_stream(spark, scratch):
     q.stop()
     got = spark.table("wm_dedupe")
     assert got.count() == got.select("place_key", "fetched_at").distinct().count() > 0
+
+
+def test_alert_stream_rerun_appends_nothing(spark, scratch):
+    from obslake.sources import fixtures
+    src = scratch("events")
+    fixtures.load(spark, SF_SMALL, "events").write.parquet(src)
+    target, ckpt = scratch("alert-table"), scratch("alert-ckpt")
+    failed = F.col("event_type") == "error"
+
+    def run():
+        events = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        stream_alert.run_available(events, "ts", failed, target, ckpt)
+        return spark.read.parquet(target).count()
+
+    first = run()
+    assert first > 0 and run() == first
