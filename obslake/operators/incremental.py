@@ -44,11 +44,42 @@ def unseen(batch: DataFrame, stored: DataFrame, keys: Sequence[str],
     return batch.join(stored_keys(stored, keys, bound_col, bound), list(keys), "left_anti")
 
 
+# Batches spanning more days than this read the target through Spark's own
+# (parallel) listing plus partition pruning instead of per-day folders.
+MAX_DAY_FOLDERS = 366
+
+
 def lower_bound(batch: DataFrame, col: str) -> _dt.datetime | None:
     """Smallest ``col`` of a (persisted) batch: one scalar to the driver."""
     return batch.agg(F.min(col)).first()[0]
 
 
+def fetch_range(batch: DataFrame, col: str) -> tuple[_dt.datetime | None, _dt.datetime | None]:
+    """Smallest and largest ``col`` of a (persisted) batch: two scalars."""
+    lo, hi = batch.agg(F.min(col), F.max(col)).first()
+    return lo, hi
+
+
+def read_days(spark: SparkSession, target: str, schema, first: _dt.date,
+              last: _dt.date) -> DataFrame:
+    """The ``fetched_date`` folders of ``target`` from ``first`` to ``last``.
+
+    A path read lists every day ever appended before it prunes; an hourly
+    run needs one or two of them, so only those folders are opened (one
+    existence check per day on the driver).  Longer ranges fall back to the
+    pruned read of the whole table.
+    """
+    n = (last - first).days + 1
+    if n > MAX_DAY_FOLDERS:
+        return spark.read.schema(schema).parquet(target)
+    paths = [f"{target}/fetched_date={(first + _dt.timedelta(days=i)).isoformat()}"
+             for i in range(n)]
+    present = [p for p in paths if tables.exists(spark, p)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", target).parquet(*present)
+
+
 def with_fetched_date(df: DataFrame) -> DataFrame:
     return df.withColumn("fetched_date", F.to_date("fetched_at"))
 
@@ -71,15 +102,20 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
     return the number of rows appended.
 
     The target is Parquet partitioned by ``fetched_date``.  Actions: the
-    bound (one scalar, only when the target exists), one count that also
-    fills the cache, and the write, which reads the cache.
+    fetch range (two scalars, only when the target exists), one count that
+    also fills the cache, and the write, which reads the cache.  Only the
+    target's days inside the batch's fetch range are read.
     """
     if tables.exists(spark, target):
         batch = batch.persist()
-        bound = lower_bound(batch, bound_col) if bound_col else None
+        lo, hi = fetch_range(batch, bound_col) if bound_col else (None, None)
         # explicit schema: a run that appended nothing leaves no data file
-        stored = spark.read.schema(with_fetched_date(batch).schema).parquet(target)
-        new = unseen(batch, stored, keys, bound_col, bound).persist()
+        schema = with_fetched_date(batch).schema
+        if bound_col == "fetched_at" and lo is not None:
+            stored = read_days(spark, target, schema, lo.date(), hi.date())
+        else:
+            stored = spark.read.schema(schema).parquet(target)
+        new = unseen(batch, stored, keys, bound_col, lo).persist()
     else:
         batch, new = None, batch.persist()
     try:

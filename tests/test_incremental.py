@@ -74,6 +74,24 @@ def test_fact_append_splits_a_hot_day(spark, scratch):
     assert spark.read.parquet(target).count() == 20000
 
 
+def test_append_reads_only_the_batch_days(spark, scratch):
+    target = scratch("facts")
+    days = spark.createDataFrame([(1, dt.datetime(2024, 1, d, 5)) for d in range(1, 11)],
+                                 "place_id long, fetched_at timestamp_ntz")
+    assert incremental.append_unseen(spark, days, target, ["place_id", "fetched_at"]) == 10
+    schema = incremental.with_fetched_date(days).schema
+    got = incremental.read_days(spark, target, schema, dt.date(2024, 1, 9), dt.date(2024, 1, 12))
+    assert {f.split("fetched_date=")[1][:10] for f in got.inputFiles()} == {"2024-01-09", "2024-01-10"}
+    assert got.count() == 2
+    assert incremental.read_days(spark, target, schema, dt.date(2024, 2, 1),
+                                 dt.date(2024, 2, 2)).count() == 0
+    # one stored and one new key on a day already stored
+    batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 10, 5)), (2, dt.datetime(2024, 1, 10, 5))],
+                                  "place_id long, fetched_at timestamp_ntz")
+    assert incremental.append_unseen(spark, batch, target, ["place_id", "fetched_at"]) == 1
+    assert spark.read.parquet(target).count() == 11
+
+
 def test_silver_job_is_idempotent(spark, scratch):
     root = catalog.landed_root(spark, SF_SMALL)
     base = scratch("silver")
