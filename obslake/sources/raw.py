@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obslake import schemas
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
+from obslake.sources import tables
 
 def envelope(responses: DataFrame) -> DataFrame:
     """Responses -> envelope rows.
@@ -80,19 +81,43 @@ def land(env: DataFrame, root: str, zone: str = "UTC", fmt: str = "json",
      .save(root))
 
 
-def read_raw(spark: SparkSession, root: str, dt: str | None = None, hour: str | None = None,
-             fmt: str = "json") -> DataFrame:
-    """Read landed envelopes with the explicit schema (no inference: an empty
-    folder gives zero rows, ``hour`` stays a two-character string).  ``dt``
-    and ``hour`` filters prune partitions."""
-    df = spark.read.schema(schemas.RAW_TABLE).format(fmt).load(root)
-    if dt is not None:
+def _open(spark: SparkSession, root: str, schema: str, fmt: str, dt: str | None,
+          hour: str | None) -> DataFrame:
+    """Landed rows of ``root``, opening only the partition folder asked for.
+
+    Loading the root lists every hour ever landed before partition pruning;
+    an hourly job needs one folder, so it opens ``dt=../hour=..`` (or
+    ``dt=..`` when hours are not folders) with the root as ``basePath``.  A
+    missing folder gives zero rows.  The filters stay, so the result is the
+    same as a pruned read of the root.
+    """
+    reader = spark.read.schema(schema).format(fmt)
+    if dt is None:
+        df = reader.load(root)
+    else:
+        day = f"{root.rstrip('/')}/dt={dt}"
+        leaf = f"{day}/hour={hour}" if hour is not None else None
+        if leaf is not None and tables.exists(spark, leaf):
+            path = leaf
+        elif tables.exists(spark, day):
+            path = day
+        else:
+            return spark.createDataFrame([], schema)
+        df = reader.option("basePath", root).load(path)
         df = df.where(F.col("dt") == F.lit(dt).cast("date"))
     if hour is not None:
         df = df.where(F.col("hour") == F.lit(hour))
     return df
 
 
+def read_raw(spark: SparkSession, root: str, dt: str | None = None, hour: str | None = None,
+             fmt: str = "json") -> DataFrame:
+    """Read landed envelopes with the explicit schema (no inference: an empty
+    folder gives zero rows, ``hour`` stays a two-character string).  With
+    ``dt`` (and ``hour``) only that partition folder is opened."""
+    return _open(spark, root, schemas.RAW_TABLE, fmt, dt, hour)
+
+
 def from_legacy(df: DataFrame, feeds) -> DataFrame:
     """Older-layout rows -> envelope rows (same columns as :func:`envelope`).
 
@@ -123,10 +148,6 @@ def from_legacy(df: DataFrame, feeds) -> DataFrame:
 
 def read_legacy(spark: SparkSession, root: str, feeds, dt: str | None = None,
                 hour: str | None = None, fmt: str = "json") -> DataFrame:
-    """Read raw landed in the older layout (explicit schema, pruned)."""
-    df = spark.read.schema(schemas.LEGACY_RAW_TABLE).format(fmt).load(root)
-    if dt is not None:
-        df = df.where(F.col("dt") == F.lit(dt).cast("date"))
-    if hour is not None:
-        df = df.where(F.col("hour") == F.lit(hour))
-    return from_legacy(df, feeds)
+    """Read raw landed in the older layout (explicit schema; with ``dt``
+    and ``hour`` only that partition folder is opened)."""
+    return from_legacy(_open(spark, root, schemas.LEGACY_RAW_TABLE, fmt, dt, hour), feeds)

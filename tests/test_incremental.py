@@ -92,6 +92,23 @@ def test_append_reads_only_the_batch_days(spark, scratch):
     assert spark.read.parquet(target).count() == 11
 
 
+def test_raw_read_opens_only_the_hour(spark, scratch):
+    from helpers import envelope_df
+    env = envelope_df(spark, [{"payload": "{}", "fetched_at_utc": t} for t in (
+        "2024-10-27T01:00:00.000Z", "2024-10-27T01:00:00.000Z", "2024-10-27T02:00:00.000Z",
+        "2024-10-28T01:00:00.000Z")])
+    hourly, daily = scratch("raw-hourly"), scratch("raw-daily")
+    raw.land(env, hourly)
+    raw.land(env, daily, fmt="parquet", partition_by=("dt",))
+    one = raw.read_raw(spark, hourly, dt="2024-10-27", hour="01")
+    assert one.count() == 2 and all("dt=2024-10-27/hour=01" in f for f in one.inputFiles())
+    assert raw.read_raw(spark, hourly, dt="2024-10-29", hour="01").count() == 0
+    assert raw.read_raw(spark, hourly, dt="2024-10-27", hour="05").count() == 0
+    day = raw.read_raw(spark, daily, dt="2024-10-27", hour="02", fmt="parquet")
+    assert [r.hour for r in day.collect()] == ["02"]
+    assert all("dt=2024-10-27" in f for f in day.inputFiles())
+
+
 def test_silver_job_is_idempotent(spark, scratch):
     root = catalog.landed_root(spark, SF_SMALL)
     base = scratch("silver")
