@@ -210,3 +210,17 @@ def test_compact_day_keeps_rows(spark, scratch):
     assert len(glob.glob(day_dir + "/*.parquet")) == 1
     stored = spark.read.parquet(target)
     assert stored.count() == 21 and stored.distinct().count() == 21
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    """Off local mode a missing spark.checkpoint.dir is an error, never a
+    machine-local folder."""
+    import pytest
+    from types import SimpleNamespace
+    from obslake.sources import tables
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None,
+                         getConf=lambda: conf)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        tables.shared_dir(SimpleNamespace(sparkContext=sc, conf=conf))
