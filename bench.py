@@ -25,21 +25,29 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2)
     catalog.fact_current_a(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name, fn in catalog.QUERIES.items():
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # keep timing the others; report the failure
+            timings[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "total_query_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(t for t in timings.values() if t is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
