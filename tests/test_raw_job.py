@@ -125,3 +125,24 @@ def test_run_log_feeds_the_alert(spark, scratch):
     assert events.groupBy("status").count().collect() and events.count() == 4
     fired = runlog.task_failure_alert(spark, path, "raw").where("firing").collect()
     assert fired and all(r.window_start >= dt.datetime(2024, 1, 1, 9, 56) for r in fired)
+
+
+def test_scheduled_hour_raw_then_silver(spark, scratch):
+    from obslake.plans import hourly
+    assert hourly.landed_hour("2024-10-27T02:30:00+01:00") == ("2024-10-27", "01")
+    assert hourly.landed_hour("2024-06-01T00:10:00.123Z") == ("2024-06-01", "00")
+    places = spark.createDataFrame([(p,) for p in ("Lyon", "Le Havre", "Nimes")], "place_name string")
+    tokens = {"air_quality": "T1", "weather": "T2"}
+    raw_root, base = scratch("raw"), scratch("silver")
+    spark.createDataFrame([], "place_id long, name string, country string, latitude double, "
+                              "longitude double, air_name string, weather_name string") \
+        .write.parquet(f"{base}/dimension/v0")
+    stamp = "2024-06-01T11:00:12.345+02:00"
+    first = hourly.run(spark, stamp, places, tokens, fake_fetch, raw_root,
+                       f"{base}/dimension/v0", f"{base}/dimension/v1", base, parallelism=2)
+    assert first["raw_rows.air_quality"] == 3 and first["air_quality_current"] == 2
+    assert raw.read_raw(spark, raw_root, dt="2024-06-01", hour="09").count() == 6
+    again = hourly.run(spark, stamp, places, tokens, fake_fetch, raw_root,
+                       f"{base}/dimension/v1", f"{base}/dimension/v2", base)
+    assert {v for k, v in again.items() if not k.startswith("raw_rows")} == {0}
+    assert raw.read_raw(spark, raw_root).count() == 6
