@@ -26,9 +26,14 @@ def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec
                   target: str, checkpoint: str, fmt: str = "json") -> None:
     """Process every landed file not seen by ``checkpoint`` yet, then stop."""
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        parsed = parse.parse_feed(parse.route_feed(batch, spec.feed), spec.feed)
-        fact = facts.current_fact(parsed, dimension, spec)
-        incremental.append_unseen(spark, fact, target, spec.keys)
+        # parse once: composed lazily, the validity filter would evaluate a
+        # second from_json of every payload
+        parsed = parse.parse_payload(parse.route_feed(batch, spec.feed), spec.feed).persist()
+        try:
+            fact = facts.current_fact(parse.validate(parsed, spec.feed), dimension, spec)
+            incremental.append_unseen(spark, fact, target, spec.keys)
+        finally:
+            parsed.unpersist()
 
     q = (raw_stream(spark, raw_root, fmt).writeStream
          .foreachBatch(per_batch)
