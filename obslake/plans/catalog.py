@@ -19,7 +19,7 @@ from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 from obslake.operators import alert, dedupe, dims, facts, incremental, metrics, parse
-from obslake.operators.lookup import attach_place
+from obslake.operators.lookup import attach_place, broadcast_if_small
 from obslake.plans import raw_hour, silver
 from obslake.sources import fetch, fixtures, raw, tables
 from obslake.streaming import alert as stream_alert
@@ -128,8 +128,8 @@ def raw_partition_roundtrip(spark, sf_dir):
 def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places to fetch: every customer, with its nation as the country."""
     customer, nation = _tables(spark, sf_dir, "customer", "nation")
-    return customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
-                         customer.c_nationkey == nation.n_nationkey) \
+    nat = broadcast_if_small(nation.select("n_nationkey", "n_name"), 10_000)
+    return customer.join(nat, customer.c_nationkey == nat.n_nationkey) \
                    .select(F.col("c_name").alias("place_name"), F.col("n_name").alias("country"))
 
 
