@@ -1,13 +1,15 @@
 """Run metrics as ordinary DataFrames.
 
-One aggregation pass per feed instead of a ``count()`` action per step: raw
-rows, successful responses, valid payloads, named rows, and rows whose
-place the dimension knows (the lookup is an inner join, so the difference is
-what the facts silently drop).
+One aggregation pass over the envelope for all feeds instead of a
+``count()`` action per step: raw rows, successful responses, valid payloads,
+named rows, and rows whose place the dimension knows (the lookup is an inner
+join, so the difference is what the facts silently drop).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,26 +18,58 @@ from obslake.operators.lookup import broadcast_if_small, lookup_table
 from obslake.specs import FeedSpec
 
 
-def feed_metrics(envelope: DataFrame, spec: FeedSpec, dimension: DataFrame) -> DataFrame:
-    p = F.from_json(F.col("payload"), spec.payload_schema)
+MEASURES = ("raw_rows", "ok_rows", "valid_rows", "named_rows", "matched_rows")
+
+
+def feeds_metrics(envelope: DataFrame, feeds: Sequence[FeedSpec], dimension: DataFrame) -> DataFrame:
+    """One row per feed, from ONE pass over the envelope.
+
+    Each row is routed by its URL host and its payload is parsed with its
+    own feed's schema only (the CASE evaluates one ``from_json``).  The
+    counts are conditional counts of a single global aggregation (partial
+    counts per task, so a feed holding most rows is no hot group), then
+    unpivoted: a feed without rows still gets its row of zeros.
+    """
+    url = F.col("url")
+    feed = valid = country = None
+    for f in feeds:
+        hit = url.contains(f.url_marker)
+        ok_payload = F.coalesce(f.valid(F.from_json(F.col("payload"), f.payload_schema)), F.lit(False))
+        feed = (F.when(hit, F.lit(f.name)) if feed is None else feed.when(hit, F.lit(f.name)))
+        valid = (F.when(hit, ok_payload) if valid is None else valid.when(hit, ok_payload))
+        country = (F.when(hit, F.lit(f.country)) if country is None
+                   else country.when(hit, F.lit(f.country)))
     name = names.display_name(F.col("place_name"))
     # distinct: two names with one lookup key (``Straße`` / ``Strasse``) must
     # not duplicate the rows being counted
     lk = broadcast_if_small(lookup_table(dimension).select("place_key", "country").distinct()
                             .withColumn("_known", F.lit(True)))
     rows = envelope.select(
+        feed.alias("feed"),
         F.coalesce(F.col("ok"), F.lit(False)).alias("ok"),
-        F.coalesce(spec.valid(p), F.lit(False)).alias("valid"),
+        F.coalesce(valid, F.lit(False)).alias("valid"),
         name.isNotNull().alias("named"),
         names.lookup_key(name).alias("place_key"),
-        F.lit(spec.country).alias("country"),
+        country.alias("country"),
     ).join(lk, ["place_key", "country"], "left")
     ok = F.col("ok")
     usable = ok & F.col("valid") & F.col("named")
-    return rows.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(ok).alias("ok_rows"),
-        F.count_if(ok & F.col("valid")).alias("valid_rows"),
-        F.count_if(usable).alias("named_rows"),
-        F.count_if(usable & F.col("_known").isNotNull()).alias("matched_rows"),
-    ).select(F.lit(spec.name).alias("feed"), "*")
+    conditions = {
+        "raw_rows": F.lit(True),
+        "ok_rows": ok,
+        "valid_rows": ok & F.col("valid"),
+        "named_rows": usable,
+        "matched_rows": usable & F.col("_known").isNotNull(),
+    }
+    counts = rows.agg(*[
+        F.count_if((F.col("feed") == F.lit(f.name)) & cond).alias(f"{i}_{m}")
+        for i, f in enumerate(feeds) for m, cond in conditions.items()
+    ])
+    per_feed = [F.struct(F.lit(f.name).alias("feed"), *[F.col(f"{i}_{m}").alias(m) for m in MEASURES])
+                for i, f in enumerate(feeds)]
+    return counts.select(F.explode(F.array(*per_feed)).alias("m")).select("m.*")
+
+
+def feed_metrics(envelope: DataFrame, spec: FeedSpec, dimension: DataFrame) -> DataFrame:
+    """The metrics row of one feed (rows of other feeds are not counted)."""
+    return feeds_metrics(envelope, [spec], dimension)

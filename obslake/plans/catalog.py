@@ -249,10 +249,7 @@ def incremental_stream(spark, sf_dir):
 
 # ---------------------------------------------------------------- metrics
 def run_metrics(spark, sf_dir):
-    env = landed(spark, sf_dir)
-    dim = place_dimension(spark, sf_dir)
-    out = [metrics.feed_metrics(parse.route_feed(env, f), f, dim) for f in (A, B)]
-    return out[0].unionByName(out[1])
+    return metrics.feeds_metrics(landed(spark, sf_dir), [A, B], place_dimension(spark, sf_dir))
 
 
 def failure_alert(spark, sf_dir):

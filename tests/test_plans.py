@@ -58,3 +58,10 @@ def test_silver_parses_each_payload_once(spark):
         assert "InMemoryTableScan" in plan and plan.count("from_json") == 1
     finally:
         cached.unpersist()
+
+
+def test_metrics_one_pass_over_the_envelope(spark):
+    plan = _plan(catalog.run_metrics(spark, SF_SMALL))  # not executed: one plan, no AQE split
+    envelope_scans = [line for line in plan.splitlines()
+                      if "FileScan parquet" in line and "payload" in line]
+    assert len(envelope_scans) == 1 and "Union" not in plan
