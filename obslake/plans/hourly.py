@@ -30,12 +30,12 @@ def run(spark: SparkSession, run_ts_iso: str, places: DataFrame, tokens: dict[st
         fetcher: Callable[[str], tuple[int, str]], raw_root: str | Mapping[str, str],
         dimension_in: str, dimension_out: str, facts_root: str,
         parallelism: int | None = None, country_col: str | None = None,
-        fill_null: bool = False) -> dict[str, int]:
+        fill_null: bool = False, concurrency: int = 1) -> dict[str, int]:
     """Land the run's responses, then build the silver tables for that hour.
     Returns the silver job's counts (rows inserted per target, raw rows per
     feed)."""
     raw_hour.run(spark, places, tokens, raw_root, fetcher, run_ts_iso,
-                 parallelism=parallelism, country_col=country_col)
+                 parallelism=parallelism, country_col=country_col, concurrency=concurrency)
     dt, hour = landed_hour(run_ts_iso)
     return silver.run(spark, raw_root, dimension_in, dimension_out, facts_root, dt=dt, hour=hour,
                       fill_null=fill_null)
