@@ -15,6 +15,8 @@ instead, so every payload is tokenized exactly once per job.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,40 @@ def parse_payload(envelope: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
+def parse_payloads(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
+    """Every feed of a mixed envelope in ONE pass.
+
+    Rows are routed by URL host (``feed``); a successful response's payload
+    is parsed with its own feed's schema only (one ``from_json`` per row, in
+    column ``_p_<feed>``).  Failed responses stay, unparsed, so raw counts
+    come from the same pass.  :func:`feed_rows` takes one feed back out.
+    """
+    url = F.col("url")
+    feed = None
+    for f in feeds:
+        hit = url.contains(f.url_marker)
+        feed = F.when(hit, F.lit(f.name)) if feed is None else feed.when(hit, F.lit(f.name))
+    ok = F.coalesce(F.col("ok"), F.lit(False))
+    return envelope.select(
+        feed.alias("feed"),
+        ok.alias("ok"),
+        "request_id",
+        names.display_name(F.col("place_name")).alias("place_name"),
+        tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
+        rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
+        *[F.when(ok & url.contains(f.url_marker),
+                 F.from_json(F.col("payload"), f.payload_schema)).alias(f"_p_{f.name}")
+          for f in feeds],
+    ).where(F.col("feed").isNotNull())
+
+
+def feed_rows(parsed_all: DataFrame, spec: FeedSpec) -> DataFrame:
+    """One feed's successful responses out of :func:`parse_payloads`, with
+    the columns of :func:`parse_payload`."""
+    return parsed_all.where((F.col("feed") == F.lit(spec.name)) & F.col("ok")).select(
+        "request_id", "place_name", "fetched_at", "rank", F.col(f"_p_{spec.name}").alias(PAYLOAD))
+
+
 def validate(parsed: DataFrame, spec: FeedSpec, country: str | None = None) -> DataFrame:
     """Valid payloads with a display name; adds the lookup key, the feed's
     country and ``measured_at`` (UTC wall clock, spec's event-time rule)."""

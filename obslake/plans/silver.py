@@ -44,12 +44,30 @@ def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: st
     read per feed (``raw_rows.<feed>``)."""
     feed_list = (specs.AIR_QUALITY, specs.WEATHER)
     feeds = {f.name: f for f in feed_list}
-    envs = feed_envelopes(spark, raw_root, feed_list, dt, hour, fmt, legacy)
-    # Parse each feed once: persist the parsed payloads, validate on top.
-    cached = {name: parse.parse_payload(envs[name], f)
-              .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}
-    parsed = {name: parse.validate(cached[name], f) for name, f in feeds.items()}
+    # Parse each payload once and persist the result; everything else
+    # (counts, candidates, facts) reads the cache.
+    if isinstance(raw_root, str):
+        # one root: one scan of the hour for all feeds and the raw counts
+        env = (raw.read_legacy(spark, raw_root, feed_list, dt, hour, fmt=fmt) if legacy
+               else raw.read_raw(spark, raw_root, dt, hour, fmt=fmt))
+        both = parse.parse_payloads(env, feed_list).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = {"all": both}
+        payloads = {name: parse.feed_rows(both, f) for name, f in feeds.items()}
+        # one row per feed; its action also fills the cache
+        raw_counts = both.groupBy("feed").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        envs = feed_envelopes(spark, raw_root, feed_list, dt, hour, fmt, legacy)
+        cached = {name: parse.parse_payload(envs[name], f)
+                  .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}
+        payloads = cached
+        raw_counts = None
+    parsed = {name: parse.validate(payloads[name], f) for name, f in feeds.items()}
     try:
+        if raw_counts is not None:
+            counted = {r["feed"]: r["n"] for r in raw_counts.collect()}
+            raw_rows = {name: counted.get(name, 0) for name in feeds}
+        else:  # per-feed roots: cheap, no payload is read
+            raw_rows = {name: env.select("ok").count() for name, env in envs.items()}
         cands = dims.place_candidates([(parsed[n], f) for n, f in feeds.items()])
         stored = spark.read.parquet(dimension_in)
         merge = dims.fill_null_details if fill_null else dims.upsert_places
@@ -61,8 +79,8 @@ def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: st
         merge(stored, cands).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
         inserted = {"dimension": dimension.count() - stored.count()}
-        for name, env in envs.items():  # cheap: no payload is read
-            inserted[f"raw_rows.{name}"] = env.select("ok").count()
+        for name, n in raw_rows.items():
+            inserted[f"raw_rows.{name}"] = n
 
         for spec in FACT_SPECS:
             batch = facts.current_fact(parsed[spec.feed.name], dimension, spec)

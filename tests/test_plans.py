@@ -65,3 +65,22 @@ def test_metrics_one_pass_over_the_envelope(spark):
     envelope_scans = [line for line in plan.splitlines()
                       if "FileScan parquet" in line and "payload" in line]
     assert len(envelope_scans) == 1 and "Union" not in plan
+
+
+def test_silver_scans_the_hour_once_for_all_feeds(spark):
+    from pyspark import StorageLevel
+    from obslake import specs
+    from obslake.operators import parse
+    feeds = (specs.AIR_QUALITY, specs.WEATHER)
+    both = parse.parse_payloads(catalog.landed(spark, SF_SMALL), feeds) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for f in feeds:
+            valid = parse.validate(parse.feed_rows(both, f), f)
+            valid.count()
+            plan = _plan(valid)
+            # one scan and one from_json per feed, both inside the cached plan
+            assert "InMemoryTableScan" in plan
+            assert plan.count("FileScan") == 1 and plan.count("from_json") == len(feeds)
+    finally:
+        both.unpersist()
