@@ -73,7 +73,7 @@ def parse_payloads(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
         names.display_name(F.col("place_name")).alias("place_name"),
         tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
         rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
-        *[F.when(ok & url.contains(f.url_marker),
+        *[F.when(ok & (feed == F.lit(f.name)),
                  F.from_json(F.col("payload"), f.payload_schema)).alias(f"_p_{f.name}")
           for f in feeds],
     ).where(F.col("feed").isNotNull())
