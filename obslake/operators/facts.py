@@ -12,7 +12,7 @@ from obslake.specs import PAYLOAD, FactSpec, ForecastSpec
 
 
 def current_fact(parsed: DataFrame, dimension: DataFrame, spec: FactSpec,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Parsed feed -> one row per (place_id, fetched_at).
 
     Field map applied, place looked up (broadcast, narrow), then one shuffle
@@ -65,6 +65,6 @@ def forecast_days(parsed: DataFrame, spec: ForecastSpec) -> DataFrame:
 
 
 def forecast_fact(parsed: DataFrame, dimension: DataFrame, spec: ForecastSpec,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     joined = attach_place(forecast_days(parsed, spec), dimension, max_broadcast_rows)
     return dedupe(joined, spec.keys, "rank").select(*spec.columns)

@@ -32,12 +32,15 @@ def lookup_table(dimension: DataFrame) -> DataFrame:
 
 
 def attach_place(rows: DataFrame, dimension: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Inner join on (lookup key, country).
 
     Country is part of the key so equal names in two countries do not fan
     out.  Rows whose place is unknown are dropped (count them with
-    :func:`obslake.operators.metrics.feed_metrics`).
+    :func:`obslake.operators.metrics.feed_metrics`).  ``max_broadcast_rows``
+    None: the caller already checked the dimension (and hinted it).
     """
-    lk = broadcast_if_small(lookup_table(dimension), max_broadcast_rows)
+    lk = lookup_table(dimension)
+    if max_broadcast_rows is not None:
+        lk = broadcast_if_small(lk, max_broadcast_rows)
     return rows.join(lk, ["place_key", "country"], "inner").drop("place_key", "country")

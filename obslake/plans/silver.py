@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from obslake import specs
 from obslake.operators import dims, facts, incremental, parse
+from obslake.operators.lookup import DEFAULT_BROADCAST_ROWS
 from obslake.sources import raw
 
 FACT_SPECS = (specs.AIR_QUALITY_CURRENT, specs.WEATHER_CURRENT)
@@ -78,15 +79,18 @@ def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: st
         # rebalance: AQE packs the (small) dimension into a few files
         merge(stored, cands).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
-        inserted = {"dimension": dimension.count() - stored.count()}
+        n_dimension = dimension.count()
+        inserted = {"dimension": n_dimension - stored.count()}
+        # one size check for all three lookups: the count above
+        places = F.broadcast(dimension) if n_dimension <= DEFAULT_BROADCAST_ROWS else dimension
         for name, n in raw_rows.items():
             inserted[f"raw_rows.{name}"] = n
 
         for spec in FACT_SPECS:
-            batch = facts.current_fact(parsed[spec.feed.name], dimension, spec)
+            batch = facts.current_fact(parsed[spec.feed.name], places, spec, max_broadcast_rows=None)
             inserted[spec.name] = _load(spark, batch, f"{facts_root}/{spec.name}", spec.keys)
         for spec in FORECAST_SPECS:
-            batch = facts.forecast_fact(parsed[spec.feed.name], dimension, spec)
+            batch = facts.forecast_fact(parsed[spec.feed.name], places, spec, max_broadcast_rows=None)
             inserted[spec.name] = _load(spark, batch, f"{facts_root}/{spec.name}", spec.keys)
         return inserted
     finally:

@@ -76,3 +76,19 @@ def test_broadcast_only_when_small(spark):
     assert lookup.broadcast_if_small(small, 100) is not small      # hinted copy
     big = spark.range(1000)
     assert lookup.broadcast_if_small(big, 100) is big             # left to the planner
+
+
+def test_lookup_keeps_the_callers_broadcast_decision(spark):
+    dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None)], DIM)
+    rows = spark.createDataFrame([("PARIS", "FR", 10)], "place_key string, country string, v int")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        hinted = lookup.attach_place(rows, F.broadcast(dim), max_broadcast_rows=None)
+        plain = lookup.attach_place(rows, dim, max_broadcast_rows=None)
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert [r.place_id for r in hinted.collect()] == [1]
+    finally:
+        spark.conf.set(key, old)
