@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obslake.llm.common import NO_ID, packed, utf8, written
 
@@ -110,19 +111,19 @@ def first_occurrences(lines: DataFrame) -> DataFrame:
             .mapInArrow(run, "kind int, " + LINES))
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _bitmap(positions: pa.Array) -> pa.Array:
-    """Keep bits, lowest first, up to the last dropped line; zlib."""
+    """Keep bits, lowest first, in bytes up to that of the last dropped line."""
     out = []
     for p in positions:
         dropped = p.values.to_numpy()
-        keep = np.ones(int(dropped.max()) + 1, dtype=np.uint8)
+        keep = np.ones(int(dropped.max()) // 8 * 8 + 8, dtype=np.uint8)
         keep[dropped] = 0
         out.append(zlib.compress(np.packbits(keep, bitorder="little").tobytes()))
     return pa.array(out, pa.binary())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _kept(text: pa.Array, bitmap: pa.Array) -> pa.Array:
     out = []
     for t, b in zip(text, bitmap):
