@@ -44,8 +44,9 @@ BLOCK = 1 << 20  # bytes scanned together
 
 
 def letters(text: bytes) -> bytes:
-    """Words of letters, one space between and around."""
-    return b" " + b" ".join(text.translate(_LETTERS).split()) + b" "
+    """Words of letters, one space between and around; empty without any."""
+    words = text.translate(_LETTERS).split()
+    return b" " + b" ".join(words) + b" " if words else b""
 
 
 def blocks(text: bytes) -> Iterator[bytes]:

@@ -1,0 +1,61 @@
+import subprocess
+import sys
+
+import corpus_pipeline as cp
+from obslake.llm import line_dedup
+from obslake.llm.common import table, written
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_over_documents(spark):
+    docs = table(spark, SF, "documents")
+    assert [name for name, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "source_mixing", "best_fit_packing"]
+    kept = [docs]
+    for name, stage in cp.STAGES:
+        kept.append(written(stage(spark, kept[-1], SF), name))
+        if name != "best_fit_packing":
+            assert kept[-1].columns == docs.columns and kept[-1].dtypes == docs.dtypes
+    first, spoken, lines, single, mixed, packed = kept
+    n = [x.count() for x in kept]
+    assert n[0] >= n[1] == n[2] > n[3] > 0
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+    assert ids(single) <= ids(lines) and ids(mixed) <= ids(single)
+    # Lines left over stand in one document each.
+    again = line_dedup.keep_bitmaps(lines)
+    assert again.isEmpty()
+    assert lines.filter("n_chars <> length(text)").isEmpty()
+    # No two kept documents have equal words.
+    assert single.selectExpr("lower(trim(regexp_replace(text, '[ \\t-\\r]+', ' '))) AS w").distinct().count() == n[3]
+    copies = {r[0]: r[1] for r in mixed.groupBy("doc_id").count().collect()}
+    assert max(copies.values()) <= 3
+    pieces = {r[0]: r[1] for r in packed.filter("piece = 0").groupBy("doc_id").count().collect()}
+    assert pieces == copies
+    assert packed.groupBy("sequence_id").sum("length").filter("`sum(length)` > 4096").isEmpty()
+
+
+def test_stages_take_empty_and_odd_tables(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, `row` string"
+    good = "the and that with this from which there here " * 3
+    rows = [(1, good, "en", "a", 5, 1, "x"), (2, good, "en", "a", 5, 1, "x"), (None, good, None, None, None, None, None), (3, None, None, "b", 0, 1, "y"),
+            (4, "", "en", None, 0, 1, "y"), (2, good, "en", "a", 5, 1, "x"), (6, good.upper() + "\n" + good, "en", "b", 1, 1, "z")]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for name, stage in cp.STAGES:
+            docs = written(stage(spark, docs, SF), name)
+    assert docs.isEmpty()
+
+
+def test_run_equals_its_stages(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    for name, stage in cp.STAGES:
+        docs = written(stage(spark, docs, "/root/testdata/sf0.001"), name)
+    columns = ["doc_id", "piece", "start", "length", "ids"]
+    key = lambda df: sorted((r.doc_id, r.piece, r.start, r.length, bytes(r.ids)) for r in df.select(*columns).collect())
+    assert key(docs) == key(cp.run(spark, "/root/testdata/sf0.001"))
+
+
+def test_the_rest_works_without_this_subpackage():
+    code = ("import sys; sys.modules['obslake.llm'] = None; sys.path.insert(0, '.'); import __spark_entry__ as e; "
+            "q = e.queries(); assert q and 'pipeline' not in q and not any(k.startswith('op') for k in q); "
+            "assert set(e.oracle_sql()) <= set(q)")
+    subprocess.run([sys.executable, "-c", code], check=True)
