@@ -70,11 +70,6 @@ def floor_to(ts_utc: Column, unit: str) -> Column:
                                 F.hour(ts_utc), minute, zero)
 
 
-def truncate_ms(ts_utc: Column) -> Column:
-    micros = utc_epoch_micros(ts_utc)
-    return F.timestamp_add("MICROSECOND", micros - micros % 1000, epoch_ntz())
-
-
 def format_utc_iso(ts_utc: Column) -> Column:
     """UTC wall clock -> ``2024-01-01T10:00:00.123Z`` (milliseconds kept)."""
     millis = F.floor(_seconds(ts_utc) * 1000).cast("long") % 1000

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,10 +30,18 @@ def percent_encode(text: Column, keep_slash: bool = True) -> Column:
     return out
 
 
-def redact_secrets(url: Column, params: tuple[str, ...] = SECRET_PARAMS) -> Column:
-    """Replace the value of every secret query parameter with ``***``."""
-    alternation = "|".join(params)
-    return F.regexp_replace(url, rf"([?&](?:{alternation})=)[^&#]*", "$1***")
+_SECRET = r"([?&](?:{})=)[^&#\s]*"
+
+
+def redact_secrets(text: Column, params: tuple[str, ...] = SECRET_PARAMS) -> Column:
+    """Replace the value of every secret query parameter with ``***``, in a
+    URL or in a text that quotes one."""
+    return F.regexp_replace(text, _SECRET.format("|".join(params)), "$1***")
+
+
+def redact_text(text: str, params: tuple[str, ...] = SECRET_PARAMS) -> str:
+    """:func:`redact_secrets` for one text of the driver."""
+    return re.sub(_SECRET.format("|".join(params)), r"\1***", text)
 
 
 def fill_template(template: str, **parts: Column) -> Column:

@@ -10,11 +10,13 @@ offset ``o`` inside the window.  For ``s = w + 1 min``: the failures of
 ``[s, s+5)`` are offsets 1..5 and those of ``[s-1, s+4)`` are offsets 0..4.
 No self-join, one shuffle on the window start, partial aggregation first
 (a minute holding a third of all failures is pre-counted map-side).  The
-same plan runs on a stream with a watermark on ``w``.
+stream counts the same windows under a watermark on the event time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,8 @@ def failure_windows(events: DataFrame, ts: str, failed: Column) -> DataFrame:
     )
 
 
-def alert_from_windows(windows: DataFrame) -> DataFrame:
+def alert_from_windows(windows: DataFrame, start: Callable[[Column], Column] = lambda w: w) -> DataFrame:
+    """Counts per window ``w``; ``start`` gives its start as a wall clock."""
     o = F.col("o")
     counted = windows.groupBy("w").agg(
         F.count_if(o == 0).alias("n_first"),
@@ -45,8 +48,8 @@ def alert_from_windows(windows: DataFrame) -> DataFrame:
     n_failed = F.col("n_mid") + F.col("n_last")
     return (
         counted.select(
-            F.timestamp_add("MINUTE", F.lit(HOLD_MINUTES), F.col("w")).alias("window_start"),
-            F.timestamp_add("MINUTE", F.lit(HOLD_MINUTES + WINDOW_MINUTES), F.col("w")).alias("window_end"),
+            F.timestamp_add("MINUTE", F.lit(HOLD_MINUTES), start(F.col("w"))).alias("window_start"),
+            F.timestamp_add("MINUTE", F.lit(HOLD_MINUTES + WINDOW_MINUTES), start(F.col("w"))).alias("window_end"),
             n_failed.alias("n_failed"),
             ((n_failed > 0) & (F.col("n_first") + F.col("n_mid") > 0)).alias("firing"),
         )

@@ -21,5 +21,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: str | Column,
     order_col = F.col(order) if isinstance(order, str) else order
     order_name = order if isinstance(order, str) else None
     values = [c for c in df.columns if c not in keys and (keep_order or c != order_name)]
-    picked = F.min_by(F.struct(*values), order_col).alias("_kept")
+    # A struct is never null, so rows without an order are kept where a key
+    # has no others (they come last).
+    picked = F.min_by(F.struct(*values), F.struct(order_col.isNull(), order_col)).alias("_kept")
     return df.groupBy(*keys).agg(picked).select(*keys, "_kept.*")

@@ -4,28 +4,29 @@ fill-null of details, surrogate ids.
 Natural key: (name, country).  Detail columns: latitude, longitude and the
 name each API reports.  The dimension is versioned by the caller (write the
 returned frame to a new path); nothing here overwrites a path it reads.
+
+Ids are a function of the natural key alone, so a rerun with other places
+answering gives every place the id it had, and stored facts stay valid.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake import schemas
 from obslake.functions.paths import at
 from obslake.operators.dedupe import dedupe
-from obslake.sources import tables
 from obslake.specs import PAYLOAD, FeedSpec
 
 KEY = list(schemas.DIMENSION_KEY)
 DETAILS = list(schemas.DIMENSION_DETAILS)
 COLUMNS = ["place_id", *KEY, *DETAILS]
 
-# New-row deltas up to this size get ids from one ordered window (one task);
-# larger deltas use a checkpointed distributed sort.  Same ids either way.
-SINGLE_TASK_ID_ROWS = 1_000_000
+# Hex digits of the key's md5 that make an id: 60 bits, a positive long.
+ID_DIGITS = 15
 
 
 def feed_candidates(parsed: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -47,8 +48,8 @@ def place_candidates(parsed_feeds: Sequence[tuple[DataFrame, FeedSpec]]) -> Data
     """Full outer join of per-feed candidates on the natural key.
 
     Coordinates come from the first feed (in the given order) that has them.
-    Each side is already unique on the key and hash-partitioned on it by its
-    dedupe, so the join adds no exchange and needs no dedupe after it.
+    Each side is already unique on the key, so the join moves one row per
+    place and needs no dedupe after it.
     """
     merged = None
     for i, (parsed, spec) in enumerate(parsed_feeds):
@@ -71,60 +72,40 @@ def new_places(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.join(existing.select(*KEY), KEY, "left_anti")
 
 
-def assign_ids(rows: DataFrame, order: Sequence[str], start: Column,
-               single_task_rows: int = SINGLE_TASK_ID_ROWS,
-               partitions: int | None = None) -> DataFrame:
-    """``place_id = start + dense position of the row in ``order``.
+def place_id(name: Column, country: Column) -> Column:
+    """The id of a place: the first digits of the md5 of its natural key."""
+    key = F.concat(name, F.lit("\x1f"), F.coalesce(country, F.lit("")))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, ID_DIGITS), 16, 10).cast("long")
+
 
-    Ids are a pure function of the input (never recomputed from
-    ``monotonically_increasing_id``), so a recomputed task gives the same
-    ids.  ``order`` must be unique per row (the natural key is).
+def merge_places(existing: DataFrame, candidates: DataFrame, fill_null: bool = False) -> DataFrame:
+    """The dimension with the candidates it did not know (``is_new``), from
+    one join: candidates are computed once.  Known places keep their id and
+    details; with ``fill_null`` their null details are filled.
 
-    Large deltas: a distributed sort (range partitions, sorted inside),
-    checkpointed once to the shared folder so its layout is fixed.  A row's
-    position is the rows of all earlier partitions plus its index inside its
-    own partition; the per-partition offsets are one row per partition.
+    Fails if two places get one id (also with ids that were stored before):
+    facts of both would be mixed up.
     """
-    n = rows.limit(single_task_rows + 1).count()
-    if n <= single_task_rows:
-        pos = F.row_number().over(Window.orderBy(*order))
-        return rows.withColumn("place_id", (start + pos).cast("long"))
-    spark = rows.sparkSession
-    tables.shared_dir(spark)
-    parts = partitions or spark.sparkContext.defaultParallelism
-    laid = (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-            .withColumns({"_part": F.spark_partition_id(),
-                          # index inside the partition, stored by the checkpoint
-                          "_index": F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)})
-            .checkpoint(eager=True))
-    sizes = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a single-task window over it is bounded
-    offsets = sizes.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    return (laid.join(F.broadcast(offsets), "_part")
-            .withColumn("place_id", (start + F.col("_before") + F.col("_index") + 1).cast("long"))
-            .drop("_part", "_index", "_before"))
-
-
-def max_id(existing: DataFrame) -> Column:
-    """Largest id in the dimension as a scalar sub-query (0 when empty)."""
-    return F.coalesce(existing.select(F.max("place_id")).scalar(), F.lit(0)).cast("long")
+    e, c = existing.select(*COLUMNS).alias("e"), candidates.alias("c")
+    new = F.col("e.place_id").isNull()
+    kept = {d: F.coalesce(F.col(f"e.{d}"), F.col(f"c.{d}")) if fill_null
+            else F.when(new, F.col(f"c.{d}")).otherwise(F.col(f"e.{d}")) for d in DETAILS}
+    merged = e.join(c, KEY, "full").select(
+        F.coalesce(F.col("e.place_id"), place_id(F.col("name"), F.col("country"))).alias("place_id"),
+        *KEY, *[v.alias(d) for d, v in kept.items()], new.alias("is_new"))
+    rest = [x for x in merged.columns if x != "place_id"]
+    one = merged.groupBy("place_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*rest)).alias("r"))
+    checked = F.when(F.col("n") > 1, F.raise_error(F.concat(
+        F.lit("two places have id "), F.col("place_id").cast("string"))).cast("long")).otherwise(F.col("place_id"))
+    return one.select(checked.alias("place_id"), "r.*")
 
 
 def upsert_places(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Insert-only upsert: the dimension plus candidates it did not know,
-    with ids continuing after the largest existing id."""
-    fresh = assign_ids(new_places(candidates, existing), KEY, max_id(existing))
-    return existing.select(*COLUMNS).unionByName(fresh.select(*COLUMNS))
+    """Insert-only upsert: the dimension plus candidates it did not know."""
+    return merge_places(existing, candidates).select(*COLUMNS)
 
 
 def fill_null_details(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     """Upsert, then fill details that are null in the dimension from the
     candidates (stored values are never replaced by new ones)."""
-    up = upsert_places(existing, candidates).alias("u")
-    c = candidates.alias("c")
-    return up.join(c, KEY, "left").select(
-        "place_id", *KEY,
-        *[F.coalesce(F.col(f"u.{d}"), F.col(f"c.{d}")).alias(d) for d in DETAILS],
-    )
+    return merge_places(existing, candidates, fill_null=True).select(*COLUMNS)

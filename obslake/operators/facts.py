@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from obslake.functions.paths import at
 from obslake.operators.dedupe import dedupe
-from obslake.operators.lookup import DEFAULT_BROADCAST_ROWS, attach_place
+from obslake.operators.lookup import attach_place
 from obslake.specs import PAYLOAD, FactSpec, ForecastSpec
 
 
-def current_fact(parsed: DataFrame, dimension: DataFrame, spec: FactSpec,
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def current_fact(parsed: DataFrame, dimension: DataFrame, spec: FactSpec) -> DataFrame:
     """Parsed feed -> one row per (place_id, fetched_at).
 
-    Field map applied, place looked up (broadcast, narrow), then one shuffle
-    on the fact key for the deterministic dedupe.  Rows without an event or
+    Field map applied, place looked up, then one shuffle on the fact key for
+    the deterministic dedupe.  Rows without an event or
     fetch time are rejected before the key is formed.
     """
     p = F.col(PAYLOAD)
@@ -28,7 +27,7 @@ def current_fact(parsed: DataFrame, dimension: DataFrame, spec: FactSpec,
             *[at(p, path).alias(name) for name, path in spec.fields.items()],
         )
     )
-    joined = attach_place(measures, dimension, max_broadcast_rows)
+    joined = attach_place(measures, dimension)
     return dedupe(joined, spec.keys, "rank").select(*spec.columns)
 
 
@@ -38,7 +37,8 @@ def forecast_days(parsed: DataFrame, spec: ForecastSpec) -> DataFrame:
     One generator over the concatenation of all pollutant arrays (tagged
     with their pollutant), instead of one scan + explode per pollutant and a
     union: the payload is read once.  A missing or empty array contributes
-    no row; a day that does not parse is dropped.
+    no row; a day that does not parse is dropped.  The position in the arrays
+    is part of the rank: of a day listed twice the first one wins.
     """
     daily = at(F.col(PAYLOAD), spec.daily_path)
     def tag(name: str):
@@ -51,9 +51,9 @@ def forecast_days(parsed: DataFrame, spec: ForecastSpec) -> DataFrame:
         parsed
         .where(daily.isNotNull() & F.col("fetched_at").isNotNull())
         .select("place_key", "country", "fetched_at", "rank",
-                F.explode(F.flatten(F.array(*tagged))).alias("f"))
+                F.posexplode(F.flatten(F.array(*tagged))).alias("pos", "f"))
         .select(
-            "place_key", "country", "fetched_at", "rank",
+            "place_key", "country", "fetched_at", F.struct("rank", "pos").alias("rank"),
             F.col("f.pollutant").alias("pollutant"),
             F.col("f.d.day").try_cast("date").alias("forecast_date"),
             F.col("f.d.min").cast("double").alias("value_min"),
@@ -64,7 +64,6 @@ def forecast_days(parsed: DataFrame, spec: ForecastSpec) -> DataFrame:
     )
 
 
-def forecast_fact(parsed: DataFrame, dimension: DataFrame, spec: ForecastSpec,
-                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    joined = attach_place(forecast_days(parsed, spec), dimension, max_broadcast_rows)
+def forecast_fact(parsed: DataFrame, dimension: DataFrame, spec: ForecastSpec) -> DataFrame:
+    joined = attach_place(forecast_days(parsed, spec), dimension)
     return dedupe(joined, spec.keys, "rank").select(*spec.columns)

@@ -44,37 +44,26 @@ def unseen(batch: DataFrame, stored: DataFrame, keys: Sequence[str],
     return batch.join(stored_keys(stored, keys, bound_col, bound), list(keys), "left_anti")
 
 
-# Batches spanning more days than this read the target through Spark's own
-# (parallel) listing plus partition pruning instead of per-day folders.
-MAX_DAY_FOLDERS = 366
-
-
-def lower_bound(batch: DataFrame, col: str) -> _dt.datetime | None:
-    """Smallest ``col`` of a (persisted) batch: one scalar to the driver."""
-    return batch.agg(F.min(col)).first()[0]
-
-
 def fetch_range(batch: DataFrame, col: str) -> tuple[_dt.datetime | None, _dt.datetime | None]:
     """Smallest and largest ``col`` of a (persisted) batch: two scalars."""
     lo, hi = batch.agg(F.min(col), F.max(col)).first()
     return lo, hi
 
 
+DAY_FOLDER = "fetched_date="
+
+
 def read_days(spark: SparkSession, target: str, schema, first: _dt.date,
               last: _dt.date) -> DataFrame:
     """The ``fetched_date`` folders of ``target`` from ``first`` to ``last``.
 
-    A path read lists every day ever appended before it prunes; an hourly
-    run needs one or two of them, so only those folders are opened (one
-    existence check per day on the driver).  Longer ranges fall back to the
-    pruned read of the whole table.
+    One listing of the target names its day folders; only those of the range
+    are opened (a path read would list the files of every day ever appended
+    before it prunes).
     """
-    n = (last - first).days + 1
-    if n > MAX_DAY_FOLDERS:
-        return spark.read.schema(schema).parquet(target)
-    paths = [f"{target}/fetched_date={(first + _dt.timedelta(days=i)).isoformat()}"
-             for i in range(n)]
-    present = [p for p in paths if tables.exists(spark, p)]
+    lo, hi = first.isoformat(), last.isoformat()
+    present = [f"{target}/{name}" for name, _, _ in tables.children(spark, target)
+               if name.startswith(DAY_FOLDER) and lo <= name.removeprefix(DAY_FOLDER) <= hi]
     if not present:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", target).parquet(*present)
@@ -97,54 +86,64 @@ def write_facts(df: DataFrame, target: str) -> None:
 
 
 def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequence[str],
-                  bound_col: str | None = "fetched_at") -> int:
+                  bounds: tuple[_dt.datetime, _dt.datetime] | None = None) -> dict[str, int]:
     """Anti-join ``batch`` against the file target, append what is new and
-    return the number of rows appended.
-
-    The target is Parquet partitioned by ``fetched_date``.  Actions: the
-    fetch range (two scalars, only when the target exists), one count that
-    also fills the cache, and the write, which reads the cache.  Only the
-    target's days inside the batch's fetch range are read.
+    return the rows ``calculated`` (in the batch) and ``inserted``.
+
+    The target is Parquet partitioned by ``fetched_date``.  Where the fetch
+    time is one of the ``keys``, a stored row can only match a batch row of
+    its day, so only the days of the batch's fetch range are read (``bounds``
+    where the caller knows a range that holds the batch, else one aggregate);
+    for other keys all stored keys are.  One action marks and counts the
+    batch and fills the cache that the write reads.
     """
+    batch = batch.persist() if bounds is None and "fetched_at" in keys else batch
+    marked = batch.withColumn("_stored", F.lit(False))
     if tables.exists(spark, target):
-        batch = batch.persist()
-        lo, hi = fetch_range(batch, bound_col) if bound_col else (None, None)
         # explicit schema: a run that appended nothing leaves no data file
         schema = with_fetched_date(batch).schema
-        if bound_col == "fetched_at" and lo is not None:
-            stored = read_days(spark, target, schema, lo.date(), hi.date())
+        if "fetched_at" in keys:
+            lo, hi = bounds or fetch_range(batch, "fetched_at")
+            stored = (read_days(spark, target, schema, lo.date(), hi.date()) if lo is not None
+                      else spark.createDataFrame([], schema))
+            known = stored_keys(stored, keys, "fetched_at", lo)
         else:
-            stored = spark.read.schema(schema).parquet(target)
-        new = unseen(batch, stored, keys, bound_col, lo).persist()
-    else:
-        batch, new = None, batch.persist()
+            known = stored_keys(spark.read.schema(schema).parquet(target), keys)
+        known = known.distinct().withColumn("_stored", F.lit(True))
+        marked = (batch.join(known, list(keys), "left").select(*batch.columns, F.coalesce("_stored", F.lit(False)).alias("_stored")))
+    marked = marked.persist()
     try:
-        n = new.count()
+        n, new = marked.agg(F.count(F.lit(1)), F.count_if(~F.col("_stored"))).first()
         # Guarded write: an empty partitioned append would leave a stray
         # unpartitioned file in the target.
-        if n:
-            write_facts(new, target)
-        return n
+        if new:
+            write_facts(marked.where(~F.col("_stored")).drop("_stored"), target)
+        return {"calculated": n, "inserted": new}
     finally:
-        new.unpersist()
-        if batch is not None:
-            batch.unpersist()
+        marked.unpersist()
+        batch.unpersist()
 
 
-def compact_day(spark: SparkSession, target: str, day: _dt.date, files: int = 1) -> int:
-    """Rewrite one ``fetched_date`` partition of a fact target as ``files``
-    files; returns its row count.
+def compact_day(spark: SparkSession, target: str, day: _dt.date) -> int:
+    """Rewrite one ``fetched_date`` partition of a fact target in files of
+    about the advisory size; returns its row count.
 
     The day is checkpointed first (reliable, in the shared folder): that
     materializes it once and cuts the plan's link to the target path, so
     the dynamic overwrite of that single partition never reads what it is
-    replacing.  Other days are untouched.
+    replacing.  Other days are untouched.  If the day's files changed since
+    the read (a load appended to it), nothing is replaced and the call fails:
+    compact days that no load writes to any more, or try again.
     """
     tables.shared_dir(spark)
+    folder = f"{target}/{DAY_FOLDER}{day.isoformat()}"
+    before = tables.children(spark, folder)
     part = spark.read.parquet(target).where(F.col("fetched_date") == F.lit(day))
-    data = part.repartition(files).checkpoint(eager=True)
+    data = part.hint("rebalance").checkpoint(eager=True)
     n = data.count()
     if n:
-        (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if tables.children(spark, folder) != before:
+            raise RuntimeError(f"{folder} changed while it was compacted")
+        (data.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("fetched_date").parquet(target))
     return n

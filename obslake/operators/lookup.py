@@ -1,10 +1,8 @@
 """Joining measures to the place dimension.
 
-The dimension grows with the number of places, not with observations, but
-its size is still *checked* before it is broadcast: ``limit(n + 1).count()``
-reads at most ``n + 1`` rows.  Beyond the bound the join stays a shuffle join
-(AQE may still switch it to a broadcast from runtime statistics, and splits
-skewed measure partitions).
+The join is left to the optimizer: the dimension is broadcast where Spark's
+own size estimate (or the bytes that adaptive execution measured) is under
+its threshold, else it is a shuffle join, of which hot keys are split.
 """
 
 from __future__ import annotations
@@ -14,33 +12,21 @@ from pyspark.sql import functions as F
 
 from obslake.functions import names
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def lookup_table(dimension: DataFrame) -> DataFrame:
-    """Dimension reduced to (place_key, country) -> place_id."""
-    return dimension.select(
-        "place_id",
-        names.lookup_key(F.col("name")).alias("place_key"),
-        "country",
-    ).where(F.col("place_key").isNotNull())
+    """Dimension reduced to (place_key, country) -> place_id.  Names that
+    share a lookup key (``Straße`` / ``Strasse``) share the smallest id, so a
+    measure never joins twice."""
+    return (dimension.select("place_id", names.lookup_key(F.col("name")).alias("place_key"), "country")
+            .where(F.col("place_key").isNotNull())
+            .groupBy("place_key", "country").agg(F.min("place_id").alias("place_id")))
 
 
-def attach_place(rows: DataFrame, dimension: DataFrame,
-                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def attach_place(rows: DataFrame, dimension: DataFrame) -> DataFrame:
     """Inner join on (lookup key, country).
 
     Country is part of the key so equal names in two countries do not fan
     out.  Rows whose place is unknown are dropped (count them with
-    :func:`obslake.operators.metrics.feed_metrics`).  ``max_broadcast_rows``
-    None: the caller already checked the dimension (and hinted it).
+    :func:`obslake.operators.metrics.feed_metrics`).
     """
-    lk = lookup_table(dimension)
-    if max_broadcast_rows is not None:
-        lk = broadcast_if_small(lk, max_broadcast_rows)
-    return rows.join(lk, ["place_key", "country"], "inner").drop("place_key", "country")
+    return rows.join(lookup_table(dimension), ["place_key", "country"], "inner").drop("place_key", "country")

@@ -48,6 +48,7 @@ def parse_payload(envelope: DataFrame, spec: FeedSpec) -> DataFrame:
         names.display_name(F.col("place_name")).alias("place_name"),
         tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
         rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
+        "country",
         F.from_json(F.col("payload"), spec.payload_schema).alias(PAYLOAD),
     )
 
@@ -58,7 +59,8 @@ def parse_payloads(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
     Rows are routed by URL host (``feed``); a successful response's payload
     is parsed with its own feed's schema only (one ``from_json`` per row, in
     column ``_p_<feed>``).  Failed responses stay, unparsed, so raw counts
-    come from the same pass.  :func:`feed_rows` takes one feed back out.
+    come from the same pass; so do rows of no feed, with a null ``feed``.
+    :func:`feed_rows` takes one feed back out.
     """
     url = F.col("url")
     feed = None
@@ -73,28 +75,30 @@ def parse_payloads(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
         names.display_name(F.col("place_name")).alias("place_name"),
         tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
         rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
+        "country",
         *[F.when(ok & (feed == F.lit(f.name)),
                  F.from_json(F.col("payload"), f.payload_schema)).alias(f"_p_{f.name}")
           for f in feeds],
-    ).where(F.col("feed").isNotNull())
+    )
 
 
 def feed_rows(parsed_all: DataFrame, spec: FeedSpec) -> DataFrame:
     """One feed's successful responses out of :func:`parse_payloads`, with
     the columns of :func:`parse_payload`."""
     return parsed_all.where((F.col("feed") == F.lit(spec.name)) & F.col("ok")).select(
-        "request_id", "place_name", "fetched_at", "rank", F.col(f"_p_{spec.name}").alias(PAYLOAD))
+        "request_id", "place_name", "fetched_at", "rank", "country", F.col(f"_p_{spec.name}").alias(PAYLOAD))
 
 
 def validate(parsed: DataFrame, spec: FeedSpec, country: str | None = None) -> DataFrame:
-    """Valid payloads with a display name; adds the lookup key, the feed's
-    country and ``measured_at`` (UTC wall clock, spec's event-time rule)."""
+    """Valid payloads with a display name; adds the lookup key, the country
+    (that of the request, else the feed's) and ``measured_at`` (UTC wall
+    clock, spec's event-time rule)."""
     p = F.col(PAYLOAD)
     return parsed.where(spec.valid(p) & F.col("place_name").isNotNull()).select(
         "request_id",
         "place_name",
         names.lookup_key(F.col("place_name")).alias("place_key"),
-        F.lit(country or spec.country).alias("country"),
+        F.coalesce(F.col("country"), F.lit(country or spec.country)).alias("country"),
         "fetched_at",
         spec.event_time(p, F.col("fetched_at")).alias("measured_at"),
         "rank",

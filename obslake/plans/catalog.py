@@ -1,6 +1,6 @@
 """Registered queries: every operator of the blueprint run over the driver
 tables (whole tables; the feeds are derived from them, see
-:mod:`obslake.sources.fixtures`).
+:mod:`obslake.plans.derived_feed`).
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose columns
 match the oracle SQL of :mod:`obslake.plans.oracle`.  Entries that land data
@@ -11,6 +11,7 @@ shared folder (``spark.checkpoint.dir``), always to a fresh path.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 from obslake.operators import alert, dedupe, dims, facts, incremental, metrics, parse
-from obslake.operators.lookup import attach_place, broadcast_if_small
-from obslake.plans import raw_hour, silver
-from obslake.sources import fetch, fixtures, raw, tables
+from obslake.operators.lookup import attach_place
+from obslake.plans import derived_feed, raw_hour, silver
+from obslake.sources import fetch, raw, tables
 from obslake.streaming import alert as stream_alert
 from obslake.streaming import incremental as stream_inc
 
@@ -29,25 +30,33 @@ A, B = specs.AIR_QUALITY, specs.WEATHER
 # Fixed value: facts with a fetch time before this instant are "already
 # stored" in the incremental-load queries (the month is loaded in two runs).
 STORED_UNTIL = "2024-01-16 00:00:00"
+# Fixed value: the second load of these queries starts here, so it overlaps.
+OVERLAP_FROM = "2024-01-10 00:00:00"
+# The hour that the silver query loads by itself first, and the
+# places (by number) that answer the first time in the rerun query, whose day
+# is the same.
+FIRST_DT, FIRST_HOUR = "2024-01-10", "09"
+ANSWERING_FIRST = 10
 
 
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [fixtures.load(spark, sf_dir, n) for n in names]
+    return [derived_feed.load(spark, sf_dir, n) for n in names]
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` range-partitioned by time: the bounds are sampled from
-    cheap columns, the (expensive) derived responses are then built in
-    parallel, and each task holds a contiguous run of hours.  ``event_id``
-    breaks ties, so a single hot instant is still split across tasks."""
-    (events,) = _tables(spark, sf_dir, "events")
-    return events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts", "event_id")
+def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived responses as envelopes (a projection, not landed)."""
+    events, nation = _tables(spark, sf_dir, "events", "nation")
+    return raw.envelope(derived_feed.responses(events, nation))
 
 
-def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived responses as envelopes (built in the plan, not landed)."""
-    (nation,) = _tables(spark, sf_dir, "nation")
-    return raw.envelope(fixtures.responses(_events(spark, sf_dir), nation))
+def _by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from ``events`` range-partitioned by time: the bounds are
+    sampled from cheap columns, the (expensive) derived responses are then
+    built in parallel, and each task holds a contiguous run of hours.
+    ``event_id`` breaks ties, so a single hot instant is still split across
+    tasks."""
+    events, nation = _tables(spark, sf_dir, "events", "nation")
+    return raw.envelope(derived_feed.responses(events.repartitionByRange("ts", "event_id"), nation))
 
 
 _LANDED: dict[tuple[str, str], str] = {}
@@ -61,7 +70,7 @@ def landed_root(spark: SparkSession, sf_dir: str) -> str:
     root = _LANDED.get(key)
     if root is None or not tables.exists(spark, root):
         root = tables.scratch_path(spark, "landed")
-        raw.land(envelope(spark, sf_dir), root, fmt="parquet", partition_by=("dt",))
+        raw.land(_by_hour(spark, sf_dir), root, fmt="parquet", partition_by=("dt",))
         _LANDED[key] = root
     return root
 
@@ -76,7 +85,7 @@ def parsed(spark: SparkSession, sf_dir: str, spec: specs.FeedSpec) -> DataFrame:
 
 def place_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     (nation,) = _tables(spark, sf_dir, "nation")
-    return fixtures.nation_dimension(nation)
+    return derived_feed.nation_dimension(nation)
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +94,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     (nation,) = _tables(spark, sf_dir, "nation")
-    return fixtures.stored_dimension(nation)
+    return derived_feed.stored_dimension(nation)
 
 
 # ---------------------------------------------------------------- parse
@@ -117,23 +126,22 @@ def raw_envelope(spark, sf_dir):
 
 def raw_partition_roundtrip(spark, sf_dir):
     root = tables.scratch_path(spark, "raw")
-    # a backfill of every hour: one range partition per core, so the hour
-    # folders are created in parallel whatever the data size
-    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root, cluster=True,
-             tasks=spark.sparkContext.defaultParallelism)
+    raw.land(landed(spark, sf_dir).drop("dt", "hour"), root, cluster=True)
     return raw.read_raw(spark, root).select(
         "request_id", "feed", "place_name", "http_status", "ok", "fetched_at_utc", "dt", "hour")
 
 
 def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places to fetch: every customer, with its nation as the country."""
+    """Places to fetch: every customer, with its nation as the country; each
+    seventh name is a place in the next nation too."""
     customer, nation = _tables(spark, sf_dir, "customer", "nation")
-    nat = broadcast_if_small(nation.select("n_nationkey", "n_name"), 10_000)
-    return customer.join(nat, customer.c_nationkey == nat.n_nationkey) \
-                   .select(F.col("c_name").alias("place_name"), F.col("n_name").alias("country"))
+    own = F.col("c_nationkey")
+    both = F.when(F.col("c_custkey") % 7 == 0, F.array(own, (own + 1) % 25)).otherwise(F.array(own))
+    return (customer.select("c_name", F.explode(both).alias("of")).join(nation, F.col("of") == F.col("n_nationkey"))
+            .select(F.col("c_name").alias("place_name"), F.col("n_name").alias("country")))
 
 
-TOKENS = {A.name: fixtures.FAKE_TOKEN, B.name: fixtures.FAKE_TOKEN}
+TOKENS = {A.name: derived_feed.FAKE_TOKEN, B.name: derived_feed.FAKE_TOKEN}
 # Fixed value: the fetch stamp of the registered raw-ingest run, as the
 # scheduler renders it (ISO with an offset); it lands in the UTC hour
 # dt=2024-01-31 / hour=09.
@@ -142,7 +150,7 @@ RUN_STAMP = "2024-01-31T10:00:12.345+01:00"
 
 def request_manifest(spark, sf_dir):
     m = fetch.manifest(_customer_places(spark, sf_dir), [A, B], TOKENS, country_col="country")
-    return m.select("place_name", "feed", redact_secrets(F.col("url")).alias("url"))
+    return m.select("place_name", "country", "feed", redact_secrets(F.col("url")).alias("url"))
 
 
 def raw_ingest_hour(spark, sf_dir):
@@ -150,11 +158,11 @@ def raw_ingest_hour(spark, sf_dir):
     injected stand-in client) -> envelope -> JSON hour partition, read back
     partition-pruned."""
     root = tables.scratch_path(spark, "raw-hour")
-    raw_hour.run(spark, _customer_places(spark, sf_dir), TOKENS, root, fixtures.stand_in_fetch,
+    raw_hour.run(spark, _customer_places(spark, sf_dir), TOKENS, root, derived_feed.stand_in_fetch,
                  RUN_STAMP, parallelism=spark.sparkContext.defaultParallelism,
                  country_col="country")
     return raw.read_raw(spark, root, dt="2024-01-31", hour="09").select(
-        "feed", "place_name", "url", "http_status", "ok", "error", "fetched_at_utc", "payload",
+        "feed", "place_name", "country", "url", "http_status", "ok", "error", "fetched_at_utc", "payload",
         "dt", "hour")
 
 
@@ -221,22 +229,40 @@ def dedupe_deterministic(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- incremental
-def _stored_then_unseen(spark, batch: DataFrame, keys) -> DataFrame:
-    """Store the facts fetched before STORED_UNTIL, then return what an
-    incremental load of the whole batch would insert."""
+def _two_loads(spark, first: DataFrame, second: DataFrame, keys) -> DataFrame:
+    """Append two batches that overlap; what the target holds then."""
     target = tables.scratch_path(spark, "fact")
-    until = F.lit(STORED_UNTIL).cast("timestamp_ntz")
-    incremental.write_facts(batch.where(F.col("fetched_at") < until), target)
-    stored = spark.read.parquet(target)
-    return incremental.unseen(batch, stored, keys)
+    for batch in (first, second):
+        incremental.append_unseen(spark, batch, target, keys)
+    return spark.read.parquet(target).drop("fetched_date")
+
+
+def _fetched(batch: DataFrame, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    at = F.col("fetched_at")
+    if lo is not None:
+        batch = batch.where(at >= F.lit(lo).cast("timestamp_ntz"))
+    return batch if hi is None else batch.where(at < F.lit(hi).cast("timestamp_ntz"))
 
 
 def incremental_2key(spark, sf_dir):
-    return _stored_then_unseen(spark, fact_current_a(spark, sf_dir), specs.AIR_QUALITY_CURRENT.keys)
+    fact = fact_current_a(spark, sf_dir)
+    return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), _fetched(fact, lo=OVERLAP_FROM),
+                      specs.AIR_QUALITY_CURRENT.keys)
 
 
 def incremental_4key(spark, sf_dir):
-    return _stored_then_unseen(spark, forecast_long(spark, sf_dir), specs.AIR_QUALITY_FORECAST.keys)
+    fact = forecast_long(spark, sf_dir)
+    return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), _fetched(fact, lo=OVERLAP_FROM),
+                      specs.AIR_QUALITY_FORECAST.keys)
+
+
+def incremental_measured(spark, sf_dir):
+    """A key without the fetch time: readings fetched again a day later are
+    not stored again."""
+    spec = replace(specs.AIR_QUALITY_CURRENT, keys=("place_id", "measured_at"))
+    fact = facts.current_fact(parsed(spark, sf_dir, A), place_dimension(spark, sf_dir), spec)
+    later = fact.withColumn("fetched_at", F.timestamp_add("DAY", F.lit(1), F.col("fetched_at")))
+    return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), later, spec.keys)
 
 
 def incremental_stream(spark, sf_dir):
@@ -259,8 +285,7 @@ def failure_alert(spark, sf_dir):
 
 def failure_alert_stream(spark, sf_dir):
     """The alert as a stream: the file source reads ``events`` (availableNow),
-    raised windows are appended to a Parquet table once the watermark passed
-    them (windows of the last minutes stay open), then read back."""
+    raised windows go to a Parquet table and are read back, all of them."""
     (events,) = _tables(spark, sf_dir, "events")
     # the file source reads folders or globs; this glob is the one file
     source = spark.readStream.schema(events.schema).parquet(
@@ -268,17 +293,52 @@ def failure_alert_stream(spark, sf_dir):
     target = tables.scratch_path(spark, "alert-stream")
     stream_alert.run_available(source, "ts", F.col("event_type") == F.lit("error"), target,
                                tables.scratch_path(spark, "alert-stream-ckpt"))
-    return spark.read.parquet(target)
+    return stream_alert.read_alerts(spark, target)
 
 
-def silver_hour(spark, sf_dir):
-    """The whole silver job over every landed hour: dimension upsert, three
-    facts, incremental appends; returns rows inserted per fact."""
+def _silver_base(spark, sf_dir) -> str:
     base = tables.scratch_path(spark, "silver")
     stored_dimension(spark, sf_dir).write.parquet(f"{base}/dimension/v0")
-    silver.run(spark, landed_root(spark, sf_dir), f"{base}/dimension/v0", f"{base}/dimension/v1",
-               base, fmt="parquet")
-    return silver.inserted_counts(spark, base)
+    return base
+
+
+def silver_hour(spark, sf_dir):
+    """The silver job in two loads, a single hour and then every landed hour
+    (that one included): every row of the facts and the dimension."""
+    base, root = _silver_base(spark, sf_dir), landed_root(spark, sf_dir)
+    versions = [f"{base}/dimension/v{i}" for i in range(3)]
+    silver.run(spark, root, versions[0], versions[1], base, FIRST_DT, FIRST_HOUR, fmt="parquet")
+    silver.run(spark, root, versions[1], versions[2], base, fmt="parquet")
+    return silver.stored_tables(spark, base, versions[2])
+
+
+def silver_rerun(spark, sf_dir):
+    """A day loaded with few places answering, landed anew with all of them
+    and run again from the same dimension version: every row stored then."""
+    base, root = _silver_base(spark, sf_dir), tables.scratch_path(spark, "raw-day")
+    day = landed(spark, sf_dir).where(F.col("dt") == F.lit(FIRST_DT).cast("date")).drop("dt", "hour")
+    number = F.regexp_extract(F.lower("place_name"), r"nation_(\d+)", 1).try_cast("int")
+    for rows in (day.where(number < ANSWERING_FIRST), day):
+        raw.land(rows, root, fmt="parquet", partition_by=("dt",))
+        silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base, FIRST_DT, fmt="parquet")
+    return silver.stored_tables(spark, base, f"{base}/dimension/v1")
+
+
+def silver_metrics(spark, sf_dir):
+    """The metrics of one silver run over every landed hour."""
+    base = _silver_base(spark, sf_dir)
+    found = silver.run(spark, landed_root(spark, sf_dir), f"{base}/dimension/v0", f"{base}/dimension/v1", base,
+                       fmt="parquet")
+    return spark.createDataFrame(sorted(found.items()), "metric string, value bigint")
+
+
+def silver_stream(spark, sf_dir):
+    """The silver step as a stream over the landed files: dimension upsert
+    and three facts per micro-batch; every row stored."""
+    base = _silver_base(spark, sf_dir)
+    stream_inc.run_silver(spark, landed_root(spark, sf_dir), f"{base}/dimension", base,
+                          tables.scratch_path(spark, "silver-ckpt"), fmt="parquet")
+    return silver.stored_tables(spark, base, f"{base}/dimension/v1")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -299,6 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_long": forecast_long,
     "incremental_2key": incremental_2key,
     "incremental_4key": incremental_4key,
+    "incremental_measured": incremental_measured,
     "dedupe_deterministic": dedupe_deterministic,
     "run_metrics": run_metrics,
     "failure_alert": failure_alert,
@@ -306,4 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_stream": incremental_stream,
     "partition_keys": partition_keys,
     "silver_hour": silver_hour,
+    "silver_rerun": silver_rerun,
+    "silver_metrics": silver_metrics,
+    "silver_stream": silver_stream,
 }

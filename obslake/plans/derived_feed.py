@@ -45,13 +45,12 @@ from pyspark.sql import functions as F
 from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import fill_template, percent_encode
-from obslake.operators.lookup import broadcast_if_small
 
 FAKE_TOKEN = "s3cr3t"
 
 # Answers of the stand-in HTTP client, a function of the
 # customer number n in the requested URL (``Customer%23<n>``):
-# network error ``timeout`` when n % 17 = 0; status 500 with an empty body
+# network error, whose text quotes the URL, when n % 17 = 0; status 500 with an empty body
 # when n % 11 = 0; weather answers 404 with CITY_NOT_FOUND when n % 5 = 0;
 # otherwise 200 with AIR_OK (aqi = n % 300) or WEATHER_OK (id = n).
 CITY_NOT_FOUND = '{"cod":"404","message":"city not found"}'
@@ -65,7 +64,7 @@ def stand_in_fetch(url: str) -> tuple[int, str]:
     above); raises like a client whose request timed out."""
     n = int(_CUSTOMER_IN_URL.search(url).group(1))
     if n % 17 == 0:
-        raise TimeoutError("timeout")
+        raise TimeoutError(f"timeout {url}")
     if n % 11 == 0:
         return 500, ""
     if specs.WEATHER.url_marker in url:
@@ -86,7 +85,7 @@ def _json_str(c: Column) -> Column:
 
 
 def _base(events: DataFrame, nation: DataFrame) -> DataFrame:
-    nat = broadcast_if_small(nation.select("n_nationkey", "n_name"), 10_000)
+    nat = nation.select("n_nationkey", "n_name")
     e = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),

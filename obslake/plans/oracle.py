@@ -1,6 +1,6 @@
 """DuckDB SQL computing every registered query straight from the base
 tables, with no JSON: the derivation rules of
-:mod:`obslake.sources.fixtures` are applied as column arithmetic, so the
+:mod:`obslake.plans.derived_feed` are applied as column arithmetic, so the
 Spark side (JSON text -> parse -> validate -> facts) is really checked.
 """
 
@@ -43,48 +43,57 @@ vb AS (  -- valid weather rows
 )
 """.replace("{name}", INITCAP.format(x="place_raw"))
 
-# Candidates per feed (first request wins), full join, coalesce.
-CANDIDATES = """,
-ca AS (
+# The id of a place: the first 15 hex digits of the md5 of its natural key.
+PLACE_ID = "CAST('0x' || md5(name || chr(31) || country)[1:15] AS BIGINT)"
+
+STORED = """,
+stored AS (
+  SELECT CAST(n_nationkey + 1 AS BIGINT) AS place_id, {initcap_n} AS name, 'FR' AS country,
+         CASE WHEN n_nationkey % 3 <> 0 THEN CAST(n_nationkey * 5 AS DOUBLE) END AS latitude,
+         CAST(NULL AS DOUBLE) AS longitude, CAST(NULL AS VARCHAR) AS air_name,
+         CAST(NULL AS VARCHAR) AS weather_name
+  FROM nation WHERE n_regionkey < 3
+)
+""".replace("{initcap_n}", INITCAP.format(x="n_name"))
+
+
+def upserted(n: int, before: str, where: str) -> str:
+    """CTEs of one upsert into ``before``: candidates per feed among the rows
+    of ``where`` (first request wins), full join, coalesce, fresh rows."""
+    return f""",
+ca{n} AS (
   SELECT place_name AS name, 'FR' AS country,
          arg_min(CAST(nk AS DOUBLE), event_id) AS lat_a,
          arg_min(CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(nk * 10 AS DOUBLE) END, event_id) AS lon_a,
          arg_min(n_name, event_id) AS air_name
-  FROM va GROUP BY place_name
+  FROM va WHERE {where} GROUP BY place_name
 ),
-cb AS (
+cb{n} AS (
   SELECT place_name AS name, 'FR' AS country,
          arg_min(CAST(nk * 2 AS DOUBLE), event_id) AS lat_b,
          arg_min(CAST(nk * 3 AS DOUBLE), event_id) AS lon_b,
          arg_min(n_name, event_id) AS weather_name
-  FROM vb GROUP BY place_name
+  FROM vb WHERE {where} GROUP BY place_name
 ),
-cand AS (
-  SELECT coalesce(ca.name, cb.name) AS name, coalesce(ca.country, cb.country) AS country,
+cand{n} AS (
+  SELECT coalesce(a.name, b.name) AS name, coalesce(a.country, b.country) AS country,
          coalesce(lat_a, lat_b) AS latitude, coalesce(lon_a, lon_b) AS longitude,
          air_name, weather_name
-  FROM ca FULL OUTER JOIN cb ON ca.name = cb.name AND ca.country = cb.country
+  FROM ca{n} a FULL OUTER JOIN cb{n} b ON a.name = b.name AND a.country = b.country
 ),
-stored AS (
-  SELECT CAST(n_nationkey + 1 AS BIGINT) AS place_id, {initcap_n} AS name, 'FR' AS country,
-         CASE WHEN n_nationkey % 3 <> 0 THEN CAST(n_nationkey * 5 AS DOUBLE) END AS latitude,
-         CAST(NULL AS DOUBLE) AS longitude, CAST(NULL AS VARCHAR) AS air_name,
-         CAST(NULL AS VARCHAR) AS weather_name
-  FROM nation WHERE n_regionkey < 3
-),
-fresh AS (
-  SELECT * FROM cand c
-  WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.name = c.name AND s.country = c.country)
+fresh{n} AS (
+  SELECT * FROM cand{n} c
+  WHERE NOT EXISTS (SELECT 1 FROM {before} s WHERE s.name = c.name AND s.country = c.country)
 ),
-upserted AS (
-  SELECT * FROM stored
+upserted{n} AS (
+  SELECT * FROM {before}
   UNION ALL
-  SELECT CAST((SELECT coalesce(max(place_id), 0) FROM stored)
-              + row_number() OVER (ORDER BY name, country) AS BIGINT) AS place_id,
-         name, country, latitude, longitude, air_name, weather_name
-  FROM fresh
+  SELECT {PLACE_ID} AS place_id, name, country, latitude, longitude, air_name, weather_name FROM fresh{n}
 )
-""".replace("{initcap_n}", INITCAP.format(x="n_name"))
+"""
+
+
+CANDIDATES = STORED + upserted(1, "stored", "true")
 
 FACT_A = """
 SELECT place_id, measured_at, fetched_at, aqi, dominant_pollutant, co, no2, o3, so2, pm10,
@@ -149,6 +158,43 @@ FROM (
 
 STORED_UNTIL = "TIMESTAMP '2024-01-16 00:00:00'"
 
+
+def silver_rows(dimension: str, where: str) -> str:
+    """Rows of the three facts among those of ``where`` and of the dimension,
+    as one table; places are named by ``dimension``."""
+    facts = {"air_quality_current": FACT_A, "weather_current": FACT_B, "air_quality_forecast": FORECAST}
+    parts = [f"""SELECT '{fact}' AS fact, u.place_id, f.* EXCLUDE (place_id)
+FROM ({sql}) f JOIN nation n ON f.place_id = n.n_nationkey + 1
+JOIN {dimension} u ON u.name = {INITCAP.format(x="n.n_name")} WHERE {where}""" for fact, sql in facts.items()]
+    parts.append(f"SELECT 'dimension' AS fact, * FROM {dimension}")
+    return " UNION ALL BY NAME ".join(f"({p})" for p in parts)
+
+
+def silver_counts() -> str:
+    facts = {"air_quality_current": FACT_A, "weather_current": FACT_B, "air_quality_forecast": FORECAST}
+    parts = ["SELECT 'raw_rows.' || feed AS metric, count(*) AS value FROM r GROUP BY feed"]
+    parts += [f"SELECT '{m}', 0" for m in ("raw_rows.unrouted", "dropped.air_quality", "dropped.weather")]
+    parts += ["SELECT 'candidates', count(*) FROM cand1", "SELECT 'dimension', count(*) FROM fresh1"]
+    parts += [f"SELECT '{m}', count(*) FROM ({sql})" for f, sql in facts.items() for m in (f, f"calculated.{f}")]
+    return " UNION ALL ".join(parts)
+
+
+FIRST_HOUR = "fetched_at = TIMESTAMP '2024-01-10 09:00:00'"
+FIRST_DAY = "CAST(fetched_at AS DATE) = DATE '2024-01-10'"
+ALERT = """
+WITH f AS (
+  SELECT date_trunc('minute', ts) AS m FROM events WHERE event_type = 'error'
+),
+win AS (
+  SELECT m - INTERVAL (o) MINUTE AS s, count(*) AS n FROM f, range(5) t(o) GROUP BY 1
+)
+SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, n AS n_failed,
+       EXISTS (SELECT 1 FROM win p WHERE p.s = win.s - INTERVAL 1 MINUTE) AS firing
+FROM win"""
+# Every customer in its nation, each seventh in the next one too.
+CUSTOMER_PLACES = """customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+       OR (c.c_custkey % 7 = 0 AND n.n_nationkey = (c.c_nationkey + 1) % 25)"""
+
 ENVELOPE = """
 SELECT event_id AS request_id, feed, place_raw AS place_name,
   CASE WHEN feed = 'air_quality'
@@ -160,7 +206,7 @@ SELECT event_id AS request_id, feed, place_raw AS place_name,
   http_status, http_status = 200 AS ok,
   CASE WHEN http_status = 200 THEN NULL WHEN http_status = 0 THEN 'ERROR: timeout'
        ELSE 'HTTP_' || CAST(http_status AS VARCHAR) END AS error,
-  strftime(fetched_at, '%Y-%m-%dT%H:%M:%S.000Z') AS fetched_at_utc
+  strftime(fetched_at, '%Y-%m-%dT%H:%M:%S.000Z') AS fetched_at_utc, CAST(NULL AS VARCHAR) AS country
 FROM r
 """
 
@@ -183,26 +229,26 @@ SELECT event_id AS request_id, feed, place_raw AS place_name, http_status,
        http_status = 200 AS ok, strftime(fetched_at, '%Y-%m-%dT%H:%M:%S.000Z') AS fetched_at_utc,
        CAST(fetched_at AS DATE) AS dt, strftime(fetched_at, '%H') AS hour
 FROM r""",
-    "request_manifest": """
-SELECT c.c_name AS place_name, f.feed,
+    "request_manifest": f"""
+SELECT c.c_name AS place_name, n.n_name AS country, f.feed,
   CASE WHEN f.feed = 'air_quality'
        THEN 'https://api.waqi.info/feed/' || replace(url_encode(c.c_name), '%2F', '/')
             || '/?token=***'
        ELSE 'https://api.openweathermap.org/data/2.5/weather?q='
             || replace(url_encode(c.c_name || ',' || lower(n.n_name)), '%2F', '/')
             || '&appid=***&units=metric&lang=fr' END AS url
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
+FROM {CUSTOMER_PLACES},
      (VALUES ('air_quality'), ('weather')) f(feed)""",
     "raw_ingest_hour": """
 WITH m AS (
-  SELECT c.c_name AS place_name, f.feed, CAST(substr(c.c_name, 10) AS INTEGER) AS n,
+  SELECT c.c_name AS place_name, n.n_name AS country, f.feed, CAST(substr(c.c_name, 10) AS INTEGER) AS n,
     CASE WHEN f.feed = 'air_quality'
          THEN 'https://api.waqi.info/feed/' || replace(url_encode(c.c_name), '%2F', '/')
               || '/?token=***'
          ELSE 'https://api.openweathermap.org/data/2.5/weather?q='
               || replace(url_encode(c.c_name || ',' || lower(n.n_name)), '%2F', '/')
               || '&appid=***&units=metric&lang=fr' END AS url
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
+  FROM {places},
        (VALUES ('air_quality'), ('weather')) f(feed)
 ),
 s AS (
@@ -210,31 +256,31 @@ s AS (
                  WHEN feed = 'weather' AND n % 5 = 0 THEN 404 ELSE 200 END AS http_status
   FROM m
 )
-SELECT feed, place_name, url, http_status, http_status = 200 AS ok,
-  CASE WHEN http_status = 200 THEN NULL WHEN http_status = 0 THEN 'ERROR: timeout'
+SELECT feed, place_name, country, url, http_status, http_status = 200 AS ok,
+  CASE WHEN http_status = 200 THEN NULL WHEN http_status = 0 THEN 'ERROR: timeout ' || url
        ELSE 'HTTP_' || http_status END AS error,
   '2024-01-31T09:00:12.345Z' AS fetched_at_utc,
-  CASE WHEN http_status = 0 THEN 'ERROR: timeout' WHEN http_status = 500 THEN ''
+  CASE WHEN http_status = 0 THEN 'ERROR: timeout ' || url WHEN http_status = 500 THEN ''
        WHEN http_status = 404 THEN '{"cod":"404","message":"city not found"}'
        WHEN feed = 'air_quality' THEN '{"status":"ok","data":{"aqi":' || (n % 300) || '}}'
        ELSE '{"cod":200,"id":' || n || '}' END AS payload,
   DATE '2024-01-31' AS dt, '09' AS hour
-FROM s""",
+FROM s""".replace("{places}", CUSTOMER_PLACES),
     "route_by_feed": BASE + "SELECT event_id AS request_id, feed, feed AS routed_feed FROM r",
     "partition_keys": """
 SELECT event_id AS request_id, CAST(ts AS DATE) AS dt_utc, strftime(ts, '%H') AS hour_utc,
        CAST(timezone('Europe/Paris', ts AT TIME ZONE 'UTC') AS DATE) AS dt_local,
        strftime(timezone('Europe/Paris', ts AT TIME ZONE 'UTC'), '%H') AS hour_local
 FROM events""",
-    "dim_candidates": BASE + CANDIDATES + "SELECT * FROM cand",
-    "dim_new_rows": BASE + CANDIDATES + "SELECT * FROM fresh",
-    "dim_upsert": BASE + CANDIDATES + "SELECT * FROM upserted",
+    "dim_candidates": BASE + CANDIDATES + "SELECT * FROM cand1",
+    "dim_new_rows": BASE + CANDIDATES + "SELECT * FROM fresh1",
+    "dim_upsert": BASE + CANDIDATES + "SELECT * FROM upserted1",
     "dim_fill_null": BASE + CANDIDATES + """
 SELECT u.place_id, u.name, u.country,
        coalesce(u.latitude, c.latitude) AS latitude, coalesce(u.longitude, c.longitude) AS longitude,
        coalesce(u.air_name, c.air_name) AS air_name,
        coalesce(u.weather_name, c.weather_name) AS weather_name
-FROM upserted u LEFT JOIN cand c ON u.name = c.name AND u.country = c.country""",
+FROM upserted1 u LEFT JOIN cand1 c ON u.name = c.name AND u.country = c.country""",
     "dim_lookup": BASE + """
 SELECT event_id AS request_id, place_name, fetched_at, measured_at,
        CAST(nk + 1 AS BIGINT) AS place_id
@@ -242,8 +288,11 @@ FROM va""",
     "fact_current_a": BASE + FACT_A,
     "fact_current_b": BASE + FACT_B,
     "forecast_long": BASE + FORECAST,
-    "incremental_2key": BASE + f"SELECT * FROM ({FACT_A}) WHERE fetched_at >= {STORED_UNTIL}",
-    "incremental_4key": BASE + f"SELECT * FROM ({FORECAST}) WHERE fetched_at >= {STORED_UNTIL}",
+    "incremental_2key": BASE + FACT_A,
+    "incremental_4key": BASE + FORECAST,
+    "incremental_measured": BASE + f"""
+SELECT * REPLACE (CASE WHEN fetched_at >= {STORED_UNTIL} THEN fetched_at + INTERVAL 1 DAY ELSE fetched_at END AS fetched_at)
+FROM ({FACT_A.replace("PARTITION BY nk, fetched_at", "PARTITION BY nk, measured_at")})""",
     "incremental_stream": BASE + FACT_A,
     "dedupe_deterministic": """
 SELECT user_id, hour_ts, event_id, event_type, value FROM (
@@ -259,32 +308,13 @@ SELECT feed, count(*) AS raw_rows,
                         AND place_raw IS NOT NULL) AS named_rows,
        count(*) FILTER (WHERE http_status = 200 AND event_type <> 'signup'
                         AND place_raw IS NOT NULL) AS matched_rows
-FROM r GROUP BY feed""",
-    "failure_alert": """
-WITH f AS (
-  SELECT date_trunc('minute', ts) AS m FROM events WHERE event_type = 'error'
-),
-win AS (
-  SELECT m - INTERVAL (o) MINUTE AS s, count(*) AS n FROM f, range(5) t(o) GROUP BY 1
-)
-SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, n AS n_failed,
-       EXISTS (SELECT 1 FROM win p WHERE p.s = win.s - INTERVAL 1 MINUTE) AS firing
-FROM win""",
-    # the stream emits a window once the watermark (10 minutes behind the
-    # latest window base, one minute before the latest window start) passed it
-    "failure_alert_stream": """
-WITH f AS (
-  SELECT date_trunc('minute', ts) AS m FROM events WHERE event_type = 'error'
-),
-win AS (
-  SELECT m - INTERVAL (o) MINUTE AS s, count(*) AS n FROM f, range(5) t(o) GROUP BY 1
-)
-SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, n AS n_failed,
-       EXISTS (SELECT 1 FROM win p WHERE p.s = win.s - INTERVAL 1 MINUTE) AS firing
-FROM win
-WHERE s <= (SELECT max(m) FROM f) - INTERVAL 9 MINUTE""",
-    "silver_hour": BASE + f"""
-SELECT 'air_quality_current' AS fact, count(*) AS rows FROM ({FACT_A})
-UNION ALL SELECT 'weather_current', count(*) FROM ({FACT_B})
-UNION ALL SELECT 'air_quality_forecast', count(*) FROM ({FORECAST})""",
+FROM r GROUP BY feed
+UNION ALL SELECT 'unrouted', 0, 0, 0, 0, 0""",
+    "failure_alert": ALERT,
+    "failure_alert_stream": ALERT,
+    "silver_hour": BASE + STORED + upserted(1, "stored", FIRST_HOUR) + upserted(2, "upserted1", "true")
+    + silver_rows("upserted2", "true"),
+    "silver_rerun": BASE + STORED + upserted(1, "stored", FIRST_DAY) + silver_rows("upserted1", FIRST_DAY),
+    "silver_metrics": BASE + CANDIDATES + silver_counts(),
+    "silver_stream": BASE + CANDIDATES + silver_rows("upserted1", "true"),
 }

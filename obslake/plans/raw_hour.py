@@ -18,7 +18,7 @@ def run(spark: SparkSession, places: DataFrame, tokens: dict[str, str],
         fetcher: Callable[[str], tuple[int, str]], fetched_at_iso: str,
         feeds: Sequence[specs.FeedSpec] = (specs.AIR_QUALITY, specs.WEATHER),
         parallelism: int | None = None, zone: str = "UTC", country_col: str | None = None,
-        concurrency: int = 1) -> None:
+        concurrency: int = 1, deadline: float | None = fetch.DEADLINE) -> None:
     """Fetch every (place, feed) once and land the hour.
 
     ``fetched_at_iso`` is the run's single fetch stamp (ISO with offset), so
@@ -29,7 +29,7 @@ def run(spark: SparkSession, places: DataFrame, tokens: dict[str, str],
     the second write cannot call the APIs again.
     """
     requests = fetch.manifest(places, feeds, tokens, country_col=country_col)
-    responses = fetch.fetch_all(requests, fetcher, parallelism, concurrency).withColumn(
+    responses = fetch.fetch_all(requests, fetcher, parallelism, concurrency, deadline).withColumn(
         "fetched_at", tf.parse_instant(F.lit(fetched_at_iso)))
     env = raw.envelope(responses)
     if isinstance(raw_root, str):

@@ -15,6 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslake.functions.urls import redact_text
 from obslake.operators import alert
 
 RUN_EVENT_DDL = ("task STRING, status STRING, started_at TIMESTAMP_NTZ, "
@@ -39,7 +40,8 @@ def logged(spark: SparkSession, path: str, task: str, fn: Callable[..., Any],
     try:
         out = fn(*args, **kwargs)
     except Exception as exc:
-        record(spark, path, task, "failed", started, _utc_now(), f"{type(exc).__name__}: {exc}"[:1000])
+        record(spark, path, task, "failed", started, _utc_now(), 
+               redact_text(f"{type(exc).__name__}: {exc}"))
         raise
     record(spark, path, task, "success", started, _utc_now(), None)
     return out

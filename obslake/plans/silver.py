@@ -3,22 +3,25 @@
 One run: read the landed hours (partition-pruned), parse each feed ONCE and
 persist it, derive candidates, upsert the dimension into a new version,
 build the facts, and append only rows whose key is not stored yet.  Every
-step is idempotent: a rerun over the same hours appends nothing.
+step is idempotent: a rerun over the same hours appends nothing, and one
+over hours landed anew adds what is new and leaves ids as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import specs
-from obslake.operators import dims, facts, incremental, parse
-from obslake.operators.lookup import DEFAULT_BROADCAST_ROWS
+from obslake.operators import dims, facts, incremental, metrics, parse
+from obslake.operators.lookup import lookup_table
 from obslake.sources import raw
 
+FEEDS = (specs.AIR_QUALITY, specs.WEATHER)
 FACT_SPECS = (specs.AIR_QUALITY_CURRENT, specs.WEATHER_CURRENT)
 FORECAST_SPECS = (specs.AIR_QUALITY_FORECAST,)
 
@@ -41,74 +44,84 @@ def feed_envelopes(spark: SparkSession, raw_root: str | Mapping[str, str], feeds
 def run(spark: SparkSession, raw_root: str | Mapping[str, str], dimension_in: str,
         dimension_out: str, facts_root: str, dt: str | None = None, hour: str | None = None,
         fill_null: bool = False, fmt: str = "json", legacy: bool = False) -> dict[str, int]:
-    """Returns rows inserted per target (dimension and facts) and raw rows
-    read per feed (``raw_rows.<feed>``)."""
-    feed_list = (specs.AIR_QUALITY, specs.WEATHER)
-    feeds = {f.name: f for f in feed_list}
-    # Parse each payload once and persist the result; everything else
-    # (counts, candidates, facts) reads the cache.
+    """Load the landed hours.  Returns the run's metrics: rows read per feed
+    (``raw_rows.<feed>``, and ``raw_rows.unrouted`` for URLs of no feed),
+    ``candidates`` and places inserted (``dimension``), rows whose place the
+    dimension does not know (``dropped.<feed>``), and for each fact the rows
+    ``calculated.<fact>`` and inserted (``<fact>``)."""
     if isinstance(raw_root, str):
-        # one root: one scan of the hour for all feeds and the raw counts
-        env = (raw.read_legacy(spark, raw_root, feed_list, dt, hour, fmt=fmt) if legacy
+        # one root: one scan of the hour for all feeds
+        env = (raw.read_legacy(spark, raw_root, FEEDS, dt, hour, fmt=fmt) if legacy
                else raw.read_raw(spark, raw_root, dt, hour, fmt=fmt))
-        both = parse.parse_payloads(env, feed_list).persist(StorageLevel.MEMORY_AND_DISK)
-        cached = {"all": both}
-        payloads = {name: parse.feed_rows(both, f) for name, f in feeds.items()}
-        # one row per feed; its action also fills the cache
-        raw_counts = both.groupBy("feed").agg(F.count(F.lit(1)).alias("n"))
     else:
-        envs = feed_envelopes(spark, raw_root, feed_list, dt, hour, fmt, legacy)
-        cached = {name: parse.parse_payload(envs[name], f)
-                  .persist(StorageLevel.MEMORY_AND_DISK) for name, f in feeds.items()}
-        payloads = cached
-        raw_counts = None
-    parsed = {name: parse.validate(payloads[name], f) for name, f in feeds.items()}
+        envs = feed_envelopes(spark, raw_root, FEEDS, dt, hour, fmt, legacy)
+        env = reduce(DataFrame.unionByName, envs.values())
+    return load(spark, env, dimension_in, dimension_out, facts_root, fill_null)
+
+
+def load(spark: SparkSession, env: DataFrame, dimension_in: str, dimension_out: str,
+         facts_root: str, fill_null: bool = False) -> dict[str, int]:
+    """The silver step over envelope rows (a landed hour, or the micro-batch
+    of a stream); see :func:`run`."""
+    # A new version, never the path being read.  Ids are a function of the
+    # natural key, so a retried run gives every place the same id.
+    if dimension_out.rstrip("/") == dimension_in.rstrip("/"):
+        raise ValueError("dimension_out must differ from dimension_in")
+    # Parse each payload once and persist the result; everything else
+    # (counts, candidates, facts) reads the cache.
+    both = parse.parse_payloads(env, FEEDS).persist(StorageLevel.MEMORY_AND_DISK)
+    merged = None
     try:
-        if raw_counts is not None:
-            counted = {r["feed"]: r["n"] for r in raw_counts.collect()}
-            raw_rows = {name: counted.get(name, 0) for name in feeds}
-        else:  # per-feed roots: cheap, no payload is read
-            raw_rows = {name: env.select("ok").count() for name, env in envs.items()}
-        cands = dims.place_candidates([(parsed[n], f) for n, f in feeds.items()])
+        # one row per feed; its action also fills the cache
+        raw_rows = both.groupBy(F.coalesce("feed", F.lit(metrics.UNROUTED)).alias("feed")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("fetched_at").alias("lo"), F.max("fetched_at").alias("hi")).collect()
+        counted = {r["feed"]: r for r in raw_rows}
+        out = {f"raw_rows.{name}": counted[name]["n"] if name in counted else 0
+               for name in (*[f.name for f in FEEDS], metrics.UNROUTED)}
+        parsed = {f.name: parse.validate(parse.feed_rows(both, f), f) for f in FEEDS}
+
+        cands = dims.place_candidates([(parsed[f.name], f) for f in FEEDS])
         stored = spark.read.parquet(dimension_in)
-        merge = dims.fill_null_details if fill_null else dims.upsert_places
-        # A new version, never the path being read.  Ids are a function of
-        # the inputs, so a retried run rewrites the same version.
-        if dimension_out.rstrip("/") == dimension_in.rstrip("/"):
-            raise ValueError("dimension_out must differ from dimension_in")
+        merged = dims.merge_places(stored, cands, fill_null).persist()
+        n_new = merged.agg(F.count_if("is_new")).first()[0]
         # rebalance: AQE packs the (small) dimension into a few files
-        merge(stored, cands).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
+        merged.select(*dims.COLUMNS).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
         dimension = spark.read.parquet(dimension_out)
-        n_dimension = dimension.count()
-        inserted = {"dimension": n_dimension - stored.count()}
-        # one size check for all three lookups: the count above
-        places = F.broadcast(dimension) if n_dimension <= DEFAULT_BROADCAST_ROWS else dimension
-        for name, n in raw_rows.items():
-            inserted[f"raw_rows.{name}"] = n
-
-        for spec in FACT_SPECS:
-            batch = facts.current_fact(parsed[spec.feed.name], places, spec, max_broadcast_rows=None)
-            inserted[spec.name] = _load(spark, batch, f"{facts_root}/{spec.name}", spec.keys)
-        for spec in FORECAST_SPECS:
-            batch = facts.forecast_fact(parsed[spec.feed.name], places, spec, max_broadcast_rows=None)
-            inserted[spec.name] = _load(spark, batch, f"{facts_root}/{spec.name}", spec.keys)
-        return inserted
+        out["dimension"] = n_new
+        out |= _places(parsed, dimension)
+
+        for spec, build in (*[(s, facts.current_fact) for s in FACT_SPECS],
+                            *[(s, facts.forecast_fact) for s in FORECAST_SPECS]):
+            rows = counted.get(spec.feed.name)
+            bounds = (rows["lo"], rows["hi"]) if rows and rows["lo"] is not None else None
+            done = incremental.append_unseen(
+                spark, build(parsed[spec.feed.name], dimension, spec), f"{facts_root}/{spec.name}",
+                spec.keys, bounds)
+            out[f"calculated.{spec.name}"], out[spec.name] = done["calculated"], done["inserted"]
+        return out
     finally:
-        for df in cached.values():
-            df.unpersist()
+        both.unpersist()
+        if merged is not None:
+            merged.unpersist()
 
 
-def _load(spark: SparkSession, batch: DataFrame, target: str, keys) -> int:
-    return incremental.append_unseen(spark, batch, target, keys)
+def _places(parsed: Mapping[str, DataFrame], dimension: DataFrame) -> dict[str, int]:
+    """Distinct places of the batch, and the rows of each feed whose place is
+    not in the dimension (counted per place before the lookup)."""
+    per_place = [df.groupBy("place_name", "place_key", "country").agg(F.count(F.lit(1)).alias("n"))
+                 .withColumn("feed", F.lit(name)) for name, df in parsed.items()]
+    known = lookup_table(dimension).select("place_key", "country", F.lit(True).alias("known"))
+    rows = reduce(DataFrame.unionByName, per_place).join(known, ["place_key", "country"], "left")
+    found = rows.agg(F.count_distinct("place_name", "country").alias("candidates"), *[
+        F.sum(F.when((F.col("feed") == name) & F.col("known").isNull(), F.col("n"))).alias(f"dropped.{name}")
+        for name in parsed]).first().asDict()
+    return {k: v or 0 for k, v in found.items()}
 
 
-def inserted_counts(spark: SparkSession, facts_root: str) -> DataFrame:
-    """Rows stored per fact table (fact, rows)."""
-    parts = [spark.read.parquet(f"{facts_root}/{s.name}")
-             .agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(s.name).alias("fact"), "rows")
+def stored_tables(spark: SparkSession, facts_root: str, dimension: str) -> DataFrame:
+    """Every row of the three facts and the dimension as one table: ``fact``
+    and the union of their columns."""
+    parts = [spark.read.parquet(f"{facts_root}/{s.name}").drop("fetched_date").withColumn("fact", F.lit(s.name))
              for s in (*FACT_SPECS, *FORECAST_SPECS)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts.append(spark.read.parquet(dimension).withColumn("fact", F.lit("dimension")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -8,7 +8,8 @@ fails schema inference.
 from __future__ import annotations
 
 # The raw envelope (one row per API response).  ``request_id``,
-# ``feed`` and ``error`` are ours; the rest is the landed-response contract.
+# ``feed``, ``error`` and ``country`` (that of the request, null where it had
+# none) are ours; the rest is the landed-response contract.
 ENVELOPE_DDL = """
 request_id BIGINT,
 feed STRING,
@@ -18,7 +19,8 @@ http_status INT,
 ok BOOLEAN,
 error STRING,
 fetched_at_utc STRING,
-payload STRING
+payload STRING,
+country STRING
 """
 PARTITION_DDL = "dt DATE, hour STRING"
 
@@ -34,19 +36,19 @@ fetched_at_utc STRING,
 payload STRING
 """
 
-# Payload contract of the air-quality feed (feed A).
+# Payload contract of the air-quality feed (feed A), the fields
+# that facts and dimension read.
 AIR_QUALITY_DDL = """
 status STRING,
 data STRUCT<
   aqi: INT,
-  idx: INT,
-  city: STRUCT<geo: ARRAY<DOUBLE>, name: STRING, url: STRING, location: STRING>,
+  city: STRUCT<geo: ARRAY<DOUBLE>, name: STRING>,
   dominentpol: STRING,
   iaqi: STRUCT<
     co: STRUCT<v: DOUBLE>, no2: STRUCT<v: DOUBLE>, o3: STRUCT<v: DOUBLE>,
     pm10: STRUCT<v: DOUBLE>, pm25: STRUCT<v: DOUBLE>, so2: STRUCT<v: DOUBLE>,
     h: STRUCT<v: DOUBLE>, t: STRUCT<v: DOUBLE>, p: STRUCT<v: DOUBLE>, w: STRUCT<v: DOUBLE>>,
-  time: STRUCT<s: STRING, tz: STRING, v: BIGINT, iso: STRING>,
+  time: STRUCT<v: BIGINT, iso: STRING>,
   forecast: STRUCT<daily: STRUCT<
     o3: ARRAY<STRUCT<avg: DOUBLE, day: STRING, max: DOUBLE, min: DOUBLE>>,
     pm10: ARRAY<STRUCT<avg: DOUBLE, day: STRING, max: DOUBLE, min: DOUBLE>>,
@@ -54,17 +56,16 @@ data STRUCT<
     uvi: ARRAY<STRUCT<avg: DOUBLE, day: STRING, max: DOUBLE, min: DOUBLE>>>>>
 """
 
-# Payload contract of the current-weather feed (feed B).
+# Payload contract of the current-weather feed (feed B), the
+# fields that facts and dimension read.
 WEATHER_DDL = """
 coord STRUCT<lon: DOUBLE, lat: DOUBLE>,
 weather ARRAY<STRUCT<id: INT, main: STRING, description: STRING, icon: STRING>>,
 main STRUCT<temp: DOUBLE, feels_like: DOUBLE, temp_min: DOUBLE, temp_max: DOUBLE,
             pressure: INT, humidity: INT, sea_level: INT, grnd_level: INT>,
-visibility INT,
 wind STRUCT<speed: DOUBLE, deg: INT, gust: DOUBLE>,
 clouds STRUCT<all: INT>,
 dt BIGINT,
-sys STRUCT<country: STRING, sunrise: BIGINT, sunset: BIGINT>,
 timezone INT,
 id BIGINT,
 name STRING,

@@ -10,22 +10,26 @@ from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
 from obslake.sources import tables
 
+
 def envelope(responses: DataFrame) -> DataFrame:
     """Responses -> envelope rows.
 
     ``responses``: request_id, feed, place_name, url, http_status, body,
-    fetched_at (UTC wall clock).  Status 0 means the request never got an
+    fetched_at (UTC wall clock) and, where requests had one, country.  Status 0 means the request never got an
     answer and ``body`` holds the error text.
 
     * ``ok``  = status 200
     * ``error`` = null when ok, the error text for status 0, else
       ``HTTP_<status>``
-    * secrets in the URL are redacted before anything is landed
+    * secrets are redacted before anything is landed: in the URL, and in what
+      a failed call answered (error texts quote URLs)
     * the fetch stamp is an ISO string with milliseconds and ``Z``, so it
       means the same instant whoever reads it
     """
     status = F.col("http_status").cast("int")
     ok = F.coalesce(status == 200, F.lit(False))
+    body = F.when(ok, F.col("body")).otherwise(redact_secrets(F.col("body")))
+    country = F.col("country") if "country" in responses.columns else F.lit(None)
     return responses.select(
         F.col("request_id").cast("long").alias("request_id"),
         "feed",
@@ -34,10 +38,11 @@ def envelope(responses: DataFrame) -> DataFrame:
         status.alias("http_status"),
         ok.alias("ok"),
         F.when(ok, F.lit(None).cast("string"))
-         .when(status == 0, F.col("body"))
+         .when(status == 0, body)
          .otherwise(F.concat(F.lit("HTTP_"), status.cast("string"))).alias("error"),
         tf.format_utc_iso(F.col("fetched_at")).alias("fetched_at_utc"),
-        F.col("body").alias("payload"),
+        body.alias("payload"),
+        country.cast("string").alias("country"),
     )
 
 
@@ -130,6 +135,7 @@ def from_legacy(df: DataFrame, feeds) -> DataFrame:
     status = F.col("http_status").cast("int")
     ok = F.coalesce(F.col("ok"), F.lit(False))
     extra = [c for c in ("dt", "hour") if c in df.columns]
+    payload = F.when(ok, F.col("payload")).otherwise(redact_secrets(F.col("payload")))
     return df.select(
         F.lit(None).cast("long").alias("request_id"),
         feed.alias("feed"),
@@ -138,10 +144,11 @@ def from_legacy(df: DataFrame, feeds) -> DataFrame:
         status.alias("http_status"),
         ok.alias("ok"),
         F.when(ok, F.lit(None).cast("string"))
-         .when(status == 0, F.col("payload"))
+         .when(status == 0, payload)
          .otherwise(F.concat(F.lit("HTTP_"), status.cast("string"))).alias("error"),
         "fetched_at_utc",
-        "payload",
+        payload.alias("payload"),
+        F.lit(None).cast("string").alias("country"),
         *extra,
     )
 

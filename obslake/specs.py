@@ -31,7 +31,6 @@ class FeedSpec:
     event_time: Callable[[Column, Column], Column]
     url_template: str
     url_marker: str
-    token_param: str
     country: str = "FR"
     # dimension details this feed offers: api place name and coordinates
     api_name: str = ""
@@ -94,7 +93,6 @@ AIR_QUALITY = FeedSpec(
     event_time=_air_event_time,
     url_template=AIR_URL,
     url_marker="waqi.info",
-    token_param="token",
     api_name="data.city.name",
     latitude="data.city.geo[0]",
     longitude="data.city.geo[1]",
@@ -108,15 +106,13 @@ WEATHER = FeedSpec(
     event_time=_weather_event_time,
     url_template=WEATHER_URL,
     url_marker="openweathermap.org",
-    token_param="appid",
     api_name="name",
     latitude="coord.lat",
     longitude="coord.lon",
     dimension_name_column="weather_name",
 )
 
-FEEDS = {f.name: f for f in (AIR_QUALITY, WEATHER)}
-
+# Which payload field each fact column comes from.
 AIR_QUALITY_CURRENT = FactSpec(
     name="air_quality_current",
     feed=AIR_QUALITY,
@@ -137,6 +133,7 @@ AIR_QUALITY_CURRENT = FactSpec(
     },
 )
 
+# Which payload field each fact column comes from.
 WEATHER_CURRENT = FactSpec(
     name="weather_current",
     feed=WEATHER,
@@ -169,5 +166,3 @@ AIR_QUALITY_FORECAST = ForecastSpec(
     daily_path="data.forecast.daily",
     pollutants=("o3", "pm10", "pm25", "uvi"),
 )
-
-FACTS = {f.name: f for f in (AIR_QUALITY_CURRENT, WEATHER_CURRENT)}

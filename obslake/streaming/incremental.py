@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from obslake import schemas
 from obslake.functions import time as tf
 from obslake.operators import facts, incremental, parse
+from obslake.plans import silver
 from obslake.specs import FactSpec
 
 
@@ -22,9 +23,39 @@ def raw_stream(spark: SparkSession, raw_root: str, fmt: str = "json") -> DataFra
     return spark.readStream.schema(schemas.RAW_TABLE).format(fmt).load(raw_root)
 
 
+def _run(stream: DataFrame, per_batch, checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(per_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def dimension_version(root: str, epoch: int) -> str:
+    """The dimension that micro-batch ``epoch`` reads; it writes the next."""
+    return f"{root}/v{epoch}"
+
+
+def run_silver(spark: SparkSession, raw_root: str, dimension_root: str, facts_root: str,
+               checkpoint: str, fmt: str = "json", fill_null: bool = False) -> None:
+    """The whole silver step over every landed file not seen by ``checkpoint``
+    yet: each micro-batch upserts the dimension, then loads all facts, so a
+    place that is new in a batch has its rows stored with it.
+
+    ``dimension_root`` holds one folder per version, ``v0`` from the caller;
+    micro-batch n reads ``vn`` and writes ``vn+1``, so one that is repeated
+    reads what it read before.
+    """
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        silver.load(spark, batch, dimension_version(dimension_root, epoch),
+                    dimension_version(dimension_root, epoch + 1), facts_root, fill_null)
+
+    _run(raw_stream(spark, raw_root, fmt), per_batch, checkpoint)
+
+
 def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec: FactSpec,
                   target: str, checkpoint: str, fmt: str = "json") -> None:
-    """Process every landed file not seen by ``checkpoint`` yet, then stop."""
+    """One fact alone, against a dimension that is complete already: rows of
+    places it does not know are passed over for good.  Where places can be
+    new, use :func:`run_silver`."""
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # parse once: composed lazily, the validity filter would evaluate a
         # second from_json of every payload
@@ -35,12 +66,7 @@ def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec
         finally:
             parsed.unpersist()
 
-    q = (raw_stream(spark, raw_root, fmt).writeStream
-         .foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    _run(raw_stream(spark, raw_root, fmt), per_batch, checkpoint)
 
 
 def watermark_dedupe(parsed_stream: DataFrame, keys: list[str], delay: str = "2 hours") -> DataFrame:

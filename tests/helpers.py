@@ -12,7 +12,7 @@ def envelope_df(spark, rows):
             r.get("request_id", i), r.get("feed", "air_quality"), r.get("place_name", "Paris"),
             r.get("url", "https://api.waqi.info/feed/x/?token=***"), r.get("http_status", 200),
             r.get("ok", True), r.get("error"), r.get("fetched_at_utc", "2024-10-27T01:00:00.000Z"),
-            r.get("payload"),
+            r.get("payload"), r.get("country"),
         ))
     return spark.createDataFrame(full, schemas.ENVELOPE)
 

@@ -1,12 +1,16 @@
 """Dimension: candidates (A-only, B-only, both, coalesce), insert-only
-upsert with ids, fill-null, id assignment paths, lookup by country."""
+upsert with ids, fill-null, stable ids, lookup by country."""
 
 from __future__ import annotations
 
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from obslake import specs
-from obslake.operators import dims, lookup, parse
+from obslake.functions import names
+from obslake.operators import dedupe, dims, facts, lookup, parse
 
 from helpers import air, envelope_df
 
@@ -44,7 +48,7 @@ def test_upsert_insert_only_with_ids(spark):
     cands = dims.place_candidates(_feeds(spark))
     up = {r.name: r for r in dims.upsert_places(existing, cands).collect()}
     assert up["Paris"].place_id == 7 and up["Paris"].latitude is None  # untouched
-    assert (up["Lyon"].place_id, up["Nice"].place_id) == (8, 9)        # ordered by name
+    assert up["Lyon"].place_id == int(hashlib.md5(b"Lyon\x1fFR").hexdigest()[:15], 16)
     filled = {r.name: r for r in dims.fill_null_details(existing, cands).collect()}
     assert filled["Paris"].latitude == 1.0 and filled["Paris"].place_id == 7
     # a second run adds nothing
@@ -52,14 +56,30 @@ def test_upsert_insert_only_with_ids(spark):
     assert again.count() == 0
 
 
-def test_id_paths_agree(spark):
-    rows = spark.createDataFrame([(f"n{i:03d}", "FR") for i in range(50)], "name string, country string")
-    a = dims.assign_ids(rows, ["name", "country"], F.lit(100)).orderBy("name").collect()
-    b = dims.assign_ids(rows.repartition(5), ["name", "country"], F.lit(100), single_task_rows=0,
-                        partitions=4).orderBy("name").collect()
-    assert [(r.name, r.place_id) for r in a] == [(r.name, r.place_id) for r in b]
-    assert [r.place_id for r in a] == list(range(101, 151))
-    assert b[0].asDict().keys() == {"name", "country", "place_id"}
+def test_ids_do_not_depend_on_the_other_places(spark):
+    empty = spark.createDataFrame([], DIM)
+    cands = dims.place_candidates(_feeds(spark))
+    alone = dims.upsert_places(empty, cands.where("name = 'Nice'")).collect()
+    together = {r.name: r.place_id for r in dims.upsert_places(empty, cands).collect()}
+    assert [(r.name, r.place_id) for r in alone] == [("Nice", together["Nice"])]
+    assert len(set(together.values())) == 3 and all(0 <= i < 2**60 for i in together.values())
+
+
+def test_two_places_with_one_id_fail(spark):
+    taken = int(hashlib.md5(b"Lyon\x1fFR").hexdigest()[:15], 16)
+    existing = spark.createDataFrame([(taken, "Paris", "FR", None, None, None, None)], DIM)
+    with pytest.raises(Exception, match=f"two places have id {taken}"):
+        dims.upsert_places(existing, dims.place_candidates(_feeds(spark))).collect()
+
+
+def test_request_countries_make_places_of_their_own(spark):
+    rows = [{"request_id": i, "place_name": "Paris", "country": c, "payload": air(f'{{"aqi":{i}}}')}
+            for i, c in enumerate(["FR", "US", None])]
+    parsed = parse.parse_feed(envelope_df(spark, rows), A)
+    up = dims.upsert_places(spark.createDataFrame([], DIM), dims.place_candidates([(parsed, A)]))
+    assert sorted(r.country for r in up.collect()) == ["FR", "US"]
+    fact = facts.current_fact(parsed, up, specs.AIR_QUALITY_CURRENT)
+    assert sorted(r.aqi for r in fact.collect()) == [0, 1]  # the one without a country is French
 
 
 def test_lookup_keeps_countries_apart(spark):
@@ -71,24 +91,35 @@ def test_lookup_keeps_countries_apart(spark):
     assert got == [(10, 1), (11, 2)]
 
 
-def test_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    assert lookup.broadcast_if_small(small, 100) is not small      # hinted copy
-    big = spark.range(1000)
-    assert lookup.broadcast_if_small(big, 100) is big             # left to the planner
+def test_lookup_joins_once_where_names_share_a_key(spark):
+    dim = spark.createDataFrame([(4, "Straße", "DE", None, None, None, None),
+                                 (3, "Strasse", "DE", None, None, None, None)], DIM)
+    key = dim.select(names.lookup_key(F.col("name")).alias("k")).distinct().collect()
+    assert len(key) == 1
+    rows = spark.createDataFrame([(key[0].k, "DE", 10)], "place_key string, country string, v int")
+    assert [r.place_id for r in lookup.attach_place(rows, dim).collect()] == [3]
+
+
+def test_lookup_and_upsert_plans_have_no_probe(spark):
+    """No size probe, no single task: neither a limit nor one partition."""
+    parsed = _feeds(spark)
+    dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None)], DIM)
+    for df in (facts.current_fact(parsed[0][0], dim, specs.AIR_QUALITY_CURRENT),
+               dims.upsert_places(dim, dims.place_candidates(parsed))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Limit" not in plan and "SinglePartition" not in plan
+
+
+def test_dedupe_without_an_order(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "k int, o int, v string")
+    got = {(r.k, r.v) for r in dedupe.dedupe(df, ["k"], "o").collect()}
+    assert got == {(1, "a"), (2, "c")}
 
 
-def test_lookup_keeps_the_callers_broadcast_decision(spark):
+def test_forecast_day_listed_twice(spark):
+    day = '{"day":"2024-02-01","min":%d,"avg":2,"max":3}'
+    payload = air('{"forecast":{"daily":{"o3":[%s,%s]}}}' % (day % 7, day % 1))
+    parsed = parse.parse_feed(envelope_df(spark, [{"payload": payload}]), A)
     dim = spark.createDataFrame([(1, "Paris", "FR", None, None, None, None)], DIM)
-    rows = spark.createDataFrame([("PARIS", "FR", 10)], "place_key string, country string, v int")
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        hinted = lookup.attach_place(rows, F.broadcast(dim), max_broadcast_rows=None)
-        plain = lookup.attach_place(rows, dim, max_broadcast_rows=None)
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert [r.place_id for r in hinted.collect()] == [1]
-    finally:
-        spark.conf.set(key, old)
+    (r,) = facts.forecast_fact(parsed, dim, specs.AIR_QUALITY_FORECAST).collect()
+    assert r.value_min == 7

@@ -23,22 +23,41 @@ def _envelope(spark, fetcher, urls=("http://fake.url/?token=abc",)):
     return raw.envelope(resp).collect()
 
 
-def test_fetch_success(spark):
-    (row,) = _envelope(spark, lambda url: (200, '{"status":"ok"}'))
-    assert row.ok is True and row.http_status == 200 and row.error is None
-    assert row.payload == '{"status":"ok"}'
-
-
-def test_fetch_http_error(spark):
-    (row,) = _envelope(spark, lambda url: (500, ""))
-    assert row.ok is False and row.error == "HTTP_500"
-
-
-def test_fetch_network_error(spark):
-    def boom(url):
-        raise TimeoutError("timeout")
-    (row,) = _envelope(spark, boom)
-    assert row.ok is False and row.http_status == 0 and "timeout" in row.error
+# What a client answers (or raises), and what the envelope says of it.
+ANSWERS = [
+    ((200, '{"aqi": 3}'), True, 200, None, '{"aqi": 3}'),
+    ((200, None), True, 200, None, None),
+    ((404, "gone"), False, 404, "HTTP_404", "gone"),
+    ((500, None), False, 500, "HTTP_500", None),
+    ((0, "no route"), False, 0, "no route", "no route"),
+    (ConnectionError("refused https://h/?q=1&token=abc now"), False, 0,
+     "ERROR: refused https://h/?q=1&token=*** now", "ERROR: refused https://h/?q=1&token=*** now"),
+    ((403, "bad key: /x?appid=abc\tend"), False, 403, "HTTP_403", "bad key: /x?appid=***\tend"),
+]
+
+
+@pytest.mark.parametrize("answer, ok, status, error, payload", ANSWERS)
+def test_envelope_of_an_answer(spark, answer, ok, status, error, payload):
+    def client(url):
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+    (row,) = _envelope(spark, client)
+    assert (row.ok, row.http_status, row.error, row.payload) == (ok, status, error, payload)
+    assert row.url == "http://fake.url/?token=***"
+
+
+@pytest.mark.parametrize("concurrency", [1, 3])
+def test_a_call_that_hangs_is_a_network_error(spark, concurrency):
+    def client(url):
+        import time
+        if "slow" in url:
+            time.sleep(60)
+        return 200, url
+    urls = ["http://h/slow", "http://h/a", "http://h/b"]
+    resp = fetch.fetch_all(_requests(spark, urls), client, parallelism=1, concurrency=concurrency, deadline=0.5)
+    got = {r.url: (r.http_status, r.body) for r in resp.collect()}
+    assert got == {urls[0]: (0, "ERROR: no answer within 0.5 s"), urls[1]: (200, urls[1]), urls[2]: (200, urls[2])}
 
 
 def test_secrets_redacted_and_stamp_iso(spark):

@@ -5,16 +5,21 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from obslake import schemas, specs
 from obslake.operators import incremental
 from obslake.plans import catalog, silver
-from obslake.sources import raw
+from obslake.sources import raw, tables
 
 from conftest import SF_SMALL
 
 
+# What a silver run says it stored.
+INSERTED = ("dimension", "air_quality_current", "weather_current", "air_quality_forecast")
+
+
 def test_null_key_is_always_new(spark):
     batch = spark.createDataFrame([(1, None), (2, dt.datetime(2024, 1, 1))],
                                   "place_id long, fetched_at timestamp_ntz")
@@ -78,7 +83,7 @@ def test_append_reads_only_the_batch_days(spark, scratch):
     target = scratch("facts")
     days = spark.createDataFrame([(1, dt.datetime(2024, 1, d, 5)) for d in range(1, 11)],
                                  "place_id long, fetched_at timestamp_ntz")
-    assert incremental.append_unseen(spark, days, target, ["place_id", "fetched_at"]) == 10
+    assert incremental.append_unseen(spark, days, target, ["place_id", "fetched_at"])["inserted"] == 10
     schema = incremental.with_fetched_date(days).schema
     got = incremental.read_days(spark, target, schema, dt.date(2024, 1, 9), dt.date(2024, 1, 12))
     assert {f.split("fetched_date=")[1][:10] for f in got.inputFiles()} == {"2024-01-09", "2024-01-10"}
@@ -88,7 +93,8 @@ def test_append_reads_only_the_batch_days(spark, scratch):
     # one stored and one new key on a day already stored
     batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 10, 5)), (2, dt.datetime(2024, 1, 10, 5))],
                                   "place_id long, fetched_at timestamp_ntz")
-    assert incremental.append_unseen(spark, batch, target, ["place_id", "fetched_at"]) == 1
+    assert incremental.append_unseen(spark, batch, target, ["place_id", "fetched_at"]) == {
+        "calculated": 2, "inserted": 1}
     assert spark.read.parquet(target).count() == 11
 
 
@@ -116,7 +122,8 @@ def test_silver_job_is_idempotent(spark, scratch):
     first = silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base, fmt="parquet")
     assert first["air_quality_current"] > 0 and first["dimension"] > 0
     second = silver.run(spark, root, f"{base}/dimension/v1", f"{base}/dimension/v2", base, fmt="parquet")
-    assert all(v == 0 for k, v in second.items() if not k.startswith("raw_rows")), second
+    assert all(second[k] == 0 for k in INSERTED), second
+    assert second["calculated.air_quality_current"] == first["air_quality_current"]
 
 
 def test_silver_hour_by_hour_equals_all_at_once(spark, scratch):
@@ -193,6 +200,35 @@ def test_metrics_count_unknown_places(spark):
                                 "longitude double, air_name string, weather_name string")
     (r,) = metrics.feed_metrics(env, specs.AIR_QUALITY, dim).collect()
     assert (r.raw_rows, r.ok_rows, r.valid_rows, r.named_rows, r.matched_rows) == (5, 4, 3, 2, 1)
+    lost = envelope_df(spark, [{"url": "https://else.example/x"}, {"url": None}, {"payload": air('{"aqi":1}')}])
+    rows = {m.feed: m.raw_rows for m in metrics.feeds_metrics(lost, [specs.AIR_QUALITY], dim).collect()}
+    assert rows == {"air_quality": 1, "unrouted": 2}
+
+
+def test_key_without_fetch_time_is_not_stored_twice(spark, scratch):
+    """The same reading fetched again, the same day and a later one."""
+    target, schema = scratch("fact"), "place_id long, measured_at timestamp_ntz, fetched_at timestamp_ntz"
+    measured = dt.datetime(2024, 1, 2, 3)
+    for day, hour, new in ((2, 4, 1), (2, 5, 0), (9, 4, 0)):
+        batch = spark.createDataFrame([(1, measured, dt.datetime(2024, 1, day, hour))], schema)
+        assert incremental.append_unseen(spark, batch, target, ["place_id", "measured_at"])["inserted"] == new
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_rerun_with_more_places_keeps_ids(spark, scratch):
+    """An hour whose second run has more places answering: stored facts keep
+    their place, and only the new place is added."""
+    from helpers import air, envelope_df
+
+    root, base = scratch("raw"), scratch("silver")
+    spark.createDataFrame([], schemas.DIMENSION).write.parquet(f"{base}/dimension/v0")
+    rows = [{"request_id": i, "place_name": p, "payload": air(f'{{"aqi":{i}}}')} for i, p in enumerate(["Brest", "Angers"])]
+    for answered in (rows[:1], rows):
+        raw.land(envelope_df(spark, answered), root)
+        silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base)
+    names = {r.place_id: r.name for r in spark.read.parquet(f"{base}/dimension/v1").collect()}
+    stored = [(names[r.place_id], r.aqi) for r in spark.read.parquet(f"{base}/air_quality_current").collect()]
+    assert sorted(stored) == [("Angers", 1), ("Brest", 0)]
 
 
 def test_compact_day_keeps_rows(spark, scratch):
@@ -212,6 +248,24 @@ def test_compact_day_keeps_rows(spark, scratch):
     assert stored.count() == 21 and stored.distinct().count() == 21
 
 
+def test_compact_day_refuses_a_day_that_changed(spark, scratch, monkeypatch):
+    target = scratch("fact")
+    batch = lambda i: spark.createDataFrame([(i, dt.datetime(2024, 1, 2, 3))], "place_id long, fetched_at timestamp_ntz")
+    incremental.append_unseen(spark, batch(1), target, ["place_id", "fetched_at"])
+    listed, folders = tables.children, []
+
+    def children(spark, path):
+        folders.append(path)
+        if len(folders) == 2:  # a load comes between the read and the overwrite
+            incremental.write_facts(batch(2), target)
+        return listed(spark, path)
+
+    monkeypatch.setattr(tables, "children", children)
+    with pytest.raises(RuntimeError):
+        incremental.compact_day(spark, target, dt.date(2024, 1, 2))
+    assert spark.read.parquet(target).count() == 2
+
+
 def test_shared_folder_is_required_on_a_cluster():
     """Off local mode a missing spark.checkpoint.dir is an error, never a
     machine-local folder."""

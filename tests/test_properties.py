@@ -68,7 +68,7 @@ def test_hot_place_through_shuffle_join(spark):
                                 "longitude double, air_name string, weather_name string")
     spec = specs.AIR_QUALITY_CURRENT
     broadcast = facts.current_fact(parsed, dim, spec)
-    shuffled = facts.current_fact(parsed, dim, spec, max_broadcast_rows=0)
+    shuffled = facts.current_fact(parsed, dim, spec)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = shuffled._jdf.queryExecution().executedPlan().toString()

@@ -48,8 +48,10 @@ def test_raw_then_silver(spark, scratch):
         .write.parquet(f"{base}/dimension/v0")
     out = silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base,
                      dt="2024-06-01", hour="09")
-    assert out == {"dimension": 2, "air_quality_current": 2, "weather_current": 2,
-                   "air_quality_forecast": 2, "raw_rows.air_quality": 4, "raw_rows.weather": 4}
+    facts = ("air_quality_current", "weather_current", "air_quality_forecast")
+    assert out == {"dimension": 2, "candidates": 2, **{f: 2 for f in facts}, **{f"calculated.{f}": 2 for f in facts},
+                   "raw_rows.air_quality": 4, "raw_rows.weather": 4, "raw_rows.unrouted": 0,
+                   "dropped.air_quality": 0, "dropped.weather": 0}
     dim = {r.name: r for r in spark.read.parquet(f"{base}/dimension/v1").collect()}
     assert set(dim) == {"Le Havre", "Lyon"}
     assert dim["Lyon"].air_name == "Lyon station" and dim["Lyon"].latitude == 45.0
@@ -61,7 +63,7 @@ def test_raw_then_silver(spark, scratch):
     assert raw.read_raw(spark, root).count() == 8
     again = silver.run(spark, root, f"{base}/dimension/v1", f"{base}/dimension/v2", base,
                        dt="2024-06-01", hour="09")
-    assert {v for k, v in again.items() if not k.startswith("raw_rows")} == {0}
+    assert [again[k] for k in ("dimension", *facts)] == [0] * 4
 
 
 def test_jdbc_options():
@@ -118,11 +120,20 @@ def test_run_log_feeds_the_alert(spark, scratch):
     runlog.logged(spark, path, "silver", lambda: 1)
     with pytest.raises(ZeroDivisionError):
         runlog.logged(spark, path, "silver", lambda: 1 / 0)
+    long = "x" * 3_000 + " https://h/?appid=S3CRET&q=1"
+
+    def fails():
+        raise ValueError(long)
+
+    with pytest.raises(ValueError):
+        runlog.logged(spark, path, "other", fails)
+    (detail,) = [r.detail for r in runlog.read(spark, path).where("task = 'other'").collect()]
+    assert detail == "ValueError: " + long.replace("S3CRET", "***")
     t = dt.datetime(2024, 1, 1, 10, 0)
     runlog.record(spark, path, "raw", "failed", t, t + dt.timedelta(seconds=30))
     runlog.record(spark, path, "raw", "failed", t, t + dt.timedelta(minutes=2))
     events = runlog.read(spark, path)
-    assert events.groupBy("status").count().collect() and events.count() == 4
+    assert events.groupBy("status").count().collect() and events.count() == 5
     fired = runlog.task_failure_alert(spark, path, "raw").where("firing").collect()
     assert fired and all(r.window_start >= dt.datetime(2024, 1, 1, 9, 56) for r in fired)
 
@@ -144,5 +155,5 @@ def test_scheduled_hour_raw_then_silver(spark, scratch):
     assert raw.read_raw(spark, raw_root, dt="2024-06-01", hour="09").count() == 6
     again = hourly.run(spark, stamp, places, tokens, fake_fetch, raw_root,
                        f"{base}/dimension/v1", f"{base}/dimension/v2", base)
-    assert {v for k, v in again.items() if not k.startswith("raw_rows")} == {0}
+    assert again["dimension"] == again["air_quality_current"] == again["weather_current"] == 0
     assert raw.read_raw(spark, raw_root).count() == 6
