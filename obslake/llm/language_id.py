@@ -135,16 +135,19 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     df, n = _document_frequencies(usable)
     idf = np.log((1 + n) / (1 + df)) + 1
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.lit(float(sample)) / F.col("n")
-    drawn = usable.select("doc_id", "text", "lang").join(counts, "lang").filter(
-        (F.abs(F.xxhash64("doc_id", F.xxhash64("text")) % 1_000_003)) < share * 1_000_003)
+    # One row per language, as many as the model has names.
+    counts = usable.groupBy("lang").count().collect()
+    shares = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, sample / n)]) if counts else None
+    drawn = usable.filter((F.abs(F.xxhash64("doc_id", F.xxhash64("text")) % 1_000_003))
+                          < F.element_at(shares, F.col("lang")) * 1_000_003) if counts else usable
 
     def centroids(key: tuple, rows: pa.Table) -> pa.Table:
-        counts = [term_counts(t) for t in utf8(rows.column("text").combine_chunks())]
-        distinct = np.array([np.count_nonzero(c) for c in counts])
-        vectors = np.array([_vector(c, idf) for c in counts])
-        del counts
+        vectors, distinct = [], []
+        for text in utf8(rows.column("text").combine_chunks()):
+            counted = term_counts(text)
+            vectors.append(_vector(counted, idf))
+            distinct.append(np.count_nonzero(counted))
+        vectors, distinct = np.array(vectors), np.array(distinct)
         found = _clusters(vectors, clusters)
         near = np.sort(closeness((vectors @ found.T).max(axis=1), distinct))
         floor = float(near[int(REJECT_QUANTILE * (len(near) - 1))]) * REJECT_SHARE
