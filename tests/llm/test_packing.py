@@ -23,6 +23,24 @@ def test_encoder_equals_the_library():
     assert not tokens.Encoder(tokenizer_path("byte_bpe_50k.json")).by_piece
 
 
+RANGES = [(32, 127), (9, 14), (0, 32), (0x80, 0x250), (0x2B0, 0x370), (0x370, 0x530), (0x600, 0x700), (0x900, 0x980),
+          (0x1E00, 0x2100), (0x3000, 0x3100), (0xAC00, 0xAC80), (0xFB00, 0xFB50), (0x1F600, 0x1F640), (0x300, 0x330)]
+PARTS = ["'s", "'S", "don't", " ", "a", "Z", "é", "É", "İ", "J\u030c", ".", "_", "|>", "<|endoftext|>", "1", "ª", "\xa0", "ß"]
+
+
+def test_encoder_equals_the_library_on_random_texts():
+    rng = np.random.default_rng(8)
+    enc = tokens.Encoder(tokenizer_path())
+    for i in range(4_000):
+        if i % 3:
+            spans = [RANGES[j] for j in rng.integers(0, len(RANGES), 3)]
+            text = "".join(chr(rng.integers(*spans[rng.integers(0, 3)])) for _ in range(rng.integers(0, 14)))
+        else:
+            text = "".join(rng.choice(PARTS, rng.integers(0, 12)))
+        assert np.frombuffer(enc.encode(text.encode()), "<u4").tolist() == \
+            enc.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def check(rows, docs, capacity, max_documents=None, max_attention=None):
     """Pieces join up to the documents, sequences are gapless and in bounds."""
     whole = Tokenizer.from_file(tokenizer_path())
