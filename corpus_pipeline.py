@@ -5,6 +5,10 @@ Each stage is a function of ``(spark, docs, sf_dir)``; its result is written
 as Parquet and read again as the next stage's ``docs``, so a stage starts
 from files that outlive executors.  All but the last return the columns of
 ``documents``; the last returns the pieces of the packed sequences.
+
+Nulls, empty texts, repeated rows, empty tables and further columns have the
+results that the operators' docstrings state: no stage fails on them, and
+columns that a stage does not work on are handed through.
 """
 
 from __future__ import annotations

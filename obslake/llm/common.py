@@ -6,6 +6,7 @@ what ``bytes.split()`` gives on UTF-8, so texts travel to Python as bytes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +43,24 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[column(c) for c in df.columns]).alias("row")
 
 
+_SPACE = re.compile(rb"[ \t-\r]")
+BLOCK = 1 << 20  # bytes of a text taken apart at a time
+
+
+def word_blocks(text: bytes, size: int = BLOCK) -> Iterator[list[bytes]]:
+    """The words of a text, those of about ``size`` bytes at a time: a very
+    long text never becomes one list."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            space = _SPACE.search(text, end)
+            end = space.start() if space else len(text)
+        if words := text[at:end].split():
+            yield words
+        at = end
+
+
 def utf8(values: pa.Array) -> Iterator[bytes]:
     """Texts as bytes, null as empty."""
     for value in values.cast(pa.binary()):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import utf8, written
+from obslake.llm.common import utf8, word_blocks, written
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -27,38 +27,42 @@ HOST_LIMIT = 0.5  # of the shrunk failure rate
 PRIOR_MIN, PRIOR_MAX = 2.0, 1_000.0  # documents that the prior counts for
 
 
-def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words covered by a window of words that is found twice or more."""
-    n = len(words) - window + 1
+def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
+    """Words (given by number) covered by a window of words that is found
+    twice or more."""
+    n = len(ids) - window + 1
     if n < 2:
         return 0
-    names: dict[bytes, int] = {}
-    number = names.setdefault
-    ids = np.fromiter((number(w, len(names)) for w in words), dtype=np.int64, count=len(words))
+    size = int(ids.max()) + 1
     # Equal runs of words get equal numbers, one word longer at a time; a run
     # that is not repeated cannot start a longer one that is.
     at, runs = np.arange(n), ids[:n]
     for k in range(1, window):
-        _, runs = np.unique(runs * len(names) + ids[at + k], return_inverse=True)
+        _, runs = np.unique(runs * size + ids[at + k], return_inverse=True)
         again = np.bincount(runs)[runs] > 1
         at, runs = at[again], runs[again]
         if not len(at):
             return 0
-    covered = np.zeros(len(words) + 1, dtype=np.int64)
+    covered = np.zeros(len(ids) + 1, dtype=np.int64)
     np.add.at(covered, at, 1)
     np.add.at(covered, at + window, -1)
     return int((np.cumsum(covered) > 0).sum())
 
 
 def measure(text: bytes) -> tuple[int, ...]:
-    words = text.split()
-    chars = sum(map(len, words))
-    if not text.isascii():
-        joined = np.frombuffer(b"".join(words), np.uint8)
-        chars -= int(((joined & 0xC0) == 0x80).sum())  # bytes that go on with a character
+    numbers: dict[bytes, int] = {}
+    number = numbers.setdefault
+    parts, chars = [np.zeros(0, dtype=np.int64)], 0
+    for words in word_blocks(text):
+        parts.append(np.fromiter((number(w, len(numbers)) for w in words), dtype=np.int64, count=len(words)))
+        joined = b"".join(words)
+        chars += len(joined)
+        if not joined.isascii():  # bytes that go on with a character
+            chars -= int(((np.frombuffer(joined, np.uint8) & 0xC0) == 0x80).sum())
+    ids = np.concatenate(parts)
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return (len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines))
+    return (len(ids), chars, symbols, len(lines) - len(set(lines)), repeated_words(ids), len(lines))
 
 
 def measures(docs: DataFrame) -> DataFrame:

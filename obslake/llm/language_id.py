@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import packed, utf8
+from obslake.llm.common import packed, utf8, word_blocks
 
 FEATURES = 1 << 13
 ORDERS = (2, 3, 4)
@@ -42,7 +42,7 @@ _MIX = [np.uint32(x) for x in (2654435761, 2246822519, 3266489917, 668265263)]
 def term_counts(text: bytes) -> np.ndarray:
     """Counts of hashed n-grams over the whole text."""
     counts = np.zeros(FEATURES, dtype=np.int64)
-    kept = b" " + b" ".join(text.translate(_LETTERS).split()) + b" "
+    kept = b" " + b" ".join([b" ".join(w) for w in word_blocks(text.translate(_LETTERS))]) + b" "
     if len(kept) <= 2:
         return counts
     overlap = max(ORDERS) - 1
@@ -197,6 +197,9 @@ def learnable(docs: DataFrame, parts: int = 3, held_out: int = 1) -> DataFrame:
 
 
 def spoken_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that a model of their own labels rejects."""
+    """``docs``, all columns, without those that a model of their own labels
+    rejects: texts that are null, empty or without a letter, and texts far
+    from every language learned (all, if nothing was learned).  Rows with a
+    null id stay or go by their text; repeated rows do so together."""
     kept = predict(docs, fit(learnable(docs))).filter(~F.col("rejected"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -56,9 +56,9 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
                     key = line.strip(WHITE)
                     if len(key) >= min_chars and code_points(key) >= min_chars:
                         rows.append((digest(key.lower()), d, k, pos))
-                if len(rows) >= ROWS_OUT:
-                    yield _lines(rows)
-                    rows = []
+                        if len(rows) >= ROWS_OUT:
+                            yield _lines(rows)
+                            rows = []
         if rows:
             yield _lines(rows)
 
@@ -176,9 +176,11 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """``docs`` with repeated lines taken out of ``text``; ``n_chars``, where
-    there is one, follows the new text.  Documents that lose nothing are
-    unchanged, null texts stay null."""
+    """``docs``, all rows and columns, with repeated lines taken out of
+    ``text`` (see :func:`keep_bitmaps` for which); ``n_chars``, where there is
+    one, follows the new text.  Documents that lose nothing are unchanged,
+    null texts stay null, and a document that loses every line has an empty
+    text."""
     out = apply_bitmaps(docs, keep_bitmaps(docs, min_chars))
     new = {c: F.col("row").getField(c) for c in docs.columns}
     changed = F.col("n_dropped") > 0

@@ -123,7 +123,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
 
 
 def mixed(docs: DataFrame, **kw) -> DataFrame:
-    """The mix itself: every document as often as it is taken."""
+    """The mix itself: every row of ``docs``, all columns, as often as it is
+    taken (see :func:`mix`; rows without a word take their source's rate and
+    draw like others, unless the whole source has none)."""
     taken = mix(docs, **kw).filter("times > 0")
     copies = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
     return copies.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

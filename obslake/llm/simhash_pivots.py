@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import packed, utf8, written
+from obslake.llm.common import packed, utf8, word_blocks, written
 from obslake.llm.components import components
 
 SEED = 42
@@ -45,22 +45,27 @@ FREE_SEGMENTS = 3  # segments in a block's key
 
 def fingerprint(text: bytes, shingle: int) -> int:
     """Bit i is set if it is in over half the hashes of the shingles."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    joined, hashed = b" ".join(words), xxhash.xxh64_intdigest
-    n = max(1, len(words) - shingle + 1)
-    if n == 1:
-        return hashed(joined, SEED)
-    starts = np.zeros(len(words) + 1, dtype=np.int64)
-    np.cumsum([len(w) + 1 for w in words], out=starts[1:])
-    ends = (starts[shingle:] - 1).tolist()
-    begins = starts[:n].tolist()
-    counts = np.zeros(BITS, dtype=np.int64)
-    for lo in range(0, n, HASHES_AT_ONCE):
-        hi = min(n, lo + HASHES_AT_ONCE)
-        h = np.array([hashed(joined[a:b], SEED) for a, b in zip(begins[lo:hi], ends[lo:hi])], dtype="<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    hashed, counts = xxhash.xxh64_intdigest, np.zeros(BITS, dtype=np.int64)
+    words: list[bytes] = []
+    n = 0
+    for block in word_blocks(text.lower()):
+        words += block  # after the last words of the block before
+        here = len(words) - shingle + 1
+        if here < 1:
+            continue
+        starts = np.zeros(len(words) + 1, dtype=np.int64)
+        np.cumsum([len(w) + 1 for w in words], out=starts[1:])
+        begins, ends = starts[:here].tolist(), (starts[shingle:] - 1).tolist()
+        joined = b" ".join(words)
+        for lo in range(0, here, HASHES_AT_ONCE):
+            spans = zip(begins[lo:lo + HASHES_AT_ONCE], ends[lo:lo + HASHES_AT_ONCE])
+            h = np.array([hashed(joined[i:j], SEED) for i, j in spans], dtype="<u8")
+            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.int64)
+        n += here
+        words = words[here:]
+    if not n:
+        return hashed(b" ".join(words), SEED) if words else 0
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 

@@ -15,6 +15,8 @@ import re
 
 import numpy as np
 
+from obslake.llm.common import word_blocks
+
 # Letters (any case), then signs that the word rule keeps together; the
 # apostrophe is left out as it starts English endings.
 _PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
@@ -100,7 +102,7 @@ class Encoder(dict):
     def encode(self, text: bytes) -> bytes:
         if not self.by_piece:
             return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join([b"".join(map(self.__getitem__, words)) for words in word_blocks(text)])
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -19,6 +19,18 @@ def brute_fingerprint(text, k=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_fingerprint_over_blocks(monkeypatch):
+    from obslake.llm import common
+
+    text = " ".join(f"Word{i % 97} {'x' * (i % 13)}" for i in range(900)).encode()
+    whole = sp.fingerprint(text, 3)
+    for size in (1, 20, 500):
+        monkeypatch.setattr(sp, "word_blocks", lambda t, s=size: common.word_blocks(t, s))
+        assert sp.fingerprint(text, 3) == whole
+        assert [w for b in common.word_blocks(text, size) for w in b] == text.split()
+    assert list(common.word_blocks(b" \t")) == [] and list(common.word_blocks(b"")) == []
+
+
 def brute_components(prints, max_bits):
     """{position: smallest id reachable} of (id, fingerprint) pairs."""
     group = list(range(len(prints)))
