@@ -34,6 +34,7 @@ PIECES = 1 << 18
 ORDERS = (4, 5)  # bytes in a piece of " word "
 PRIOR = 0.1  # strength of the prior, as a share of the documents counted
 SIGNIFICANT = 3.0  # standard errors of the log-odds
+TELLING = 2.0  # least log-odds: with much text slight leanings are significant too
 MIN_DOCUMENTS = 4  # labelled documents that a piece is in
 DRIFT = -0.25
 BINS_A_UNIT = 16  # of evidence, for the logistic fit
@@ -128,7 +129,7 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
 
     delta = odds(y1, n1) - odds(y0, n0)
     error = np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-    telling = (delta > 0) & (delta >= SIGNIFICANT * error) & (y0 + y1 >= MIN_DOCUMENTS)
+    telling = (delta >= TELLING) & (delta >= SIGNIFICANT * error) & (y0 + y1 >= MIN_DOCUMENTS)
     scores[telling] = delta[telling]
     return scores
 
@@ -297,7 +298,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     texts = docs.select("doc_id", "text")
     scores = log_odds(piece_counts(labelled(texts, labels)))
     found = written(find_passages(texts, scores), "toxic-passages")
-    taught = labelled(found, labels)
+    taught = written(labelled(found, labels), "toxic-taught")
 
     clean = taught.filter("toxic = 0")
     n_words = clean.agg(F.sum("n_words")).first()[0] or 0
