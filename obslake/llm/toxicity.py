@@ -279,7 +279,10 @@ def labelled(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int =
     """``docs`` with ``toxic``: labelled documents whose crc32 of the id as
     text leaves another remainder than ``held_out``."""
     known = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts != held_out).join(known, "doc_id")
+    taught = docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts != held_out)
+    # Labels are the side that is hashed: texts are not sorted, and the plan is
+    # the same at any size.
+    return taught.join(known.hint("shuffle_hash"), "doc_id")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
