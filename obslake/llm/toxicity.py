@@ -1,9 +1,9 @@
 """Toxic passages by maximum-scoring segments.
 
-Training counts, for hashed character pieces of words, in how many labelled
-documents of either label each occurs, and turns the counts into log-odds
-with an informative Dirichlet prior (every piece expected as often as in all
-documents).  A word's score is the largest log-odds among its pieces that
+Training counts, for hashed character pieces of words, in how many words of
+labelled documents of either label each occurs, and turns the counts into
+log-odds with an informative Dirichlet prior (every piece expected as often
+as in all documents).  A word's score is the largest log-odds among its pieces that
 are significant; other words score a negative drift.  One linear scan per
 document (Ruzzo and Tompa) finds all maximal-scoring segments of words.
 
@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import utf8, written
+from obslake.llm.common import utf8, word_blocks, written
 
 PIECES = 1 << 18
 ORDERS = (4, 5)  # bytes in a piece of " word "
-PRIOR = 0.1  # strength of the prior, as a share of the documents counted
-SIGNIFICANT = 3.0  # standard errors of the log-odds
+PRIOR = 0.1  # strength of the prior, as a share of the words counted
+SIGNIFICANT = 3.5  # standard errors of the log-odds
 TELLING = 2.0  # least log-odds: with much text slight leanings are significant too
-MIN_DOCUMENTS = 4  # labelled documents that a piece is in
+MIN_DOCUMENTS = 3  # labelled documents that a piece is in
 DRIFT = -0.25
 BINS_A_UNIT = 16  # of evidence, for the logistic fit
 CHANCE = 0.05  # expected segments in clean text that a significant passage stays under
@@ -44,22 +44,13 @@ _MIX = [np.uint32(x) for x in (2654435761, 2246822519, 3266489917, 668265263, 37
 BLOCK = 1 << 20  # bytes scanned together
 
 
-def letters(text: bytes) -> bytes:
-    """Words of letters, one space between and around; empty without any."""
-    words = text.translate(_LETTERS).split()
-    return b" " + b" ".join(words) + b" " if words else b""
-
-
 def blocks(text: bytes) -> Iterator[bytes]:
-    """The letters in blocks of whole words, each with spaces around."""
-    kept = letters(text)
-    at = 0
-    while at < len(kept) - 1:
-        end = len(kept) - 1
-        if end - at > BLOCK:
-            end = kept.find(b" ", at + BLOCK)
-        yield kept[at:end + 1]
-        at = end
+    """The words of letters in lower case, one space between and around, in
+    blocks of whole words."""
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
+    for words in word_blocks(text.translate(_LETTERS), BLOCK):
+        yield b" " + b" ".join(words) + b" "
 
 
 def pieces(block: bytes) -> tuple[list[np.ndarray], np.ndarray]:
@@ -86,41 +77,46 @@ def pieces(block: bytes) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def piece_counts(texts: DataFrame) -> np.ndarray:
-    """(PIECES, 2): documents with label 0 and 1 that have the piece, from
-    ``text, toxic`` rows; the last row of the result counts the documents."""
+    """(PIECES + 1, 3) from ``text, toxic`` rows: in how many words the piece
+    occurs with label 0, with label 1, and in how many documents; the last
+    row counts all words and documents.  A document counts each of its words
+    once, so repeated lines weigh nothing, and a stem that it inflects counts
+    with every form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((PIECES + 1, 2), dtype=np.int64)
-        seen = np.zeros(PIECES + 1, dtype=bool)
+        total = np.zeros((PIECES + 1, 3), dtype=np.int64)
         for batch in batches:
             for text, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                seen[:] = False
+                words: set[bytes] = set()
                 for block in blocks(text):
-                    for found in pieces(block)[0]:
-                        seen[found] = True
-                seen[-1] = True  # what spans two words went here too
-                total[seen, label] += 1
+                    words.update(block.split())
+                total[-1] += (len(words) * (label == 0), len(words) * (label == 1), 1)
+                if words:
+                    found = np.concatenate(pieces(b" " + b" ".join(words) + b" ")[0])
+                    found = found[found >= 0]
+                    np.add.at(total[:, label], found, 1)
+                    total[np.unique(found), 2] += 1
         at = np.flatnonzero(total.any(axis=1)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at, 0]), pa.array(total[at, 1])],
-                                         ["piece", "n0", "n1"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(total[at, i]) for i in range(3)]],
+                                         ["piece", "n0", "n1", "docs"])
 
-    rows = (texts.select("text", "toxic").mapInArrow(run, "piece int, n0 bigint, n1 bigint")
-            .groupBy("piece").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    rows = (texts.select("text", "toxic").mapInArrow(run, "piece int, n0 bigint, n1 bigint, docs bigint")
+            .groupBy("piece").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")])
             .filter(f"n1 > 0 OR piece = {PIECES}").toArrow())  # at most PIECES + 1 rows
-    out = np.zeros((PIECES + 1, 2), dtype=np.int64)
-    out[rows["piece"].to_numpy()] = np.stack([rows["n0"].to_numpy(), rows["n1"].to_numpy()], axis=1)
+    out = np.zeros((PIECES + 1, 3), dtype=np.int64)
+    out[rows["piece"].to_numpy()] = np.stack([rows[c].to_numpy() for c in ("n0", "n1", "docs")], axis=1)
     return out
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
-    """Score of each piece for label 1, 0 where it is not significant."""
-    n0, n1 = (counts[-1] + 0.0)
+    """Score of each piece for label 1, 0 where it does not tell."""
+    n0, n1 = counts[-1, :2] + 0.0
     scores = np.zeros(PIECES, dtype=np.float32)
     if not n0 or not n1:
         return scores
     y0, y1 = counts[:-1, 0].astype(float), counts[:-1, 1].astype(float)
-    # What the prior adds to either label: PRIOR of the documents, with the
-    # piece as often as in both labels together, half a document at least.
+    # What the prior adds to either label: PRIOR of the words, with the piece
+    # as often as in both labels together, in half a word at least.
     prior = np.maximum(PRIOR * (y0 + y1), 0.5)
     added = PRIOR * (n0 + n1) + 1
 
@@ -129,7 +125,7 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
 
     delta = odds(y1, n1) - odds(y0, n0)
     error = np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-    telling = (delta >= TELLING) & (delta >= SIGNIFICANT * error) & (y0 + y1 >= MIN_DOCUMENTS)
+    telling = (delta >= TELLING) & (delta >= SIGNIFICANT * error) & (counts[:-1, 2] >= MIN_DOCUMENTS)
     scores[telling] = delta[telling]
     return scores
 
