@@ -21,7 +21,7 @@ from obslake.llm.common import word_blocks
 # apostrophe is left out as it starts English endings.
 _PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_KEPT_PIECES = 400_000  # pieces kept at a time in one worker, about 80 MB
+_KEPT_PIECES = 400_000  # of a generation; two are kept in a worker, about 160 MB
 
 
 def _byte_letters() -> list[str]:
@@ -52,13 +52,15 @@ def splits_at_white_space(spec: dict) -> bool:
 
 class Encoder(dict):
     """``encode(text)``: ids as little-endian unsigned 32-bit integers.
-    The dict holds the ids of pieces."""
+    The dict holds the ids of pieces; when it is full it becomes the earlier
+    generation, from which pieces that still occur come back."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.earlier: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.tails: dict[bytes, bytes] = {b"": b""}
@@ -81,21 +83,25 @@ class Encoder(dict):
                 self.tails[signs] = ids
         return ids
 
-    def __missing__(self, piece: bytes) -> bytes:
+    def piece(self, piece: bytes) -> bytes:
         if m := _PLAIN.fullmatch(piece):
-            ids = self.word(m[1].lower().decode()) + self.tail(m[2])
-        else:
-            core = piece.rstrip(_SIGNS)
-            text = core.decode("utf-8", "replace")
-            # Below U+0250 letters are composed already and have plain lower
-            # cases, but for the dotted capital I.
-            if text.isalpha() and max(text) < "ɐ" and "İ" not in text:
-                lower = "".join([self.letters[b] for b in text.lower().encode()])
-                ids = self.word(lower) + self.tail(piece[len(core):])
-            else:
-                ids = self.whole(piece)
+            return self.word(m[1].lower().decode()) + self.tail(m[2])
+        core = piece.rstrip(_SIGNS)
+        text = core.decode("utf-8", "replace")
+        # Below U+0250 letters are composed already and have plain lower
+        # cases, but for the dotted capital I.
+        if text.isalpha() and max(text) < "ɐ" and "İ" not in text:
+            lower = "".join([self.letters[b] for b in text.lower().encode()])
+            return self.word(lower) + self.tail(piece[len(core):])
+        return self.whole(piece)
+
+    def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= _KEPT_PIECES:
+            self.earlier = dict(self)
             self.clear()
+        ids = self.earlier.get(piece)
+        if ids is None:
+            ids = self.piece(piece)
         self[piece] = ids
         return ids
 

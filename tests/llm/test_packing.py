@@ -28,6 +28,14 @@ RANGES = [(32, 127), (9, 14), (0, 32), (0x80, 0x250), (0x2B0, 0x370), (0x370, 0x
 PARTS = ["'s", "'S", "don't", " ", "a", "Z", "é", "É", "İ", "J\u030c", ".", "_", "|>", "<|endoftext|>", "1", "ª", "\xa0", "ß"]
 
 
+def test_encoder_with_few_kept_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "_KEPT_PIECES", 3)
+    enc = tokens.Encoder(tokenizer_path())
+    text = " ".join(f"word{i % 7} the" for i in range(60))
+    assert enc.encode(text.encode()) == enc.whole(text.encode())
+    assert len(enc) <= 3 and len(enc.earlier) <= 3
+
+
 def test_encoder_equals_the_library_on_random_texts():
     rng = np.random.default_rng(8)
     enc = tokens.Encoder(tokenizer_path())
