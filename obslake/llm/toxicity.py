@@ -2,10 +2,14 @@
 
 Training counts, for hashed character pieces of words, in how many words of
 labelled documents of either label each occurs, and turns the counts into
-log-odds with an informative Dirichlet prior (every piece expected as often
-as in all documents).  A word's score is the largest log-odds among its pieces that
-are significant; other words score a negative drift.  One linear scan per
-document (Ruzzo and Tompa) finds all maximal-scoring segments of words.
+log-odds with an informative Dirichlet prior (every piece expected at one
+rate in both labels, whatever the share of either).  Every piece whose
+log-odds are significant tells, however little, for or against.  A word's
+score is the mean log-odds of its pieces (0 for those that do not tell, none
+for those too rare to tell anything) and a negative drift, so the slight leanings that much text makes significant cancel
+out, and one piece shared with a toxic word does not condemn another.  One
+linear scan per document (Ruzzo and Tompa) finds all maximal-scoring segments
+of words.
 
 Segments are judged by extreme-value statistics: in n words of clean text
 about K n exp(-lambda s) segments reach a score s, where lambda solves the
@@ -32,12 +36,12 @@ from obslake.llm.common import utf8, word_blocks, written
 
 PIECES = 1 << 18
 ORDERS = (4, 5)  # bytes in a piece of " word "
-PRIOR = 0.1  # strength of the prior, as a share of the words counted
+PRIOR = 0.1  # strength of the prior, as a share of the words of a label
 SIGNIFICANT = 3.5  # standard errors of the log-odds
-TELLING = 2.0  # least log-odds: with much text slight leanings are significant too
 MIN_DOCUMENTS = 3  # labelled documents that a piece is in
 DRIFT = -0.25
 BINS_A_UNIT = 16  # of evidence, for the logistic fit
+SCORE_BINS, SCORE_LIMIT = 100, 16  # of word scores: bins a unit, and the largest told apart
 CHANCE = 0.05  # expected segments in clean text that a significant passage stays under
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)).lower()
 _MIX = [np.uint32(x) for x in (2654435761, 2246822519, 3266489917, 668265263, 374761393)]
@@ -102,42 +106,48 @@ def piece_counts(texts: DataFrame) -> np.ndarray:
 
     rows = (texts.select("text", "toxic").mapInArrow(run, "piece int, n0 bigint, n1 bigint, docs bigint")
             .groupBy("piece").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")])
-            .filter(f"n1 > 0 OR piece = {PIECES}").toArrow())  # at most PIECES + 1 rows
+            .toArrow())  # at most PIECES + 1 rows
     out = np.zeros((PIECES + 1, 3), dtype=np.int64)
     out[rows["piece"].to_numpy()] = np.stack([rows[c].to_numpy() for c in ("n0", "n1", "docs")], axis=1)
     return out
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
-    """Score of each piece for label 1, 0 where it does not tell."""
+    """Log-odds of each piece for label 1 (below 0: for label 0), 0 where they
+    are not significant, and none (NaN) where a piece is too rare for that: it
+    would not be significant if all its words had label 1."""
     n0, n1 = counts[-1, :2] + 0.0
-    scores = np.zeros(PIECES, dtype=np.float32)
     if not n0 or not n1:
-        return scores
+        return np.zeros(PIECES, dtype=np.float32)
     y0, y1 = counts[:-1, 0].astype(float), counts[:-1, 1].astype(float)
-    # What the prior adds to either label: PRIOR of the words, with the piece
-    # as often as in both labels together, in half a word at least.
-    prior = np.maximum(PRIOR * (y0 + y1), 0.5)
-    added = PRIOR * (n0 + n1) + 1
 
-    def odds(y: np.ndarray, n: float) -> np.ndarray:
-        return np.log((y + prior) / np.maximum(n + added - y - prior, 0.5))
+    def judged(y0: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # What the prior adds to either label: PRIOR of its words, with the
+        # piece at the mean of its two rates, in half a word at least.  With one
+        # rate for both, what a piece can reach does not depend on their mix.
+        rate = np.maximum(PRIOR * (y0 / n0 + y1 / n1) / 2, 0.5 / min(n0, n1))
 
-    delta = odds(y1, n1) - odds(y0, n0)
-    error = np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-    telling = (delta >= TELLING) & (delta >= SIGNIFICANT * error) & (counts[:-1, 2] >= MIN_DOCUMENTS)
-    scores[telling] = delta[telling]
-    return scores
+        def odds(y: np.ndarray, n: float) -> np.ndarray:
+            return np.log((y + n * rate) / np.maximum(n + n * PRIOR + 1 - y - n * rate, 0.5))
+
+        delta = odds(y1, n1) - odds(y0, n0)
+        error = np.sqrt(1 / (y1 + n1 * rate) + 1 / (y0 + n0 * rate))
+        return delta, (np.abs(delta) >= SIGNIFICANT * error) & (counts[:-1, 2] >= MIN_DOCUMENTS)
+
+    delta, telling = judged(y0, y1)
+    can_tell = telling | judged(np.zeros(PIECES), y0 + y1)[1]
+    return np.where(telling, delta, np.where(can_tell, 0, np.nan)).astype(np.float32)
 
 
 def word_scores(block: bytes, scores: np.ndarray) -> np.ndarray:
-    """Score of each word, DRIFT if no piece of it tells."""
+    """Score of each word: DRIFT and the mean log-odds of its pieces."""
     found, starts = pieces(block)
     if not len(starts):
         return np.zeros(0)
-    best = np.maximum.reduce([np.where(f >= 0, scores[f], 0) for f in found])
-    best = np.maximum.reduceat(best, starts)
-    return np.where(best > 0, best, DRIFT)
+    known = [np.where(f >= 0, scores[f], np.nan) for f in found]
+    told = np.add.reduceat(sum(np.nan_to_num(k) for k in known), starts)
+    n = np.add.reduceat(sum((~np.isnan(k)).astype(np.int64) for k in known), starts)
+    return DRIFT + told / np.maximum(n, 1)
 
 
 class Segments:
@@ -172,39 +182,48 @@ class Segments:
 
 
 def segments(text: bytes, scores: np.ndarray) -> tuple[int, np.ndarray, list[tuple[float, int, int]]]:
-    """Number of words, the positive word scores, and the segments as (score,
-    first word, word after the last)."""
-    scan, at, positives = Segments(), 0, []
+    """Number of words, how many words have a score in each bin (from
+    -SCORE_LIMIT to SCORE_LIMIT; those of DRIFT are left out), and the segments
+    as (score, first word, word after the last)."""
+    scan, at = Segments(), 0
+    histogram = np.zeros(2 * SCORE_LIMIT * SCORE_BINS + 1, dtype=np.int64)
     for block in blocks(text):
         s = word_scores(block, scores)
         hits = np.flatnonzero(s > 0)
+        below = np.concatenate([[0.0], np.cumsum(np.where(s > 0, 0, s))])
         last = -1
         for h, v in zip(hits.tolist(), s[hits].tolist()):
             if h - last > 1:
-                scan.add(DRIFT * (h - last - 1), at + last + 1, at + h)
+                scan.add(float(below[h] - below[last + 1]), at + last + 1, at + h)
             scan.add(v, at + h, at + h + 1)
             last = h
         if len(s) - last > 1:
-            scan.add(DRIFT * (len(s) - last - 1), at + last + 1, at + len(s))
-        positives.append(s[hits])
+            scan.add(float(below[len(s)] - below[last + 1]), at + last + 1, at + len(s))
+        told = np.rint(np.clip(s[s != DRIFT], -SCORE_LIMIT, SCORE_LIMIT) * SCORE_BINS).astype(np.int64)
+        histogram += np.bincount(told + SCORE_LIMIT * SCORE_BINS, minlength=len(histogram))
         at += len(s)
-    return at, np.concatenate(positives) if positives else np.zeros(0), scan.found()
+    return at, histogram, scan.found()
 
 
 def find_passages(docs: DataFrame, scores: np.ndarray) -> DataFrame:
-    """``doc_id, n_words, positives`` (scores of telling words) and
-    ``passages``: maximal-scoring segments with word ranges, whole texts."""
+    """``doc_id, n_words, told`` (words by bin of their score, those of DRIFT
+    left out) and ``passages``: maximal-scoring segments with word ranges,
+    whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(scores)  # PIECES floats, 1 MB
-    passage = pa.struct([("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
-    kind = pa.struct([("n_words", pa.int64()), ("positives", pa.list_(pa.float32())), ("passages", pa.list_(passage))])
+    bins = pa.struct([("bin", pa.int32()), ("n", pa.int32())])
+    passage = pa.struct([("score", pa.float32()), ("start", pa.int32()), ("end", pa.int32())])
+    kind = pa.struct([("n_words", pa.int64()), ("told", pa.list_(bins)), ("passages", pa.list_(passage))])
 
-    @F.arrow_udf("n_words bigint, positives array<float>, "
-                 "passages array<struct<score:double, start:bigint, end:bigint>>")
+    @F.arrow_udf("n_words bigint, told array<struct<bin:int, n:int>>, "
+                 "passages array<struct<score:float, start:int, end:int>>")
     def scan(text: pa.Array) -> pa.Array:
         rows = []
         for t in utf8(text):
-            n, positives, found = segments(t, shared.value)
-            rows.append({"n_words": n, "positives": positives.tolist(),
+            n, histogram, found = segments(t, shared.value)
+            at = np.flatnonzero(histogram)
+            rows.append({"n_words": n,
+                         "told": [{"bin": b, "n": c} for b, c in zip((at - SCORE_LIMIT * SCORE_BINS).tolist(),
+                                                                     histogram[at].tolist())],
                          "passages": [{"score": s, "start": a, "end": b} for s, a, b in found]})
         return pa.array(rows, kind)
 
@@ -214,19 +233,19 @@ def find_passages(docs: DataFrame, scores: np.ndarray) -> DataFrame:
 def extreme_value_fit(n_words: int, histogram: list[tuple[float, int]], clean_segments: list[tuple[float, int]]
                       ) -> tuple[float, float]:
     """lambda and K from clean documents: their words, the histogram of their
-    positive word scores, and of their segments' scores (score, how many)."""
+    word scores other than DRIFT, and of their segments' scores (score, how many)."""
     # One telling word more than was seen: none seen does not mean never.
-    top = max([s for s, _ in histogram], default=1.0)
+    top = max([s for s, _ in histogram if s > 0], default=1.0)
     counts = [*histogram, (top, 1)]
     words = max(n_words, 1) + 1.0
-    positive = min(sum(c for _, c in counts) / words, 0.5)
+    told = min(sum(c for _, c in counts) / words, 1.0)
     shares = [(s, c / words) for s, c in counts]
 
     def moment(x: float) -> float:
-        return sum(p * math.exp(min(x * s, 700)) for s, p in shares) + (1 - positive) * math.exp(DRIFT * x) - 1
+        return sum(p * math.exp(min(x * s, 700)) for s, p in shares) + (1 - told) * math.exp(DRIFT * x) - 1
 
     low, high = 0.0, 1.0
-    mean = sum(s * p for s, p in shares) + (1 - positive) * DRIFT
+    mean = sum(s * p for s, p in shares) + (1 - told) * DRIFT
     if mean >= 0:  # no negative drift: chance explains any segment
         return 1e-3, 1.0
     while moment(high) < 0 and high < 64:
@@ -301,14 +320,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
     clean = taught.filter("toxic = 0")
     n_words = clean.agg(F.sum("n_words")).first()[0] or 0
-    # Scores by tenth, up to 200: a few thousand rows at most.
-    tenth = F.least(F.round("p", 1), F.lit(200.0)).cast("double").alias("s")
-
-    def histogram(values: str) -> list[tuple[float, int]]:
-        rows = clean.select(F.explode(values).alias("p")).groupBy(tenth).count().collect()
-        return [(r[0], r[1]) for r in rows]
-
-    lam, k = extreme_value_fit(n_words, histogram("positives"), histogram("passages.score"))
+    by_bin = clean.select(F.inline("told")).groupBy("bin").agg(F.sum("n")).collect()  # at most as many as the bins
+    # Scores of passages by the same bins, up to 200: twenty thousand rows at most.
+    bins = F.round(F.least("p", F.lit(200.0)) * SCORE_BINS).cast("int").alias("bin")
+    by_score = clean.select(F.explode("passages.score").alias("p")).groupBy(bins).count().collect()
+    lam, k = extreme_value_fit(n_words, *[[(r[0] / SCORE_BINS, r[1]) for r in rows] for rows in (by_bin, by_score)])
 
     x = evidence(lam, k)
     bins = taught.select(F.floor(x * BINS_A_UNIT).alias("bin"), x.alias("x"), "toxic").groupBy("bin").agg(
@@ -316,7 +332,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     b0, b1 = _logistic(*[np.array([r[c] for r in bins], dtype=float) for c in ("x", "n", "k")]) if bins else (0.0, 0.0)
     score = 1 / (1 + F.exp(-(F.lit(b0) + F.lit(b1) * x)))
     with_chance = F.transform("passages", lambda s: F.struct(
-        s["score"].alias("score"), s["start"].alias("start"), s["end"].alias("end"),
+        s["score"].cast("double").alias("score"), s["start"].cast("bigint").alias("start"),
+        s["end"].cast("bigint").alias("end"),
         (F.lit(k) * F.col("n_words") * F.exp(-F.lit(lam) * s["score"])).alias("expected")))
     return found.select(
         "doc_id", score.alias("score"), (score >= threshold).cast("int").alias("predicted"),

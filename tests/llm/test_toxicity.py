@@ -113,3 +113,37 @@ def test_labels_of_held_out_documents_are_not_used(spark):
     flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a = {r.doc_id: r.score for r in tx.score_toxicity(docs, labels).collect()}
     assert a == pytest.approx({r.doc_id: r.score for r in tx.score_toxicity(docs, flipped).collect()})
+
+
+def counted(n0, n1, rows):
+    """Counts of pieces in ``n0`` and ``n1`` words of either label."""
+    counts = np.zeros((tx.PIECES + 1, 3), dtype=np.int64)
+    counts[:len(rows)], counts[-1] = rows, (n0, n1, 10_000)
+    return counts
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.62, 0.9])
+def test_every_significant_piece_tells_at_any_label_mix(share):
+    n0, n1 = round(1_000_000 * (1 - share)), round(1_000_000 * share)
+    rows = [(n0 // 100, n1 // 50, 500),  # twice as often in label 1
+            (n0 // 50, n1 // 100, 500),  # in label 0
+            (n0 // 100, n1 // 100, 500),  # as often in both
+            (0, n1 // 100, 500)]  # in label 1 only
+    twice, half, even, only = tx.log_odds(counted(n0, n1, rows))[:4]
+    assert 0.5 < twice < 0.8 and -0.8 < half < -0.5 and even == 0
+    assert only == pytest.approx(np.log(1 + 2 / tx.PRIOR), abs=0.05)
+
+
+def test_slight_leanings_keep_their_score_and_cancel_out():
+    scores = np.zeros(tx.PIECES, dtype=np.float32)
+    for word, odds in ((b"abcd", 0.75), (b"wxyz", -0.25)):
+        for found in tx.pieces(b" " + word + b" ")[0]:
+            scores[found[found >= 0]] = odds
+    assert tx.word_scores(b" abcd wxyz plain ", scores).tolist() == [0.5, -0.5, tx.DRIFT]
+    n, told, found = tx.segments(b"abcd wxyz plain abcd", scores)
+    assert n == 4 and [s for s, *_ in found] == [0.5, 0.5]
+    at = np.flatnonzero(told)
+    assert ((at - tx.SCORE_LIMIT * tx.SCORE_BINS) / tx.SCORE_BINS).tolist() == [-0.5, 0.5] and told[at].tolist() == [1, 2]
+    # Most words tell slightly, half of them against: segments stay rare.
+    lam, k = tx.extreme_value_fit(100_000, [(0.1, 45_000), (-0.35, 45_000)], [(0.1, 9_000), (0.5, 20)])
+    assert lam > 1 and np.isfinite(k)
