@@ -6,15 +6,19 @@ taken longest first; among the sequences that can hold a piece under every
 constraint, the one with the smallest weighted residual norm afterwards (or
 the largest weighted dot product of residual and piece) gets it.
 
-One narrow pass and no shuffle: each task tokenizes its documents and packs
+Documents are dealt to tasks by a hash, so each sees the lengths of the whole
+table however the input is ordered.  A task tokenizes its documents and packs
 them window by window.  Sequences that a window leaves well filled are given
-out; the pieces of the others join the next window, so only the last
-sequences of a task may stay part-filled.  Memory is bounded by the window.
+out; the pieces of the others join the next window.  What the tasks have left
+at their end is packed in a second round, over as few tasks as windows are
+needed, so only the last sequences of that round may stay part-filled (and
+those of a window whose lengths do not fill sequences).  Memory is bounded by
+the window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import utf8
+from obslake.llm.common import utf8, written
 from obslake.llm.tokens import encoder
 
 SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids binary, "
@@ -30,6 +34,7 @@ SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids binary, "
 WINDOW_TOKENS = 1 << 22  # tokens held by a task: 16 MB of ids
 GIVEN_OUT_FROM = 0.995  # of the capacity; emptier sequences wait for the next window
 ROWS_OUT = 2_000
+SECOND_ROUND = 1 << 62  # added to its sequence ids
 
 
 class VectorBestFit:
@@ -101,64 +106,90 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
     """
     capacities = (capacity, max_documents or capacity, max_attention or capacity * capacity)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fit, encode = VectorBestFit(capacities, weights, rule), encoder(tokenizer).encode
-        end = np.array([end_id], dtype="<u4").tobytes()
-        next_id = TaskContext.get().partitionId() << 36
-        out: list[tuple] = []
-        held: list[tuple] = []  # (doc_id, piece, start, ids)
-        held_tokens, limit = 0, window_tokens
-
-        def given(rows: list[tuple]) -> pa.RecordBatch:
-            names = ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names)
-
-        def close(pieces: list[tuple]) -> None:
-            nonlocal next_id
-            at = 0
-            for doc, piece, start, ids in pieces:
-                out.append((doc, piece, start, len(ids) // 4, ids, next_id, at))
-                at += len(ids) // 4
-            next_id += 1
-
-        def pack(last: bool) -> None:
-            nonlocal held, held_tokens, limit
-            lengths = np.array([len(p[3]) // 4 for p in held], dtype=np.int64)
-            waiting: list[tuple] = []
-            for sequence in fit.place(lengths):
-                pieces = [held[i] for i in sequence]
-                if last or lengths[sequence].sum() >= GIVEN_OUT_FROM * capacity:
-                    close(pieces)
-                else:
-                    waiting += pieces
-            held, held_tokens = waiting, sum(len(p[3]) // 4 for p in waiting)
-            if held_tokens > window_tokens // 2:  # tight bounds leave none well filled
-                for sequence in fit.place(np.array([len(p[3]) // 4 for p in held], dtype=np.int64)):
-                    close([held[i] for i in sequence])
-                held, held_tokens = [], 0
-
-        for batch in batches:
+    Piece = tuple[int | None, int, int, bytes]  # doc_id, piece, start, ids
+
+    def tokenized() -> Callable[[pa.RecordBatch], Iterator[Piece]]:
+        encode, end = encoder(tokenizer).encode, np.array([end_id], dtype="<u4").tobytes()
+
+        def cut(batch: pa.RecordBatch) -> Iterator[Piece]:
             for doc, text in zip(batch.column(0), utf8(batch.column(1))):
                 ids = encode(text) + end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start:start + 4 * capacity]
-                    if not fit.fits_alone(len(part) // 4):
-                        raise ValueError(f"a piece of {len(part) // 4} tokens exceeds a capacity")
-                    row = (doc.as_py(), piece, start // 4, part)
-                    if len(part) == 4 * capacity:
+                    yield doc.as_py(), piece, start // 4, ids[start:start + 4 * capacity]
+
+        return cut
+
+    def left_over() -> Callable[[pa.RecordBatch], Iterator[Piece]]:
+        return lambda batch: zip(*[batch.column(c).to_pylist() for c in range(4)])
+
+    def packer(reader: Callable, first_id: int, hand_on: bool):
+        """Packs the pieces that ``reader`` finds; with ``hand_on`` the
+        under-filled rest of a task has no sequence_id."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fit, read = VectorBestFit(capacities, weights, rule), reader()
+            next_id = first_id + (TaskContext.get().partitionId() << 36)
+            out: list[tuple] = []
+            held: list[tuple] = []
+            held_tokens = 0
+
+            def given(rows: list[tuple]) -> pa.RecordBatch:
+                names = ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+                return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names)
+
+            def close(pieces: list[tuple]) -> None:
+                nonlocal next_id
+                at = 0
+                for doc, piece, start, ids in pieces:
+                    out.append((doc, piece, start, len(ids) // 4, ids, next_id, at))
+                    at += len(ids) // 4
+                next_id += 1
+
+            def pack(last: bool) -> None:
+                nonlocal held, held_tokens
+                lengths = np.array([len(p[3]) // 4 for p in held], dtype=np.int64)
+                waiting: list[tuple] = []
+                for sequence in fit.place(lengths):
+                    pieces = [held[i] for i in sequence]
+                    if last and not hand_on or lengths[sequence].sum() >= GIVEN_OUT_FROM * capacity:
+                        close(pieces)
+                    else:
+                        waiting += pieces
+                held, held_tokens = waiting, sum(len(p[3]) // 4 for p in waiting)
+                if held_tokens > window_tokens // 2:  # tight bounds leave none well filled
+                    for sequence in fit.place(np.array([len(p[3]) // 4 for p in held], dtype=np.int64)):
+                        close([held[i] for i in sequence])
+                    held, held_tokens = [], 0
+                if last:
+                    out.extend((doc, piece, start, len(ids) // 4, ids, None, None) for doc, piece, start, ids in held)
+
+            for batch in batches:
+                for row in read(batch):
+                    length = len(row[3]) // 4
+                    if not fit.fits_alone(length):
+                        raise ValueError(f"a piece of {length} tokens exceeds a capacity")
+                    if length == capacity:
                         close([row])
                     else:
                         held.append(row)
-                        held_tokens += len(part) // 4
-                if held_tokens >= limit:
-                    pack(last=False)
-                while len(out) >= ROWS_OUT:
-                    yield given(out[:ROWS_OUT])
-                    del out[:ROWS_OUT]
-        pack(last=True)
-        while out:
-            yield given(out[:ROWS_OUT])
-            del out[:ROWS_OUT]
-
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(run, SCHEMA)
+                        held_tokens += length
+                    if held_tokens >= window_tokens:
+                        pack(last=False)
+                    while len(out) >= ROWS_OUT:
+                        yield given(out[:ROWS_OUT])
+                        del out[:ROWS_OUT]
+            pack(last=True)
+            while out:
+                yield given(out[:ROWS_OUT])
+                del out[:ROWS_OUT]
+
+        return run
+
+    dealt = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).repartition(F.xxhash64("doc_id", "text"))
+    first = written(dealt.mapInArrow(packer(tokenized, 0, hand_on=True), SCHEMA), "packed")
+    rest = first.filter("sequence_id IS NULL").select("doc_id", "piece", "start", "ids")
+    tokens = first.filter("sequence_id IS NULL").agg(F.sum("length")).first()[0] or 0
+    second = rest.repartition(-(-tokens // window_tokens) or 1, F.xxhash64("doc_id", "piece", "ids")).mapInArrow(
+        packer(left_over, SECOND_ROUND, hand_on=False), SCHEMA)
+    return first.filter("sequence_id IS NOT NULL").unionByName(second)

@@ -92,6 +92,16 @@ def test_every_constraint_holds(spark, rule):
         packing.VectorBestFit((1, 1, 1), (1, 1, 1), "first")
 
 
+def test_lengths_of_other_splits_fill_sequences(spark):
+    """Long documents in their own splits are joined with the short ones of others."""
+    rng = np.random.default_rng(4)
+    lengths = np.sort(np.concatenate([rng.integers(66, 120, 400), rng.integers(4, 60, 400)]))
+    docs = [(i, "the " * int(n)) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(docs, 8), "doc_id bigint, text string")
+    sequences = check(packing.pack_documents(df, tokenizer_path(), 128).collect(), docs, 128)
+    assert len(sequences) <= 1.05 * (lengths + 1).sum() / 128 + 1
+
+
 def test_few_sequences():
     rng = np.random.default_rng(5)
     lengths = rng.integers(1, 4096, 3_000)
