@@ -145,10 +145,76 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM tested JOIN hosts USING (host)
 """
 
+# Unsigned crc32 of the decimal doc_id, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+
+def _op13_field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_OP13_HEAD = " || ".join(_op13_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+# Levels of the trees grow in a recursion; a second one walks from a leaf up,
+# folding the claimed leaf with the siblings of every level.
+OP13 = f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT doc_id, source, sha256({_OP13_HEAD} || {_op13_field("text")}) AS leaf,
+         sha256({_OP13_HEAD} || {_op13_field(f"CASE WHEN {_CRC} % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END")}) AS claimed
+  FROM documents),
+trees AS MATERIALIZED (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM hashed GROUP BY source),
+leaves AS MATERIALIZED (
+  SELECT doc_id, tree, leaf, claimed, row_number() OVER () AS who,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM hashed JOIN trees ON hashed.source IS NOT DISTINCT FROM trees.source),
+nodes AS (
+  SELECT 0 AS level, tree, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT level, tree, pos, sha256(digest), count(*) OVER (PARTITION BY tree) FROM (
+    SELECT level + 1 AS level, tree, pos // 16 AS pos, string_agg(digest, '' ORDER BY pos) AS digest
+    FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 16)),
+subroots AS MATERIALIZED (SELECT tree, digest AS subroot FROM nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS level, tree AS pos, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level, pos, sha256(digest), count(*) OVER () FROM (
+    SELECT level + 1 AS level, pos // 16 AS pos, string_agg(digest, '' ORDER BY pos) AS digest
+    FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 16)),
+steps AS MATERIALIZED (
+  SELECT tree, level, pos, n, list(digest) OVER run AS members, row_number() OVER run - 1 AS slot
+  FROM (SELECT tree, level, pos, digest, n FROM nodes WHERE n > 1
+        UNION ALL SELECT -1, level, pos, digest, n FROM upper_nodes WHERE n > 1)
+  WINDOW run AS (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+whole AS MATERIALIZED (
+  SELECT tree, level, pos // 16 AS run, arg_max(members, slot) AS members FROM steps GROUP BY tree, level, pos // 16),
+top AS (SELECT digest AS root FROM upper_nodes WHERE n = 1),
+walk AS (
+  SELECT who, 0 AS hops, tree, 0 AS level, pos, claimed AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.who, w.hops + 1,
+    CASE WHEN s.members IS NULL THEN -1 ELSE w.tree END,
+    CASE WHEN s.members IS NULL THEN 0 ELSE w.level + 1 END,
+    CASE WHEN s.members IS NULL THEN w.tree ELSE w.pos // 16 END,
+    CASE WHEN s.members IS NULL THEN w.folded
+         ELSE sha256(array_to_string(s.members[1:w.pos % 16], '') || w.folded || array_to_string(s.members[w.pos % 16 + 2:], '')) END,
+    CASE WHEN s.members IS NULL THEN w.proof
+         ELSE w.proof || array_to_string(s.members[1:w.pos % 16], '') || array_to_string(s.members[w.pos % 16 + 2:], '') END
+  FROM walk w LEFT JOIN whole s ON s.tree = w.tree AND s.level = w.level AND s.run = w.pos // 16
+  WHERE w.tree >= 0 OR s.members IS NOT NULL),
+ended AS (
+  SELECT who, arg_max(folded, hops) AS folded_root, sha256(arg_max(proof, hops)) AS proof_sha256
+  FROM walk GROUP BY who)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN ended USING (who) JOIN subroots USING (tree), top
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": OP2,
     "op4_hamming_search": OP4,
     "op6_chat_format": OP6,
     "op8_line_dedup": OP8,
     "op10_host_rules": OP10,
+    "op13_merkle_manifest": OP13,
 }

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import (bit_planes, chat_format, hamming_search, host_rules, language_id, line_dedup, mixing,
-                         packing, simhash_pivots, toxicity)
+from obslake.llm import (bit_planes, chat_format, hamming_search, host_rules, language_id, line_dedup, merkle_manifest,
+                         mixing, packing, simhash_pivots, toxicity)
 from obslake.llm.common import table, written
 from obslake.sources.tables import scratch_path
 
@@ -98,6 +98,12 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.when(remainder("doc_id", 5) == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    return merkle_manifest.build(table(spark, sf_dir, "documents"), fanout=16, claimed_text=tampered).verified()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_pivots": op1_simhash_pivots,
     "op2_source_mixing": op2_source_mixing,
@@ -109,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_host_rules": op10_host_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
