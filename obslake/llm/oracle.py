@@ -210,11 +210,26 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 FROM leaves JOIN ended USING (who) JOIN subroots USING (tree), top
 """
 
+OP12 = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+near AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM near)
+WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": OP2,
     "op4_hamming_search": OP4,
     "op6_chat_format": OP6,
     "op8_line_dedup": OP8,
     "op10_host_rules": OP10,
+    "op12_block_neighbours": OP12,
     "op13_merkle_manifest": OP13,
 }

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import (bit_planes, chat_format, hamming_search, host_rules, language_id, line_dedup, merkle_manifest,
-                         mixing, packing, simhash_pivots, toxicity)
+from obslake.llm import (bit_planes, block_neighbours, chat_format, hamming_search, host_rules, language_id, line_dedup,
+                         merkle_manifest, mixing, packing, simhash_pivots, token_alignment, toxicity)
 from obslake.llm.common import table, written
 from obslake.sources.tables import scratch_path
 
@@ -98,6 +98,18 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = written(block_neighbours.quantised(table(spark, sf_dir, "embeddings")), "quantised")
+    return block_neighbours.top_k(coded, coded.filter("id % 100 = 0"), k=10).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     tampered = F.when(remainder("doc_id", 5) == 0, F.translate("text", upper, lower)).otherwise(F.col("text"))
@@ -115,5 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_host_rules": op10_host_rules,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_block_neighbours": op12_block_neighbours,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
