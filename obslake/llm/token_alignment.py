@@ -6,15 +6,16 @@ lexsorted by start; with the running maximum of their ends
 which is where tokens of both sides end.  Inside a group the overlapping pairs
 are expanded into links.
 
-Groups repeat as words do, so a task numbers the distinct groups of a chunk of
-documents (a dictionary bounded by ``CHUNK_GROUPS``), expands links once for
-each, and writes a document as the numbers of its groups.  How often two ids
-are linked in the whole corpus is one aggregation over the chunks' pairs; the
-counts go back to the chunks that hold a pair, never to every task, and a
-document sums them over its groups.  Texts are tokenized once.
-
-Long texts are encoded in blocks cut before a lone space, where neither
-tokenizer has a token that goes across (checked for the files at hand).
+Texts repeat words, and neither tokenizer has a token across a lone space or
+line feed (checked for the files at hand).  So a text is cut there into units,
+and a task numbers the distinct units of a chunk of documents: each is encoded
+and coalesced once, and a document is written as the numbers of its units.  A
+chunk is bounded by the units of its documents and by the distinct ones.  Links
+and groups never go across a unit, as both sides end there.
+
+How often two ids are linked in the whole corpus is one aggregation over the
+chunks' pairs; the counts go back to the chunks that hold a pair, never to
+every task, and a document sums them over its units.  Texts are read once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,30 +36,47 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obslake.llm.common import BLOCK, utf8, written
+from obslake.llm.common import utf8, written
 from obslake.llm.tokens import _byte_letters
 
-BATCH_BYTES = 1 << 19  # text that is coalesced together
-CHUNK_GROUPS = 1 << 21  # groups of the documents of a chunk, and
-CHUNK_DISTINCT = 1 << 17  # distinct ones, before the chunk is closed
+BATCH_BYTES = 1 << 21  # text whose new units are encoded together
+CHUNK_UNITS = 1 << 22  # units of the documents of a chunk, and
+CHUNK_DISTINCT = 1 << 18  # distinct ones, before the chunk is closed
 PAIR = 32  # bits of a pair's key that hold the B id
 ALIGNED = ("chunk bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
-           "groups array<int>, pairs array<bigint>, times array<bigint>, ends array<int>, links array<int>")
+           "units array<int>, pairs array<bigint>, times array<bigint>, ends array<int>, links array<int>")
 SCORED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
           "groups_sha256 string")
 
-_LONE_SPACE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
+_NO_EDGE = "\u180e\u200b\ufeff"  # taken for white space, as tables of it differ
 
 
-def blocks(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
-    """A text in blocks of about ``size`` bytes, each but the first starting
-    with a lone space between visible ASCII characters."""
-    at = 0
-    while len(text) - at > size and (cut := _LONE_SPACE.search(text, at + size)):
-        yield text[at:cut.start()]
-        at = cut.start()
-    yield text[at:]
+def pieces_of(text: bytes) -> list[bytes]:
+    """What stands between the spaces of space + text; a line feed starts a
+    piece of its own."""
+    return text.replace(b"\n", b" \n").split(b" ")
+
+
+def unit_text(key: bytes) -> bytes:
+    """The bytes of a unit: a piece with the space before it, or several
+    pieces (which have a space inside, or start with a line feed)."""
+    return key if key.startswith(b"\n") or b" " in key else b" " + key
+
+
+def joined(pieces: list[bytes]) -> bytes:
+    """The key of a unit of several pieces."""
+    return b"".join([p if p.startswith(b"\n") else b" " + p for p in pieces])
+
+
+def edges(key: bytes) -> int:
+    """1: the text may be cut before this piece; 2: after it.  There is no cut
+    next to other white space."""
+    text = key.decode("utf-8", "replace")
+    body = text[1:] if text.startswith("\n") else text
+    if not body:
+        return 0
+    return sum(bit for bit, c in ((1, body[0]), (2, body[-1])) if not c.isspace() and c not in _NO_EDGE)
 
 
 class ByteLevel:
@@ -77,16 +96,15 @@ class ByteLevel:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        # its rule keeps a lone space with what follows it
+        # its rule keeps a lone space with what follows it, and a lone line
+        # feed by itself
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                      and not pre["add_prefix_space"] and pre["use_regex"])
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        """Ids of space + text."""
-        parts = [list(blocks(b" " + t)) if self.cuts else [b" " + t] for t in texts]
-        flat = [p.decode("utf-8", "replace") for ps in parts for p in ps]
-        found = iter(self.tokenizer.encode_batch_fast(flat, add_special_tokens=False))
-        return [next(found).ids if len(ps) == 1 else [i for _ in ps for i in next(found).ids] for ps in parts]
+    def encode(self, units: list[bytes]) -> list[list[int]]:
+        """Ids of the bytes of units."""
+        texts = [u.decode("utf-8", "replace") for u in units]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -99,19 +117,17 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode()
                       for p in pieces]
-        # a piece with a space after anything else would go across a cut
-        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.space = self.model.piece_to_id("▁")
+        # a piece with a space after anything else, or with a line feed, would
+        # go across a cut
+        self.cuts = not any(re.search("[^▁]▁|\n", p) for p in pieces) and self.model.encode("\na")[0] == self.space
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        """Ids of text; the model adds the space."""
-        out = []
-        for text in texts:
-            parts = blocks(b" " + text) if self.cuts else [b" " + text]
-            ids: list[int] = []
-            for part in parts:  # every block starts with the space that the model adds
-                ids += self.model.encode(part[1:].decode("utf-8", "replace"), num_threads=1)
-            out.append(ids)
-        return out
+    def encode(self, units: list[bytes]) -> list[list[int]]:
+        """Ids of the bytes of units, of which the model adds a first space."""
+        bare = [not u.startswith(b" ") for u in units]
+        texts = [u.decode("utf-8", "replace") if b else u[1:].decode("utf-8", "replace") for u, b in zip(units, bare)]
+        return [ids[1:] if b and ids and ids[0] == self.space else ids
+                for ids, b in zip(self.model.encode(texts, num_threads=1), bare)]
 
 
 def coalesce(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,91 +159,160 @@ def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return a, b
 
 
-class Chunk:
-    """The documents of a chunk, and its dictionary of groups.  A group's key
-    is its tokens as 32-bit codes, in the order of their starts: the A id, or
-    the B id with the highest bit set."""
+class Unit(NamedTuple):
+    """A unit's tokens; ``shown`` are its groups as text.  A unit that a
+    tokenizer changes has none."""
+
+    shown: bytes
+    n_groups: int
+    a: np.ndarray
+    b: np.ndarray
+
+
+def align_units(units: list[bytes], a: ByteLevel, b: Pieces) -> list[Unit]:
+    """Units encoded by both sides and coalesced together, one after another
+    as if they were one text."""
+    ids = list(zip(a.encode(units), b.encode(units)))
+    good = [all(b"".join([side.bytes[t] for t in of]) == unit for side, of in zip((a, b), pair))
+            for unit, pair in zip(units, ids)]
+    none = np.zeros(0, dtype=np.uint32)
+    kept = [pair for pair, ok in zip(ids, good) if ok]
+    flat = [np.fromiter(chain.from_iterable(p[x] for p in kept), dtype=np.uint32) for x in (0, 1)]
+    n_a, n_b = flat[0].size, flat[1].size
+    lengths = [np.array([len(side.bytes[t]) for t in of.tolist()], dtype=np.int64) for side, of in zip((a, b), flat)]
+    order, first = coalesce(np.cumsum(lengths[0]), np.cumsum(lengths[1]))
+    # ids in order of start with what follows them: a comma inside a group's
+    # side, a bar between its sides, a semicolon after it
+    side = order >= n_a
+    group = np.cumsum(np.bincount(first, minlength=len(order))[:len(order)]) - 1
+    by_side = np.lexsort((np.arange(len(order)), side, group))  # a group's A tokens before its B tokens
+    side, group = side[by_side], group[by_side]
+    same = np.append((group[1:] == group[:-1]) & (side[1:] == side[:-1]), False)
+    text_of = np.concatenate(flat)[order][by_side].tolist()
+    sign = np.where(same, 0, np.where(side, 2, 1)).tolist()
+    shown = [b"%d%c" % (t, b",|;"[x]) for t, x in zip(text_of, sign)]
+    # back to units: how many of these tokens each has
+    out: list[Unit] = []
+    at = at_a = at_b = 0
+    kept_at = iter(kept)
+    is_end = np.append(0, np.cumsum(np.array(sign) == 2)) if sign else np.zeros(1, dtype=np.int64)
+    for ok in good:
+        if not ok:
+            out.append(Unit(b"", 0, none, none))
+            continue
+        x, y = map(len, next(kept_at))
+        to = at + x + y
+        out.append(Unit(b"".join(shown[at:to])[:-1], int(is_end[to] - is_end[at]), flat[0][at_a:at_a + x], flat[1][at_b:at_b + y]))
+        at, at_a, at_b = to, at_a + x, at_b + y
+    return out
 
-    B_SIDE = np.uint32(1 << 31)
 
-    def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
-        self.a_length = np.array([len(x) for x in a_bytes], dtype=np.int64)
-        self.b_length = np.array([len(x) for x in b_bytes], dtype=np.int64)
+class Chunk:
+    """The documents of a chunk as numbers of units, and its dictionary of
+    units.  ``earlier`` are the units of the chunk before, which need no
+    encoding."""
+
+    def __init__(self, a: ByteLevel, b: Pieces, earlier: dict[bytes, Unit]):
+        self.a, self.b, self.earlier = a, b, earlier
         self.number: defaultdict[bytes, int] = defaultdict()
         self.number.default_factory = self.number.__len__
+        self.units: list[Unit | None] = []  # none: a piece that was only looked at
         self.shown: list[bytes] = []
-        self.docs: list[tuple] = []  # doc_id, n_a, n_b, groups, sha256
-        self.n_groups = 0
+        self.sizes = np.zeros((0, 3), dtype=np.int64)  # A tokens, B tokens, groups
+        self.edges = np.zeros(0, dtype=np.uint8)
+        self.docs: list[tuple] = []  # doc_id, n_a, n_b, n_groups, units, sha256
+        self.n_units = 0
 
     def full(self) -> bool:
-        return self.n_groups >= CHUNK_GROUPS or len(self.number) >= CHUNK_DISTINCT
-
-    def add(self, doc_ids: list[int | None], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
-        """Documents whose tokens of both sides cover the same bytes."""
-        a = np.fromiter(chain.from_iterable(a_ids), dtype=np.uint32)
-        b = np.fromiter(chain.from_iterable(b_ids), dtype=np.uint32)
-        a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        order, first = coalesce(a_ends, b_ends)
-        codes = np.concatenate([a, b | self.B_SIDE])[order].tobytes()
-        cuts = [*(4 * first).tolist(), len(codes)]
-        known = len(self.number)
+        return self.n_units >= CHUNK_UNITS or len(self.number) >= CHUNK_DISTINCT
+
+    def cut(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Unit numbers of texts."""
         number = self.number
-        groups = [number[codes[s:e]] for s, e in zip(cuts, cuts[1:])]
-        if len(number) > known:
-            self.shown += [self.show(key) for key in list(number)[known:]]
-        # the groups of a document start where its first A token does
-        tokens = np.empty(len(order), dtype=np.int64)
-        tokens[order] = np.arange(len(order))
-        n_a = [len(ids) for ids in a_ids]
-        doc_first = np.searchsorted(first, tokens[np.cumsum([0, *n_a[:-1]])]) if len(a) else np.zeros(len(n_a), dtype=np.int64)
-        for i, (s, e) in enumerate(zip(doc_first.tolist(), [*doc_first[1:].tolist(), len(groups)])):
-            mine = groups[s:e]
-            text = b";".join([self.shown[g] for g in mine])
-            self.docs.append((doc_ids[i], n_a[i], len(b_ids[i]), np.array(mine, dtype=np.int32),
-                              hashlib.sha256(text).hexdigest()))
-        self.n_groups += len(groups)
+        if not (self.a.cuts and self.b.cuts):
+            return [np.array([number[b" " + t]], dtype=np.int32) for t in texts]
+        split = [pieces_of(t) for t in texts]
+        numbers = [np.array([number[p] for p in pieces], dtype=np.int32) for pieces in split]
+        if len(number) > len(self.edges):
+            keys = list(islice(number, len(self.edges), None))
+            self.edges = np.append(self.edges, np.array([edges(k) for k in keys], dtype=np.uint8))
+        out = []
+        for pieces, mine in zip(split, numbers):
+            e = self.edges[mine]
+            cuts = (e[:-1] & 2).astype(bool) & (e[1:] & 1).astype(bool)
+            if not cuts.all() or len(mine) == 1 and not pieces[0]:
+                bounds = [0, *(np.flatnonzero(cuts) + 1).tolist(), len(pieces)]
+                mine = np.array([number[pieces[s]] if t - s == 1 and pieces[s] else number[joined(pieces[s:t])]
+                                 for s, t in zip(bounds, bounds[1:])], dtype=np.int32)
+            out.append(mine)
+        return out
+
+    def add(self, doc_ids: list[int | None], texts: list[bytes]) -> None:
+        cut = self.cut(texts)
+        more = len(self.number) - len(self.units)
+        if len(self.number) > len(self.edges):  # units of several pieces are no pieces
+            self.edges = np.append(self.edges, np.zeros(len(self.number) - len(self.edges), dtype=np.uint8))
+        self.units += [None] * more
+        self.shown += [b""] * more
+        self.sizes = np.concatenate([self.sizes, np.zeros((more, 3), dtype=np.int64)])
+        keys = list(self.number)
+        missing = [u for u in np.unique(np.concatenate(cut)).tolist() if self.units[u] is None]
+        found = [self.earlier.get(keys[u]) for u in missing]
+        new = iter(align_units([unit_text(keys[u]) for u, f in zip(missing, found) if f is None], self.a, self.b))
+        for u, f in zip(missing, found):
+            unit = self.units[u] = next(new) if f is None else f
+            self.shown[u] = unit.shown
+            self.sizes[u] = (len(unit.a), len(unit.b), unit.n_groups)
+        shown = self.shown
+        for doc, mine in zip(doc_ids, cut):
+            n_a, n_b, n_groups = self.sizes[mine].sum(axis=0).tolist()
+            if not self.sizes[mine, 2].all():  # a tokenizer changed one of them
+                self.add_empty(doc)
+                continue
+            text = b";".join([shown[u] for u in mine.tolist()])
+            self.docs.append((doc, n_a, n_b, n_groups, mine, hashlib.sha256(text).hexdigest()))
+            self.n_units += len(mine)
 
     def add_empty(self, doc_id: int | None) -> None:
-        self.docs.append((doc_id, 0, 0, np.zeros(0, dtype=np.int32), ""))
+        self.docs.append((doc_id, 0, 0, 0, np.zeros(0, dtype=np.int32), ""))
 
-    def show(self, key: bytes) -> bytes:
-        codes = np.frombuffer(key, dtype=np.uint32)
-        on_b = codes >= self.B_SIDE
-        sides = codes[~on_b].tolist(), (codes[on_b] ^ self.B_SIDE).tolist()
-        return "|".join([",".join(map(str, ids)) for ids in sides]).encode()
+    def known(self) -> dict[bytes, Unit]:
+        return {k: u for k, u in zip(self.number, self.units) if u is not None}
 
     def rows(self, number: int) -> pa.RecordBatch:
         """One row for each document and one for the dictionary: the distinct
         linked pairs, how often the chunk links them, and the pairs of each
-        group (``links`` up to ``ends``)."""
-        keys = list(self.number)
-        codes = np.frombuffer(b"".join(keys), dtype=np.uint32)
-        group = np.repeat(np.arange(len(keys)), [len(k) // 4 for k in keys])
-        on_b = codes >= self.B_SIDE
-        a, b = codes[~on_b].astype(np.int64), (codes[on_b] ^ self.B_SIDE).astype(np.int64)
-        at_a, at_b = overlaps(np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b]))
+        unit (``links`` up to ``ends``)."""
+        none = np.zeros(0, dtype=np.uint32)
+        sides = [[(u[x] if u is not None else none) for u in self.units] for x in (2, 3)]
+        a, b = (np.concatenate([none, *side]).astype(np.int64) for side in sides)
+        unit = np.repeat(np.arange(len(self.units)), [len(x) for x in sides[0]])
+        a_length, b_length = (np.array([len(x) for x in side.bytes], dtype=np.int64) for side in (self.a, self.b))
+        at_a, at_b = overlaps(np.cumsum(a_length[a]), np.cumsum(b_length[b]))
         pairs, links = np.unique(a[at_a] << PAIR | b[at_b], return_inverse=True)
-        of_group = group[~on_b][at_a]
-        ends = np.cumsum(np.bincount(of_group, minlength=len(keys)))
-        per_group = np.diff(np.append(0, ends))
-        all_groups = np.concatenate([d[3] for d in self.docs]) if self.docs else np.zeros(0, dtype=np.int32)
-        used = np.bincount(all_groups, minlength=len(keys)) if len(keys) else np.zeros(0, dtype=np.int64)
-        times = np.bincount(links.ravel(), weights=used[of_group], minlength=len(pairs)).astype(np.int64)
-        edges = np.cumsum([0, *[len(d[3]) for d in self.docs]])
-        total = np.append(0, np.cumsum(per_group[all_groups]))
-        n_links = total[edges[1:]] - total[edges[:-1]]
+        of_unit = unit[at_a]
+        per_unit = np.bincount(of_unit, minlength=len(self.units))
+        ends = np.cumsum(per_unit)
+        everything = np.concatenate([np.zeros(0, dtype=np.int32), *[d[4] for d in self.docs]])
+        used = np.bincount(everything, minlength=len(self.units))
+        # whole numbers: no float on the way
+        times = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(times, links.ravel(), used[of_unit])
+        bounds = np.cumsum([0, *[len(d[4]) for d in self.docs]])
+        total = np.append(0, np.cumsum(per_unit[everything])) if len(everything) else np.zeros(1, dtype=np.int64)
+        n_links = total[bounds[1:]] - total[bounds[:-1]]
         n = len(self.docs)
 
         def listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
             return pa.array([None] * n + [values], pa.list_(kind))
 
-        groups = pa.ListArray.from_arrays(pa.array(np.append(edges, edges[-1]), pa.int32()), pa.array(all_groups, pa.int32()))
-        doc_id, n_a, n_b, _, sha = zip(*self.docs) if n else ((), (), (), (), ())
+        units = pa.ListArray.from_arrays(pa.array(np.append(bounds, bounds[-1]), pa.int32()), pa.array(everything, pa.int32()))
+        doc_id, n_a, n_b, n_groups, _, sha = zip(*self.docs) if n else ((), (), (), (), (), ())
         long = pa.int64()
         return pa.RecordBatch.from_arrays([
             pa.array([number] * (n + 1), long), pa.array([*doc_id, None], long), pa.array([*n_a, None], long),
-            pa.array([*n_b, None], long), pa.array([*np.diff(edges).tolist(), None], long),
-            pa.array([*n_links.tolist(), None], long), pa.array([*sha, None], pa.string()), groups,
+            pa.array([*n_b, None], long), pa.array([*n_groups, None], long),
+            pa.array([*n_links.tolist(), None], long), pa.array([*sha, None], pa.string()), units,
             listed(pairs, long), listed(times, long), listed(ends, pa.int32()), listed(links.ravel(), pa.int32())],
             [f.split()[0] for f in ALIGNED.split(", ")])
 
@@ -249,40 +334,26 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = sides(byte_level, pieces)
         number = TaskContext.get().partitionId() << 36
-        chunk = Chunk(a.bytes, b.bytes)
-
-        def add(ids: list[int | None], texts: list[bytes]) -> None:
-            good: tuple[list, list, list] = ([], [], [])
-            filled = [i for i, t in enumerate(texts) if t]
-            some = [texts[i] for i in filled]
-            found = dict(zip(filled, zip(a.encode(some), b.encode(some))))
-            for i, doc in enumerate(ids):
-                if i in found:
-                    whole = b" " + texts[i]
-                    if all(b"".join([side.bytes[t] for t in of]) == whole for side, of in zip((a, b), found[i])):
-                        for kept, value in zip(good, (doc, *found[i])):
-                            kept.append(value)
-                        continue
-                chunk.add_empty(doc)
-            if good[0]:
-                chunk.add(*good)
-
+        chunk = Chunk(a, b, {})
+        ids: list[int | None] = []
+        texts: list[bytes] = []
+        held = 0
         for batch in batches:
-            ids: list[int | None] = []
-            texts: list[bytes] = []
-            held = 0
             for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                if not text:
+                    chunk.add_empty(doc)
+                    continue
                 ids.append(doc)
                 texts.append(text)
                 held += len(text)
                 if held >= BATCH_BYTES:
-                    add(ids, texts)
+                    chunk.add(ids, texts)
                     ids, texts, held = [], [], 0
                     if chunk.full():
                         yield chunk.rows(number)
-                        number, chunk = number + 1, Chunk(a.bytes, b.bytes)
-            if ids:
-                add(ids, texts)
+                        number, chunk = number + 1, Chunk(a, b, chunk.known())
+        if ids:
+            chunk.add(ids, texts)
         if chunk.docs:
             yield chunk.rows(number)
 
@@ -311,15 +382,15 @@ def scored(left: pa.Table, right: pa.Table) -> pa.Table:
     at = right.column("at").to_numpy()
     count[at] = right.column("count").to_numpy()
     best[at] = right.column("best").to_numpy().astype(np.int64)
-    groups = docs.column("groups").combine_chunks()
-    edges = np.append(0, np.cumsum(np.array(pc.list_value_length(groups).fill_null(0), dtype=np.int64)))
-    mine = groups.flatten().to_numpy()
+    units = docs.column("units").combine_chunks()
+    bounds = np.append(0, np.cumsum(np.array(pc.list_value_length(units).fill_null(0), dtype=np.int64)))
+    mine = units.flatten().to_numpy()
 
     def summed(values: np.ndarray) -> pa.Array:
         of_links = np.append(0, np.cumsum(values[links]))
-        per_group = of_links[ends] - of_links[np.append(0, ends[:-1])] if len(ends) else ends
-        total = np.append(0, np.cumsum(per_group[mine]))
-        return pa.array(total[edges[1:]] - total[edges[:-1]], pa.int64())
+        per_unit = of_links[ends] - of_links[np.append(0, ends[:-1])] if len(ends) else ends
+        total = np.append(0, np.cumsum(per_unit[mine]))
+        return pa.array(total[bounds[1:]] - total[bounds[:-1]], pa.int64())
 
     named = {c: docs.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
     return pa.table(named | {"n_best": summed(best), "count_sum": summed(count)}).select(
@@ -337,7 +408,7 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     text.  Null and empty texts, and those that a tokenizer changes (its
     tokens' bytes are not space + text), have no tokens: zeros, and ''.  Null
     and repeated doc_ids: a row each.  Empty table: no rows.  Other columns are
-    ignored.  A very long text without a lone space is encoded in one piece.
+    ignored.  A very long run without a lone space or line feed is encoded in one piece.
     """
     aligned = written(aligned_chunks(docs, byte_level, pieces), "aligned")
     places = aligned.filter("pairs IS NOT NULL").select("chunk", F.posexplode("pairs").alias("at", "pair"))

@@ -92,30 +92,50 @@ def test_query_covers_the_table(spark, files):
         assert r["n_b"] == len(b.model.encode(texts[r["doc_id"]]))
 
 
-def test_blocks_and_small_chunks_change_nothing(files, monkeypatch):
+WORDS = ["the", "Wörter", "don't", "--", "a.b", "x1", "", "\n", "\nline", "日本", "naïve", "(and)", "'s", "1 2", "é", "\t", "a\r",
+         "\xa0x", "　", "\n\n", "end.\n", "\u200b", "́", "café", "İ", "☃", "\x85", "\x1c"]
+
+
+def test_units_have_the_tokens_of_the_whole(files):
     rng = random.Random(5)
-    words = ["the", "Wörter", "don't", "--", "a.b", "x1", "  ", "\n", "日本", "naïve", "(and)", "'s", "1 2", "é"]
-    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(20)]
-    whole = [side.encode([t.encode() for t in texts]) for side in files]
-    assert files[0].cuts and files[1].cuts
-    for size in (1, 7, 100):
-        monkeypatch.setattr(ta.blocks, "__defaults__", (size,))
-        assert [side.encode([t.encode() for t in texts]) for side in files] == whole
-
-
-def test_many_chunks_equal_one(spark, monkeypatch):
-    # one task: the limits hold where the driver's functions run
-    rows = [(i, f"the cat number {i % 7} sat on mat {i % 5}, naïve") for i in range(60)]
-    a, b = ta.sides(tokenizer_path(A), tokenizer_path(B))
-    one = ta.Chunk(a.bytes, b.bytes)
-    texts = [t.encode() for _, t in rows]
-    one.add([i for i, _ in rows], a.encode(texts), b.encode(texts))
-    many = []
+    a, b = files
+    assert a.cuts and b.cuts
+    texts = ["".join(rng.choice(WORDS) + rng.choice([" ", " ", " ", "", "\n"]) for _ in range(rng.randrange(1, 60))) for _ in range(300)]
+    texts = [t.encode() for t in texts if t]
+    chunk = ta.Chunk(a, b, {})
+    chunk.add(list(range(len(texts))), texts)
+    keys = list(chunk.number)
+    for text, (doc, n_a, n_b, _, mine, sha) in zip(texts, chunk.docs):
+        assert b"".join(ta.unit_text(keys[u]) for u in mine) == b" " + text or not sha
+        if not sha:
+            continue
+        units = [chunk.units[u] for u in mine]
+        assert np.concatenate([u.a for u in units]).tolist() == a.tokenizer.encode(" " + text.decode(), add_special_tokens=False).ids
+        assert np.concatenate([u.b for u in units]).tolist() == b.model.encode(text.decode())
+    assert sum(not d[5] for d in chunk.docs) < len(texts) / 2 and len(chunk.number) < sum(len(d[4]) for d in chunk.docs)
+
+
+def test_files_that_may_not_be_cut_are_encoded_whole(files, monkeypatch):
+    texts = [t.encode() for t in TEXTS if t]
+    cut, whole = ta.Chunk(*files, {}), ta.Chunk(*files, {})
+    cut.add(list(range(len(texts))), texts)
+    monkeypatch.setattr(files[0], "cuts", False)
+    whole.add(list(range(len(texts))), texts)
+    assert [(d[:4], d[5]) for d in cut.docs] == [(d[:4], d[5]) for d in whole.docs]
+    assert len(whole.number) == len(set(texts))
+
+
+def test_many_chunks_equal_one(spark, files):
+    rows = [(i, f"the cat number {i % 7} sat on mat {i % 5}, naïve\nnext") for i in range(60)]
+    one = ta.Chunk(*files, {})
+    one.add([i for i, _ in rows], [t.encode() for _, t in rows])
+    many, earlier = [], {}
     for first in range(0, 60, 13):
-        chunk = ta.Chunk(a.bytes, b.bytes)
+        chunk = ta.Chunk(*files, earlier)
         part = rows[first:first + 13]
-        chunk.add([i for i, _ in part], a.encode([t.encode() for _, t in part]), b.encode([t.encode() for _, t in part]))
+        chunk.add([i for i, _ in part], [t.encode() for _, t in part])
         many.append(chunk.rows(first))
+        earlier = chunk.known()
 
     def total(batches):
         got = Counter()
@@ -149,5 +169,5 @@ def test_empty_table_and_clashing_columns(spark):
     assert run(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")) == [
         (1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
     df = spark.createDataFrame([(1, "same words here")], "doc_id bigint, text string")
-    more = df.withColumns({c: F.lit("?") for c in ("chunk", "pairs", "groups", "n_a", "count", "pair", "at")})
+    more = df.withColumns({c: F.lit("?") for c in ("chunk", "pairs", "units", "n_a", "count", "pair", "at")})
     assert run(more) == run(df)
