@@ -9,11 +9,12 @@ the largest weighted dot product of residual and piece) gets it.
 Documents are dealt to tasks by a hash, so each sees the lengths of the whole
 table however the input is ordered.  A task tokenizes its documents and packs
 them window by window.  Sequences that a window leaves well filled are given
-out; the pieces of the others join the next window.  What the tasks have left
-at their end is packed in a second round, over as few tasks as windows are
-needed, so only the last sequences of that round may stay part-filled (and
-those of a window whose lengths do not fill sequences).  Memory is bounded by
-the window.
+out; the pieces of the others join the next window, or are handed on when they
+fill half of it.  What is handed on, and what the tasks have left at their end,
+is packed all together in a second round, whatever the windows were: the counts
+of pieces by length, at most ``capacity`` numbers, are packed by the same rule,
+equal sequences at a time, and every piece finds its place by its number among
+those of its length.  Memory is bounded by the window.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.common import utf8, written
@@ -31,10 +32,14 @@ from obslake.llm.tokens import encoder
 
 SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids binary, "
           "sequence_id bigint, offset bigint")
+# Pieces that are handed on have the number of their task, and their number
+# among its pieces of that length.
+FIRST_ROUND = f"{SCHEMA}, task int, nth bigint"
 WINDOW_TOKENS = 1 << 22  # tokens held by a task: 16 MB of ids
 GIVEN_OUT_FROM = 0.995  # of the capacity; emptier sequences wait for the next window
 ROWS_OUT = 2_000
 SECOND_ROUND = 1 << 62  # added to its sequence ids
+RANK_BITS = 46  # of a key that holds a length and a piece's number among those of it
 
 
 class VectorBestFit:
@@ -66,11 +71,7 @@ class VectorBestFit:
             v = self._vector(int(lengths[i]))
             can = np.flatnonzero((left[:n, 0] >= v[0]) & (left[:n, 1] >= v[1]) & (left[:n, 2] >= v[2]))
             if len(can):
-                open_ = left[can]
-                if self.rule == "norm":
-                    at = can[int(np.argmin((((open_ - v) ** 2) * self.weights).sum(axis=1)))]
-                else:
-                    at = can[int(np.argmax((open_ * v * self.weights).sum(axis=1)))]
+                at = can[self._best(left[can], v)]
                 left[at] -= v
                 sequences[who[at]].append(int(i))
             else:
@@ -86,6 +87,62 @@ class VectorBestFit:
         return sequences
 
 
+    def place_counts(self, counts: dict[int, int]) -> tuple[np.ndarray, int]:
+        """The same for ``counts`` of pieces by length, equal sequences at a
+        time.  Rows (length, first piece of that length, first sequence, pieces
+        in each, offset), and the number of sequences.
+
+        Sequences with equal contents are one class; a length goes to the best
+        class, as many into each as the rule would put there one by one."""
+        rows: list[tuple[int, int, int, int, int]] = []
+        shortest = min(counts, default=0)
+        left = np.empty((64, 3), dtype=np.int64)
+        first, size = np.empty(64, dtype=np.int64), np.empty(64, dtype=np.int64)
+        n = opened = 0
+
+        def keep(residual: np.ndarray, at: int, many: int) -> None:
+            nonlocal n, left, first, size
+            if not many or residual[0] < shortest or residual[1] < 1:
+                return
+            if n == len(first):
+                left, first, size = (np.concatenate([x, x]) for x in (left, first, size))
+            left[n], first[n], size[n] = residual, at, many
+            n += 1
+
+        for length in sorted(counts, reverse=True):
+            v, more, done = self._vector(length), counts[length], 0
+            while more:
+                can = np.flatnonzero((left[:n] >= v).all(axis=1))
+                if len(can):
+                    x = can[int(self._best(left[can], v))]
+                    residual, at, many = left[x].copy(), int(first[x]), int(size[x])
+                    n -= 1
+                    left[x], first[x], size[x] = left[n], first[n], size[n]
+                else:
+                    residual, at, many = self.capacities, opened, more
+                fit = int((residual // v).min())
+                if fit < 1:
+                    raise ValueError(f"a piece of {length} tokens exceeds a capacity")
+                # A tight sequence gets tighter with each piece, so the norm
+                # stays with it; the dot product turns to the next one.
+                each = min(fit if self.rule == "norm" or not len(can) else 1, more)
+                taken = min(many, more // each)
+                rows.append((length, done, at, each, int(self.capacities[0] - residual[0])))
+                done, more = done + taken * each, more - taken * each
+                if not len(can):
+                    opened += taken
+                else:
+                    keep(residual, at + taken, many - taken)
+                keep(residual - each * v, at, taken)
+        rows.sort()
+        return np.array(rows, dtype=np.int64).reshape(-1, 5), opened
+
+    def _best(self, open_: np.ndarray, v: np.ndarray) -> int:
+        if self.rule == "norm":
+            return int(np.argmin((((open_ - v) ** 2) * self.weights).sum(axis=1)))
+        return int(np.argmax((open_ * v * self.weights).sum(axis=1)))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
                    max_documents: int | None = None, max_attention: int | None = None,
                    weights: tuple[float, float, float] = (1.0, 1e-4, 1e-4), rule: str = "norm",
@@ -119,77 +176,90 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
 
         return cut
 
-    def left_over() -> Callable[[pa.RecordBatch], Iterator[Piece]]:
-        return lambda batch: zip(*[batch.column(c).to_pylist() for c in range(4)])
-
-    def packer(reader: Callable, first_id: int, hand_on: bool):
-        """Packs the pieces that ``reader`` finds; with ``hand_on`` the
-        under-filled rest of a task has no sequence_id."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            fit, read = VectorBestFit(capacities, weights, rule), reader()
-            next_id = first_id + (TaskContext.get().partitionId() << 36)
-            out: list[tuple] = []
-            held: list[tuple] = []
-            held_tokens = 0
-
-            def given(rows: list[tuple]) -> pa.RecordBatch:
-                names = ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-                return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names)
-
-            def close(pieces: list[tuple]) -> None:
-                nonlocal next_id
-                at = 0
-                for doc, piece, start, ids in pieces:
-                    out.append((doc, piece, start, len(ids) // 4, ids, next_id, at))
-                    at += len(ids) // 4
-                next_id += 1
-
-            def pack(last: bool) -> None:
-                nonlocal held, held_tokens
-                lengths = np.array([len(p[3]) // 4 for p in held], dtype=np.int64)
-                waiting: list[tuple] = []
-                for sequence in fit.place(lengths):
-                    pieces = [held[i] for i in sequence]
-                    if last and not hand_on or lengths[sequence].sum() >= GIVEN_OUT_FROM * capacity:
-                        close(pieces)
-                    else:
-                        waiting += pieces
-                held, held_tokens = waiting, sum(len(p[3]) // 4 for p in waiting)
-                if held_tokens > window_tokens // 2:  # tight bounds leave none well filled
-                    for sequence in fit.place(np.array([len(p[3]) // 4 for p in held], dtype=np.int64)):
-                        close([held[i] for i in sequence])
-                    held, held_tokens = [], 0
-                if last:
-                    out.extend((doc, piece, start, len(ids) // 4, ids, None, None) for doc, piece, start, ids in held)
-
-            for batch in batches:
-                for row in read(batch):
-                    length = len(row[3]) // 4
-                    if not fit.fits_alone(length):
-                        raise ValueError(f"a piece of {length} tokens exceeds a capacity")
-                    if length == capacity:
-                        close([row])
-                    else:
-                        held.append(row)
-                        held_tokens += length
-                    if held_tokens >= window_tokens:
-                        pack(last=False)
-                    while len(out) >= ROWS_OUT:
-                        yield given(out[:ROWS_OUT])
-                        del out[:ROWS_OUT]
-            pack(last=True)
-            while out:
-                yield given(out[:ROWS_OUT])
-                del out[:ROWS_OUT]
-
-        return run
+    def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fit, read, task = VectorBestFit(capacities, weights, rule), tokenized(), TaskContext.get().partitionId()
+        next_id = task << 36
+        handed: dict[int, int] = {}  # pieces handed on, by length
+        out: list[tuple] = []
+        held: list[tuple] = []
+        held_tokens = 0
+
+        def given(rows: list[tuple]) -> pa.RecordBatch:
+            names = [f.split()[0] for f in FIRST_ROUND.split(", ")]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names)
+
+        def close(pieces: list[tuple]) -> None:
+            nonlocal next_id
+            at = 0
+            for doc, piece, start, ids in pieces:
+                out.append((doc, piece, start, len(ids) // 4, ids, next_id, at, None, None))
+                at += len(ids) // 4
+            next_id += 1
+
+        def hand_on(pieces: list[tuple]) -> None:
+            for doc, piece, start, ids in pieces:
+                length = len(ids) // 4
+                nth = handed.get(length, 0)
+                handed[length] = nth + 1
+                out.append((doc, piece, start, length, ids, None, None, task, nth))
+
+        def pack(last: bool) -> None:
+            nonlocal held, held_tokens
+            lengths = np.array([len(p[3]) // 4 for p in held], dtype=np.int64)
+            waiting: list[tuple] = []
+            for sequence in fit.place(lengths):
+                pieces = [held[i] for i in sequence]
+                if lengths[sequence].sum() >= GIVEN_OUT_FROM * capacity:
+                    close(pieces)
+                else:
+                    waiting += pieces
+            held, held_tokens = waiting, sum(len(p[3]) // 4 for p in waiting)
+            if last or held_tokens > window_tokens // 2:  # these lengths do not fill sequences here
+                hand_on(held)
+                held, held_tokens = [], 0
+
+        for batch in batches:
+            for row in read(batch):
+                length = len(row[3]) // 4
+                if not fit.fits_alone(length):
+                    raise ValueError(f"a piece of {length} tokens exceeds a capacity")
+                if length == capacity:
+                    close([row])
+                else:
+                    held.append(row)
+                    held_tokens += length
+                if held_tokens >= window_tokens:
+                    pack(last=False)
+                while len(out) >= ROWS_OUT:
+                    yield given(out[:ROWS_OUT])
+                    del out[:ROWS_OUT]
+        pack(last=True)
+        while out:
+            yield given(out[:ROWS_OUT])
+            del out[:ROWS_OUT]
 
     dealt = docs.select(F.col("doc_id").cast("bigint"), F.col("text")).repartition(F.xxhash64("doc_id", "text"))
-    first = written(dealt.mapInArrow(packer(tokenized, 0, hand_on=True), SCHEMA), "packed")
-    rest = first.filter("sequence_id IS NULL").select("doc_id", "piece", "start", "ids")
-    tokens = first.filter("sequence_id IS NULL").agg(F.sum("length")).first()[0] or 0
-    second = rest.repartition(-(-tokens // window_tokens) or 1, F.xxhash64("doc_id", "piece", "ids")).mapInArrow(
-        packer(left_over, SECOND_ROUND, hand_on=False), SCHEMA)
-    return first.filter("sequence_id IS NOT NULL").unionByName(second)
+    first = written(dealt.mapInArrow(first_round, FIRST_ROUND), "packed")
+    rest = first.filter("sequence_id IS NULL")
+    by_task = rest.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    by_task = written(by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "handed-on")
+    counts = {r[0]: r[1] for r in by_task.groupBy("length").agg(F.sum("n")).collect()}  # capacity rows at most
+    places, _ = VectorBestFit(capacities, weights, rule).place_counts(counts)
+
+    def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = places[:, 0] << RANK_BITS | places[:, 1]
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            at = places[np.searchsorted(keys, length << RANK_BITS | rank, side="right") - 1].reshape(-1, 5)
+            nth = rank - at[:, 1]
+            sequence = SECOND_ROUND + at[:, 2] + nth // at[:, 3]
+            offset = at[:, 4] + nth % at[:, 3] * length
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in range(5)], pa.array(sequence), pa.array(offset)],
+                [f.split()[0] for f in SCHEMA.split(", ")])
+
+    ranked = rest.join(by_task, ["task", "length"]).select(
+        "doc_id", "piece", "start", "length", "ids", (F.col("before") + F.col("nth")).alias("rank"))
+    return first.filter("sequence_id IS NOT NULL").drop("task", "nth").unionByName(ranked.mapInArrow(second_round, SCHEMA))

@@ -117,6 +117,40 @@ def test_residual_norm_picks_the_tightest():
     assert sorted(map(sorted, fit.place(np.array([7, 6, 4, 3])))) == [[0, 3], [1, 2]]
 
 
+@pytest.mark.parametrize("low, high, n", [(50, 90, 900), (43, 64, 1_200)])
+def test_windows_do_not_change_the_number_of_sequences(spark, low, high, n):
+    """Lengths that hardly pair: every window is stuck, and hands them on."""
+    lengths = np.random.default_rng(3).integers(low, high, n)
+    df = spark.createDataFrame([(i, "the " * int(x - 1)) for i, x in enumerate(lengths)], "doc_id bigint, text string")
+    whole = len(packing.VectorBestFit((128, 128, 128 ** 2), (1.0, 1e-4, 1e-4), "norm").place(lengths))
+    for capacities in (8, 32, 1024):
+        rows = packing.pack_documents(df, tokenizer_path(), 128, window_tokens=capacities * 128)
+        assert rows.select("sequence_id").distinct().count() == whole
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacities", [(128, 128, 128 ** 2), (128, 3, 7_000), (4096, 10, 4096 ** 2)])
+def test_counts_are_placed_like_pieces(rule, capacities):
+    rng = np.random.default_rng(6)
+    fit = packing.VectorBestFit(capacities, (1.0, 1e-4, 1e-4), rule)
+    for lengths in (rng.integers(1, 80, 2_000), rng.integers(20, 24, 500), np.full(77, 30), np.zeros(0, dtype=np.int64)):
+        counts = {int(v): int(c) for v, c in zip(*np.unique(lengths, return_counts=True))}
+        rows, n = fit.place_counts(counts)
+        held = {i: [] for i in range(n)}
+        for at, (length, first, sequence, each, offset) in enumerate(rows.tolist()):
+            last = rows[at + 1][1] if at + 1 < len(rows) and rows[at + 1][0] == length else counts[length]
+            for nth in range(int(last) - first):
+                held[sequence + nth // each].append((offset + nth % each * length, length))
+        assert sorted(x for h in held.values() for _, x in h) == sorted(lengths.tolist())
+        for h in held.values():
+            h.sort()
+            assert [o for o, _ in h] == np.cumsum([0] + [x for _, x in h])[:-1].tolist()  # gapless
+            assert sum(x for _, x in h) <= capacities[0] and len(h) <= capacities[1]
+            assert sum(x * x for _, x in h) <= capacities[2]
+        if rule == "norm":
+            assert n == len(fit.place(lengths))
+
+
 def test_registered_query(spark):
     from obslake.llm.queries import op9_best_fit_packing
 
