@@ -17,7 +17,7 @@ roles and texts of all turns can be read back from the output alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEADER, AFTER_ROLE, END, BLOCK_END = "### ", ": ", "</turn>", "\n"
@@ -74,15 +74,18 @@ def format_conversations(conversations: DataFrame, learned_role: str = LEARNED_R
         F.flatten(F.transform(b["texts"], lambda x: F.array(
             piece(x, b["role"] == learned_role), piece(F.lit(END), F.lit(False))))),
         F.array(piece(F.lit(BLOCK_END), F.lit(False))))))
-    placed = (turns.withColumn("starts", starts).withColumn("blocks", blocks).select("conv_id", pieces.alias("p")))
-    spans = F.aggregate(
-        "p", F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["text"])).alias("at"),
-            F.when(x["learned"], F.concat(acc["spans"], F.array(F.struct(
-                acc["at"].alias("start"), (acc["at"] + F.length(x["text"])).alias("end"))))).otherwise(acc["spans"]).alias("spans")),
-        lambda acc: acc["spans"])
-    return placed.select(
+    # Where pieces end: a running sum over the pieces as rows, so a long
+    # conversation costs no more a turn than a short one.  The rows of a
+    # conversation are in one task already.
+    placed = turns.withColumn("starts", starts).withColumn("blocks", blocks).select(
+        "conv_id", F.posexplode(pieces).alias("nth", "p"))
+    upto = Window.partitionBy("conv_id").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = placed.select("conv_id", F.struct(
+        "nth", "p.text", "p.learned", F.sum(F.length("p.text").cast("bigint")).over(upto).alias("end")).alias("p"))
+    whole = ended.groupBy("conv_id").agg(F.sort_array(F.collect_list("p")).alias("p"))
+    spans = F.transform(F.filter("p", lambda x: x["learned"]), lambda x: F.struct(
+        (x["end"] - F.length(x["text"])).alias("start"), x["end"].alias("end")))
+    return whole.select(
         "conv_id", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
@@ -97,10 +100,22 @@ def read_turns(formatted: Column) -> Column:
         lambda t: F.struct(role(b).alias("role"), unescape(t).alias("text")))))
 
 
+CUT = 4_096  # code points
+
+
 def learned_texts(formatted: Column, spans: Column) -> Column:
-    """The texts under the loss mask, unescaped, in order."""
-    return F.transform(spans, lambda s: unescape(
-        F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+    """The texts under the loss mask, unescaped, in order.  The text is cut
+    into strips once, and a span is looked for in its own strips only."""
+    strips = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+    def text(strips: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / CUT).cast("int")
+        last = F.floor(F.greatest(s["end"] - 1, s["start"]) / CUT).cast("int")
+        own = F.array_join(F.slice(strips, first + 1, last - first + 1), "")
+        return F.substring(own, (s["start"] % CUT + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+
+    # one value for all spans: strips of a whole text are cut only once
+    return F.flatten(F.transform(F.array(strips), lambda a: F.transform(spans, lambda s: unescape(text(a, s)))))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

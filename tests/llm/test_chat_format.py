@@ -54,6 +54,14 @@ def test_escape_is_reversible(spark, text):
     assert a == b == text and not set("#<:") & set(e)
 
 
+def test_very_long_conversation(spark):
+    rows = [(1, i, "user" if i % 2 else "assistant", f"😀 turn # {i} " * (1 + i % 3)) for i in range(3_000)]
+    rows += [(1, 3_000 + i, "assistant", "<" * 5_000) for i in range(3)]  # texts over several strips, one block
+    (r,) = cf.read_back(cf.format_conversations(frame(spark, rows))).collect()
+    assert [(t.role, t.text) for t in r.turns] == [(role, text) for _, _, role, text in rows]
+    assert list(r.learned) == [text for _, _, role, text in rows if role == "assistant"]
+
+
 def test_plan_has_no_python(spark):
     plan = cf.read_back(cf.format_conversations(frame(spark, ROWS)))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
