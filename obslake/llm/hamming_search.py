@@ -7,14 +7,17 @@ first a+1 segments of m have been searched up to radius r and the others up
 to r-1, every code within m*r + a bits has been met (pigeonhole), so the
 search ends as soon as the k-th verified distance is at most that.
 
-The index is dealt out by hash into parts of about ``part_rows`` codes, and
-blocks of queries meet every part; each part gives its k nearest for each
-query, and these are merged.  Nothing of unbounded size is broadcast, and a
-task holds one part of the index and one block of queries.
+The index is dealt out by hash into parts of about ``part_rows`` codes.  A part
+is loaded and indexed once by one task, and the queries stream past it in
+blocks; each part gives its k nearest for each query, and these are merged.
+Index rows are moved once, queries once for each part.  Nothing of unbounded
+size is broadcast, and a task holds one part of the index and one block of
+queries.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SEGMENT = 16
-PART_ROWS = 65_536
+PART_ROWS = 1 << 20  # codes of 64 bits: about 60 MB with their index
 QUERY_BLOCK = 4_096
 
 
@@ -114,38 +117,48 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, part_rows: int = PA
     and one query that takes the k best of all its codes.  A query that is in
     the index finds itself.
     """
-    index = index.filter("id IS NOT NULL AND code IS NOT NULL")
+    index = index.filter("id IS NOT NULL AND code IS NOT NULL").select("id", "code")
     queries = queries.filter("id IS NOT NULL AND code IS NOT NULL").select("id", "code").distinct()
     n_parts = max(1, -(-index.count() // part_rows))
-    n_blocks = max(1, -(-queries.count() // query_block))
-    left = index.select("id", "code", (F.abs(F.xxhash64("id", "code") % n_parts)).cast("int").alias("part")).select(
-        "id", "code", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), "part")
-    right = queries.select("id", "code", (F.abs(F.xxhash64("code", "id") % n_blocks)).cast("int").alias("block")).select(
-        "id", "code", "block", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"))
-
-    def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
+    rows = index.withColumns({"part": F.pmod(F.xxhash64("id", "code"), F.lit(n_parts)).cast("int"), "asks": F.lit(False)})
+    asked = queries.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))), "asks": F.lit(True)})
+
+    def found(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [(), (), ()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())],
+            names=["query_id", "id", "distance"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = None
+        held: dict[int, tuple[list, list]] = {}  # ids and codes by bytes of a code
+        built: dict[int, MultiIndex] = {}
         out: list[tuple[int, int, int]] = []
-        by_size: dict[int, tuple[list, list]] = {}
-        for i, c in zip(rows["id"].to_pylist(), rows["code"].to_pylist()):
-            ids, codes = by_size.setdefault(len(c), ([], []))
-            ids.append(i)
-            codes.append(c)
-        found: dict[int, MultiIndex] = {}
-        for i, c in zip(asked["id"].to_pylist(), asked["code"].to_pylist()):
-            if len(c) not in by_size:
-                continue
-            if len(c) not in found:
-                ids, codes = by_size[len(c)]
-                found[len(c)] = MultiIndex(np.array(ids, dtype=np.int64),
-                                           np.frombuffer(b"".join(codes), "<u2").reshape(len(codes), len(c) // 2))
-            near, distances = found[len(c)].nearest(np.frombuffer(c, "<u2"), k)
-            out += [(i, int(a), int(d)) for a, d in zip(near, distances)]
-        columns = list(zip(*out)) if out else [(), (), ()]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                         pa.array(columns[2], pa.int32())], names=["query_id", "id", "distance"])
-
-    nearest = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInArrow(
-        search, "query_id bigint, id bigint, distance int")
+        for batch in batches:
+            for i, c, p, asks in zip(*[column.to_pylist() for column in batch.columns]):
+                if p != part:
+                    part, held, built = p, {}, {}
+                if not asks:  # the codes of a part come before its queries
+                    ids, codes = held.setdefault(len(c), ([], []))
+                    ids.append(i)
+                    codes.append(c)
+                    continue
+                if len(c) not in built:
+                    if len(c) not in held:
+                        continue
+                    ids, codes = held.pop(len(c))
+                    built[len(c)] = MultiIndex(np.array(ids, dtype=np.int64),
+                                               np.frombuffer(b"".join(codes), "<u2").reshape(len(codes), len(c) // 2))
+                near, distances = built[len(c)].nearest(np.frombuffer(c, "<u2"), k)
+                out += [(i, int(a), int(d)) for a, d in zip(near, distances)]
+                if len(out) >= query_block * k:
+                    yield found(out)
+                    out = []
+        if out:
+            yield found(out)
+
+    dealt = rows.unionByName(asked).repartition(n_parts, "part").sortWithinPartitions("part", "asks")
+    nearest = dealt.mapInArrow(search, "query_id bigint, id bigint, distance int")
     # At most k rows of each part and query are left to merge.
     order = Window.partitionBy("query_id").orderBy("distance", "id")
     return (nearest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -29,6 +29,15 @@ def test_equals_brute_force(spark, part_rows, query_block):
         assert sorted(map(tuple, got)) == sorted(brute(rows, [r for r in rows if r[0] % 25 == 0], k))
 
 
+def test_a_part_is_indexed_once(spark):
+    """No row of the index is copied: only the queries go to every part."""
+    rng = np.random.default_rng(4)
+    rows = [(i, bytearray(to_bytes(int(x)))) for i, x in enumerate(rng.integers(0, 2**64, 300, dtype=np.uint64))]
+    df = spark.createDataFrame(rows, "id bigint, code binary")
+    plan = hs.top_k(df, df.filter("id < 90"), 3, part_rows=60)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
 def test_search_stops_when_covered():
     rng = np.random.default_rng(1)
     index = hs.MultiIndex(np.arange(3_000), rng.integers(0, 1 << 16, (3_000, 4)).astype(np.uint16))
