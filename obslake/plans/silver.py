@@ -4,7 +4,8 @@ One run: read the landed hours (partition-pruned), parse each feed ONCE and
 persist it, derive candidates, upsert the dimension into a new version,
 build the facts, and append only rows whose key is not stored yet.  Every
 step is idempotent: a rerun over the same hours appends nothing, and one
-over hours landed anew adds what is new and leaves ids as they are.
+over hours landed anew adds what is new and leaves ids as they are, also
+where a new spelling shares the lookup key of a known place.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import specs
-from obslake.operators import dims, facts, incremental, metrics, parse
-from obslake.operators.lookup import lookup_table
+from obslake.operators import dims, facts, incremental, metrics, parse, registry
 from obslake.sources import raw
 
 FEEDS = (specs.AIR_QUALITY, specs.WEATHER)
@@ -63,8 +63,9 @@ def load(spark: SparkSession, env: DataFrame, dimension_in: str, dimension_out:
          facts_root: str, fill_null: bool = False) -> dict[str, int]:
     """The silver step over envelope rows (a landed hour, or the micro-batch
     of a stream); see :func:`run`."""
-    # A new version, never the path being read.  Ids are a function of the
-    # natural key, so a retried run gives every place the same id.
+    # A new version, never the path being read.  Ids and what a lookup key
+    # stands for are decided once (place registry beside the facts), so a
+    # retried run gives every reading the same id.
     if dimension_out.rstrip("/") == dimension_in.rstrip("/"):
         raise ValueError("dimension_out must differ from dimension_in")
     # Parse each payload once and persist the result; everything else
@@ -82,20 +83,20 @@ def load(spark: SparkSession, env: DataFrame, dimension_in: str, dimension_out:
 
         cands = dims.place_candidates([(parsed[f.name], f) for f in FEEDS])
         stored = spark.read.parquet(dimension_in)
-        merged = dims.merge_places(stored, cands, fill_null).persist()
+        merged = dims.merge_places(stored, cands, fill_null, registry.read(spark, facts_root)).persist()
         n_new = merged.agg(F.count_if("is_new")).first()[0]
         # rebalance: AQE packs the (small) dimension into a few files
         merged.select(*dims.COLUMNS).hint("rebalance").write.mode("overwrite").parquet(dimension_out)
-        dimension = spark.read.parquet(dimension_out)
+        places = registry.lookup(registry.update(spark, facts_root, spark.read.parquet(dimension_out)))
         out["dimension"] = n_new
-        out |= _places(parsed, dimension)
+        out |= _places(parsed, places)
 
         for spec, build in (*[(s, facts.current_fact) for s in FACT_SPECS],
                             *[(s, facts.forecast_fact) for s in FORECAST_SPECS]):
             rows = counted.get(spec.feed.name)
             bounds = (rows["lo"], rows["hi"]) if rows and rows["lo"] is not None else None
             done = incremental.append_unseen(
-                spark, build(parsed[spec.feed.name], dimension, spec), f"{facts_root}/{spec.name}",
+                spark, build(parsed[spec.feed.name], places, spec), f"{facts_root}/{spec.name}",
                 spec.keys, bounds)
             out[f"calculated.{spec.name}"], out[spec.name] = done["calculated"], done["inserted"]
         return out
@@ -105,12 +106,12 @@ def load(spark: SparkSession, env: DataFrame, dimension_in: str, dimension_out:
             merged.unpersist()
 
 
-def _places(parsed: Mapping[str, DataFrame], dimension: DataFrame) -> dict[str, int]:
-    """Distinct places of the batch, and the rows of each feed whose place is
-    not in the dimension (counted per place before the lookup)."""
+def _places(parsed: Mapping[str, DataFrame], places: DataFrame) -> dict[str, int]:
+    """Distinct places of the batch, and the rows of each feed whose place the
+    lookup does not have (counted per place before it)."""
     per_place = [df.groupBy("place_name", "place_key", "country").agg(F.count(F.lit(1)).alias("n"))
                  .withColumn("feed", F.lit(name)) for name, df in parsed.items()]
-    known = lookup_table(dimension).select("place_key", "country", F.lit(True).alias("known"))
+    known = places.select("place_key", "country", F.lit(True).alias("known"))
     rows = reduce(DataFrame.unionByName, per_place).join(known, ["place_key", "country"], "left")
     found = rows.agg(F.count_distinct("place_name", "country").alias("candidates"), *[
         F.sum(F.when((F.col("feed") == name) & F.col("known").isNull(), F.col("n"))).alias(f"dropped.{name}")

@@ -83,6 +83,16 @@ air_name STRING,
 weather_name STRING
 """
 
+# Place registry contract: the id of a natural key, its lookup form and the
+# place that the lookup form stands for.
+REGISTRY_DDL = """
+place_id BIGINT,
+name STRING,
+country STRING,
+place_key STRING,
+canonical_id BIGINT
+"""
+
 
 def ddl(text: str) -> str:
     """One-line DDL (accepted by ``from_json`` and ``DataFrameReader.schema``;
@@ -96,6 +106,7 @@ LEGACY_RAW_TABLE = ddl(LEGACY_ENVELOPE_DDL + "," + PARTITION_DDL)
 AIR_QUALITY = ddl(AIR_QUALITY_DDL)
 WEATHER = ddl(WEATHER_DDL)
 DIMENSION = ddl(DIMENSION_DDL)
+REGISTRY = ddl(REGISTRY_DDL)
 
 DIMENSION_KEY = ("name", "country")
 DIMENSION_DETAILS = ("latitude", "longitude", "air_name", "weather_name")

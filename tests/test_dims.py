@@ -8,9 +8,9 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from obslake import specs
+from obslake import schemas, specs
 from obslake.functions import names
-from obslake.operators import dedupe, dims, facts, lookup, parse
+from obslake.operators import dedupe, dims, facts, lookup, parse, registry
 
 from helpers import air, envelope_df
 
@@ -65,10 +65,23 @@ def test_ids_do_not_depend_on_the_other_places(spark):
     assert len(set(together.values())) == 3 and all(0 <= i < 2**60 for i in together.values())
 
 
-def test_two_places_with_one_id_fail(spark):
-    taken = int(hashlib.md5(b"Lyon\x1fFR").hexdigest()[:15], 16)
+def test_a_taken_id_gives_the_new_place_a_later_choice(spark):
+    digest = hashlib.md5(b"Lyon\x1fFR").hexdigest()
+    taken = int(digest[:15], 16)
     existing = spark.createDataFrame([(taken, "Paris", "FR", None, None, None, None)], DIM)
-    with pytest.raises(Exception, match=f"two places have id {taken}"):
+    cands = dims.place_candidates(_feeds(spark))
+    up = {r.name: r.place_id for r in dims.upsert_places(existing, cands).collect()}
+    assert up["Paris"] == taken and up["Lyon"] == (1 << 60) + int(digest[15:30], 16)
+    # stored, the choice holds: also where the other place is gone
+    known = registry.decisions(dims.upsert_places(existing, cands), spark.createDataFrame([], schemas.REGISTRY))
+    alone = dims.merge_places(spark.createDataFrame([], DIM), cands, registry=known)
+    assert {r.name: r.place_id for r in alone.collect()} == up
+
+
+def test_two_stored_places_with_one_id_fail(spark):
+    existing = spark.createDataFrame([(7, "Paris", "FR", None, None, None, None),
+                                      (7, "Lyon", "FR", None, None, None, None)], DIM)
+    with pytest.raises(Exception, match="two places have id 7"):
         dims.upsert_places(existing, dims.place_candidates(_feeds(spark))).collect()
 
 
