@@ -1,18 +1,21 @@
 """Incremental load: insert only rows whose business key is not stored yet.
 
-``batch LEFT ANTI JOIN stored_keys``.  Only key columns of the target are
-read (column pruning reaches the scan), and when the key contains the fetch
-time the read is bounded by the batch's smallest fetch time, given as a
-literal so it is pushed into the scan (and prunes ``fetched_date``
-partitions of a file target).  The batch side is usually the output of the
-dedupe, already hash-partitioned on the same key, so only the stored keys
-are shuffled.
+One existence join marks every row of the batch (``EXISTS`` over the stored
+keys as a column): stored keys are not made distinct first, and the batch,
+usually the output of the dedupe and hash-partitioned on the same key already,
+is not shuffled again; only the stored keys are.  Only key columns of the
+target are read (column pruning reaches the scan), and when the key contains
+the fetch time the read is bounded by the batch's smallest fetch time, given
+as a literal so it is pushed into the scan (and prunes ``fetched_date``
+partitions of a file target).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 import datetime as _dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,13 @@ def stored_keys(stored: DataFrame, keys: Sequence[str], bound_col: str | None =
     return k.select(*keys).where(cond)
 
 
+def mark_stored(batch: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``batch`` with ``_stored``: whether its key is among ``known``.  A key
+    with a null equals nothing and counts as not stored."""
+    same = reduce(and_, [F.col(f"_known.{k}") == F.col(f"_batch.{k}").outer() for k in keys])
+    return batch.alias("_batch").withColumn("_stored", known.alias("_known").where(same).exists())
+
+
 def unseen(batch: DataFrame, stored: DataFrame, keys: Sequence[str],
            bound_col: str | None = None, bound: _dt.datetime | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``stored``.
@@ -41,7 +51,8 @@ def unseen(batch: DataFrame, stored: DataFrame, keys: Sequence[str],
     A null key never equals anything, so such a row would always look new;
     null keys are rejected by the fact builders before this point.
     """
-    return batch.join(stored_keys(stored, keys, bound_col, bound), list(keys), "left_anti")
+    marked = mark_stored(batch, stored_keys(stored, keys, bound_col, bound), keys)
+    return marked.where(~F.col("_stored")).drop("_stored")
 
 
 def fetch_range(batch: DataFrame, col: str) -> tuple[_dt.datetime | None, _dt.datetime | None]:
@@ -87,19 +98,23 @@ def write_facts(df: DataFrame, target: str) -> None:
 
 def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequence[str],
                   bounds: tuple[_dt.datetime, _dt.datetime] | None = None) -> dict[str, int]:
-    """Anti-join ``batch`` against the file target, append what is new and
-    return the rows ``calculated`` (in the batch) and ``inserted``.
+    """Append the rows of ``batch`` whose key the file target does not have
+    and return the rows ``calculated`` (in the batch) and ``inserted``.
 
     The target is Parquet partitioned by ``fetched_date``.  Where the fetch
     time is one of the ``keys``, a stored row can only match a batch row of
     its day, so only the days of the batch's fetch range are read (``bounds``
-    where the caller knows a range that holds the batch, else one aggregate);
-    for other keys all stored keys are.  One action marks and counts the
-    batch and fills the cache that the write reads.
+    where the caller knows a range that holds the batch, else one aggregate
+    over the batch, which is cached for that); for other keys all stored keys
+    are.  One action marks and counts the batch; with ``bounds`` it also fills
+    the cache that the write reads, so there is one cache either way.
     """
-    batch = batch.persist() if bounds is None and "fetched_at" in keys else batch
-    marked = batch.withColumn("_stored", F.lit(False))
-    if tables.exists(spark, target):
+    exists = tables.exists(spark, target)
+    ranged = exists and "fetched_at" in keys and bounds is None
+    cached = batch = batch.persist() if ranged else batch
+    if not exists:
+        marked = batch.withColumn("_stored", F.lit(False))
+    else:
         # explicit schema: a run that appended nothing leaves no data file
         schema = with_fetched_date(batch).schema
         if "fetched_at" in keys:
@@ -109,9 +124,9 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
             known = stored_keys(stored, keys, "fetched_at", lo)
         else:
             known = stored_keys(spark.read.schema(schema).parquet(target), keys)
-        known = known.distinct().withColumn("_stored", F.lit(True))
-        marked = (batch.join(known, list(keys), "left").select(*batch.columns, F.coalesce("_stored", F.lit(False)).alias("_stored")))
-    marked = marked.persist()
+        marked = mark_stored(batch, known, keys)
+    if not ranged:
+        cached = marked = marked.persist()
     try:
         n, new = marked.agg(F.count(F.lit(1)), F.count_if(~F.col("_stored"))).first()
         # Guarded write: an empty partitioned append would leave a stray
@@ -120,8 +135,7 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
             write_facts(marked.where(~F.col("_stored")).drop("_stored"), target)
         return {"calculated": n, "inserted": new}
     finally:
-        marked.unpersist()
-        batch.unpersist()
+        cached.unpersist()
 
 
 def compact_day(spark: SparkSession, target: str, day: _dt.date) -> int:
