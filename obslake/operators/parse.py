@@ -37,19 +37,48 @@ def rank_of(request_id: Column, payload: Column) -> Column:
     return F.struct(request_id.alias("request_id"), F.xxhash64(payload).alias("payload_hash"))
 
 
-def parse_payload(envelope: DataFrame, spec: FeedSpec) -> DataFrame:
+# Field of a parsed body that holds its text where something did not parse.
+TEXT = "_not_parsed"
+
+
+def is_object(payload: Column) -> Column:
+    """Whether a body is a whole JSON object."""
+    return F.coalesce(F.get_json_object(payload, "$").startswith("{"), F.lit(False))
+
+
+def parse_body(payload: Column, spec: FeedSpec) -> Column:
+    """A body parsed with its feed's schema; ``_not_parsed`` is the text of one
+    of which something did not parse."""
+    return F.from_json(payload, f"{spec.payload_schema}, {TEXT} STRING", {"columnNameOfCorruptRecord": TEXT})
+
+
+def whole_body(body: Column, payload: Column) -> Column:
+    """A parsed body without its text, null where it is cut short: its first
+    fields are read then, and a plan that prunes the schema would read other
+    ones.  Only a body of which something did not parse is looked at again."""
+    return F.when(body[TEXT].isNull() | is_object(payload), body.dropFields(TEXT))
+
+
+def parse_payload(envelope: DataFrame, spec: FeedSpec, persisted: bool = False) -> DataFrame:
     """Successful responses (``ok`` true; null is dropped) with the payload
     parsed PERMISSIVE against the feed's explicit schema: a bad field becomes
     null and its siblings survive; a non-JSON body is an all-null struct.
     The raw text is replaced by its hash, so a persisted result stays small.
+    ``persisted`` says that the result is kept as it is: whole bodies are then
+    told from those cut short, which a lazy plan sees by itself.
     """
-    return envelope.where(F.col("ok")).select(
+    if persisted:
+        good = envelope.where(F.col("ok")).withColumn("_body", parse_body(F.col("payload"), spec))
+        body = whole_body(F.col("_body"), F.col("payload"))
+    else:
+        good, body = envelope.where(F.col("ok")), F.from_json(F.col("payload"), spec.payload_schema)
+    return good.select(
         "request_id",
         names.display_name(F.col("place_name")).alias("place_name"),
         tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
         rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
         "country",
-        F.from_json(F.col("payload"), spec.payload_schema).alias(PAYLOAD),
+        body.alias(PAYLOAD),
     )
 
 
@@ -67,18 +96,18 @@ def parse_payloads(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
     for f in feeds:
         hit = url.contains(f.url_marker)
         feed = F.when(hit, F.lit(f.name)) if feed is None else feed.when(hit, F.lit(f.name))
-    ok = F.coalesce(F.col("ok"), F.lit(False))
-    return envelope.select(
-        feed.alias("feed"),
-        ok.alias("ok"),
+    bodies = {f"_b_{f.name}": F.when(F.col("_ok") & (F.col("_feed") == F.lit(f.name)), parse_body(F.col("payload"), f))
+              for f in feeds}
+    routed = envelope.withColumns({"_feed": feed, "_ok": F.coalesce(F.col("ok"), F.lit(False))}).withColumns(bodies)
+    return routed.select(
+        F.col("_feed").alias("feed"),
+        F.col("_ok").alias("ok"),
         "request_id",
         names.display_name(F.col("place_name")).alias("place_name"),
         tf.parse_instant(F.col("fetched_at_utc")).alias("fetched_at"),
         rank_of(F.col("request_id"), F.col("payload")).alias("rank"),
         "country",
-        *[F.when(ok & (feed == F.lit(f.name)),
-                 F.from_json(F.col("payload"), f.payload_schema)).alias(f"_p_{f.name}")
-          for f in feeds],
+        *[whole_body(F.col(f"_b_{f.name}"), F.col("payload")).alias(f"_p_{f.name}") for f in feeds],
     )
 
 
