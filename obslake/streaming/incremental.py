@@ -19,8 +19,19 @@ from obslake.plans import silver
 from obslake.specs import FactSpec
 
 
-def raw_stream(spark: SparkSession, raw_root: str, fmt: str = "json") -> DataFrame:
-    return spark.readStream.schema(schemas.RAW_TABLE).format(fmt).load(raw_root)
+def raw_stream(spark: SparkSession, raw_root: str, fmt: str = "json", max_files: int | None = None,
+               max_bytes: str | None = None) -> DataFrame:
+    """Landed envelopes as a stream.  ``max_files`` or ``max_bytes`` (such as
+    ``10g``) bound a micro-batch, so a backlog is worked off in several; a
+    micro-batch is what the load caches."""
+    reader = spark.readStream.schema(schemas.RAW_TABLE).format(fmt)
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("a micro-batch is bounded by files or by bytes")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.load(raw_root)
 
 
 def _run(stream: DataFrame, per_batch, checkpoint: str) -> None:
@@ -35,38 +46,50 @@ def dimension_version(root: str, epoch: int) -> str:
 
 
 def run_silver(spark: SparkSession, raw_root: str, dimension_root: str, facts_root: str,
-               checkpoint: str, fmt: str = "json", fill_null: bool = False) -> None:
+               checkpoint: str, fmt: str = "json", fill_null: bool = False, max_files: int | None = None,
+               max_bytes: str | None = None) -> int:
     """The whole silver step over every landed file not seen by ``checkpoint``
     yet: each micro-batch upserts the dimension, then loads all facts, so a
     place that is new in a batch has its rows stored with it.
 
     ``dimension_root`` holds one folder per version, ``v0`` from the caller;
     micro-batch n reads ``vn`` and writes ``vn+1``, so one that is repeated
-    reads what it read before.
+    reads what it read before.  Returns how many micro-batches this run had.
+    A backlog is worked off in micro-batches of ``max_files`` or ``max_bytes``.
     """
+    done = []
+
     def per_batch(batch: DataFrame, epoch: int) -> None:
         silver.load(spark, batch, dimension_version(dimension_root, epoch),
                     dimension_version(dimension_root, epoch + 1), facts_root, fill_null)
+        done.append(epoch)
 
-    _run(raw_stream(spark, raw_root, fmt), per_batch, checkpoint)
+    _run(raw_stream(spark, raw_root, fmt, max_files, max_bytes), per_batch, checkpoint)
+    return len(done)
 
 
 def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec: FactSpec,
-                  target: str, checkpoint: str, fmt: str = "json") -> None:
+                  target: str, checkpoint: str, fmt: str = "json", max_files: int | None = None,
+                  max_bytes: str | None = None) -> int:
     """One fact alone, against a dimension that is complete already: rows of
     places it does not know are passed over for good.  Where places can be
-    new, use :func:`run_silver`."""
+    new, use :func:`run_silver`.  Returns how many micro-batches there were."""
+    done = []
+
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # parse once: composed lazily, the validity filter would evaluate a
         # second from_json of every payload
-        parsed = parse.parse_payload(parse.route_feed(batch, spec.feed), spec.feed).persist()
+        parsed = parse.parse_payload(parse.route_feed(batch, spec.feed), spec.feed, persisted=True).persist()
         try:
             fact = facts.current_fact(parse.validate(parsed, spec.feed), dimension, spec)
-            incremental.append_unseen(spark, fact, target, spec.keys)
+            lo, hi = incremental.fetch_range(parsed, "fetched_at")
+            incremental.append_unseen(spark, fact, target, spec.keys, (lo, hi) if lo is not None else None)
+            done.append(epoch_id)
         finally:
             parsed.unpersist()
 
-    _run(raw_stream(spark, raw_root, fmt), per_batch, checkpoint)
+    _run(raw_stream(spark, raw_root, fmt, max_files, max_bytes), per_batch, checkpoint)
+    return len(done)
 
 
 def watermark_dedupe(parsed_stream: DataFrame, keys: list[str], delay: str = "2 hours") -> DataFrame:
