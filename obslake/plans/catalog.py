@@ -10,6 +10,7 @@ shared folder (``spark.checkpoint.dir``), always to a fresh path.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
-from obslake.operators import alert, dedupe, dims, facts, incremental, metrics, parse
+from obslake.operators import alert, asof, dedupe, dims, episodes, facts, incremental, ledger, metrics, parse, rejects
 from obslake.operators.lookup import attach_place
 from obslake.plans import derived_feed, raw_hour, silver
 from obslake.sources import fetch, raw, tables
 from obslake.streaming import alert as stream_alert
+from obslake.streaming import episodes as stream_episodes
 from obslake.streaming import incremental as stream_inc
 
 A, B = specs.AIR_QUALITY, specs.WEATHER
@@ -33,10 +35,12 @@ STORED_UNTIL = "2024-01-16 00:00:00"
 # Fixed value: the second load of these queries starts here, so it overlaps.
 OVERLAP_FROM = "2024-01-10 00:00:00"
 # The hour that the silver query loads by itself first, and the
-# places (by number) that answer the first time in the rerun query, whose day
-# is the same.
+# places (by number) that answer the first time in the rerun query.
 FIRST_DT, FIRST_HOUR = "2024-01-10", "09"
 ANSWERING_FIRST = 10
+# The days on which the second and the third part of the month
+# begin, where it lands in three parts with a stream run after each.
+PART_FROM = ("2024-01-11", "2024-01-21")
 
 
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -265,11 +269,28 @@ def incremental_measured(spark, sf_dir):
     return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), later, spec.keys)
 
 
+def _part(day, n: int):
+    """Whether a day is in part ``n`` (0 to 2) of the month."""
+    lo, hi = (None, *PART_FROM)[n], (*PART_FROM, None)[n]
+    since = F.lit(True) if lo is None else day >= F.lit(lo).cast("date")
+    return since if hi is None else since & (day < F.lit(hi).cast("date"))
+
+
+def _landed_in_parts(spark, sf_dir, run: Callable[[str], object]) -> None:
+    """Land the month in three parts; ``run`` after each on what is there."""
+    root = tables.scratch_path(spark, "raw-parts")
+    for n in range(3):
+        raw.land(landed(spark, sf_dir).where(_part(F.col("dt"), n)).drop("dt", "hour"), root, fmt="parquet",
+                 partition_by=("dt",))
+        run(root)
+
+
 def incremental_stream(spark, sf_dir):
-    target = tables.scratch_path(spark, "stream-fact")
-    stream_inc.run_available(spark, landed_root(spark, sf_dir), place_dimension(spark, sf_dir),
-                             specs.AIR_QUALITY_CURRENT, target,
-                             tables.scratch_path(spark, "stream-ckpt"), fmt="parquet")
+    """One fact as a stream, over a micro-batch or more for each part of the
+    month."""
+    target, state = tables.scratch_path(spark, "stream-fact"), tables.scratch_path(spark, "stream-ckpt")
+    _landed_in_parts(spark, sf_dir, lambda root: stream_inc.run_available(
+        spark, root, place_dimension(spark, sf_dir), specs.AIR_QUALITY_CURRENT, target, state, fmt="parquet"))
     return spark.read.parquet(target).drop("fetched_date")
 
 
@@ -283,19 +304,39 @@ def failure_alert(spark, sf_dir):
     return alert.failure_alert(events, "ts", F.col("event_type") == F.lit("error"))
 
 
-def failure_alert_stream(spark, sf_dir):
-    """The alert as a stream: the file source reads ``events`` (availableNow),
-    raised windows go to a Parquet table and are read back, all of them."""
+def _events_in_parts(spark, sf_dir, run: Callable[[DataFrame], object]) -> None:
+    """Write ``events`` to a folder in three parts; ``run`` on the folder as a
+    stream after each."""
     (events,) = _tables(spark, sf_dir, "events")
-    # the file source reads folders or globs; this glob is the one file
-    source = spark.readStream.schema(events.schema).parquet(
-        f"{sf_dir.rstrip('/')}/events.parque[t]")
-    target = tables.scratch_path(spark, "alert-stream")
-    stream_alert.run_available(source, "ts", F.col("event_type") == F.lit("error"), target,
-                               tables.scratch_path(spark, "alert-stream-ckpt"))
+    folder = tables.scratch_path(spark, "events")
+    for n in range(3):
+        events.where(_part(F.to_date("ts"), n)).write.mode("append").parquet(folder)
+        run(spark.readStream.schema(events.schema).parquet(folder))
+
+
+def failure_alert_stream(spark, sf_dir):
+    """The alert as a stream over three parts of ``events``: raised windows go
+    to a Parquet table and are read back, all of them."""
+    target, state = tables.scratch_path(spark, "alert-stream"), tables.scratch_path(spark, "alert-stream-ckpt")
+    _events_in_parts(spark, sf_dir, lambda source: stream_alert.run_available(
+        source, "ts", F.col("event_type") == F.lit("error"), target, state))
     return stream_alert.read_alerts(spark, target)
 
 
+def alert_episodes(spark, sf_dir):
+    """Firing windows of the alert merged into episodes."""
+    return episodes.episodes(failure_alert(spark, sf_dir))
+
+
+def alert_episodes_stream(spark, sf_dir):
+    """The same from the stream, over three parts of ``events``."""
+    root, state = tables.scratch_path(spark, "episodes"), tables.scratch_path(spark, "episodes-ckpt")
+    versions = [0]
+    _events_in_parts(spark, sf_dir, lambda source: versions.append(stream_episodes.run_available(
+        source, "ts", F.col("event_type") == F.lit("error"), root, state)))
+    return stream_episodes.read(spark, root, max(versions))
+
+
 def _silver_base(spark, sf_dir) -> str:
     base = tables.scratch_path(spark, "silver")
     stored_dimension(spark, sf_dir).write.parquet(f"{base}/dimension/v0")
@@ -312,16 +353,30 @@ def silver_hour(spark, sf_dir):
     return silver.stored_tables(spark, base, versions[2])
 
 
+def _loaded_twice(spark, sf_dir, rows: DataFrame, first) -> DataFrame:
+    """Land the rows of ``first`` and run silver; land all of them anew and
+    run again from the same dimension version: every row stored then."""
+    base, root = _silver_base(spark, sf_dir), tables.scratch_path(spark, "raw-again")
+    for part in (rows.where(first), rows):
+        raw.land(part, root, fmt="parquet", partition_by=("dt",))
+        silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base, fmt="parquet")
+    return silver.stored_tables(spark, base, f"{base}/dimension/v1")
+
+
 def silver_rerun(spark, sf_dir):
-    """A day loaded with few places answering, landed anew with all of them
-    and run again from the same dimension version: every row stored then."""
-    base, root = _silver_base(spark, sf_dir), tables.scratch_path(spark, "raw-day")
-    day = landed(spark, sf_dir).where(F.col("dt") == F.lit(FIRST_DT).cast("date")).drop("dt", "hour")
+    """Every hour loaded with few places answering, landed anew with all of
+    them and run again."""
     number = F.regexp_extract(F.lower("place_name"), r"nation_(\d+)", 1).try_cast("int")
-    for rows in (day.where(number < ANSWERING_FIRST), day):
-        raw.land(rows, root, fmt="parquet", partition_by=("dt",))
-        silver.run(spark, root, f"{base}/dimension/v0", f"{base}/dimension/v1", base, FIRST_DT, fmt="parquet")
-    return silver.stored_tables(spark, base, f"{base}/dimension/v1")
+    return _loaded_twice(spark, sf_dir, landed(spark, sf_dir).drop("dt", "hour"), number < ANSWERING_FIRST)
+
+
+def silver_rerun_alias(spark, sf_dir):
+    """The same where half of the requests spell the place differently, with
+    one lookup key for both spellings: the rerun brings the second spelling."""
+    late = F.pmod("request_id", F.lit(4)) >= 2
+    spelled = F.concat(F.trim("place_name"), F.when(late, F.lit(" straße")).otherwise(F.lit(" strasse")))
+    rows = landed(spark, sf_dir).drop("dt", "hour").withColumn("place_name", spelled)
+    return _loaded_twice(spark, sf_dir, rows, ~late)
 
 
 def silver_metrics(spark, sf_dir):
@@ -333,12 +388,117 @@ def silver_metrics(spark, sf_dir):
 
 
 def silver_stream(spark, sf_dir):
-    """The silver step as a stream over the landed files: dimension upsert
-    and three facts per micro-batch; every row stored."""
+    """The silver step as a stream over the landed files, a micro-batch or more
+    for each part of the month: dimension upsert and three facts per
+    micro-batch; every row stored."""
+    base, state = _silver_base(spark, sf_dir), tables.scratch_path(spark, "silver-ckpt")
+    batches = []
+    _landed_in_parts(spark, sf_dir, lambda root: batches.append(stream_inc.run_silver(
+        spark, root, f"{base}/dimension", base, state, fmt="parquet")))
+    return silver.stored_tables(spark, base, stream_inc.dimension_version(f"{base}/dimension", sum(batches)))
+
+
+# ---------------------------------------------------------------- rejects
+# How the landed lines are damaged, by request id: the line is
+# cut in half when id % 23 = 5; the body loses its last 10 characters when
+# id % 29 = 3; the URL is of another host when id % 31 = 7; the fetch stamp is
+# no time when id % 37 = 11; the body's ``dt`` is left out when id % 41 = 13.
+OTHER_URL = "https://example.org/other"
+
+
+def _damaged_lines(env: DataFrame) -> DataFrame:
+    """Envelopes as JSON lines, some of them damaged; with their day."""
+    def hit(n: int, r: int):
+        return F.pmod("request_id", F.lit(n)) == r
+
+    body = F.when(hit(29, 3), F.expr("substring(payload, 1, greatest(length(payload) - 10, 0))")).otherwise(F.col("payload"))
+    body = F.when(hit(41, 13), F.regexp_replace(body, r'"dt":\d+,', "")).otherwise(body)
+    changed = env.withColumns({
+        "payload": body,
+        "url": F.when(hit(31, 7), F.lit(OTHER_URL)).otherwise(F.col("url")),
+        "fetched_at_utc": F.when(hit(37, 11), F.lit("soon")).otherwise(F.col("fetched_at_utc"))})
+    line = F.to_json(F.struct(*[c for c in changed.columns if c != "dt"]))
+    half = F.expr("substring(line, 1, length(line) div 2)")
+    return (changed.withColumn("line", line)
+            .select(F.when(hit(23, 5), half).otherwise(F.col("line")).alias("value"), "dt"))
+
+
+def rejected_rows(spark, sf_dir):
+    """Every landed line, accepted or rejected with its reasons: damaged lines
+    are landed, split in one pass, and the rejected ones stored and read
+    back."""
+    root, kept = tables.scratch_path(spark, "raw-lines"), tables.scratch_path(spark, "rejected")
+    _damaged_lines(landed(spark, sf_dir)).write.partitionBy("dt").text(root)
+    lines = rejects.read_lines(spark, root)
+    accepted, rejected = rejects.split(lines, [A, B])
+    rejects.store(rejected, kept)
+    number = F.coalesce("request_id", F.regexp_extract(rejects.LINE, r'"request_id":(\d+)', 1).try_cast("bigint"))
+    bad = rejects.stored(spark, kept).select(number.alias("request_id"), "dt", F.array_join("reasons", ",").alias("reasons"))
+    return accepted.select("request_id", "dt", F.lit("").alias("reasons")).unionByName(bad)
+
+
+def rejected_counts(spark, sf_dir):
+    """Rows by reason, and accepted rows with a field that did not parse."""
+    root = tables.scratch_path(spark, "raw-lines")
+    _damaged_lines(landed(spark, sf_dir)).write.partitionBy("dt").text(root)
+    marked = rejects.classify(rejects.read_lines(spark, root), [A, B])
+    noted = marked.where((F.size("reasons") == 0) & (F.size("notes") > 0)).groupBy(
+        F.lit("accepted, bad_field").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    return rejects.counts(marked).unionByName(noted)
+
+
+# ---------------------------------------------------------------- catch-up
+# The range that the schedule expects; hours that land first
+# (even ones), that land never (5 o'clock on odd days) and that land anew (even
+# hours of every fifth day); and how many hours are loaded at a time.
+EXPECTED = (_dt.datetime(2024, 1, 1), _dt.datetime(2024, 1, 31, 23))
+HOURS_AT_ONCE = 384
+
+
+def _catch_up_twice(spark, sf_dir, load: Callable[[DataFrame], object], again: bool) -> tuple[str, str]:
+    """Land the even hours and catch up; land the other hours, but for those
+    that never come, and some even ones anew; ``again``: catch up once more.
+    (raw root, ledger)"""
+    root, path = tables.scratch_path(spark, "raw-hours"), tables.scratch_path(spark, "ledger")
+    env, hour, day = landed(spark, sf_dir), F.col("hour").cast("int"), F.dayofmonth("dt")
+    even = hour % 2 == 0
+    never = (hour == 5) & (day % 2 == 1)
+    steps = [even, (~even & ~never) | (even & (day % 5 == 0))]
+    for n, rows in enumerate(steps):
+        raw.land(env.where(rows).drop("dt", "hour"), root, fmt="parquet", cluster=True,
+                 tasks=spark.sparkContext.defaultParallelism)
+        if n == 0 or again:
+            ledger.catch_up(spark, root, path, *EXPECTED, load, max_hours=HOURS_AT_ONCE, fmt="parquet")
+    return root, path
+
+
+def catch_up_plan(spark, sf_dir):
+    """What the ledger says of every expected hour, after one catch-up and
+    another landing."""
+    root, path = _catch_up_twice(spark, sf_dir, lambda env: env.count(), again=False)
+    return ledger.plan(spark, root, path, *EXPECTED).select("dt", "hour", "status")
+
+
+def catch_up_load(spark, sf_dir):
+    """The silver tables after two catch-ups."""
     base = _silver_base(spark, sf_dir)
-    stream_inc.run_silver(spark, landed_root(spark, sf_dir), f"{base}/dimension", base,
-                          tables.scratch_path(spark, "silver-ckpt"), fmt="parquet")
-    return silver.stored_tables(spark, base, f"{base}/dimension/v1")
+    version = [0]
+
+    def load(env: DataFrame) -> None:
+        n = version[0]
+        silver.load(spark, env, f"{base}/dimension/v{n}", f"{base}/dimension/v{n + 1}", base)
+        version[0] = n + 1
+
+    _catch_up_twice(spark, sf_dir, load, again=True)
+    return silver.stored_tables(spark, base, f"{base}/dimension/v{version[0]}")
+
+
+# ---------------------------------------------------------------- as-of
+def forecast_in_force(spark, sf_dir):
+    """For every air-quality reading and pollutant the last forecast for its
+    day that had been fetched by then."""
+    readings = fact_current_a(spark, sf_dir)
+    return asof.forecast_in_force(readings, forecast_long(spark, sf_dir), ("o3", "uvi"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -368,6 +528,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_keys": partition_keys,
     "silver_hour": silver_hour,
     "silver_rerun": silver_rerun,
+    "silver_rerun_alias": silver_rerun_alias,
     "silver_metrics": silver_metrics,
     "silver_stream": silver_stream,
+    "rejected_rows": rejected_rows,
+    "rejected_counts": rejected_counts,
+    "catch_up_plan": catch_up_plan,
+    "catch_up_load": catch_up_load,
+    "forecast_in_force": forecast_in_force,
+    "alert_episodes": alert_episodes,
+    "alert_episodes_stream": alert_episodes_stream,
 }

@@ -64,7 +64,7 @@ def upserted(n: int, before: str, where: str) -> str:
 ca{n} AS (
   SELECT place_name AS name, 'FR' AS country,
          arg_min(CAST(nk AS DOUBLE), event_id) AS lat_a,
-         arg_min(CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(nk * 10 AS DOUBLE) END, event_id) AS lon_a,
+         arg_min_null(CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(nk * 10 AS DOUBLE) END, event_id) AS lon_a,
          arg_min(n_name, event_id) AS air_name
   FROM va WHERE {where} GROUP BY place_name
 ),
@@ -159,17 +159,33 @@ FROM (
 STORED_UNTIL = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
-def silver_rows(dimension: str, where: str) -> str:
+def silver_rows(dimension: str, where: str, ids: str = "", order: str = "event_id") -> str:
     """Rows of the three facts among those of ``where`` and of the dimension,
-    as one table; places are named by ``dimension``."""
+    as one table; places have the id of ``dimension``, or that of ``ids`` (nk,
+    place_id), and the row kept of a key is the first by ``order``."""
     facts = {"air_quality_current": FACT_A, "weather_current": FACT_B, "air_quality_forecast": FORECAST}
+    named = (f"{ids} u ON u.nk = n.n_nationkey" if ids
+             else f"{dimension} u ON u.name = {INITCAP.format(x='n.n_name')}")
     parts = [f"""SELECT '{fact}' AS fact, u.place_id, f.* EXCLUDE (place_id)
-FROM ({sql}) f JOIN nation n ON f.place_id = n.n_nationkey + 1
-JOIN {dimension} u ON u.name = {INITCAP.format(x="n.n_name")} WHERE {where}""" for fact, sql in facts.items()]
+FROM ({sql.replace("ORDER BY event_id", f"ORDER BY {order}")}) f JOIN nation n ON f.place_id = n.n_nationkey + 1
+JOIN {named} WHERE {where}""" for fact, sql in facts.items()]
     parts.append(f"SELECT 'dimension' AS fact, * FROM {dimension}")
     return " UNION ALL BY NAME ".join(f"({p})" for p in parts)
 
 
+# The feed with two spellings of each place that share a lookup key.  The
+# first one, where a place has it, gives the id and is stored first.
+SPELLED_BASE = BASE.replace("""WHEN user_id % 2 = 1 THEN '  ' || lower(n_name) || ' '
+         ELSE n_name END AS place_raw""", """ELSE n_name || CASE WHEN event_id % 4 < 2 THEN ' strasse' ELSE ' straße' END END AS place_raw""")
+SPELLED_IDS = """,
+spelled AS (
+  SELECT n.n_nationkey AS nk, arg_min(u.place_id, u.name LIKE '%ß%') AS place_id
+  FROM (SELECT name, {id} AS place_id FROM fresh1) u JOIN nation n ON split_part(u.name, ' ', 1) = {name}
+  GROUP BY n.n_nationkey
+)
+""".replace("{name}", INITCAP.format(x="n.n_name")).replace("{id}", PLACE_ID)
+
+
 def silver_counts() -> str:
     facts = {"air_quality_current": FACT_A, "weather_current": FACT_B, "air_quality_forecast": FORECAST}
     parts = ["SELECT 'raw_rows.' || feed AS metric, count(*) AS value FROM r GROUP BY feed"]
@@ -180,7 +196,6 @@ def silver_counts() -> str:
 
 
 FIRST_HOUR = "fetched_at = TIMESTAMP '2024-01-10 09:00:00'"
-FIRST_DAY = "CAST(fetched_at AS DATE) = DATE '2024-01-10'"
 ALERT = """
 WITH f AS (
   SELECT date_trunc('minute', ts) AS m FROM events WHERE event_type = 'error'
@@ -210,6 +225,81 @@ SELECT event_id AS request_id, feed, place_raw AS place_name,
 FROM r
 """
 
+PARTS = ("fetched_at < DATE '2024-01-11'", "fetched_at >= DATE '2024-01-11' AND fetched_at < DATE '2024-01-21'",
+         "fetched_at >= DATE '2024-01-21'")
+
+# Reasons of the damaged lines, in the order of the checks.
+REJECTS = """,
+damaged AS (
+  SELECT *, event_id % 23 = 5 AS cut, event_id % 31 = 7 AS unrouted, event_id % 37 = 11 AS soon,
+    http_status = 200 AND event_id % 31 <> 7 AS usable, http_status = 200 AND event_id % 29 = 3 AS half,
+    CASE WHEN feed = 'weather' THEN event_id % 41 = 13 ELSE k % 7 IN (0, 1) AND event_id % 37 = 11 END AS no_event
+  FROM r
+),
+reasons AS (
+  SELECT event_id, feed, event_type, k, CAST(fetched_at AS DATE) AS dt, usable AND NOT half AS readable,
+    CASE WHEN cut THEN ['bad_line'] ELSE list_filter([
+      CASE WHEN unrouted THEN 'unrouted' END,
+      CASE WHEN http_status = 0 THEN 'no_answer' END,
+      CASE WHEN http_status NOT IN (0, 200) THEN 'http_error' END,
+      CASE WHEN usable AND half THEN 'bad_json' END,
+      CASE WHEN usable AND NOT half AND event_type = 'signup' THEN 'bad_payload' END,
+      CASE WHEN place_raw IS NULL THEN 'no_place' END,
+      CASE WHEN soon THEN 'no_fetch_time' END,
+      CASE WHEN usable AND NOT half AND event_type <> 'signup' AND no_event THEN 'no_event_time' END
+    ], lambda x: x IS NOT NULL) END AS reasons
+  FROM damaged
+)
+"""
+
+# Expected hours with what has happened to them.
+CATCH_UP = """,
+landed AS (SELECT DISTINCT fetched_at FROM r),
+expected AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h)
+SELECT CAST(h AS DATE) AS dt, strftime(h, '%H') AS hour,
+  CASE WHEN fetched_at IS NULL OR (hour(h) = 5 AND day(h) % 2 = 1) THEN 'missing'
+       WHEN hour(h) % 2 = 1 THEN 'pending' WHEN day(h) % 5 = 0 THEN 'relanded' ELSE 'done' END AS status
+FROM expected LEFT JOIN landed ON h = fetched_at
+"""
+
+
+def catch_up_rows() -> str:
+    """The tables after two catch-ups, 384 landed hours at a time: the even
+    hours, then the odd ones (but those that never come) and the even ones of
+    every fifth day."""
+    came = "NOT (hour(fetched_at) = 5 AND day(fetched_at) % 2 = 1)"
+    even = "hour(fetched_at) % 2 = 0"
+    order = ",".join(f"""
+w{n} AS (SELECT fetched_at, (row_number() OVER (ORDER BY fetched_at) - 1) // 384 AS part
+         FROM (SELECT DISTINCT fetched_at FROM r WHERE {rows}))"""
+                     for n, rows in ((1, even), (2, f"{came} AND (NOT ({even}) OR day(fetched_at) % 5 = 0)")))
+    sql, before, n = "," + order + STORED, "stored", 0
+    for step, parts in ((1, 1), (2, 2)):
+        for part in range(parts):
+            n += 1
+            sql += upserted(n, before, f"fetched_at IN (SELECT fetched_at FROM w{step} WHERE part = {part})")
+            before = f"upserted{n}"
+    return sql + silver_rows(before, came)
+
+
+# Readings and, for each pollutant, the forecast fetched last before them.
+IN_FORCE = f"""
+SELECT a.place_id, a.measured_at, a.forecast_date, a.pollutant, f.fetched_at AS forecast_at,
+       f.value_min, f.value_avg, f.value_max
+FROM (SELECT place_id, measured_at, CAST(measured_at AS DATE) AS forecast_date, pollutant
+      FROM ({FACT_A}), (VALUES ('o3'), ('uvi')) p(pollutant)) a
+ASOF LEFT JOIN ({FORECAST}) f
+  ON a.place_id = f.place_id AND a.pollutant = f.pollutant AND a.forecast_date = f.forecast_date
+     AND a.measured_at >= f.fetched_at"""
+
+EPISODES = f"""
+SELECT min(window_start) AS episode_start, max(window_end) AS episode_end, count(*) AS n_windows,
+       max(n_failed) AS most_failed
+FROM (SELECT *, count(*) FILTER (window_start > before OR before IS NULL) OVER (ORDER BY window_start) AS episode
+      FROM (SELECT *, lag(window_end) OVER (ORDER BY window_start) AS before
+            FROM ({ALERT}) WHERE firing))
+GROUP BY episode"""
+
 ORACLE: dict[str, str] = {
     "parse_feed_a": BASE + """
 SELECT event_id AS request_id, place_name, upper(trim(place_name)) AS place_key, 'FR' AS country,
@@ -314,7 +404,22 @@ UNION ALL SELECT 'unrouted', 0, 0, 0, 0, 0""",
     "failure_alert_stream": ALERT,
     "silver_hour": BASE + STORED + upserted(1, "stored", FIRST_HOUR) + upserted(2, "upserted1", "true")
     + silver_rows("upserted2", "true"),
-    "silver_rerun": BASE + STORED + upserted(1, "stored", FIRST_DAY) + silver_rows("upserted1", FIRST_DAY),
+    "silver_rerun": BASE + CANDIDATES + silver_rows("upserted1", "true"),
+    "silver_rerun_alias": SPELLED_BASE + CANDIDATES + SPELLED_IDS
+    + silver_rows("upserted1", "true", "spelled", "event_id % 4 >= 2, event_id"),
     "silver_metrics": BASE + CANDIDATES + silver_counts(),
-    "silver_stream": BASE + CANDIDATES + silver_rows("upserted1", "true"),
+    "silver_stream": BASE + STORED + upserted(1, "stored", PARTS[0]) + upserted(2, "upserted1", PARTS[1])
+    + upserted(3, "upserted2", PARTS[2]) + silver_rows("upserted3", "true"),
+    "rejected_rows": BASE + REJECTS + "SELECT event_id AS request_id, dt, array_to_string(reasons, ',') AS reasons FROM reasons",
+    "rejected_counts": BASE + REJECTS + """
+SELECT unnest(CASE WHEN len(reasons) = 0 THEN ['accepted', 'raw'] ELSE list_append(reasons, 'raw') END) AS reason,
+       count(*) AS rows FROM reasons GROUP BY 1
+UNION ALL
+SELECT 'accepted, bad_field', count(*) FROM reasons
+WHERE len(reasons) = 0 AND readable AND feed = 'air_quality' AND k % 10 = 0""",
+    "catch_up_plan": BASE + CATCH_UP,
+    "catch_up_load": BASE + catch_up_rows(),
+    "forecast_in_force": BASE + IN_FORCE,
+    "alert_episodes": EPISODES,
+    "alert_episodes_stream": EPISODES,
 }
