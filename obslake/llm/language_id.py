@@ -9,8 +9,11 @@ that the labelled texts themselves set: then it is rejected.  Short texts
 have few n-grams and a small cosine with any centroid, so rejection looks at
 the cosine over what a text of as many n-grams can be expected to reach.
 
-Document frequencies count every labelled text; only the clusters are fitted
-on a sample, of about ``sample`` texts a language, drawn by hash.
+Document frequencies and the limits count every labelled text; only the
+clusters are fitted on a sample, of about ``sample`` texts a language, drawn by
+hash.  A language with few texts has centroids that are close to those texts
+and to little else, so it gets the limit of such centroids (see
+:func:`floors`), not one of its own texts.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.common import packed, utf8, word_blocks
@@ -30,8 +33,10 @@ CLUSTERS = 3
 SAMPLE = 1_500
 ROUNDS = 12
 # Rejected are texts whose closeness is under this share of the least among
-# nearly all sampled texts (those over the quantile) of the language.
+# nearly all labelled texts (those over the quantile) of the language.
 REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.5
+FEW_TEXTS = 50  # fewer texts of a language do not set a limit
+CLOSENESS_BINS, CLOSENESS_LIMIT = 200, 4  # bins a unit, and the largest told apart
 HALF_WAY = 500  # distinct n-grams with which half of the squared cosine is expected
 UNKNOWN = "und"
 CHUNK = 1 << 20  # bytes of a text looked at together
@@ -128,37 +133,97 @@ class Model:
         return best, cosine, bool(closeness(cosine, np.count_nonzero(counts)) < self.floors[best])
 
 
+def _closeness_counts(texts: DataFrame, model: Model) -> dict[str, np.ndarray]:
+    """For each language how many of all its labelled texts have a closeness
+    to its own centroids in each bin: partial counts per task."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    size = CLOSENESS_BINS * CLOSENESS_LIMIT + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        own = {lang: np.flatnonzero([x == lang for x in model.languages]) for lang in set(model.languages)}
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                if lang not in own:
+                    continue
+                counts = term_counts(text)
+                cosine = float((model.centroids[own[lang]] @ _vector(counts, model.idf)).max())
+                near = closeness(max(cosine, 0.0), max(np.count_nonzero(counts), 1))
+                bins = total.setdefault(lang, np.zeros(size, dtype=np.int64))
+                bins[int(min(near, CLOSENESS_LIMIT) * CLOSENESS_BINS)] += 1
+        rows = [(lang, int(b), int(bins[b])) for lang, bins in total.items() for b in np.flatnonzero(bins)]
+        columns = list(zip(*rows)) if rows else [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
+                                          pa.array(columns[2], pa.int64())], ["lang", "bin", "n"])
+
+    rows = texts.select("lang", "text").mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(
+        F.sum("n")).collect()  # bins of the model's languages
+    out: dict[str, np.ndarray] = {}
+    for lang, at, n in rows:
+        out.setdefault(lang, np.zeros(size, dtype=np.int64))[at] = n
+    return out
+
+
+def floors(counts: dict[str, np.ndarray], alone: float) -> dict[str, float]:
+    """The limit of each language: a share of the closeness that nearly all its
+    texts reach.  One with fewer than FEW_TEXTS texts gets the least of the
+    others' limits (that of all texts together, if all have few), times
+    ``alone``, the closeness that a text has to single texts of its language as
+    a share of that to the language's centroids."""
+    def limit(bins: np.ndarray) -> float:
+        reached = np.cumsum(bins) > REJECT_QUANTILE * (bins.sum() - 1)
+        return float(np.argmax(reached)) / CLOSENESS_BINS * REJECT_SHARE
+
+    known = {lang: limit(bins) for lang, bins in counts.items() if bins.sum() >= FEW_TEXTS}
+    common = alone * (min(known.values()) if known else limit(sum(counts.values()))) if counts else 0.0
+    return {lang: known.get(lang, common) for lang in counts}
+
+
+def draw() -> Column:
+    """A number from 0 to 1 for each document, of 63 bits: a sample by it
+    stays about as large as it is meant to at any size of the table."""
+    return F.xxhash64("doc_id", F.xxhash64("text")).bitwiseAND(F.lit(2**63 - 1)) / F.lit(float(2**63))
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """From ``doc_id, text, lang`` rows; those with a null text or language,
     or without a letter, are left out.  The driver gets document frequencies
-    (FEATURES rows) and a few centroids per language."""
+    (FEATURES rows), a few centroids and CLOSENESS_BINS counts per language:
+    meant for the languages of a label column, thousands at most."""
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     df, n = _document_frequencies(usable)
     idf = np.log((1 + n) / (1 + df)) + 1
     # One row per language, as many as the model has names.
     counts = usable.groupBy("lang").count().collect()
     shares = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, sample / n)]) if counts else None
-    drawn = usable.filter((F.abs(F.xxhash64("doc_id", F.xxhash64("text")) % 1_000_003))
-                          < F.element_at(shares, F.col("lang")) * 1_000_003) if counts else usable
+    drawn = usable.filter(draw() < F.element_at(shares, F.col("lang"))) if counts else usable
 
     def centroids(key: tuple, rows: pa.Table) -> pa.Table:
-        vectors, distinct = [], []
-        for text in utf8(rows.column("text").combine_chunks()):
-            counted = term_counts(text)
-            vectors.append(_vector(counted, idf))
-            distinct.append(np.count_nonzero(counted))
-        vectors, distinct = np.array(vectors), np.array(distinct)
+        counted = [term_counts(text) for text in utf8(rows.column("text").combine_chunks())]
+        vectors, distinct = np.array([_vector(c, idf) for c in counted]), np.array([np.count_nonzero(c) for c in counted])
         found = _clusters(vectors, clusters)
-        near = np.sort(closeness((vectors @ found.T).max(axis=1), distinct))
-        floor = float(near[int(REJECT_QUANTILE * (len(near) - 1))]) * REJECT_SHARE
-        return pa.table({"lang": [key[0].as_py()] * len(found), "centroid": list(found),
-                         "floor": [floor] * len(found)})
+        # how close a text is to another one, against the centroids
+        others = closeness((vectors * np.roll(vectors, 1, axis=0)).sum(axis=1), distinct)
+        near = closeness((vectors @ found.T).max(axis=1), distinct)
+        alone = float(np.quantile(others, REJECT_QUANTILE) / max(np.quantile(near, REJECT_QUANTILE), 1e-9))
+        n = len(found)
+        return pa.table({"lang": [key[0].as_py()] * n, "centroid": list(found), "texts": [len(vectors)] * n,
+                         "alone": [min(alone, 1.0)] * n},
+                        schema=pa.schema([("lang", pa.string()), ("centroid", pa.list_(pa.float32())),
+                                          ("texts", pa.int32()), ("alone", pa.float64())]))
 
     rows = drawn.select("lang", "text").groupBy("lang").applyInArrow(
-        centroids, "lang string, centroid array<float>, floor double").collect()
+        centroids, "lang string, centroid array<float>, texts int, alone double").collect()
     rows.sort(key=lambda r: (r["lang"], r["centroid"]))
     stacked = np.array([r["centroid"] for r in rows], dtype=np.float32).reshape(-1, FEATURES)
-    return Model([r["lang"] for r in rows], stacked, idf.astype(np.float32), np.array([r["floor"] for r in rows]))
+    names = [r["lang"] for r in rows]
+    model = Model(names, stacked, idf.astype(np.float32), np.zeros(len(rows)))
+    # one text alone is close to itself and tells nothing
+    told = [r for r in rows if r["texts"] >= FEW_TEXTS] or [r for r in rows if r["texts"] > 1]
+    alone = min([r["alone"] for r in told], default=0.0)
+    limits = floors(_closeness_counts(usable, model), alone) if rows else {}
+    return Model(names, stacked, model.idf, np.array([limits.get(x, 0.0) for x in names]))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from obslake.llm import language_id as li
 
@@ -48,6 +49,55 @@ def test_clean_documents_are_not_rejected(found):
     assert not any(q.rejected for _, q in found.values())
 
 
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_a_language_with_few_texts_rejects_none_of_its_own(spark, n):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    base = li.learnable(docs)
+    few = base.filter("lang = 'de'").orderBy("doc_id").limit(n)
+    model = li.fit(base.filter("lang <> 'de'").unionByName(few))
+    assert li.predict(docs.filter("lang = 'de'"), model).filter("rejected").count() == 0
+
+
+def test_limits_count_every_text_and_equal_brute_force(spark):
+    docs = li.learnable(spark.read.parquet(f"{SF}/documents.parquet"))
+    model = li.fit(docs, sample=60)
+    rows = [(r.lang, r.text.encode()) for r in docs.collect()]
+    near = {}
+    for lang, text in rows:
+        counts = li.term_counts(text)
+        own = [i for i, x in enumerate(model.languages) if x == lang]
+        cosine = float((model.centroids[own] @ li._vector(counts, model.idf)).max())
+        near.setdefault(lang, []).append(li.closeness(cosine, np.count_nonzero(counts)))
+    for lang, values in near.items():
+        values.sort()
+        floor = values[int(li.REJECT_QUANTILE * (len(values) - 1))] * li.REJECT_SHARE
+        at = model.floors[model.languages.index(lang)]
+        assert abs(at - floor) <= 1 / li.CLOSENESS_BINS, lang
+
+
+def test_every_prediction_equals_brute_force(spark, found):
+    """The whole query: centroids of the model compared one by one."""
+    from obslake.llm.queries import table
+
+    docs = table(spark, SF, "documents")
+    model = li.fit(li.learnable(docs, parts=3, held_out=1))
+    for r, q in list(found.values()):
+        counts = li.term_counts(r.text.encode())
+        v = np.log1p(counts) * model.idf.astype(float)
+        v /= np.linalg.norm(v) or 1
+        cosines = [float(c.astype(float) @ v) for c in model.centroids]
+        best = int(np.argmax(cosines))
+        assert abs(cosines[best] - q.score) < 1e-5
+        assert model.languages[best] == q.lang_pred or max(
+            c for c, x in zip(cosines, model.languages) if x == q.lang_pred) > cosines[best] - 1e-5
+
+
+def test_a_small_share_is_drawn_at_that_share(spark):
+    n = spark.range(20_000_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")).filter(
+        li.draw() < 1e-7).count()
+    assert n < 12  # two are expected; steps of a millionth would let twenty through
+
+
 def test_edges(spark):
     words = {"de": "der und die Straße ist schön heute Abend wieder", "en": "the and that with this from which there here"}
     rng = np.random.default_rng(1)
