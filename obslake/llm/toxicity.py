@@ -18,6 +18,11 @@ of the clean training documents.  A document's evidence is the sum over its
 segments of how far each one is beyond chance; two logistic coefficients,
 fitted to the training documents, make it a probability.
 
+A document is found toxic too easily by pieces that it taught itself.  So the
+calibration (lambda, K and the logistic) is cross-fitted: documents are dealt
+into two halves by a hash of their text, and each half is scored by the pieces
+that the other one teaches.
+
 Memory is bounded: pieces are PIECES buckets, a document is scanned in
 blocks of words, and its segments are numbers.
 """
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.common import utf8, word_blocks, written
@@ -80,17 +85,23 @@ def pieces(block: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return found, starts
 
 
+def half() -> Column:
+    """Which half a text is in: copies are in one."""
+    return F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2)).cast("int")
+
+
 def piece_counts(texts: DataFrame) -> np.ndarray:
-    """(PIECES + 1, 3) from ``text, toxic`` rows: in how many words the piece
-    occurs with label 0, with label 1, and in how many documents; the last
-    row counts all words and documents.  A document counts each of its words
-    once, so repeated lines weigh nothing, and a stem that it inflects counts
-    with every form."""
+    """(2, PIECES + 1, 3) from ``text, toxic`` rows: for either half of the
+    texts in how many words the piece occurs with label 0, with label 1, and in
+    how many documents; the last row counts all words and documents.  A
+    document counts each of its words once, so repeated lines weigh nothing,
+    and a stem that it inflects counts with every form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((PIECES + 1, 3), dtype=np.int64)
+        totals = np.zeros((2, PIECES + 1, 3), dtype=np.int64)
         for batch in batches:
-            for text, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            for text, label, of in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                total = totals[of]
                 words: set[bytes] = set()
                 for block in blocks(text):
                     words.update(block.split())
@@ -100,15 +111,18 @@ def piece_counts(texts: DataFrame) -> np.ndarray:
                     found = found[found >= 0]
                     np.add.at(total[:, label], found, 1)
                     total[np.unique(found), 2] += 1
-        at = np.flatnonzero(total.any(axis=1)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(total[at, i]) for i in range(3)]],
-                                         ["piece", "n0", "n1", "docs"])
-
-    rows = (texts.select("text", "toxic").mapInArrow(run, "piece int, n0 bigint, n1 bigint, docs bigint")
-            .groupBy("piece").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")])
-            .toArrow())  # at most PIECES + 1 rows
-    out = np.zeros((PIECES + 1, 3), dtype=np.int64)
-    out[rows["piece"].to_numpy()] = np.stack([rows[c].to_numpy() for c in ("n0", "n1", "docs")], axis=1)
+        for of in (0, 1):
+            at = np.flatnonzero(totals[of].any(axis=1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), of, dtype=np.int32)), pa.array(at),
+                                              *[pa.array(totals[of][at, i]) for i in range(3)]],
+                                             ["half", "piece", "n0", "n1", "docs"])
+
+    rows = (texts.select("text", "toxic", half().alias("half"))
+            .mapInArrow(run, "half int, piece int, n0 bigint, n1 bigint, docs bigint")
+            .groupBy("half", "piece").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")])
+            .toArrow())  # at most PIECES + 1 rows a half
+    out = np.zeros((2, PIECES + 1, 3), dtype=np.int64)
+    out[rows["half"].to_numpy(), rows["piece"].to_numpy()] = np.stack([rows[c].to_numpy() for c in ("n0", "n1", "docs")], axis=1)
     return out
 
 
@@ -139,15 +153,20 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return np.where(telling, delta, np.where(can_tell, 0, np.nan)).astype(np.float32)
 
 
-def word_scores(block: bytes, scores: np.ndarray) -> np.ndarray:
-    """Score of each word: DRIFT and the mean log-odds of its pieces."""
+def word_scores(block: bytes, *models: np.ndarray) -> list[np.ndarray]:
+    """Score of each word by each model: DRIFT and the mean log-odds of its
+    pieces."""
     found, starts = pieces(block)
-    if not len(starts):
-        return np.zeros(0)
-    known = [np.where(f >= 0, scores[f], np.nan) for f in found]
-    told = np.add.reduceat(sum(np.nan_to_num(k) for k in known), starts)
-    n = np.add.reduceat(sum((~np.isnan(k)).astype(np.int64) for k in known), starts)
-    return DRIFT + told / np.maximum(n, 1)
+    out = []
+    for scores in models:
+        if not len(starts):
+            out.append(np.zeros(0))
+            continue
+        known = [np.where(f >= 0, scores[f], np.nan) for f in found]
+        told = np.add.reduceat(sum(np.nan_to_num(k) for k in known), starts)
+        n = np.add.reduceat(sum((~np.isnan(k)).astype(np.int64) for k in known), starts)
+        out.append(DRIFT + told / np.maximum(n, 1))
+    return out
 
 
 class Segments:
@@ -181,17 +200,19 @@ class Segments:
         return [(right - left, start, end) for left, right, start, end, _ in self.open]
 
 
-def segments(text: bytes, scores: np.ndarray) -> tuple[int, np.ndarray, list[tuple[float, int, int]]]:
-    """Number of words, how many words have a score in each bin (from
-    -SCORE_LIMIT to SCORE_LIMIT; those of DRIFT are left out), and the segments
-    as (score, first word, word after the last)."""
-    scan, at = Segments(), 0
-    histogram = np.zeros(2 * SCORE_LIMIT * SCORE_BINS + 1, dtype=np.int64)
-    for block in blocks(text):
-        s = word_scores(block, scores)
+class Scan:
+    """Segments of a text that comes in blocks, and how many of its words have
+    a score in each bin (from -SCORE_LIMIT to SCORE_LIMIT; those of DRIFT are
+    left out)."""
+
+    def __init__(self) -> None:
+        self.scan, self.at = Segments(), 0
+        self.histogram = np.zeros(2 * SCORE_LIMIT * SCORE_BINS + 1, dtype=np.int64)
+
+    def add(self, s: np.ndarray) -> None:
         hits = np.flatnonzero(s > 0)
         below = np.concatenate([[0.0], np.cumsum(np.where(s > 0, 0, s))])
-        last = -1
+        last, at, scan = -1, self.at, self.scan
         for h, v in zip(hits.tolist(), s[hits].tolist()):
             if h - last > 1:
                 scan.add(float(below[h] - below[last + 1]), at + last + 1, at + h)
@@ -200,34 +221,47 @@ def segments(text: bytes, scores: np.ndarray) -> tuple[int, np.ndarray, list[tup
         if len(s) - last > 1:
             scan.add(float(below[len(s)] - below[last + 1]), at + last + 1, at + len(s))
         told = np.rint(np.clip(s[s != DRIFT], -SCORE_LIMIT, SCORE_LIMIT) * SCORE_BINS).astype(np.int64)
-        histogram += np.bincount(told + SCORE_LIMIT * SCORE_BINS, minlength=len(histogram))
-        at += len(s)
-    return at, histogram, scan.found()
+        self.histogram += np.bincount(told + SCORE_LIMIT * SCORE_BINS, minlength=len(self.histogram))
+        self.at += len(s)
+
+
+def segments(text: bytes, *models: np.ndarray) -> list[tuple[int, np.ndarray, list[tuple[float, int, int]]]]:
+    """For each model the number of words, the histogram of their scores, and
+    the segments as (score, first word, word after the last)."""
+    scans = [Scan() for _ in models]
+    for block in blocks(text):
+        for scan, s in zip(scans, word_scores(block, *models)):
+            scan.add(s)
+    return [(s.at, s.histogram, s.scan.found()) for s in scans]
 
 
-def find_passages(docs: DataFrame, scores: np.ndarray) -> DataFrame:
-    """``doc_id, n_words, told`` (words by bin of their score, those of DRIFT
-    left out) and ``passages``: maximal-scoring segments with word ranges,
-    whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(scores)  # PIECES floats, 1 MB
+def find_passages(docs: DataFrame, scores: np.ndarray, crossed: list[np.ndarray]) -> DataFrame:
+    """``doc_id, n_words, passages`` (maximal-scoring segments with word
+    ranges, whole texts) by ``scores``, and by the pieces of the other half
+    (``crossed[half]``) ``told`` (words by bin of their score, those of DRIFT
+    left out) and ``cross_passages``."""
+    shared = docs.sparkSession.sparkContext.broadcast((scores, crossed))  # PIECES floats each, 1 MB
     bins = pa.struct([("bin", pa.int32()), ("n", pa.int32())])
     passage = pa.struct([("score", pa.float32()), ("start", pa.int32()), ("end", pa.int32())])
-    kind = pa.struct([("n_words", pa.int64()), ("told", pa.list_(bins)), ("passages", pa.list_(passage))])
+    kind = pa.struct([("n_words", pa.int64()), ("passages", pa.list_(passage)), ("told", pa.list_(bins)),
+                      ("cross_passages", pa.list_(passage))])
 
-    @F.arrow_udf("n_words bigint, told array<struct<bin:int, n:int>>, "
-                 "passages array<struct<score:float, start:int, end:int>>")
-    def scan(text: pa.Array) -> pa.Array:
+    @F.arrow_udf("n_words bigint, passages array<struct<score:float, start:int, end:int>>, "
+                 "told array<struct<bin:int, n:int>>, cross_passages array<struct<score:float, start:int, end:int>>")
+    def scan(text: pa.Array, of: pa.Array) -> pa.Array:
         rows = []
-        for t in utf8(text):
-            n, histogram, found = segments(t, shared.value)
+        final, crossed = shared.value
+        for t, h in zip(utf8(text), of.to_pylist()):
+            (n, _, found), (_, histogram, cross) = segments(t, final, crossed[h])
             at = np.flatnonzero(histogram)
             rows.append({"n_words": n,
+                         "passages": [{"score": s, "start": a, "end": b} for s, a, b in found],
                          "told": [{"bin": b, "n": c} for b, c in zip((at - SCORE_LIMIT * SCORE_BINS).tolist(),
                                                                      histogram[at].tolist())],
-                         "passages": [{"score": s, "start": a, "end": b} for s, a, b in found]})
+                         "cross_passages": [{"score": s, "start": a, "end": b} for s, a, b in cross]})
         return pa.array(rows, kind)
 
-    return docs.select("doc_id", scan(F.col("text")).alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", scan(F.col("text"), half()).alias("s")).select("doc_id", "s.*")
 
 
 def extreme_value_fit(n_words: int, histogram: list[tuple[float, int]], clean_segments: list[tuple[float, int]]
@@ -282,11 +316,11 @@ def _logistic(x: np.ndarray, n: np.ndarray, k: np.ndarray) -> tuple[float, float
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def evidence(lam: float, k: float):
+def evidence(lam: float, k: float, passages: str = "passages") -> Column:
     """Sum over the passages of -log(expected in clean text of this length),
     those within chance count nothing; log-scaled."""
     chance = F.log(F.lit(k) * F.greatest(F.col("n_words"), F.lit(1)))
-    beyond = F.transform("passages", lambda s: F.greatest(s["score"] * lam - chance, F.lit(0.0)))
+    beyond = F.transform(passages, lambda s: F.greatest(s["score"] * lam - chance, F.lit(0.0)))
     return F.log1p(F.aggregate(beyond, F.lit(0.0), lambda a, x: a + x))
 
 
@@ -314,22 +348,23 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     each; an empty table none.  Other columns are ignored.
     """
     texts = docs.select("doc_id", "text")
-    scores = log_odds(piece_counts(labelled(texts, labels)))
-    found = written(find_passages(texts, scores), "toxic-passages")
-    taught = written(labelled(found, labels), "toxic-taught")
+    counts = piece_counts(labelled(texts, labels))
+    found = written(find_passages(texts, log_odds(counts.sum(axis=0)), [log_odds(counts[1]), log_odds(counts[0])]), "toxic-passages")
+    taught = written(labelled(found.select("doc_id", "n_words", "told", "cross_passages"), labels), "toxic-taught")
 
     clean = taught.filter("toxic = 0")
     n_words = clean.agg(F.sum("n_words")).first()[0] or 0
     by_bin = clean.select(F.inline("told")).groupBy("bin").agg(F.sum("n")).collect()  # at most as many as the bins
     # Scores of passages by the same bins, up to 200: twenty thousand rows at most.
     bins = F.round(F.least("p", F.lit(200.0)) * SCORE_BINS).cast("int").alias("bin")
-    by_score = clean.select(F.explode("passages.score").alias("p")).groupBy(bins).count().collect()
+    by_score = clean.select(F.explode("cross_passages.score").alias("p")).groupBy(bins).count().collect()
     lam, k = extreme_value_fit(n_words, *[[(r[0] / SCORE_BINS, r[1]) for r in rows] for rows in (by_bin, by_score)])
 
-    x = evidence(lam, k)
-    bins = taught.select(F.floor(x * BINS_A_UNIT).alias("bin"), x.alias("x"), "toxic").groupBy("bin").agg(
+    cross = evidence(lam, k, "cross_passages")
+    bins = taught.select(F.floor(cross * BINS_A_UNIT).alias("bin"), cross.alias("x"), "toxic").groupBy("bin").agg(
         F.avg("x").alias("x"), F.count("*").alias("n"), F.sum("toxic").alias("k")).orderBy("bin").collect()
     b0, b1 = _logistic(*[np.array([r[c] for r in bins], dtype=float) for c in ("x", "n", "k")]) if bins else (0.0, 0.0)
+    x = evidence(lam, k)
     score = 1 / (1 + F.exp(-(F.lit(b0) + F.lit(b1) * x)))
     with_chance = F.transform("passages", lambda s: F.struct(
         s["score"].cast("double").alias("score"), s["start"].cast("bigint").alias("start"),

@@ -49,12 +49,12 @@ def test_blocks_do_not_change_the_result(monkeypatch):
     rng = np.random.default_rng(0)
     text = " ".join("".join(rng.choice(list("abcdeé"), int(rng.integers(1, 9)))) for _ in range(2_000)).encode()
     scores = np.where(rng.random(tx.PIECES) < 0.05, 3.0, 0).astype(np.float32)
-    whole = tx.segments(text, scores)
+    (whole,) = tx.segments(text, scores)
     monkeypatch.setattr(tx, "BLOCK", 500)
-    parts = tx.segments(text, scores)
+    (parts,) = tx.segments(text, scores)
     assert whole[0] == parts[0] == 2_000 and np.allclose(whole[1], parts[1])
     assert [x[1:] for x in whole[2]] == [x[1:] for x in parts[2]]
-    assert tx.segments(b"", scores) [0] == 0 and tx.segments(b"42 !", scores)[2] == []
+    assert tx.segments(b"", scores)[0][0] == 0 and tx.segments(b"42 !", scores)[0][2] == []
 
 
 def test_extreme_value_fit_solves_its_equation():
@@ -105,6 +105,79 @@ def test_held_out_and_edges(spark):
     assert len(blind) == len(rows) and len({round(r.score, 9) for r in blind}) == 1
 
 
+def test_every_score_equals_brute_force(spark):
+    """The whole operator again, text by text: pieces of either half, segments
+    by the definition, evidence and the logistic."""
+    docs, labels = corpus(spark, 240)
+    rows = docs.select("doc_id", "text", tx.half().alias("half")).collect()
+    toxic = {}
+    for r in labels.collect():
+        if r.toxic in (0, 1) and r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            toxic[r.doc_id] = max(r.toxic, toxic.get(r.doc_id, 0))
+    counts = np.zeros((2, tx.PIECES + 1, 3), dtype=np.int64)
+    for r in rows:
+        if r.doc_id not in toxic:
+            continue
+        words = set((r.text or "").lower().replace("!", " ").split())
+        mine, label = counts[r.half], toxic[r.doc_id]
+        mine[-1, label] += len(words)
+        mine[-1, 2] += 1
+        seen = set()
+        for w in words:
+            for of in tx.pieces(f" {w} ".encode())[0]:
+                for piece in of[of >= 0].tolist():
+                    mine[piece, label] += 1
+                    seen.add(piece)
+        for piece in seen:
+            mine[piece, 2] += 1
+    final = tx.log_odds(counts[0] + counts[1])
+    crossed = [tx.log_odds(counts[1]), tx.log_odds(counts[0])]
+
+    def scan(text, model):
+        scores = []
+        for w in (text or "").lower().replace("!", " ").split():
+            known = [float(model[p]) for of in tx.pieces(f" {w} ".encode())[0] for p in of[of >= 0].tolist()]
+            known = [x for x in known if not np.isnan(x)]
+            scores.append(tx.DRIFT + (sum(known) / len(known) if known else 0))
+        return scores
+
+    def found(scores):
+        s = tx.Segments()
+        for i, x in enumerate(scores):
+            s.add(x, i, i + 1)
+        return [float(np.float32(x)) for x, _, _ in s.found()]
+
+    short = [r for r in rows if len(r.text or "") < 10_000]
+    n_words, told, seen = 0, {}, {}
+    for r in rows:
+        if toxic.get(r.doc_id) == 0:
+            scores = scan(r.text, crossed[r.half])
+            n_words += len(scores)
+            for x in scores:
+                if x != tx.DRIFT:
+                    b = round(min(max(x, -16), 16) * 100) / 100
+                    told[b] = told.get(b, 0) + 1
+            for x in found(scores):
+                b = round(min(x, 200.0) * 100) / 100
+                seen[b] = seen.get(b, 0) + 1
+    lam, k = tx.extreme_value_fit(n_words, list(told.items()), list(seen.items()))
+
+    def evidence(scores):
+        chance = np.log(k * max(len(scores), 1))
+        return np.log1p(sum(max(x * lam - chance, 0.0) for x in found(scores)))
+
+    x = [(evidence(scan(r.text, crossed[r.half])), toxic[r.doc_id]) for r in rows if r.doc_id in toxic]
+    bins = {}
+    for e, t in x:
+        bins.setdefault(int(np.floor(e * tx.BINS_A_UNIT)), []).append((e, t))
+    fit = [(np.mean([e for e, _ in v]), len(v), sum(t for _, t in v)) for _, v in sorted(bins.items())]
+    b0, b1 = tx._logistic(*[np.array(c, dtype=float) for c in zip(*fit)])
+    want = sorted((r.doc_id if r.doc_id is not None else -1, 1 / (1 + np.exp(-(b0 + b1 * evidence(scan(r.text, final)))))) for r in short)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.score) for r in tx.score_toxicity(docs, labels).collect() if r.doc_id != 242)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert np.allclose([g for _, g in got], [w for _, w in want], atol=2e-3)
+
+
 def test_labels_of_held_out_documents_are_not_used(spark):
     from pyspark.sql import functions as F
 
@@ -139,8 +212,8 @@ def test_slight_leanings_keep_their_score_and_cancel_out():
     for word, odds in ((b"abcd", 0.75), (b"wxyz", -0.25)):
         for found in tx.pieces(b" " + word + b" ")[0]:
             scores[found[found >= 0]] = odds
-    assert tx.word_scores(b" abcd wxyz plain ", scores).tolist() == [0.5, -0.5, tx.DRIFT]
-    n, told, found = tx.segments(b"abcd wxyz plain abcd", scores)
+    assert tx.word_scores(b" abcd wxyz plain ", scores)[0].tolist() == [0.5, -0.5, tx.DRIFT]
+    ((n, told, found),) = tx.segments(b"abcd wxyz plain abcd", scores)
     assert n == 4 and [s for s, *_ in found] == [0.5, 0.5]
     at = np.flatnonzero(told)
     assert ((at - tx.SCORE_LIMIT * tx.SCORE_BINS) / tx.SCORE_BINS).tolist() == [-0.5, 0.5] and told[at].tolist() == [1, 2]
