@@ -26,8 +26,7 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
-from typing import NamedTuple
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,8 @@ from obslake.llm.tokens import _byte_letters
 
 BATCH_BYTES = 1 << 21  # text whose new units are encoded together
 CHUNK_UNITS = 1 << 22  # units of the documents of a chunk, and
-CHUNK_DISTINCT = 1 << 18  # distinct ones, before the chunk is closed
+CHUNK_DISTINCT = 1 << 19  # distinct ones, before the chunk is closed
+TOGETHER = 4_096  # units that are one text for the tokenizers
 PAIR = 32  # bits of a pair's key that hold the B id
 ALIGNED = ("chunk bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
            "units array<int>, pairs array<bigint>, times array<bigint>, ends array<int>, links array<int>")
@@ -72,6 +72,8 @@ def joined(pieces: list[bytes]) -> bytes:
 def edges(key: bytes) -> int:
     """1: the text may be cut before this piece; 2: after it.  There is no cut
     next to other white space."""
+    if key and 32 < key[0] < 127 and 32 < key[-1] < 127:
+        return 3
     text = key.decode("utf-8", "replace")
     body = text[1:] if text.startswith("\n") else text
     if not body:
@@ -93,6 +95,7 @@ class ByteLevel:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = b"".join([byte_of.get(c, c.encode()) for c in token])
+        self.length = np.array([len(x) for x in self.bytes], dtype=np.int64)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
@@ -101,10 +104,10 @@ class ByteLevel:
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                      and not pre["add_prefix_space"] and pre["use_regex"])
 
-    def encode(self, units: list[bytes]) -> list[list[int]]:
-        """Ids of the bytes of units."""
-        texts = [u.decode("utf-8", "replace") for u in units]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, text: bytes) -> np.ndarray:
+        """Ids of a text as it is."""
+        found = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(found[0].ids, dtype=np.uint32)
 
 
 class Pieces:
@@ -117,17 +120,20 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode()
                       for p in pieces]
+        self.length = np.array([len(x) for x in self.bytes], dtype=np.int64)
         self.space = self.model.piece_to_id("▁")
         # a piece with a space after anything else, or with a line feed, would
         # go across a cut
         self.cuts = not any(re.search("[^▁]▁|\n", p) for p in pieces) and self.model.encode("\na")[0] == self.space
 
-    def encode(self, units: list[bytes]) -> list[list[int]]:
-        """Ids of the bytes of units, of which the model adds a first space."""
-        bare = [not u.startswith(b" ") for u in units]
-        texts = [u.decode("utf-8", "replace") if b else u[1:].decode("utf-8", "replace") for u, b in zip(units, bare)]
-        return [ids[1:] if b and ids and ids[0] == self.space else ids
-                for ids, b in zip(self.model.encode(texts, num_threads=1), bare)]
+    def encode(self, text: bytes) -> np.ndarray:
+        """Ids of a text as it is: the model adds a first space."""
+        if text.startswith(b" "):
+            ids = self.model.encode(text[1:].decode("utf-8", "replace"))
+        else:
+            ids = self.model.encode(text.decode("utf-8", "replace"))
+            ids = ids[1:] if ids and ids[0] == self.space else ids
+        return np.array(ids, dtype=np.uint32)
 
 
 def coalesce(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,69 +165,27 @@ def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return a, b
 
 
-class Unit(NamedTuple):
-    """A unit's tokens; ``shown`` are its groups as text.  A unit that a
-    tokenizer changes has none."""
-
-    shown: bytes
-    n_groups: int
-    a: np.ndarray
-    b: np.ndarray
-
-
-def align_units(units: list[bytes], a: ByteLevel, b: Pieces) -> list[Unit]:
-    """Units encoded by both sides and coalesced together, one after another
-    as if they were one text."""
-    ids = list(zip(a.encode(units), b.encode(units)))
-    good = [all(b"".join([side.bytes[t] for t in of]) == unit for side, of in zip((a, b), pair))
-            for unit, pair in zip(units, ids)]
-    none = np.zeros(0, dtype=np.uint32)
-    kept = [pair for pair, ok in zip(ids, good) if ok]
-    flat = [np.fromiter(chain.from_iterable(p[x] for p in kept), dtype=np.uint32) for x in (0, 1)]
-    n_a, n_b = flat[0].size, flat[1].size
-    lengths = [np.array([len(side.bytes[t]) for t in of.tolist()], dtype=np.int64) for side, of in zip((a, b), flat)]
-    order, first = coalesce(np.cumsum(lengths[0]), np.cumsum(lengths[1]))
-    # ids in order of start with what follows them: a comma inside a group's
-    # side, a bar between its sides, a semicolon after it
-    side = order >= n_a
-    group = np.cumsum(np.bincount(first, minlength=len(order))[:len(order)]) - 1
-    by_side = np.lexsort((np.arange(len(order)), side, group))  # a group's A tokens before its B tokens
-    side, group = side[by_side], group[by_side]
-    same = np.append((group[1:] == group[:-1]) & (side[1:] == side[:-1]), False)
-    text_of = np.concatenate(flat)[order][by_side].tolist()
-    sign = np.where(same, 0, np.where(side, 2, 1)).tolist()
-    shown = [b"%d%c" % (t, b",|;"[x]) for t, x in zip(text_of, sign)]
-    # back to units: how many of these tokens each has
-    out: list[Unit] = []
-    at = at_a = at_b = 0
-    kept_at = iter(kept)
-    is_end = np.append(0, np.cumsum(np.array(sign) == 2)) if sign else np.zeros(1, dtype=np.int64)
-    for ok in good:
-        if not ok:
-            out.append(Unit(b"", 0, none, none))
-            continue
-        x, y = map(len, next(kept_at))
-        to = at + x + y
-        out.append(Unit(b"".join(shown[at:to])[:-1], int(is_end[to] - is_end[at]), flat[0][at_a:at_a + x], flat[1][at_b:at_b + y]))
-        at, at_a, at_b = to, at_a + x, at_b + y
-    return out
+SIGNS = b",|;"  # after an id inside a group's side, between its sides, after the group
 
 
 class Chunk:
-    """The documents of a chunk as numbers of units, and its dictionary of
-    units.  ``earlier`` are the units of the chunk before, which need no
-    encoding."""
+    """The documents of a chunk as places of units, and its dictionary of
+    units: their tokens one after another, and their groups as text.  A unit
+    that a tokenizer changes has no tokens."""
 
-    def __init__(self, a: ByteLevel, b: Pieces, earlier: dict[bytes, Unit]):
-        self.a, self.b, self.earlier = a, b, earlier
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b = a, b
         self.number: defaultdict[bytes, int] = defaultdict()
         self.number.default_factory = self.number.__len__
-        self.units: list[Unit | None] = []  # none: a piece that was only looked at
+        self.edges = np.zeros(0, dtype=np.uint8)  # by number, as is
+        self.place = np.zeros(0, dtype=np.int32)  # the place of a unit; -1: a piece that was only looked at
         self.shown: list[bytes] = []
         self.sizes = np.zeros((0, 3), dtype=np.int64)  # A tokens, B tokens, groups
-        self.edges = np.zeros(0, dtype=np.uint8)
+        self.tokens: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
         self.docs: list[tuple] = []  # doc_id, n_a, n_b, n_groups, units, sha256
         self.n_units = 0
+        # ids with the sign after them
+        self.text = [[b"%d%c" % (i, c) for i in range(max(len(a.bytes), len(b.bytes)))] for c in SIGNS]
 
     def full(self) -> bool:
         return self.n_units >= CHUNK_UNITS or len(self.number) >= CHUNK_DISTINCT
@@ -234,8 +198,8 @@ class Chunk:
         split = [pieces_of(t) for t in texts]
         numbers = [np.array([number[p] for p in pieces], dtype=np.int32) for pieces in split]
         if len(number) > len(self.edges):
-            keys = list(islice(number, len(self.edges), None))
-            self.edges = np.append(self.edges, np.array([edges(k) for k in keys], dtype=np.uint8))
+            more = [edges(k) for k in islice(number, len(self.edges), None)]
+            self.edges = np.append(self.edges, np.array(more, dtype=np.uint8))
         out = []
         for pieces, mine in zip(split, numbers):
             e = self.edges[mine]
@@ -247,64 +211,99 @@ class Chunk:
             out.append(mine)
         return out
 
+    def learn(self, numbers: np.ndarray, units: list[bytes]) -> bool:
+        """Encodes units as one text and coalesces it; false (and nothing
+        learned) where a tokenizer changes it or has a token across units."""
+        whole = b"".join(units)
+        ids = [side.encode(whole) for side in (self.a, self.b)]
+        if any(b"".join([side.bytes[t] for t in of.tolist()]) != whole for side, of in zip((self.a, self.b), ids)):
+            return False
+        a_ends, b_ends = (np.cumsum(side.length[of]) for side, of in zip((self.a, self.b), ids))
+        unit_ends = np.cumsum([len(u) for u in units])
+        last = [np.searchsorted(ends, unit_ends) for ends in (a_ends, b_ends)]
+        if any((ends[at] != unit_ends).any() for ends, at in zip((a_ends, b_ends), last)):
+            return False
+        order, first = coalesce(a_ends, b_ends)
+        n = len(order)
+        group = np.zeros(n, dtype=np.int64)
+        group[first[1:]] = 1
+        group = np.cumsum(group)
+        side = order >= len(a_ends)
+        by_side = np.lexsort((side, group))  # a group's A tokens before its B tokens
+        side, group, of = side[by_side], group[by_side], np.concatenate(ids)[order][by_side]
+        end_of_group = np.append(group[1:] != group[:-1], True)
+        sign = np.where(end_of_group, 2, np.where(np.append(side[1:] != side[:-1], True), 1, 0))
+        shown = [self.text[x][t] for x, t in zip(sign.tolist(), of.tolist())]
+        to = (last[0] + last[1] + 2).tolist()
+        self.shown += [b"".join(shown[s:t])[:-1] for s, t in zip([0, *to], to)]
+        groups = np.append(0, np.cumsum(end_of_group))[[0, *to]]
+        self.sizes = np.concatenate([self.sizes, np.stack(
+            [np.diff(last[0] + 1, prepend=0), np.diff(last[1] + 1, prepend=0), np.diff(groups)], axis=1)])
+        self.place[numbers] = np.arange(len(self.shown) - len(units), len(self.shown))
+        for kept, new in zip(self.tokens, ids):
+            kept.append(new)
+        return True
+
     def add(self, doc_ids: list[int | None], texts: list[bytes]) -> None:
         cut = self.cut(texts)
-        more = len(self.number) - len(self.units)
-        if len(self.number) > len(self.edges):  # units of several pieces are no pieces
-            self.edges = np.append(self.edges, np.zeros(len(self.number) - len(self.edges), dtype=np.uint8))
-        self.units += [None] * more
-        self.shown += [b""] * more
-        self.sizes = np.concatenate([self.sizes, np.zeros((more, 3), dtype=np.int64)])
-        keys = list(self.number)
-        missing = [u for u in np.unique(np.concatenate(cut)).tolist() if self.units[u] is None]
-        found = [self.earlier.get(keys[u]) for u in missing]
-        new = iter(align_units([unit_text(keys[u]) for u, f in zip(missing, found) if f is None], self.a, self.b))
-        for u, f in zip(missing, found):
-            unit = self.units[u] = next(new) if f is None else f
-            self.shown[u] = unit.shown
-            self.sizes[u] = (len(unit.a), len(unit.b), unit.n_groups)
+        more = len(self.number) - len(self.place)
+        self.place = np.append(self.place, np.full(more, -1, dtype=np.int32))
+        # units of several pieces are no pieces
+        self.edges = np.append(self.edges, np.zeros(len(self.number) - len(self.edges), dtype=np.uint8))
+        used = np.unique(np.concatenate(cut))
+        new = used[self.place[used] < 0]
+        if len(new):
+            keys = list(self.number)
+            # units that may be cut on both sides are one text; the others,
+            # and those of a text that does not hold, are texts of their own
+            plain = new[self.edges[new] == 3] if self.a.cuts and self.b.cuts else new[:0]
+            for first in range(0, len(plain), TOGETHER):
+                some = plain[first:first + TOGETHER]
+                self.learn(some, [unit_text(keys[u]) for u in some.tolist()])
+            for u in new[self.place[new] < 0].tolist():
+                if not self.learn(np.array([u]), [unit_text(keys[u])]):
+                    self.place[u] = len(self.shown)
+                    self.shown.append(b"")
+                    self.sizes = np.concatenate([self.sizes, np.zeros((1, 3), dtype=np.int64)])
         shown = self.shown
         for doc, mine in zip(doc_ids, cut):
-            n_a, n_b, n_groups = self.sizes[mine].sum(axis=0).tolist()
-            if not self.sizes[mine, 2].all():  # a tokenizer changed one of them
+            mine = self.place[mine]
+            sizes = self.sizes[mine]
+            if not sizes[:, 2].all():  # a tokenizer changes one of them
                 self.add_empty(doc)
                 continue
             text = b";".join([shown[u] for u in mine.tolist()])
-            self.docs.append((doc, n_a, n_b, n_groups, mine, hashlib.sha256(text).hexdigest()))
+            self.docs.append((doc, *sizes.sum(axis=0).tolist(), mine, hashlib.sha256(text).hexdigest()))
             self.n_units += len(mine)
 
     def add_empty(self, doc_id: int | None) -> None:
         self.docs.append((doc_id, 0, 0, 0, np.zeros(0, dtype=np.int32), ""))
 
-    def known(self) -> dict[bytes, Unit]:
-        return {k: u for k, u in zip(self.number, self.units) if u is not None}
-
     def rows(self, number: int) -> pa.RecordBatch:
         """One row for each document and one for the dictionary: the distinct
         linked pairs, how often the chunk links them, and the pairs of each
         unit (``links`` up to ``ends``)."""
         none = np.zeros(0, dtype=np.uint32)
-        sides = [[(u[x] if u is not None else none) for u in self.units] for x in (2, 3)]
-        a, b = (np.concatenate([none, *side]).astype(np.int64) for side in sides)
-        unit = np.repeat(np.arange(len(self.units)), [len(x) for x in sides[0]])
-        a_length, b_length = (np.array([len(x) for x in side.bytes], dtype=np.int64) for side in (self.a, self.b))
-        at_a, at_b = overlaps(np.cumsum(a_length[a]), np.cumsum(b_length[b]))
+        a, b = (np.concatenate([none, *side]).astype(np.int64) for side in self.tokens)
+        n_units = len(self.shown)
+        at_a, at_b = overlaps(np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b]))
         pairs, links = np.unique(a[at_a] << PAIR | b[at_b], return_inverse=True)
-        of_unit = unit[at_a]
-        per_unit = np.bincount(of_unit, minlength=len(self.units))
-        ends = np.cumsum(per_unit)
+        links = links.ravel()
+        of_unit = np.repeat(np.arange(n_units), self.sizes[:, 0])[at_a]
+        per_unit = np.bincount(of_unit, minlength=n_units)
         everything = np.concatenate([np.zeros(0, dtype=np.int32), *[d[4] for d in self.docs]])
-        used = np.bincount(everything, minlength=len(self.units))
-        # whole numbers: no float on the way
-        times = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(times, links.ravel(), used[of_unit])
+        used = np.bincount(everything, minlength=n_units)
+        times = np.zeros(len(pairs), dtype=np.int64)  # whole numbers: no float on the way
+        np.add.at(times, links, used[of_unit])
         bounds = np.cumsum([0, *[len(d[4]) for d in self.docs]])
         total = np.append(0, np.cumsum(per_unit[everything])) if len(everything) else np.zeros(1, dtype=np.int64)
         n_links = total[bounds[1:]] - total[bounds[:-1]]
         n = len(self.docs)
 
         def listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-            return pa.array([None] * n + [values], pa.list_(kind))
+            """Null for documents, one list for the dictionary."""
+            offsets = pa.array([0] * (n + 1) + [len(values)], pa.int32())
+            return pa.ListArray.from_arrays(offsets, pa.array(values, kind), mask=pa.array([True] * n + [False]))
 
         units = pa.ListArray.from_arrays(pa.array(np.append(bounds, bounds[-1]), pa.int32()), pa.array(everything, pa.int32()))
         doc_id, n_a, n_b, n_groups, _, sha = zip(*self.docs) if n else ((), (), (), (), (), ())
@@ -313,7 +312,7 @@ class Chunk:
             pa.array([number] * (n + 1), long), pa.array([*doc_id, None], long), pa.array([*n_a, None], long),
             pa.array([*n_b, None], long), pa.array([*n_groups, None], long),
             pa.array([*n_links.tolist(), None], long), pa.array([*sha, None], pa.string()), units,
-            listed(pairs, long), listed(times, long), listed(ends, pa.int32()), listed(links.ravel(), pa.int32())],
+            listed(pairs, long), listed(times, long), listed(np.cumsum(per_unit), pa.int32()), listed(links, pa.int32())],
             [f.split()[0] for f in ALIGNED.split(", ")])
 
 
@@ -334,7 +333,7 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = sides(byte_level, pieces)
         number = TaskContext.get().partitionId() << 36
-        chunk = Chunk(a, b, {})
+        chunk = Chunk(a, b)
         ids: list[int | None] = []
         texts: list[bytes] = []
         held = 0
@@ -351,7 +350,7 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                     ids, texts, held = [], [], 0
                     if chunk.full():
                         yield chunk.rows(number)
-                        number, chunk = number + 1, Chunk(a, b, chunk.known())
+                        number, chunk = number + 1, Chunk(a, b)
         if ids:
             chunk.add(ids, texts)
         if chunk.docs:

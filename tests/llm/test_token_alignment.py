@@ -102,40 +102,39 @@ def test_units_have_the_tokens_of_the_whole(files):
     assert a.cuts and b.cuts
     texts = ["".join(rng.choice(WORDS) + rng.choice([" ", " ", " ", "", "\n"]) for _ in range(rng.randrange(1, 60))) for _ in range(300)]
     texts = [t.encode() for t in texts if t]
-    chunk = ta.Chunk(a, b, {})
+    chunk = ta.Chunk(a, b)
     chunk.add(list(range(len(texts))), texts)
-    keys = list(chunk.number)
+    keys = {int(p): k for k, p in zip(chunk.number, chunk.place) if p >= 0}
+    tokens = [np.split(np.concatenate(side), np.cumsum(chunk.sizes[:-1, x])) for x, side in enumerate(chunk.tokens)]
     for text, (doc, n_a, n_b, _, mine, sha) in zip(texts, chunk.docs):
-        assert b"".join(ta.unit_text(keys[u]) for u in mine) == b" " + text or not sha
         if not sha:
             continue
-        units = [chunk.units[u] for u in mine]
-        assert np.concatenate([u.a for u in units]).tolist() == a.tokenizer.encode(" " + text.decode(), add_special_tokens=False).ids
-        assert np.concatenate([u.b for u in units]).tolist() == b.model.encode(text.decode())
-    assert sum(not d[5] for d in chunk.docs) < len(texts) / 2 and len(chunk.number) < sum(len(d[4]) for d in chunk.docs)
+        assert b"".join(ta.unit_text(keys[u]) for u in mine.tolist()) == b" " + text
+        ids = [np.concatenate([side[u] for u in mine]).tolist() for side in tokens]
+        assert ids == [a.tokenizer.encode(" " + text.decode(), add_special_tokens=False).ids, b.model.encode(text.decode())]
+    assert sum(not d[5] for d in chunk.docs) < len(texts) / 2 and len(chunk.shown) < sum(len(d[4]) for d in chunk.docs)
 
 
 def test_files_that_may_not_be_cut_are_encoded_whole(files, monkeypatch):
     texts = [t.encode() for t in TEXTS if t]
-    cut, whole = ta.Chunk(*files, {}), ta.Chunk(*files, {})
+    cut, whole = ta.Chunk(*files), ta.Chunk(*files)
     cut.add(list(range(len(texts))), texts)
     monkeypatch.setattr(files[0], "cuts", False)
     whole.add(list(range(len(texts))), texts)
     assert [(d[:4], d[5]) for d in cut.docs] == [(d[:4], d[5]) for d in whole.docs]
-    assert len(whole.number) == len(set(texts))
+    assert len(whole.shown) == len(set(texts))
 
 
 def test_many_chunks_equal_one(spark, files):
     rows = [(i, f"the cat number {i % 7} sat on mat {i % 5}, naïve\nnext") for i in range(60)]
-    one = ta.Chunk(*files, {})
+    one = ta.Chunk(*files)
     one.add([i for i, _ in rows], [t.encode() for _, t in rows])
-    many, earlier = [], {}
+    many = []
     for first in range(0, 60, 13):
-        chunk = ta.Chunk(*files, earlier)
+        chunk = ta.Chunk(*files)
         part = rows[first:first + 13]
         chunk.add([i for i, _ in part], [t.encode() for _, t in part])
         many.append(chunk.rows(first))
-        earlier = chunk.known()
 
     def total(batches):
         got = Counter()
