@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
+from sys import byteorder
 
 import numpy as np
 
@@ -50,6 +52,11 @@ def splits_at_white_space(spec: dict) -> bool:
     )
 
 
+def ids_bytes(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit integers."""
+    return array("I", ids).tobytes() if byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
+
+
 class Encoder(dict):
     """``encode(text)``: ids as little-endian unsigned 32-bit integers.
     The dict holds the ids of pieces; when it is full it becomes the earlier
@@ -73,7 +80,7 @@ class Encoder(dict):
         return np.array(ids, dtype="<u4").tobytes()
 
     def word(self, letters: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+        return ids_bytes([t.id for t in self.model.tokenize(letters)])
 
     def tail(self, signs: bytes) -> bytes:
         ids = self.tails.get(signs)
@@ -84,6 +91,8 @@ class Encoder(dict):
         return ids
 
     def piece(self, piece: bytes) -> bytes:
+        if piece.isalpha():  # A-Z in either case
+            return self.word(piece.lower().decode())
         if m := _PLAIN.fullmatch(piece):
             return self.word(m[1].lower().decode()) + self.tail(m[2])
         core = piece.rstrip(_SIGNS)
