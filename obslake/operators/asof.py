@@ -22,10 +22,10 @@ CHUNK_HOURS = 24
 
 
 def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,
-          values: Sequence[str], chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+          values: Sequence[str], chunk_hours: int = CHUNK_HOURS, before: bool = False) -> DataFrame:
     """``left`` with ``right_time`` and ``values`` of the last row of ``right``
-    that has its ``by`` columns and a time not after its own; nulls where there
-    is none.
+    that has its ``by`` columns and a time not after its own (with ``before``:
+    one before its own); nulls where there is none.
 
     Rows of ``left`` are all kept.  A null in ``by`` or in the time finds
     nothing; such rows of ``right`` are found by nothing.  Of right rows with
@@ -56,8 +56,8 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     nothing = F.lit(None).cast(r.schema["_found"].dataType).alias("_found")
     lasts = r.select(*chunk, "_found").unionByName(l.select(*chunk, nothing).distinct())
     per_chunk = lasts.groupBy(*chunk).agg(F.max("_found").alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_chunk.select(*chunk, F.last("_last", ignorenulls=True).over(before).alias("_found")).where(
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_chunk.select(*chunk, F.last("_last", ignorenulls=True).over(earlier).alias("_found")).where(
         F.col("_found").isNotNull())
 
     no_row = F.lit(None).cast(l.schema["_row"].dataType).alias("_row")
@@ -65,7 +65,9 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
     everything = (l.select(*chunk, "_t", "_row", nothing)
                   .unionByName(r.select(*chunk, "_t", no_row, "_found"))
                   .unionByName(carried.select(*chunk, no_time, no_row, "_found")))
-    upto = Window.partitionBy(*chunk).orderBy("_t", F.col("_row").isNotNull(), "_found").rowsBetween(
+    # at one time the rows of the right come first, with ``before`` those of the left
+    asks = F.col("_row").isNull() if before else F.col("_row").isNotNull()
+    upto = Window.partitionBy(*chunk).orderBy("_t", asks, "_found").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     seen = everything.withColumn("_found", F.last("_found", ignorenulls=True).over(upto)).where(F.col("_row").isNotNull())
     return (seen.select("_row.*", *[F.col(f"_found.{c}").alias(c) for c in found])

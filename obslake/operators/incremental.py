@@ -20,6 +20,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslake.operators import keytable
 from obslake.sources import tables
 
 
@@ -97,7 +98,8 @@ def write_facts(df: DataFrame, target: str) -> None:
 
 
 def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequence[str],
-                  bounds: tuple[_dt.datetime, _dt.datetime] | None = None) -> dict[str, int]:
+                  bounds: tuple[_dt.datetime, _dt.datetime] | None = None,
+                  key_buckets: int | None = None) -> dict[str, int]:
     """Append the rows of ``batch`` whose key the file target does not have
     and return the rows ``calculated`` (in the batch) and ``inserted``.
 
@@ -106,10 +108,13 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
     its day, so only the days of the batch's fetch range are read (``bounds``
     where the caller knows a range that holds the batch, else one aggregate
     over the batch, which is cached for that); for other keys all stored keys
-    are.  One action marks and counts the batch; with ``bounds`` it also fills
+    are, and with ``key_buckets`` they are kept as a bucketed table beside the
+    target, which is joined without an exchange (see
+    :mod:`obslake.operators.keytable`).  One action marks and counts the batch; with ``bounds`` it also fills
     the cache that the write reads, so there is one cache either way.
     """
     exists = tables.exists(spark, target)
+    bucketed = key_buckets is not None and "fetched_at" not in keys
     ranged = exists and "fetched_at" in keys and bounds is None
     cached = batch = batch.persist() if ranged else batch
     if not exists:
@@ -122,6 +127,9 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
             stored = (read_days(spark, target, schema, lo.date(), hi.date()) if lo is not None
                       else spark.createDataFrame([], schema))
             known = stored_keys(stored, keys, "fetched_at", lo)
+        elif bucketed:
+            name, buckets = keytable.opened(spark, target, spark.read.schema(schema).parquet(target), keys, key_buckets)
+            known, batch = spark.table(name), batch.repartition(buckets, *keys)
         else:
             known = stored_keys(spark.read.schema(schema).parquet(target), keys)
         marked = mark_stored(batch, known, keys)
@@ -132,7 +140,12 @@ def append_unseen(spark: SparkSession, batch: DataFrame, target: str, keys: Sequ
         # Guarded write: an empty partitioned append would leave a stray
         # unpartitioned file in the target.
         if new:
-            write_facts(marked.where(~F.col("_stored")).drop("_stored"), target)
+            fresh = marked.where(~F.col("_stored")).drop("_stored")
+            if exists and bucketed:
+                keytable.begin(spark, target)
+            write_facts(fresh, target)
+            if exists and bucketed:
+                keytable.add(spark, target, name, fresh, keys, buckets)
         return {"calculated": n, "inserted": new}
     finally:
         cached.unpersist()

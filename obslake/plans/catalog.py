@@ -14,13 +14,13 @@ import datetime as _dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake import specs
 from obslake.functions import time as tf
 from obslake.functions.urls import redact_secrets
-from obslake.operators import alert, asof, dedupe, dims, episodes, facts, incremental, ledger, metrics, parse, rejects
+from obslake.operators import alert, asof, dedupe, dims, episodes, facts, incremental, ledger, metrics, parse, rejects, series
 from obslake.operators.lookup import attach_place
 from obslake.plans import derived_feed, raw_hour, silver
 from obslake.sources import fetch, raw, tables
@@ -233,11 +233,11 @@ def dedupe_deterministic(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- incremental
-def _two_loads(spark, first: DataFrame, second: DataFrame, keys) -> DataFrame:
+def _two_loads(spark, first: DataFrame, second: DataFrame, keys, key_buckets: int | None = None) -> DataFrame:
     """Append two batches that overlap; what the target holds then."""
     target = tables.scratch_path(spark, "fact")
     for batch in (first, second):
-        incremental.append_unseen(spark, batch, target, keys)
+        incremental.append_unseen(spark, batch, target, keys, key_buckets=key_buckets)
     return spark.read.parquet(target).drop("fetched_date")
 
 
@@ -261,12 +261,12 @@ def incremental_4key(spark, sf_dir):
 
 
 def incremental_measured(spark, sf_dir):
-    """A key without the fetch time: readings fetched again a day later are
-    not stored again."""
+    """A key without the fetch time, stored as a bucketed table: readings
+    fetched again a day later are not stored again."""
     spec = replace(specs.AIR_QUALITY_CURRENT, keys=("place_id", "measured_at"))
     fact = facts.current_fact(parsed(spark, sf_dir, A), place_dimension(spark, sf_dir), spec)
     later = fact.withColumn("fetched_at", F.timestamp_add("DAY", F.lit(1), F.col("fetched_at")))
-    return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), later, spec.keys)
+    return _two_loads(spark, _fetched(fact, hi=STORED_UNTIL), later, spec.keys, key_buckets=8)
 
 
 def _part(day, n: int):
@@ -398,6 +398,14 @@ def silver_stream(spark, sf_dir):
     return silver.stored_tables(spark, base, stream_inc.dimension_version(f"{base}/dimension", sum(batches)))
 
 
+def silver_stream_metrics(spark, sf_dir):
+    """The counts of that stream's micro-batches, added up."""
+    base, state = _silver_base(spark, sf_dir), tables.scratch_path(spark, "silver-ckpt")
+    _landed_in_parts(spark, sf_dir, lambda root: stream_inc.run_silver(
+        spark, root, f"{base}/dimension", base, state, fmt="parquet", metrics_root=f"{base}/metrics"))
+    return stream_inc.read_metrics(spark, f"{base}/metrics").groupBy("metric").agg(F.sum("value").alias("value"))
+
+
 # ---------------------------------------------------------------- rejects
 # How the landed lines are damaged, by request id: the line is
 # cut in half when id % 23 = 5; the body loses its last 10 characters when
@@ -501,6 +509,29 @@ def forecast_in_force(spark, sf_dir):
     return asof.forecast_in_force(readings, forecast_long(spark, sf_dir), ("o3", "uvi"))
 
 
+# ---------------------------------------------------------------- series
+def extreme_variations(spark, sf_dir):
+    """Every reading of fine dust against the day before it at its place."""
+    readings = fact_current_a(spark, sf_dir).select("place_id", "measured_at", "pm25")
+    return series.variations(readings, ["place_id"], "measured_at", "pm25")
+
+
+# Fixed value: series of the counters, by user number.
+N_SERIES = 5
+
+
+def counter_alert(spark, sf_dir):
+    """The alert in counter form: each series counts its errors, from zero
+    again in every hour; the increase of five minutes fires."""
+    (events,) = _tables(spark, sf_dir, "events")
+    rows = events.select((F.col("user_id") % N_SERIES).alias("series"), F.col("ts"), "event_id",
+                         (F.col("event_type") == F.lit("error")).cast("bigint").alias("failed"))
+    hour = Window.partitionBy("series", tf.floor_to(F.col("ts"), "hour")).orderBy("ts", "event_id")
+    samples = rows.withColumn("total", F.sum("failed").over(hour))
+    found = series.counter_increase(samples, ["series"], "ts", "total")
+    return found.withColumn("firing", F.col("increase") > 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_feed_a": parse_feed_a,
     "parse_feed_b": parse_feed_b,
@@ -531,6 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_rerun_alias": silver_rerun_alias,
     "silver_metrics": silver_metrics,
     "silver_stream": silver_stream,
+    "silver_stream_metrics": silver_stream_metrics,
     "rejected_rows": rejected_rows,
     "rejected_counts": rejected_counts,
     "catch_up_plan": catch_up_plan,
@@ -538,4 +570,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_in_force": forecast_in_force,
     "alert_episodes": alert_episodes,
     "alert_episodes_stream": alert_episodes_stream,
+    "extreme_variations": extreme_variations,
+    "counter_alert": counter_alert,
 }

@@ -300,6 +300,53 @@ FROM (SELECT *, count(*) FILTER (window_start > before OR before IS NULL) OVER (
             FROM ({ALERT}) WHERE firing))
 GROUP BY episode"""
 
+# Every reading with those of the day before it; medians are lower ones.
+VARIATIONS = f"""
+SELECT place_id, measured_at, pm25, len(before) AS n_before, pm25 - list_max(before).v AS delta, score,
+       coalesce(abs(score) > 3.5, false) AS extreme
+FROM (
+  SELECT *, CASE WHEN len(before) >= 5 AND spread > 0 THEN (pm25 - med) / (1.4826 * spread) END AS score
+  FROM (
+    SELECT *, list_sort(list_transform(before, lambda b: abs(b.v - med)))[(len(before) + 1) // 2] AS spread
+    FROM (
+      SELECT *, list_sort(list_transform(before, lambda b: b.v))[(len(before) + 1) // 2] AS med
+      FROM (
+        SELECT place_id, measured_at, pm25,
+               coalesce(list({{'t': measured_at, 'v': pm25}}) OVER (
+                 PARTITION BY place_id ORDER BY measured_at
+                 RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING), []) AS before
+        FROM ({FACT_A})))))"""
+
+COUNTER = """
+WITH samples AS (
+  SELECT user_id % 5 AS series, ts,
+         sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (
+           PARTITION BY user_id % 5, date_trunc('hour', ts) ORDER BY ts, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS total
+  FROM events),
+single AS (SELECT series, ts, max(total) AS total FROM samples GROUP BY series, ts),
+prior AS (SELECT *, lag(total) OVER (PARTITION BY series ORDER BY ts) AS prior FROM single),
+steps AS (
+  SELECT *, CASE WHEN prior IS NULL THEN 0 WHEN total >= prior THEN total - prior ELSE total END AS step FROM prior)
+SELECT series, ts, total, step, increase, increase > 0 AS firing FROM (
+  SELECT *, (sum(step) OVER (PARTITION BY series ORDER BY ts
+             RANGE BETWEEN INTERVAL 299999999 MICROSECOND PRECEDING AND CURRENT ROW))::BIGINT AS increase FROM steps)"""
+
+
+def stream_counts() -> str:
+    """Counts of three loads, added up."""
+    facts = {"air_quality_current": FACT_A, "weather_current": FACT_B, "air_quality_forecast": FORECAST}
+    parts = ["SELECT 'raw_rows.' || feed AS metric, count(*) AS value FROM r GROUP BY feed"]
+    parts += [f"SELECT '{m}', 0" for m in ("raw_rows.unrouted", "dropped.air_quality", "dropped.weather")]
+    parts += [f"SELECT 'candidates', count(*) FROM cand{n}" for n in (1, 2, 3)]
+    parts += [f"SELECT 'dimension', count(*) FROM fresh{n}" for n in (1, 2, 3)]
+    parts += [f"SELECT '{m}', count(*) FROM ({sql})" for f, sql in facts.items() for m in (f, f"calculated.{f}")]
+    return "SELECT metric, sum(value)::BIGINT AS value FROM (" + " UNION ALL ".join(parts) + ") GROUP BY metric"
+
+
+IN_PARTS = (STORED + upserted(1, "stored", PARTS[0]) + upserted(2, "upserted1", PARTS[1])
+            + upserted(3, "upserted2", PARTS[2]))
+
 ORACLE: dict[str, str] = {
     "parse_feed_a": BASE + """
 SELECT event_id AS request_id, place_name, upper(trim(place_name)) AS place_key, 'FR' AS country,
@@ -408,8 +455,8 @@ UNION ALL SELECT 'unrouted', 0, 0, 0, 0, 0""",
     "silver_rerun_alias": SPELLED_BASE + CANDIDATES + SPELLED_IDS
     + silver_rows("upserted1", "true", "spelled", "event_id % 4 >= 2, event_id"),
     "silver_metrics": BASE + CANDIDATES + silver_counts(),
-    "silver_stream": BASE + STORED + upserted(1, "stored", PARTS[0]) + upserted(2, "upserted1", PARTS[1])
-    + upserted(3, "upserted2", PARTS[2]) + silver_rows("upserted3", "true"),
+    "silver_stream": BASE + IN_PARTS + silver_rows("upserted3", "true"),
+    "silver_stream_metrics": BASE + IN_PARTS + stream_counts(),
     "rejected_rows": BASE + REJECTS + "SELECT event_id AS request_id, dt, array_to_string(reasons, ',') AS reasons FROM reasons",
     "rejected_counts": BASE + REJECTS + """
 SELECT unnest(CASE WHEN len(reasons) = 0 THEN ['accepted', 'raw'] ELSE list_append(reasons, 'raw') END) AS reason,
@@ -422,4 +469,6 @@ WHERE len(reasons) = 0 AND readable AND feed = 'air_quality' AND k % 10 = 0""",
     "forecast_in_force": BASE + IN_FORCE,
     "alert_episodes": EPISODES,
     "alert_episodes_stream": EPISODES,
+    "extreme_variations": BASE + VARIATIONS,
+    "counter_alert": COUNTER,
 }

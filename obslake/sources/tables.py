@@ -58,3 +58,10 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a marker folder of our own, if it is there."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -47,7 +47,7 @@ def dimension_version(root: str, epoch: int) -> str:
 
 def run_silver(spark: SparkSession, raw_root: str, dimension_root: str, facts_root: str,
                checkpoint: str, fmt: str = "json", fill_null: bool = False, max_files: int | None = None,
-               max_bytes: str | None = None) -> int:
+               max_bytes: str | None = None, metrics_root: str | None = None) -> int:
     """The whole silver step over every landed file not seen by ``checkpoint``
     yet: each micro-batch upserts the dimension, then loads all facts, so a
     place that is new in a batch has its rows stored with it.
@@ -56,18 +56,31 @@ def run_silver(spark: SparkSession, raw_root: str, dimension_root: str, facts_ro
     micro-batch n reads ``vn`` and writes ``vn+1``, so one that is repeated
     reads what it read before.  Returns how many micro-batches this run had.
     A backlog is worked off in micro-batches of ``max_files`` or ``max_bytes``.
+    With ``metrics_root`` the counts of each micro-batch are stored
+    (:func:`read_metrics`); one that is repeated replaces its own.
     """
     done = []
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        silver.load(spark, batch, dimension_version(dimension_root, epoch),
-                    dimension_version(dimension_root, epoch + 1), facts_root, fill_null)
+        found = silver.load(spark, batch, dimension_version(dimension_root, epoch),
+                            dimension_version(dimension_root, epoch + 1), facts_root, fill_null)
+        if metrics_root is not None:
+            (spark.createDataFrame(sorted(found.items()), METRICS).coalesce(1)
+             .write.mode("overwrite").parquet(f"{metrics_root}/batch={epoch}"))
         done.append(epoch)
 
     _run(raw_stream(spark, raw_root, fmt, max_files, max_bytes), per_batch, checkpoint)
     return len(done)
 
 
+METRICS = "metric STRING, value BIGINT"
+
+
+def read_metrics(spark: SparkSession, metrics_root: str) -> DataFrame:
+    """``batch, metric, value`` of every micro-batch of a running stream."""
+    return spark.read.schema(f"{METRICS}, batch BIGINT").parquet(metrics_root)
+
+
 def run_available(spark: SparkSession, raw_root: str, dimension: DataFrame, spec: FactSpec,
                   target: str, checkpoint: str, fmt: str = "json", max_files: int | None = None,
                   max_bytes: str | None = None) -> int:
