@@ -26,6 +26,7 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 from itertools import islice
 
 import numpy as np
@@ -39,8 +40,8 @@ from obslake.llm.common import utf8, written
 from obslake.llm.tokens import _byte_letters
 
 BATCH_BYTES = 1 << 21  # text whose new units are encoded together
-CHUNK_UNITS = 1 << 22  # units of the documents of a chunk, and
-CHUNK_DISTINCT = 1 << 19  # distinct ones, before the chunk is closed
+CHUNK_UNITS = 1 << 20  # units of the documents of a chunk, and
+CHUNK_DISTINCT = 1 << 17  # distinct ones, before the chunk is closed
 TOGETHER = 4_096  # units that are one text for the tokenizers
 PAIR = 32  # bits of a pair's key that hold the B id
 ALIGNED = ("chunk bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
@@ -168,6 +169,12 @@ def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
 SIGNS = b",|;"  # after an id inside a group's side, between its sides, after the group
 
 
+@cache
+def signed(n: int) -> list[list[bytes]]:
+    """Ids up to ``n`` with each sign after them."""
+    return [[b"%d%c" % (i, c) for i in range(n)] for c in SIGNS]
+
+
 class Chunk:
     """The documents of a chunk as places of units, and its dictionary of
     units: their tokens one after another, and their groups as text.  A unit
@@ -184,8 +191,7 @@ class Chunk:
         self.tokens: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
         self.docs: list[tuple] = []  # doc_id, n_a, n_b, n_groups, units, sha256
         self.n_units = 0
-        # ids with the sign after them
-        self.text = [[b"%d%c" % (i, c) for i in range(max(len(a.bytes), len(b.bytes)))] for c in SIGNS]
+        self.text = signed(max(len(a.bytes), len(b.bytes)))
 
     def full(self) -> bool:
         return self.n_units >= CHUNK_UNITS or len(self.number) >= CHUNK_DISTINCT
