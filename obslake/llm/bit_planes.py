@@ -39,6 +39,8 @@ from obslake.llm.tokens import encoder
 MAGIC = b"IDPLANE1"
 FOOTER = struct.Struct("<QQQQQB7x8s")  # table at, its size, index at, its size, blocks, bit planes?, magic
 BLOCK = 1 << 16
+FILE_BYTES = 1 << 28  # text of a file
+PART_IDS = 1 << 24  # ids of a file that a task reads
 MANIFEST = "shard int, path string, n_docs bigint, n_ids bigint"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
@@ -139,21 +141,35 @@ class Reader:
             data = data[size:]
         return from_planes(planes, n, self.bits).tobytes()
 
-    def __iter__(self) -> Iterator[tuple[int | None, bytes]]:
-        k, have = 0, bytearray()
-        for doc_id, n in self.docs:
-            while len(have) < 4 * n:
+    def documents(self, low: int = 0, high: int | None = None) -> Iterator[tuple[int | None, int, bytes]]:
+        """doc_id, start in the file and ids of the documents that start from
+        ``low`` to before ``high``; only the blocks that hold them are read."""
+        starts = np.cumsum([0, *[n for _, n in self.docs]])
+        first, last = np.searchsorted(starts[:-1], [low, starts[-1] if high is None else high]).tolist()
+        if first == last:
+            return
+        ends = np.cumsum(self.index[:, 1].astype(np.int64))
+        k = int(np.searchsorted(ends, starts[first], side="right"))
+        have = bytearray()
+        skip = 4 * int(starts[first] - (ends[k - 1] if k else 0))
+        for (doc_id, n), start in zip(self.docs[first:last], starts[first:last].tolist()):
+            while len(have) < skip + 4 * n:
                 have += self.block(k)
                 k += 1
-            yield doc_id, bytes(have[:4 * n])
-            del have[:4 * n]
+            yield doc_id, start, bytes(have[skip:skip + 4 * n])
+            del have[:skip + 4 * n]
+            skip = 0
+
+    def __iter__(self) -> Iterator[tuple[int | None, bytes]]:
+        return ((doc_id, ids) for doc_id, _, ids in self.documents())
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
-                      planes: str = "byte", block: int = BLOCK) -> DataFrame:
+                      planes: str = "byte", block: int = BLOCK, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``docs`` (doc_id, text) as token files under ``folder`` in
     ascending doc_id order and return the manifest: one row per file, in
-    order, with ``first`` (the number of ids in the files before it).
+    order, with ``first`` (the number of ids in the files before it).  A file
+    holds about ``file_bytes`` of text at most.
 
     Null or empty text: the end id alone.  Null doc_ids come first; rows that
     repeat an id are written once each, ordered by text.  An empty table
@@ -184,8 +200,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     spark = docs.sparkSession
     text_key = F.xxhash64("text")
-    files = (docs.select(F.col("doc_id").cast("bigint"), F.col("text"), text_key.alias("k"))
-             .repartitionByRange(F.col("doc_id"), F.col("k"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text"), text_key.alias("k"))
+    n_files = -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // file_bytes)
+    # a setting says how many ranges there are; a large table needs more
+    more = [n_files] if n_files > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    files = (rows.repartitionByRange(*more, F.col("doc_id"), F.col("k"))
              .sortWithinPartitions("doc_id", "k", "text").select("doc_id", "text")
              .mapInArrow(run, MANIFEST).collect())
     first, rows = 0, []
@@ -195,21 +214,23 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     return spark.createDataFrame(rows, MANIFEST + ", first bigint")
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
+def read_token_files(manifest: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
     """Documents of the files of a manifest: ``doc_id, start`` (ids of all
     documents before it), ``n_tokens, ids`` (little-endian unsigned 32-bit).
-    One task per file at most, which holds one block and one document."""
+
+    A file is read in parts of about ``part_ids`` ids by different tasks: the
+    chunk index says which blocks hold a part's documents.  A task holds one
+    block and one document, and the file's table of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for path, first, part in zip(*[c.to_pylist() for c in batch.columns]):
                 store, name = filesystem(path)
                 rows: list[tuple] = []
                 size = 0
                 with store.open_input_file(name) as source:
-                    for doc_id, ids in Reader(source):
-                        rows.append((doc_id, first, len(ids) // 4, ids))
-                        first += len(ids) // 4
+                    for doc_id, start, ids in Reader(source).documents(part * part_ids, (part + 1) * part_ids):
+                        rows.append((doc_id, first + start, len(ids) // 4, ids))
                         size += len(ids)
                         if size >= 1 << 23:
                             yield _rows(rows)
@@ -222,9 +243,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)],
                                           ["doc_id", "start", "n_tokens", "ids"])
 
-    files = manifest.select("path", "first")
-    n = manifest.count()
-    return files.repartition(max(1, n), "path").mapInArrow(run, ROWS)
+    last = F.floor((F.col("n_ids") - 1) / part_ids)
+    parts = manifest.select("path", "first", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("part"))
+    return parts.repartition(max(1, parts.count())).mapInArrow(run, ROWS)
 
 
 def token_file_round_trip(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, **kw) -> DataFrame:

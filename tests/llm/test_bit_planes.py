@@ -33,6 +33,9 @@ def test_files_round_trip(spark, scratch, planes, block):
         at += r.n_tokens
     ids = lambda t: np.array(whole.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()
     assert sorted(bytes(r.ids) for r in rows) == sorted(ids(t) for _, t in texts)
+    for part_ids in (700, 4_000):
+        again = bp.read_token_files(manifest, part_ids)
+        assert sorted(map(tuple, again.collect()), key=lambda r: r[1]) == list(map(tuple, rows))
     assert manifest.count() >= 1
     empty = bp.write_token_files(df.limit(0), scratch("planes"), tokenizer_path())
     assert empty.collect() == [] and bp.read_token_files(empty).collect() == []
@@ -54,6 +57,32 @@ def test_blocks_are_read_alone(tmp_path):
         bp.Reader(source)
 
 
+def test_only_the_blocks_of_a_part_are_read(tmp_path):
+    path = tmp_path / "x.planes"
+    with open(path, "wb") as sink:
+        w = bp.Writer(sink, False, 10)
+        for i in range(20):
+            w.add(i, np.full(5, i, dtype="<u4").tobytes())
+        w.close()
+    store, name = bp.filesystem(path.as_uri())
+    with store.open_input_file(name) as source:
+        reader = bp.Reader(source)
+        read, block = [], reader.block
+        reader.block = lambda k: read.append(k) or block(k)
+        found = list(reader.documents(37, 52))
+        assert [(d, s, np.frombuffer(i, "<u4").tolist()) for d, s, i in found] == [(d, 5 * d, [d] * 5) for d in (8, 9, 10)]
+        assert read == [4, 5]
+        assert list(reader.documents(100, 200)) == [] and [d for d, _ in reader] == list(range(20))
+
+
+def test_a_large_table_has_more_files(spark, scratch):
+    df = spark.createDataFrame([(i, "some words " * 20) for i in range(60)], "doc_id bigint, text string")
+    few = bp.write_token_files(df, scratch("planes"), tokenizer_path())
+    many = bp.write_token_files(df, scratch("planes"), tokenizer_path(), file_bytes=600)
+    assert few.count() <= 8 < many.count()
+    assert sorted(map(tuple, bp.read_token_files(few).collect())) == sorted(map(tuple, bp.read_token_files(many).collect()))
+
+
 def test_registered_query(spark):
     from obslake.llm.queries import op7_bit_plane_files
 
