@@ -1,7 +1,8 @@
 """Near-duplicates by SimHash, linked through pivot distance tables.
 
 Each fingerprint gets a row of a pivot table: its Hamming distances to many
-reference fingerprints, precomputed once.  By the triangle inequality two
+reference fingerprints, computed once and carried with it to its blocks, eight
+to a long.  By the triangle inequality two
 fingerprints within ``max_bits`` differ by at most that in every coordinate,
 so a pair with a larger maximum coordinate difference is discarded; only
 survivors have their own distance computed.
@@ -41,6 +42,8 @@ HASHES_AT_ONCE = 1 << 15  # 2 MB of bits
 RANDOM_REFERENCES = 24
 BLOCK_ROWS = 8_192
 FREE_SEGMENTS = 3  # segments in a block's key
+TABLE = [f"p{i}" for i in range(RANDOM_REFERENCES // 8)]  # columns of the pivot table
+TABLE_DDL = ", ".join(f"{c} bigint" for c in TABLE)
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -96,6 +99,11 @@ class PivotTable:
     def distances(fps: np.ndarray, references: np.ndarray) -> np.ndarray:
         return np.bitwise_count(fps[:, None] ^ references[None, :]).astype(np.int8)
 
+    def coordinates(self, fps: np.ndarray) -> np.ndarray:
+        """Distances to the random references, eight to a long: a row for each
+        column of TABLE."""
+        return np.ascontiguousarray(self.distances(fps, self.others).view(np.int64).T)
+
     def keys(self, fps: np.ndarray) -> np.ndarray:
         """Block keys (n, blocks): the flips' coordinates against the base's,
         one bit each, below the number of the block."""
@@ -108,7 +116,8 @@ class PivotTable:
 
 
 def block_keys(classes: DataFrame, max_bits: int) -> DataFrame:
-    """``key, fp``, a row for each block of each class."""
+    """``key, fp`` and the row of the pivot table, for each block of each
+    class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = PivotTable(max_bits)
@@ -116,17 +125,18 @@ def block_keys(classes: DataFrame, max_bits: int) -> DataFrame:
             for part in (batch.slice(lo, 4_096) for lo in range(0, batch.num_rows, 4_096)):
                 fps = part.column(0).to_numpy().view(np.uint64)
                 keys = pivots.keys(fps)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(fps, keys.shape[1]).view(np.int64))], ["key", "fp"])
+                per_block = [np.repeat(c, keys.shape[1]) for c in (fps.view(np.int64), *pivots.coordinates(fps))]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, per_block)], ["key", "fp", *TABLE])
 
-    return classes.select("fp").mapInArrow(run, "key bigint, fp bigint")
+    return classes.select("fp").mapInArrow(run, f"key bigint, fp bigint, {TABLE_DDL}")
 
 
-def _forest(key: np.ndarray, side: np.ndarray, fps: np.ndarray, pivots: PivotTable) -> tuple[np.ndarray, np.ndarray]:
+def _forest(key: np.ndarray, side: np.ndarray, fps: np.ndarray, table: np.ndarray,
+            max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(member, smallest member) links inside each block of a sorted run of
-    rows.  ``side``: -1 pairs all rows of a block, 0 and 1 only pair across."""
+    rows, with their rows of the pivot table.  ``side``: -1 pairs all rows of a
+    block, 0 and 1 only pair across."""
     n = len(fps)
-    table = pivots.distances(fps, pivots.others)
     root = np.arange(n)
     alive = np.arange(n - 1) if n else np.arange(0)
     lag = 0
@@ -141,9 +151,9 @@ def _forest(key: np.ndarray, side: np.ndarray, fps: np.ndarray, pivots: PivotTab
             b = a + lag
             apart = (root[a] != root[b]) & ((side[a] < 0) | (side[a] != side[b]))
             a, b = a[apart], b[apart]
-            near = (np.abs(table[a] - table[b]) <= pivots.max_bits).all(axis=1)  # else the pivots tell them apart
+            near = (np.abs(table[a] - table[b]) <= max_bits).all(axis=1)  # else the pivots tell them apart
             a, b = a[near], b[near]
-            near = np.bitwise_count(fps[a] ^ fps[b]) <= pivots.max_bits
+            near = np.bitwise_count(fps[a] ^ fps[b]) <= max_bits
             for i, j in zip(a[near].tolist(), b[near].tolist()):
                 while root[i] != i:
                     root[i] = root[root[i]]
@@ -162,32 +172,33 @@ def _forest(key: np.ndarray, side: np.ndarray, fps: np.ndarray, pivots: PivotTab
     return fps[linked], fps[root[linked]]
 
 
-PAIRS = "kind int, a bigint, b bigint, chunk int"
+PAIRS = f"kind int, a bigint, b bigint, chunk int, {TABLE_DDL}"
 LINK, SPLIT = 0, 1
 
 
 def _links(rows: DataFrame, max_bits: int, block_rows: int, split: bool) -> DataFrame:
-    """Streams rows (key, side, fp) sorted by block: links of the blocks
-    (LINK: a, b) and, with ``split``, the rows of blocks that are too large,
-    by chunk (SPLIT: key, fp, chunk)."""
+    """Streams rows (key, side, fp, pivot table) sorted by block: links of the
+    blocks (LINK: a, b) and, with ``split``, the rows of blocks that are too
+    large, by chunk (SPLIT: key, fp, chunk, pivot table)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = PivotTable(max_bits)
-        held = np.empty((3, 0), dtype=np.int64)  # key, side, fp
+        held = np.empty((3 + len(TABLE), 0), dtype=np.int64)  # key, side, fp, pivot table
         split_key: int | None = None  # the block being cut, and its next chunk
         chunk = 0
 
-        def out(kind: int, a: np.ndarray, b: np.ndarray, number: int) -> pa.RecordBatch:
+        def out(kind: int, a: np.ndarray, b: np.ndarray, number: int, table: np.ndarray | None = None) -> pa.RecordBatch:
+            carried = [pa.nulls(len(a), pa.int64())] * len(TABLE) if table is None else map(pa.array, table)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                 pa.array(np.full(len(a), number, np.int32))], ["kind", "a", "b", "chunk"])
+                 pa.array(np.full(len(a), number, np.int32)), *carried], ["kind", "a", "b", "chunk", *TABLE])
 
         def linked(part: np.ndarray) -> Iterator[pa.RecordBatch]:
             same = part[0][1:] == part[0][:-1]
             rows_of = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False)) if same.any() else []
             if len(rows_of):
                 part = part[:, rows_of]
-                a, b = _forest(part[0], part[1], part[2].view(np.uint64), pivots)
+                table = np.ascontiguousarray(part[3:].T).view(np.int8)
+                a, b = _forest(part[0], part[1], part[2].view(np.uint64), table, max_bits)
                 if len(a):
                     yield out(LINK, a, b, 0)
 
@@ -198,7 +209,7 @@ def _links(rows: DataFrame, max_bits: int, block_rows: int, split: bool) -> Data
             final_key = held[0, -1]
             if split_key is not None and held[0, 0] == split_key:  # the rest of a block being cut
                 m = int(np.searchsorted(held[0] != split_key, True)) if final_key != split_key else held.shape[1]
-                yield out(SPLIT, held[0, :m], held[2, :m], chunk)
+                yield out(SPLIT, held[0, :m], held[2, :m], chunk, held[3:, :m])
                 chunk += 1
                 held = held[:, m:]
                 if not held.shape[1]:
@@ -210,18 +221,18 @@ def _links(rows: DataFrame, max_bits: int, block_rows: int, split: bool) -> Data
                 held = held[:, cut:]
             elif split and held.shape[1] >= block_rows:  # one block, and it goes on
                 split_key, chunk = int(final_key), 1
-                yield out(SPLIT, held[0], held[2], 0)
+                yield out(SPLIT, held[0], held[2], 0, held[3:])
                 held = held[:, :0]
 
         for batch in batches:
-            columns = [batch.column(i).to_numpy().astype(np.int64) for i in range(3)]
+            columns = [c.to_numpy().astype(np.int64) for c in batch.columns]
             for lo in range(0, batch.num_rows, block_rows):
                 held = np.concatenate([held, np.stack([c[lo:lo + block_rows] for c in columns])], axis=1)
                 if held.shape[1] >= block_rows:
                     yield from work(last=False)
         yield from work(last=True)
 
-    return rows.select("key", "side", "fp").mapInArrow(run, PAIRS)
+    return rows.select("key", "side", "fp", *TABLE).mapInArrow(run, PAIRS)
 
 
 def links(classes: DataFrame, max_bits: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -232,12 +243,12 @@ def links(classes: DataFrame, max_bits: int = 3, block_rows: int = BLOCK_ROWS) -
     first = written(_links(rows, max_bits, block_rows, split=True), "simhash-links")
     # Chunks of blocks that were too large: every pair of chunks is a block of
     # its own (a pair of a chunk with itself pairs all its rows).
-    cut = first.filter(F.col("kind") == SPLIT).select(F.col("a").alias("key"), F.col("b").alias("fp"), "chunk")
+    cut = first.filter(F.col("kind") == SPLIT).select(F.col("a").alias("key"), F.col("b").alias("fp"), "chunk", *TABLE)
     chunks = cut.groupBy("key").agg((F.max("chunk") + 1).alias("n"))
     pairs = cut.join(chunks, "key").select(
-        "key", "fp", "chunk", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+        "key", "fp", "chunk", *TABLE, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
     i, j = F.least("chunk", "other"), F.greatest("chunk", "other")
-    rows = (pairs.select(F.xxhash64("key", i, j).alias("key"), "fp",
+    rows = (pairs.select(F.xxhash64("key", i, j).alias("key"), "fp", *TABLE,
                          F.when(i == j, -1).otherwise((F.col("chunk") == j).cast("int")).cast("bigint").alias("side"))
             .repartition("key").sortWithinPartitions("key", "fp"))
     second = _links(rows, max_bits, block_rows, split=False)
