@@ -425,6 +425,7 @@ FROM va""",
     "fact_current_a": BASE + FACT_A,
     "fact_current_b": BASE + FACT_B,
     "forecast_long": BASE + FORECAST,
+    "fact_staged_a": BASE + FACT_A,
     "incremental_2key": BASE + FACT_A,
     "incremental_4key": BASE + FORECAST,
     "incremental_measured": BASE + f"""

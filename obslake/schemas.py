@@ -7,6 +7,8 @@ fails schema inference.
 
 from __future__ import annotations
 
+from pyspark.sql.types import StructType
+
 # The raw envelope (one row per API response).  ``request_id``,
 # ``feed``, ``error`` and ``country`` (that of the request, null where it had
 # none) are ours; the rest is the landed-response contract.
@@ -100,6 +102,11 @@ def ddl(text: str) -> str:
     return " ".join(text.split())
 
 
+def struct_fields(columns: str) -> str:
+    """The fields of a struct from the columns of a table (needs a session)."""
+    return StructType.fromDDL(columns).simpleString().removeprefix("struct<").removesuffix(">")
+
+
 ENVELOPE = ddl(ENVELOPE_DDL)
 RAW_TABLE = ddl(ENVELOPE_DDL + "," + PARTITION_DDL)
 LEGACY_RAW_TABLE = ddl(LEGACY_ENVELOPE_DDL + "," + PARTITION_DDL)

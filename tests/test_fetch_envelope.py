@@ -17,7 +17,7 @@ def _requests(spark, urls):
                                  "feed string, place_name string, url string")
 
 
-def _envelope(spark, fetcher, urls=("http://fake.url/?token=abc",)):
+def _envelope(spark, fetcher, urls=("http://stub.invalid/?token=abc",)):
     resp = fetch.fetch_all(_requests(spark, urls), fetcher, parallelism=2)
     resp = resp.withColumn("fetched_at", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))
     return raw.envelope(resp).collect()
@@ -44,7 +44,7 @@ def test_envelope_of_an_answer(spark, answer, ok, status, error, payload):
         return answer
     (row,) = _envelope(spark, client)
     assert (row.ok, row.http_status, row.error, row.payload) == (ok, status, error, payload)
-    assert row.url == "http://fake.url/?token=***"
+    assert row.url == "http://stub.invalid/?token=***"
 
 
 @pytest.mark.parametrize("concurrency", [1, 3])
@@ -119,7 +119,7 @@ class _SlowClient:
 
 
 def test_concurrent_fetch_keeps_answers_and_order(spark):
-    urls = [f"http://fake.url/?n={i}" for i in range(40)]
+    urls = [f"http://stub.invalid/?n={i}" for i in range(40)]
     got = fetch.fetch_all(_requests(spark, urls).coalesce(1), _SlowClient(), concurrency=8).collect()
     assert [r.url for r in got] == urls
     for i, r in enumerate(got):
