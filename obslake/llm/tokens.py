@@ -71,7 +71,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.tails: dict[bytes, bytes] = {b"": b""}
-        self.letters = _byte_letters()
+        self.letters = dict(enumerate(_byte_letters()))
         with open(path, encoding="utf-8") as f:
             self.by_piece = splits_at_white_space(json.load(f))
 
@@ -82,6 +82,14 @@ class Encoder(dict):
     def word(self, letters: str) -> bytes:
         return ids_bytes([t.id for t in self.model.tokenize(letters)])
 
+    def kept_word(self, lower: bytes) -> bytes:
+        """Ids of a word in lower case, which may be kept as a piece."""
+        ids = self.get(lower) or self.earlier.get(lower)
+        if ids is None:
+            letters = lower.decode() if lower.isascii() else lower.decode("latin-1").translate(self.letters)
+            ids = self.word(letters)
+        return ids
+
     def tail(self, signs: bytes) -> bytes:
         ids = self.tails.get(signs)
         if ids is None:
@@ -92,16 +100,15 @@ class Encoder(dict):
 
     def piece(self, piece: bytes) -> bytes:
         if piece.isalpha():  # A-Z in either case
-            return self.word(piece.lower().decode())
+            return self.kept_word(piece.lower())
         if m := _PLAIN.fullmatch(piece):
-            return self.word(m[1].lower().decode()) + self.tail(m[2])
+            return self.kept_word(m[1].lower()) + self.tail(m[2])
         core = piece.rstrip(_SIGNS)
         text = core.decode("utf-8", "replace")
         # Below U+0250 letters are composed already and have plain lower
         # cases, but for the dotted capital I.
         if text.isalpha() and max(text) < "ɐ" and "İ" not in text:
-            lower = "".join([self.letters[b] for b in text.lower().encode()])
-            return self.word(lower) + self.tail(piece[len(core):])
+            return self.kept_word(text.lower().encode()) + self.tail(piece[len(core):])
         return self.whole(piece)
 
     def __missing__(self, piece: bytes) -> bytes:
