@@ -65,9 +65,10 @@ def classify(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
     routed = reduce(lambda c, f: c.when(F.col("url").contains(f.url_marker), F.lit(f.name)), feeds[1:],
                     F.when(F.col("url").contains(feeds[0].url_marker), F.lit(feeds[0].name)))
     ok = F.coalesce(F.col("ok"), F.lit(False))
-    bodies = [F.when(ok & (F.col("_feed") == F.lit(f.name)), parse.parse_body(F.col("payload"), f)).alias(f"_b_{f.name}")
-              for f in feeds]
-    parsed = envelope.withColumn("_feed", routed).select("*", *bodies)
+    bodies = {f"_b_{f.name}": F.when(ok & (F.col("_feed") == F.lit(f.name)), parse.parse_body(F.col("payload"), f))
+              for f in feeds}
+    parsed = parse.once(envelope.withColumn("_feed", routed),
+                        {**bodies, "_fetched": tf.parse_instant(F.col("fetched_at_utc"))})
 
     def body(spec: FeedSpec) -> Column:
         return F.col(f"_b_{spec.name}")
@@ -78,7 +79,7 @@ def classify(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
     def no_object(spec: FeedSpec) -> Column:
         return body(spec).isNull() | F.when(not_parsed(spec), ~parse.is_object(F.col("payload"))).otherwise(F.lit(False))
 
-    fetched = tf.parse_instant(F.col("fetched_at_utc"))
+    fetched = F.col("_fetched")
     not_json = F.coalesce(_of_feed(feeds, no_object), F.lit(False))
     valid = F.coalesce(_of_feed(feeds, lambda f: f.valid(body(f))), F.lit(False))
     event = _of_feed(feeds, lambda f: f.event_time(body(f), fetched))
@@ -95,10 +96,10 @@ def classify(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> DataFrame:
         "no_fetch_time": ~line & fetched.isNull(),
         "no_event_time": usable & ~not_json & valid & event.isNull(),
     }
-    reasons = F.filter(F.array(*[F.when(failed[c], F.lit(c)) for c in CHECKS]), lambda r: r.isNotNull())
+    reasons = F.array_except(F.array(*[F.when(failed[c], F.lit(c)) for c in CHECKS]), F.array(F.lit(None).cast("string")))
     partly = usable & ~not_json & F.coalesce(_of_feed(feeds, not_parsed), F.lit(False))
     notes = F.when(partly, F.array(F.lit("bad_field"))).otherwise(F.array().cast("array<string>"))
-    return parsed.withColumns({"reasons": reasons, "notes": notes}).drop("_feed", *[f"_b_{f.name}" for f in feeds])
+    return parsed.withColumns({"reasons": reasons, "notes": notes}).drop("_feed", "_fetched", *bodies)
 
 
 def split(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> tuple[DataFrame, DataFrame]:
@@ -109,10 +110,14 @@ def split(envelope: DataFrame, feeds: Sequence[FeedSpec]) -> tuple[DataFrame, Da
     return all_rows.where(none).drop("reasons", "notes", LINE), all_rows.where(~none).drop("notes")
 
 
-def counts(classified: DataFrame) -> DataFrame:
+def counts(classified: DataFrame, noted: bool = False) -> DataFrame:
     """Rows by ``reason``; a row with several counts for each, accepted rows
-    as ``accepted``, and all rows as ``raw``."""
-    named = F.when(F.size("reasons") == 0, F.array(F.lit("accepted"))).otherwise(F.col("reasons"))
+    as ``accepted``, and all rows as ``raw``.  With ``noted`` accepted rows
+    count for ``accepted, <note>`` too, in the same pass."""
+    accepted = F.array(F.lit("accepted"))
+    if noted:
+        accepted = F.concat(accepted, F.transform("notes", lambda n: F.concat(F.lit("accepted, "), n)))
+    named = F.when(F.size("reasons") == 0, accepted).otherwise(F.col("reasons"))
     return (classified.select(F.explode(F.concat(named, F.array(F.lit("raw")))).alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("rows")))
 
@@ -122,8 +127,9 @@ def store(rejected: DataFrame, target: str) -> None:
     they have (a rerun of an hour's day replaces what it rejected before).
     Rows without a folder go to the null day."""
     keyed = rejected if "dt" in rejected.columns else raw.with_partition_keys(rejected)
-    (keyed.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt").parquet(target))
+    with tables.compiled(rejected.sparkSession):
+        (keyed.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(target))
 
 
 def stored(spark: SparkSession, target: str) -> DataFrame:

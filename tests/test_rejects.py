@@ -112,3 +112,16 @@ def test_no_rows(spark, n):
     env = envelope_df(spark, [{"payload": air()}]).limit(n)
     assert rejects.split(env, FEEDS)[1].count() == 0
     assert rejects.counts(rejects.classify(env, FEEDS)).count() == 2 * n
+
+
+def test_a_filter_on_reasons_parses_each_body_once(spark):
+    env = envelope_df(spark, [{"payload": air()}])
+    for part in rejects.split(env, FEEDS):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") <= 2 * len(FEEDS)
+
+
+def test_notes_are_counted_in_the_same_pass(spark):
+    env = envelope_df(spark, [{"payload": air('{"aqi":3}')}, {"payload": air('{"aqi":"-"}')}, {"payload": "[1]"}])
+    found = rejects.counts(rejects.classify(env, FEEDS), noted=True)
+    assert dict(found.collect()) == {"accepted": 2, "accepted, bad_field": 1, "bad_json": 1, "raw": 3}
