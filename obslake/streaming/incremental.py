@@ -16,6 +16,7 @@ from obslake import schemas
 from obslake.functions import time as tf
 from obslake.operators import facts, incremental, parse
 from obslake.plans import silver
+from obslake.sources import tables
 from obslake.specs import FactSpec
 
 
@@ -35,9 +36,11 @@ def raw_stream(spark: SparkSession, raw_root: str, fmt: str = "json", max_files:
 
 
 def _run(stream: DataFrame, per_batch, checkpoint: str) -> None:
-    q = (stream.writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the stream's session is a copy of this one from its start
+    with tables.compiled(stream.sparkSession):
+        q = (stream.writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
 
 
 def dimension_version(root: str, epoch: int) -> str:

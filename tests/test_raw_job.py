@@ -157,3 +157,29 @@ def test_scheduled_hour_raw_then_silver(spark, scratch):
                        f"{base}/dimension/v1", f"{base}/dimension/v2", base)
     assert again["dimension"] == again["air_quality_current"] == again["weather_current"] == 0
     assert raw.read_raw(spark, raw_root).count() == 6
+
+
+def test_wide_writes_use_small_methods(spark, monkeypatch, tmp_path):
+    from obslake.plans import catalog
+    from obslake.sources import raw, tables
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(key), []
+    rows = spark.sql("SELECT 1L request_id, 'f' feed, 'p' place_name, 'u' url, 200 http_status, '{}' body, "
+                     "TIMESTAMP_NTZ'2024-01-01 00:00:00' fetched_at")
+    keys = raw.with_partition_keys
+    monkeypatch.setattr(tables, "COMPILED_BYTES", 4000)
+    compiled = tables.compiled
+    monkeypatch.setattr(tables, "compiled", lambda s: seen.append(s) or compiled(s))
+    raw.land(raw.envelope(rows), str(tmp_path / "raw"), fmt="parquet", partition_by=("dt",))
+    assert seen and keys(raw.envelope(rows)).count() == 1
+    with compiled(spark):
+        assert spark.conf.get(key) == "4000"
+    assert spark.conf.get(key) == before
+
+    spark.sql("SELECT id event_id, TIMESTAMP_NTZ'2024-01-01 00:00:00' ts, id user_id, 'view' event_type, 1D value, "
+              "'{\"k\": 1}' props FROM range(9)").write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql("SELECT INT(id) n_nationkey, 'N' n_name, 0 n_regionkey FROM range(25)").write.parquet(
+        str(tmp_path / "nation.parquet"))
+    plan = catalog._by_hour(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
