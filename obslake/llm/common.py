@@ -24,10 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+FILES_A_CORE = 4
+
+
+def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, lineage
-    cut, and readable after the loss of any executor."""
+    cut, and readable after the loss of any executor.
+
+    ``narrow``: a few numbers a row and little work for each.  Such a table
+    gets a few files for each core of the cluster, not one for each shuffle
+    partition (adaptive execution may be told not to join partitions): every
+    file of a local folder costs the executor two short processes."""
     path = scratch_path(df.sparkSession, name)
+    if narrow:
+        df = df.coalesce(FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -40,6 +40,7 @@ CLOSENESS_BINS, CLOSENESS_LIMIT = 200, 4  # bins a unit, and the largest told ap
 HALF_WAY = 500  # distinct n-grams with which half of the squared cosine is expected
 UNKNOWN = "und"
 CHUNK = 1 << 20  # bytes of a text looked at together
+ROWS_AT_ONCE = 64  # vectors multiplied together: 2 MB
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)).lower()
 _MIX = [np.uint32(x) for x in (2654435761, 2246822519, 3266489917, 668265263)]  # odd factors that spread bits
 
@@ -113,6 +114,23 @@ def _clusters(vectors: np.ndarray, k: int) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+def _centroids(texts: pa.Array, idf: np.ndarray, clusters: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Vectors of a language's sampled texts, the centres of their clusters,
+    and how close a text is to another one, against the centres.  Only the
+    vectors are held: counts are of one text, products of a few."""
+    vectors, distinct = np.empty((len(texts), FEATURES), dtype=np.float32), np.empty(len(texts), dtype=np.int64)
+    for i, text in enumerate(utf8(texts)):
+        counts = term_counts(text)
+        vectors[i], distinct[i] = _vector(counts, idf), np.count_nonzero(counts)
+    found = _clusters(vectors, clusters)
+    before = np.roll(np.arange(len(vectors)), 1)
+    others = closeness(np.concatenate([(vectors[lo:lo + ROWS_AT_ONCE] * vectors[before[lo:lo + ROWS_AT_ONCE]]).sum(axis=1)
+                                       for lo in range(0, len(vectors), ROWS_AT_ONCE)]), distinct)
+    near = closeness((vectors @ found.T).max(axis=1), distinct)
+    alone = float(np.quantile(others, REJECT_QUANTILE) / max(np.quantile(near, REJECT_QUANTILE), 1e-9))
+    return vectors, found, min(alone, 1.0)
+
+
 class Model:
     """``languages`` of the centroids, the centroids, the weights of the
     features, and the closeness below which a centroid's language is rejected."""
@@ -200,16 +218,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     drawn = usable.filter(draw() < F.element_at(shares, F.col("lang"))) if counts else usable
 
     def centroids(key: tuple, rows: pa.Table) -> pa.Table:
-        counted = [term_counts(text) for text in utf8(rows.column("text").combine_chunks())]
-        vectors, distinct = np.array([_vector(c, idf) for c in counted]), np.array([np.count_nonzero(c) for c in counted])
-        found = _clusters(vectors, clusters)
-        # how close a text is to another one, against the centroids
-        others = closeness((vectors * np.roll(vectors, 1, axis=0)).sum(axis=1), distinct)
-        near = closeness((vectors @ found.T).max(axis=1), distinct)
-        alone = float(np.quantile(others, REJECT_QUANTILE) / max(np.quantile(near, REJECT_QUANTILE), 1e-9))
+        vectors, found, alone = _centroids(rows.column("text").combine_chunks(), idf, clusters)
         n = len(found)
         return pa.table({"lang": [key[0].as_py()] * n, "centroid": list(found), "texts": [len(vectors)] * n,
-                         "alone": [min(alone, 1.0)] * n},
+                         "alone": [alone] * n},
                         schema=pa.schema([("lang", pa.string()), ("centroid", pa.list_(pa.float32())),
                                           ("texts", pa.int32()), ("alone", pa.float64())]))
 

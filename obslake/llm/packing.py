@@ -244,7 +244,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
     rest = first.filter("sequence_id IS NULL")
     by_task = rest.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    by_task = written(by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "handed-on")
+    by_task = written(by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "handed-on", narrow=True)
     counts = {r[0]: r[1] for r in by_task.groupBy("length").agg(F.sum("n")).collect()}  # capacity rows at most
     places, _ = VectorBestFit(capacities, weights, rule).place_counts(counts)
 

@@ -268,12 +268,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     its component (null if there is none).  Other columns are ignored.
     """
     prints = written(fingerprints(docs, shingle), "simhash")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes", narrow=True)
     roots = components(links(classes, max_bits, block_rows))
     named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = written(named.join(least, "root").select("fp", "component_id"), "simhash-labels")
+    labels = written(named.join(least, "root").select("fp", "component_id"), "simhash-labels", narrow=True)
     return prints.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,22 @@ def test_edges(spark):
     nothing = li.fit(df.limit(0))
     assert nothing.languages == [] and {r.lang_pred for r in li.predict(df, nothing).collect()} == {"und"}
     assert li.spoken_documents(df.limit(0)).collect() == []
+
+
+def test_clusters_hold_one_copy_of_the_vectors():
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(3_000)])
+    texts = pa.array([" ".join(rng.choice(words, 60)) for _ in range(300)])
+    idf = np.linspace(1, 2, li.FEATURES)
+    tracemalloc.start()
+    vectors, found, alone = li._centroids(texts, idf, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert vectors.nbytes == 300 * li.FEATURES * 4
+    assert peak < 2.5 * vectors.nbytes  # with the copy of a cluster; counts of all texts alone are twice the vectors
+    counts = [li.term_counts(t.encode()) for t in texts.to_pylist()]
+    plain, distinct = np.array([li._vector(c, idf) for c in counts]), np.array([np.count_nonzero(c) for c in counts])
+    others = li.closeness((plain * np.roll(plain, 1, axis=0)).sum(axis=1), distinct)
+    near = li.closeness((plain @ found.T).max(axis=1), distinct)
+    assert (vectors == plain).all() and (found == li._clusters(plain, 3)).all()
+    assert alone == min(float(np.quantile(others, li.REJECT_QUANTILE) / np.quantile(near, li.REJECT_QUANTILE)), 1.0)

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 
 from obslake.llm import simhash_pivots as sp
+from obslake.llm.common import FILES_A_CORE
 from obslake.llm.components import components
 
 EDGE_COLUMNS = "doc_id bigint, text string, fp string, root int, `a.b` int"
@@ -134,3 +135,18 @@ def test_registered_query_equals_brute_force(spark):
     assert {r.doc_id: int(r.fingerprint, 16) for r in rows} == {i: brute_fingerprint(t) for i, t in texts.items()}
     least = brute_components([(r.doc_id, int(r.fingerprint, 16)) for r in rows], 3)
     assert [r.component_id for r in rows] == [least[i] for i in range(len(rows))]
+
+
+def test_components_write_a_few_files_a_core(spark):
+    keys = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(4_000).selectExpr("id AS a", "id + 4000 AS b")
+        found = components(edges)
+        assert len(found.inputFiles()) <= FILES_A_CORE * spark.sparkContext.defaultParallelism < 200
+        assert {(r.node, r.root) for r in found.collect()} == {(i, i % 4_000) for i in range(8_000)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
